@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .token_counts import token_counts
+from .token_ids import read_token_blocks, write_token_blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
@@ -21,9 +28,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(C.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = C.scratch_path(spark, "token-blocks")
+    write_token_blocks(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return read_token_blocks(spark, path, with_ids=False)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op10_token_ids": op10_token_ids,
 }
 
 OP4_SQL = """
