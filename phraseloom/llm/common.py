@@ -52,15 +52,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/phraseloom/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back. Survives lost executors."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table that no later plan reads."""
+def remove(spark: SparkSession, df: DataFrame) -> None:
+    """Delete a materialized table that no later plan reads."""
+    path = df.scratch
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
