@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import common as C
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .simhash import simhash_components
 from .token_counts import token_counts
 from .token_ids import read_token_blocks, write_token_blocks
 
@@ -24,6 +25,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(C.table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(C.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -37,6 +42,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op10_token_ids": op10_token_ids,
 }
