@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
+from . import quality
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .simhash import simhash_components
@@ -33,6 +34,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(C.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, C.table(spark, sf_dir, "labels")))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = C.scratch_path(spark, "token-blocks")
     write_token_blocks(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
@@ -44,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_quality": op9_quality,
     "op10_token_ids": op10_token_ids,
 }
 
