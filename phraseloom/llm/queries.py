@@ -11,6 +11,7 @@ from . import common as C
 from . import quality
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .pii import find_pii
 from .simhash import simhash_components
 from .token_counts import token_counts
 from .token_ids import read_token_blocks, write_token_blocks
@@ -26,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(C.table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(C.table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_pii": op5_pii,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
