@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
 from . import quality
+from .ann import nearest_neighbours
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .pii import find_pii
@@ -31,6 +33,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(C.table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(C.table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
+    "op6_ann": op6_ann,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
