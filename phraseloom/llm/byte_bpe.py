@@ -8,15 +8,21 @@ in a bounded cache.
 from __future__ import annotations
 
 import json
+import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import regex
 
-#: Entries of a worker's piece and pair caches; a full cache is emptied, which costs time and never changes a result.
-CACHE = 300_000
+#: Entries of each of the two generations of a worker's piece cache, and of its pair cache. What a full cache forgets is
+#: worked out again: the size costs time and never changes a result.
+CACHE = 250_000
+#: Characters of texts whose unknown pieces are encoded in one call.
+GROUP = 1 << 20
 #: The pre-tokenizer's published pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
@@ -37,6 +43,30 @@ def byte_table() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class PieceCache:
+    """Pieces and what is known of them in two generations: a full young one becomes the old one, which is then dropped."""
+
+    def __init__(self, learn):
+        self._learn, self.young, self._old = learn, {}, {}
+
+    def fill(self, pieces: set[str]) -> dict:
+        """The young generation, with all of ``pieces`` in it."""
+        if len(self.young) >= CACHE:
+            self.young, self._old = {}, self.young
+        young, old = self.young, self._old
+        unknown = []
+        for x in pieces:
+            if x not in young:
+                known = old.get(x)
+                if known is None:
+                    unknown.append(x)
+                else:
+                    young[x] = known
+        if unknown:
+            young.update(zip(unknown, self._learn(unknown), strict=True))
+        return young
+
+
 class PieceSplitter:
     """Special strings first (as the library does by default), then the pattern's pieces."""
 
@@ -76,7 +106,7 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocab))
         self.bytes_of = {i: t for t, i in self.vocab.items()}
         self.split = PieceSplitter(added)
-        self._counts: dict[str, int] = {}
+        self.known = PieceCache(lambda pieces: [self.piece_counts(x.encode())[-1] for x in pieces])
         self._pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, b: bytes) -> list[bytes]:
@@ -110,17 +140,10 @@ class PrefixCounter:
                     break
         return count
 
-    def _piece(self, piece: str) -> int:
-        if len(self._counts) >= CACHE:
-            self._counts.clear()
-        found = self._counts[piece] = self.piece_counts(piece.encode())[-1]
-        return found
-
     def per_piece(self, text: str) -> tuple[list[str], list[int]]:
         """The pieces of a text and the tokens of each; a special string is a piece of one token."""
         pieces: list[str] = []
         counts: list[int] = []
-        known, new = self._counts.get, self._piece
         for k, segment in enumerate(self.split.segments(text)):
             if k % 2:
                 pieces.append(segment)
@@ -128,7 +151,8 @@ class PrefixCounter:
                 continue
             found = self.split.pieces(segment)
             pieces += found
-            counts += [known(x) or new(x) for x in found]
+            known = self.known.fill(set(found))
+            counts += [known[x] for x in found]
         return pieces, counts
 
     def count(self, text: str) -> int:
@@ -190,43 +214,51 @@ class PieceEncoder:
     """The library's ids, encoded once for each piece of the cache; texts beyond the fast pattern go to it whole."""
 
     def __init__(self, path: str):
+        # a task has one core: the library's own threads would only contend for it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2") if self.vocab_size <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
         self.split = PieceSplitter(added)
-        self._ids: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self._ids) + len(pieces) > CACHE:
-            self._ids.clear()
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self._ids[piece] = np.array(found.ids, dtype=self.dtype).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian integers of ``dtype``."""
-        if BEYOND_LATIN.search(text) is not None:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-        out = []
-        for k, segment in enumerate(self.split.segments(text)):
-            if k % 2:
-                out.append(np.array([self.split.specials[segment]], dtype=self.dtype).tobytes())
-                continue
-            pieces = LATIN.findall(segment)
-            new = list({x for x in pieces if x not in self._ids})
-            if new:
-                self._learn(new)
-                if len(new) > CACHE:  # a single text with more pieces than the cache holds
-                    return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-            known = self._ids
-            try:
-                out.append(b"".join([known[x] for x in pieces]))
-            except KeyError:  # learning emptied the cache under pieces found in it before
-                self._learn([x for x in set(pieces) if x not in known])
-                out.append(b"".join([self._ids[x] for x in pieces]))
-        return b"".join(out)
+        self.known = PieceCache(self._encode)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [self._pack(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian integers of ``width`` bytes."""
+        out: list[bytes] = []
+        group: list[str] = []
+        held = 0
+        for text in texts:
+            group.append(text)
+            held += len(text)
+            if held >= GROUP:
+                out += self._encode_group(group)
+                group, held = [], 0
+        return out + self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if BEYOND_LATIN.search(t) is not None]
+        found = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True)) if whole else {}
+        cut = {i: [x if k % 2 else LATIN.findall(x) for k, x in enumerate(self.split.segments(t))] for i, t in enumerate(texts) if i not in found}
+        pieces: set[str] = set()
+        for segments in cut.values():
+            for x in segments[::2]:
+                pieces.update(x)
+        known = self.known.fill(pieces)
+        for i, segments in cut.items():
+            found[i] = b"".join([self._pack([self.split.specials[x]]) if k % 2 else b"".join([known[p] for p in x]) for k, x in enumerate(segments)])
+        return [found[i] for i in range(len(texts))]
 
 
 @lru_cache(maxsize=2)

@@ -29,8 +29,8 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     order = used[np.lexsort((used, counts[used]))]
     weights = counts[order].astype(np.int64)
     n = len(order)
-    # each level's list in order: weights, and for packages the number of single ids among their first k items
-    level_w, singles_upto = weights, []
+    # each level's list in order of weight: single ids, and packages of two items of the level before
+    level_w = weights
     is_single = np.ones(n, dtype=bool)
     stack = []
     for _ in range(max_bits - 1):
@@ -45,7 +45,6 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
         singles = int(level[:take].sum())
         lengths[order[:singles]] += 1
         take = 2 * (take - singles)
-    del singles_upto
     return lengths
 
 
@@ -76,24 +75,40 @@ def decode_table(lengths: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndar
     return symbol, bits
 
 
-def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The coded bytes and the start bit of every STEP-th id."""
-    if len(ids) == 0:
-        return b"", np.zeros(0, dtype=np.int64)
+def encode_many(documents: list[np.ndarray], codes: np.ndarray, lengths: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """For each document its coded bytes and the start bits of every STEP-th id (little-endian 64-bit), all in one pass."""
+    counts = np.array([len(d) for d in documents], dtype=np.int64)
+    if not counts.sum():
+        return [b""] * len(documents), [b""] * len(documents)
+    ids = np.concatenate(documents)
     size = lengths[ids].astype(np.int64)
     ends = np.cumsum(size)
-    starts = ends - size
+    first = np.cumsum(counts) - counts  # of each document: its first id, its bits before, and its bytes before
+    upto = np.concatenate([[0], ends])
+    bits = upto[first + counts] - upto[first]
+    width = (bits + 7) // 8
+    byte = np.cumsum(width) - width
+    # every document starts at a byte
+    shift = np.repeat(8 * byte - upto[first], counts)
+    starts = ends - size + shift
     # a code of at most 16 bits, from any bit on, lies within three bytes
-    shifted = codes[ids].astype(np.uint32) << (24 - (starts & 7) - size).astype(np.uint32)
-    total = (int(ends[-1]) + 7) // 8
+    shifted = codes[ids] << (24 - (starts & 7) - size).astype(np.uint32)
     at = starts >> 3
-    out = np.zeros(total + 3, dtype=np.uint8)
+    out = np.zeros(int(width.sum()) + 3, dtype=np.uint8)
     # codes that start in one byte are neighbours and overlap in no bit: their sum is their union
-    first = np.flatnonzero(np.diff(at, prepend=-1))
+    heads = np.flatnonzero(np.diff(at, prepend=-1))
     for k in range(3):
-        part = np.add.reduceat((shifted >> np.uint32(16 - 8 * k)) & np.uint32(255), first)
-        out[at[first] + k] |= part.astype(np.uint8)
-    return out[:total].tobytes(), starts[::STEP]
+        out[at[heads] + k] |= np.add.reduceat((shifted >> np.uint32(16 - 8 * k)) & np.uint32(255), heads).astype(np.uint8)
+    raw = memoryview(out.tobytes())
+    local = (starts - np.repeat(8 * byte, counts)).astype("<i8")
+    payloads = [bytes(raw[b : b + w]) for b, w in zip(byte.tolist(), width.tolist(), strict=True)]
+    return payloads, [local[f : f + n : STEP].tobytes() for f, n in zip(first.tolist(), counts.tolist(), strict=True)]
+
+
+def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The coded bytes and the start bit of every STEP-th id of one document."""
+    payloads, starts = encode_many([ids], codes, lengths)
+    return payloads[0], np.frombuffer(starts[0], "<i8")
 
 
 def decode(payload: bytes, starts: np.ndarray, counts: np.ndarray, symbol: np.ndarray, bits: np.ndarray) -> np.ndarray:

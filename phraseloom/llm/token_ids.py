@@ -34,11 +34,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_c
         from phraseloom.llm import byte_bpe
 
         encoder = byte_bpe.piece_encoder(tokenizer)
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
+        width = encoder.width
+        end = np.array([end_id], dtype=f"<u{width}").tobytes()
         packer = zstandard.ZstdCompressor(level=3)
-        width = encoder.dtype.itemsize
         for batch in C.small_batches(batches, "text"):
-            ids = [encoder.encode(t or "") + end for t in batch.column("text").to_pylist()]
+            ids = [x + end for x in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()), pa.array([packer.compress(x) for x in ids], pa.binary())], names=["doc_id", "n", "width", "ids"])
 
     return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, n long, width int, ids binary")
@@ -96,11 +96,9 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         edges, own = bounds_of.value
         codes, unpack = huffman.canonical_codes(own), zstandard.ZstdDecompressor().decompress
         for batch in C.small_batches(batches, "ids"):
-            ids, out, starts = batch.column("doc_id").to_pylist(), [], []
-            for width, raw in zip(batch.column("width").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                bits, at = huffman.encode(np.frombuffer(unpack(raw), f"<u{width}"), codes, own)
-                out.append(bits)
-                starts.append(at.astype("<i8").tobytes())
+            ids = batch.column("doc_id").to_pylist()
+            raw = [np.frombuffer(unpack(x), f"<u{width}") for width, x in zip(batch.column("width").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
+            out, starts = huffman.encode_many(raw, codes, own)
             bucket = [0 if x is None else int(np.searchsorted(edges, x, side="left")) for x in ids]
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), batch.column("doc_id"), batch.column("n"), pa.array(out, pa.binary()), pa.array(starts, pa.binary())], names=["bucket", "doc_id", "n", "bits", "starts"])
 
