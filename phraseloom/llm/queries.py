@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import quality
+from . import quality, toxicity
 from .ann import nearest_neighbours
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .pieces import encode_pieces
 from .pii import find_pii
 from .simhash import simhash_components
 from .token_counts import token_counts
@@ -25,6 +26,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(C.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, C.table(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents"))
 
@@ -58,6 +68,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
     "op6_ann": op6_ann,
