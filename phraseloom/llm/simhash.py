@@ -164,6 +164,17 @@ def _with_end(batches):
     yield None
 
 
+def _component_of(nodes: DataFrame) -> DataFrame:
+    """nodes (fp, least, n) -> (fp, component) for every fingerprint that has a link or several documents; least of each."""
+    nodes = C.materialize(nodes, "simhash-nodes")
+    roots = C.materialize(connected_components(near_links(nodes.select("fp"))), "simhash-roots")
+    linked = C.join_small(nodes, roots.withColumnRenamed("v", "fp"), "fp", "inner", BROADCAST_ROWS)
+    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    ids = roots.join(least, "root").select(F.col("v").alias("fp"), "component")
+    alone = nodes.where("n > 1").select("fp", F.col("least").alias("component")).join(roots.select(F.col("v").alias("fp")), "fp", "left_anti")
+    return C.materialize(ids.unionByName(alone), "simhash-components")
+
+
 def simhash_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links).
 
@@ -172,12 +183,25 @@ def simhash_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id"
     component_id (a component of null ids alone has none).
     """
     fps = C.materialize(fingerprints(docs, k, id_col, text_col), "simhash")
-    nodes = C.materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
-    roots = C.materialize(connected_components(near_links(nodes.select("fp"))), "simhash-roots")
-    linked = C.join_small(nodes, roots.withColumnRenamed("v", "fp"), "fp", "inner", BROADCAST_ROWS)
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    ids = roots.join(least, "root").select(F.col("v").alias("fp"), "component")
-    alone = nodes.where("n > 1").select("fp", F.col("least").alias("component")).join(roots.select(F.col("v").alias("fp")), "fp", "left_anti")
-    known = C.materialize(ids.unionByName(alone), "simhash-components")
+    known = _component_of(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     out = C.join_small(fps, known, "fp", "left", BROADCAST_ROWS)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component left, the one with the smallest id (nulls last); columns unchanged.
+
+    Rows that repeat both id and text are one document and stay or go together. Only the rows to drop are joined to the texts.
+    """
+    key = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
+    names = docs.columns
+    keyed = docs.withColumn("__key", key)
+    own = F.struct(F.coalesce(F.col("id"), F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").alias("key"))
+    # the key travels as the id of the fingerprint pass, the id itself beside it
+    fps = fingerprints(keyed.select(F.col("__key").alias("doc_id"), F.col(text_col).alias("text")), k)
+    ids = keyed.select(F.col("__key").alias("doc_id"), F.col(id_col).cast("long").alias("id")).distinct()
+    fps = C.materialize(fps.distinct().join(ids, "doc_id").select("fp", own.alias("own")), "simhash")
+    known = _component_of(fps.groupBy("fp").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("n")))
+    rows = C.join_small(fps, known, "fp", "inner", BROADCAST_ROWS)
+    gone = C.materialize(rows.where(F.col("own") != F.col("component")).select(F.col("own.key").alias("__key")), "simhash-gone")
+    return C.join_small(keyed, gone, "__key", "left_anti", BROADCAST_ROWS).select(*names)
