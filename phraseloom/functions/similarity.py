@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +22,8 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def sequence_ratio(a: Column, b: Column) -> Column:
     """Ratcliff-Obershelp ratio (SC38): the only measure without a built-in, Arrow-batched."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("double")
+    @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,10 +186,8 @@ def verdict_log(before: DataFrame, after: DataFrame, key: str = "row_index", col
 
 def encode_texts(df: DataFrame, encoder, column: str, name: str = "embedding", batch: int = 1000) -> DataFrame:
     """Vectors of a text column by an injected ``encoder(list of texts) -> list of vectors``, in Arrow batches (UD14)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("array<float>")
+    @F.pandas_udf("array<float>")
     def encode(texts: pd.Series) -> pd.Series:
         out = []
         for at in range(0, len(texts), batch):
