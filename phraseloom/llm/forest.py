@@ -46,11 +46,13 @@ def build(sample: np.ndarray, trees: int, leaf_size: int, seed: int) -> Forest:
                 d = rng.standard_normal(dims).astype(np.float32)
                 d /= np.linalg.norm(d)
                 p = sample[rows] @ d
-                cut = float(np.median(p))
-                below = p < cut
+                below = p < np.median(p)
                 if 0 < below.sum() < len(rows):
-                    parts = d, cut, rows[below], rows[~below]
-                    break
+                    # between two rows' values, never on one: a vector that many rows share must fall on one side however it is rounded
+                    low, high = p[below].max(), p[~below].min()
+                    parts = d, float((low + high) / 2), rows[below], rows[~below]
+                    if high - low > 1e-6:
+                        break
             if parts is None:
                 leaf[at], leaves = leaves, leaves + 1
                 continue
