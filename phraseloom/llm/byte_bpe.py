@@ -46,12 +46,12 @@ def byte_table() -> list[str]:
 class PieceCache:
     """Pieces and what is known of them in two generations: a full young one becomes the old one, which is then dropped."""
 
-    def __init__(self, learn):
-        self._learn, self.young, self._old = learn, {}, {}
+    def __init__(self, learn, limit: int | None = None):
+        self._learn, self._limit, self.young, self._old = learn, limit, {}, {}
 
     def fill(self, pieces: set[str]) -> dict:
         """The young generation, with all of ``pieces`` in it."""
-        if len(self.young) >= CACHE:
+        if len(self.young) >= (self._limit or CACHE):
             self.young, self._old = {}, self.young
         young, old = self.young, self._old
         unknown = []
