@@ -82,7 +82,7 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     its size follows the bucket count, not the number of partitions the session has set.
     """
     spark = docs.sparkSession
-    encoded = C.materialize(encode_documents(docs, tokenizer, end_id, id_col, text_col), "token-ids")
+    encoded = C.materialize(encode_documents(docs, tokenizer, end_id, id_col, text_col), "token-ids", codec="uncompressed")  # packed already
     counts = id_counts(encoded).collect()  # at most one row for each id of the vocabulary
     table = np.zeros(max([r["id"] for r in counts], default=0) + 1, dtype=np.int64)
     for r in counts:
@@ -93,9 +93,12 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     bounds_of = spark.sparkContext.broadcast((np.array(bounds, dtype=np.int64), lengths))
 
     def code(batches):
+        from phraseloom.llm import byte_bpe
+
+        byte_bpe.piece_encoder.cache_clear()  # encoding is over: its cache would only take memory from what follows
         edges, own = bounds_of.value
         codes, unpack = huffman.canonical_codes(own), zstandard.ZstdDecompressor().decompress
-        for batch in C.small_batches(batches, "ids"):
+        for batch in C.small_batches(batches, "ids", 1 << 20):  # a million ids or so: their coding takes 60 bytes each
             ids = batch.column("doc_id").to_pylist()
             raw = [np.frombuffer(unpack(x), f"<u{width}") for width, x in zip(batch.column("width").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
             out, starts = huffman.encode_many(raw, codes, own)
