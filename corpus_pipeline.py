@@ -9,7 +9,7 @@ from phraseloom.llm import common, quality
 from phraseloom.llm.exact_dedup import drop_exact_copies
 from phraseloom.llm.mixing import mixed_documents
 from phraseloom.llm.pieces import encode_pieces
-from phraseloom.llm.simhash import drop_near_copies
+from phraseloom.llm.similar import drop_similar
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,8 @@ def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return drop_near_copies(docs)
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return drop_similar(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
