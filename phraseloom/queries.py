@@ -638,7 +638,7 @@ def _low_quantile(spark, d):
     return Pub.below_quantile(table(spark, d, "part"), "p_retailprice").select("p_partkey")
 
 
-_TERMS = f"list_filter(regexp_extract_all(lower({{0}}), '\\b[\\p{{{{L}}}}\\p{{{{N}}}}_][\\p{{{{L}}}}\\p{{{{N}}}}_]+\\b'), lambda t: NOT list_contains({s_arr(Sim.SHORT_STOPWORDS)}, t))"
+_TERMS = f"list_filter(regexp_extract_all(lower({{0}}), '[\\p{{{{L}}}}\\p{{{{N}}}}_]+'), lambda t: length(t) >= 2 AND NOT list_contains({s_arr(Sim.SHORT_STOPWORDS)}, t))"
 
 
 @query("q_tfidf_pair", "SELECT item_id, CASE WHEN len(x) + len(y) = 0 THEN NULL WHEN nx * ny = 0 THEN 0 ELSE round(coalesce(list_sum(list_transform(list_intersect(list_distinct(x), list_distinct(y)), lambda t: len(list_filter(x, lambda u: u = t)) * len(list_filter(y, lambda u: u = t)))), 0) / (sqrt(nx) * sqrt(ny)), 4) END AS similarity FROM (SELECT *, coalesce(list_sum(list_transform(list_distinct(x), lambda t: power(len(list_filter(x, lambda u: u = t)) * CASE WHEN list_contains(y, t) THEN 1 ELSE 1 + ln(1.5) END, 2))), 0) AS nx, coalesce(list_sum(list_transform(list_distinct(y), lambda t: power(len(list_filter(y, lambda u: u = t)) * CASE WHEN list_contains(x, t) THEN 1 ELSE 1 + ln(1.5) END, 2))), 0) AS ny FROM terms)",
@@ -762,7 +762,7 @@ def _html_text(spark, d):
 @query("q_nested_senses", "SELECT p_partkey AS _pos, i AS sense_index, CASE i WHEN 0 THEN concat('sense of ', p_type) ELSE concat('raw ', p_brand) END AS meaning, CASE i WHEN 0 THEN concat('ex ', p_name) ELSE '' END AS example FROM part, (SELECT unnest([0, 2]) AS i) WHERE p_partkey % 4 <> 0")
 def _senses(spark, d):
     p = table(spark, d, "part")
-    sense = lambda **k: F.struct(*[k.get(c, F.array().cast("array<string>")).alias(c) for c in ("tags", "topics", "glosses", "raw_glosses")], F.coalesce(k.get("examples"), F.array().cast("array<string>")).alias("examples"))
+    sense = lambda **k: F.struct(*[k.get(c, F.array().cast("array<string>")).alias(c) for c in ("tags", "topics", "glosses", "raw_glosses")], k.get("examples", F.array().cast("array<string>")).alias("examples"))
     senses = F.array(sense(glosses=F.array(F.lit(""), F.concat(F.lit(" sense  of "), "p_type")), examples=F.array(F.lit(""), F.concat(F.lit("ex "), "p_name"))), sense(glosses=F.array(F.concat(F.lit("plural of "), "p_name"))), sense(raw_glosses=F.array(F.concat(F.lit("raw "), "p_brand"))))
     entry = F.struct(F.col("p_name").alias("word"), F.when(F.col("p_partkey") % 4 == 0, "French").otherwise("English").alias("lang"), F.lit("phrase").alias("pos"), F.lit("u").alias("wiktionary_url"), senses.alias("senses"))
     parsed = R.parse_json_lines(p.select(F.col("p_partkey").alias("_pos"), F.to_json(entry).alias("value")))
