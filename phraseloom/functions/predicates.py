@@ -136,8 +136,7 @@ def too_literal(idiom="idiom", meaning="meaning_en", tags="tags", pos="pos") ->
 
 def raw_dialogue_line(line="text", least: int = 8) -> Column:
     """(FLT18)"""
-    t = T.norm(line)
-    return F.length(t).between(least, 250) & T.has_letters(t) & T.token_count(line).between(3, 40)
+    return T.has_letters(T.col(line)) & T.token_count(line).between(3, 40) & F.length(T.norm(line)).between(least, 250)
 
 
 def bad_characters(c: Column) -> Column:
@@ -146,18 +145,17 @@ def bad_characters(c: Column) -> Column:
 
 def mining_line(line="text") -> Column:
     """(FLT19)"""
-    t = T.norm(line)
     n = F.regexp_count(T.idiom_key(line), F.lit(T.WORD))
-    return F.length(t).between(8, 180) & T.has_letters(t) & (bad_characters(t) <= 2) & n.between(3, 25)
+    return F.length(T.norm(line)).between(8, 180) & T.has_letters(T.col(line)) & (bad_characters(T.col(line)) <= 2) & n.between(3, 25)
 
 
 def _dialogue_phrase(phrase: Column, tokens: Column, blocked, starts, weak_words, scaffold: str | None) -> Column:
-    content = T.without(tokens, L.STOPWORDS)
-    weak = F.size(F.filter(content, lambda t: t.isin(*weak_words)))
-    last = last_token(tokens)
-    ok = ~phrase.isin(*blocked) & ~T.any_prefix(phrase, L.BLOCKED_STARTS) & ~F.rlike(phrase, F.lit(T.BAD_SYMBOLS)) & T.has_letters(phrase)
-    ok = ok & F.size(tokens).between(3, 5) & ~F.get(tokens, F.lit(0)).isin(*L.PRONOUNS) & (F.size(content) >= 2) & ~T.any_prefix(phrase, starts)
-    ok = ok & ~(last.isin(*L.STOPWORDS) & ~last.isin(*L.PARTICLES)) & (weak < 2)
+    # cheap tests of the ends first; the word lists are looked up for what is left
+    ends = tuple(w for w in L.STOPWORDS if w not in L.PARTICLES)
+    ok = F.size(tokens).between(3, 5) & ~F.get(tokens, F.lit(0)).isin(*L.PRONOUNS) & ~last_token(tokens).isin(*ends) & ~phrase.isin(*blocked)
+    ok = ok & ~T.any_prefix(phrase, (*L.BLOCKED_STARTS, *starts)) & ~F.rlike(phrase, F.lit(T.BAD_SYMBOLS)) & T.has_letters(phrase)
+    few_weak = lambda c: (F.size(c) >= 2) & (F.size(F.filter(c, lambda t: t.isin(*weak_words))) < 2)
+    ok = ok & T.let(T.without(tokens, L.STOPWORDS), few_weak)
     return ok if scaffold is None else ok & ~F.rlike(phrase, F.lit(f"(?iU){scaffold}"))
 
 

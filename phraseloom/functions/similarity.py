@@ -49,9 +49,8 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 def tfidf_terms(c: Column | str, stopwords: Iterable[str] = SHORT_STOPWORDS) -> Column:
     """Words of two or more characters outside the stopwords, and their bigrams."""
     found = T.without(F.regexp_extract_all(F.lower(F.coalesce(T.col(c), F.lit(""))), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)), stopwords)
-    n = F.size(found)
-    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.get(found, i), F.get(found, i + 1)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(found, pairs)
+    pair = lambda w, v: F.concat_ws(" ", w, v)
+    return T.let(found, lambda w: F.concat(w, F.when(F.size(w) >= 2, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), pair)).otherwise(F.array().cast("array<string>"))))
 
 
 def tfidf_pair(a: Column | str, b: Column | str, stopwords: Iterable[str] = SHORT_STOPWORDS, digits: int = 4) -> Column:
@@ -60,7 +59,6 @@ def tfidf_pair(a: Column | str, b: Column | str, stopwords: Iterable[str] = SHOR
     A term of both texts weighs 1, a term of one 1 + ln 1.5; so only the counts of terms matter. Null where either text is
     empty or no term is left in both.
     """
-    x, y = tfidf_terms(a, stopwords), tfidf_terms(b, stopwords)
     single = 1 + F.log(F.lit(1.5))
     count = lambda terms, t: F.size(F.filter(terms, lambda u: u == t)).cast("double")
 
@@ -68,7 +66,11 @@ def tfidf_pair(a: Column | str, b: Column | str, stopwords: Iterable[str] = SHOR
         weight = lambda t: F.when(F.array_contains(other, t), F.lit(1.0)).otherwise(single)
         return F.aggregate(F.array_distinct(own), F.lit(0.0), lambda s, t: s + count(own, t) * count(own, t) * weight(t) * weight(t))
 
-    dot = F.aggregate(F.array_intersect(x, y), F.lit(0.0), lambda s, t: s + count(x, t) * count(y, t))
-    norms = F.sqrt(square(x, y)) * F.sqrt(square(y, x))
-    empty = (T.safe(a) == "") | (T.safe(b) == "") | (F.size(x) + F.size(y) == 0)
-    return F.when(empty, None).when(norms == 0, 0.0).otherwise(F.round(dot / norms, digits))
+    def of(x: Column, y: Column) -> Column:
+        dot = F.aggregate(F.array_intersect(x, y), F.lit(0.0), lambda s, t: s + count(x, t) * count(y, t))
+        cosine_ = lambda n: F.when(n == 0, 0.0).otherwise(F.round(dot / n, digits))
+        return F.when(F.size(x) + F.size(y) > 0, T.let(F.sqrt(square(x, y)) * F.sqrt(square(y, x)), cosine_))
+
+    # both term lists are found once, not for each term that is compared
+    terms = F.struct(tfidf_terms(a, stopwords).alias("x"), tfidf_terms(b, stopwords).alias("y"))
+    return F.when((T.safe(a) != "") & (T.safe(b) != ""), T.let(terms, lambda p: of(p["x"], p["y"])))

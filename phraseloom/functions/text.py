@@ -5,6 +5,7 @@ White space and word characters are Unicode's ((?U) in Java's patterns), as user
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -24,6 +25,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once per row, however often the body mentions it.
+
+    Catalyst inlines projected expressions wherever they are mentioned; a lambda's variable is bound instead.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def safe(c: Column | str) -> Column:
     """Null becomes '', white space around is trimmed (SC1)."""
     return F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
@@ -65,14 +74,13 @@ def tidy_example(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str) -> Column:
-    """White-space tokens of the normalised text; an empty text has none."""
-    t = norm(c)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    """White-space tokens; an empty text has none."""
+    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(r"(?U)\S+"), F.lit(0))
 
 
 def token_count(c: Column | str) -> Column:
     """(SC7)"""
-    return F.size(tokens(c))
+    return word_count(c)
 
 
 def word_count(c: Column | str) -> Column:
@@ -138,10 +146,7 @@ def any_word_in(text: Column, hints: Iterable[str]) -> Column:
 
 
 def any_prefix(text: Column, prefixes: Iterable[str]) -> Column:
-    found = F.lit(False)
-    for p in prefixes:
-        found = found | F.startswith(text, F.lit(p))
-    return found
+    return F.rlike(text, F.lit("^(?:" + "|".join(re.escape(p) for p in prefixes) + ")"))
 
 
 def any_match(text: Column, patterns: Iterable[str]) -> Column:
@@ -169,8 +174,8 @@ def dialogue_line(c: Column | str) -> Column:
     t = F.regexp_replace(t, r"^\s*[A-Z][A-Z0-9 _-]{1,25}:\s+", "")
     t = F.regexp_replace(t, r"^\s*[-–—]+\s*", "")
     t = norm(F.translate(t, "“”’‘", "\"\"''"))
-    drop = F.rlike(t, F.lit(r"^\d+$")) | F.rlike(t, F.lit(r"^\d{1,2}:\d{2}(?::\d{2})?(?:,\d{1,3})?$"))
-    return F.when(drop, F.lit("")).otherwise(t)
+    # a line of digits or of a time alone is replaced as a whole
+    return F.regexp_replace(t, r"^(?:\d+|\d{1,2}:\d{2}(?::\d{2})?(?:,\d{1,3})?)$", "")
 
 
 def slug(c: Column | str) -> Column:
@@ -239,8 +244,6 @@ def json_list(c: Column | str) -> Column:
 
 def json_salvage(c: Column | str, kind: str = "object") -> Column:
     """The text if it is JSON of the kind, else its greedy {...} or [...] part if that is, else null (SC40)."""
-    t = safe(c)
     opening, pattern = ("{", r"(?s)\{.*\}") if kind == "object" else ("[", r"(?s)\[.*\]")
-    part = F.regexp_extract(t, pattern, 0)
-    valid = lambda x: F.startswith(x, F.lit(opening)) & F.try_parse_json(x).isNotNull()
-    return F.when(valid(t), t).when(valid(part), part)
+    valid = lambda x: F.when(F.startswith(x, F.lit(opening)) & F.try_parse_json(x).isNotNull(), x)
+    return let(safe(c), lambda t: F.coalesce(valid(t), let(F.regexp_extract(t, pattern, 0), valid)))
