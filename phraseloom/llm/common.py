@@ -10,7 +10,7 @@ Conventions of every operator in this subpackage:
 
 from __future__ import annotations
 
-import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -84,10 +84,30 @@ def ship(spark: SparkSession) -> None:
     sc._phraseloom_shipped = True
 
 
-def map_arrow(df: DataFrame, func, schema: str) -> DataFrame:
-    """mapInArrow with the package shipped; ``func`` takes and yields RecordBatches."""
+#: What workers keep between tasks: models with caches of a hundred megabytes or more.
+KEPT = ("byte_bpe.prefix_counter", "byte_bpe.piece_encoder", "pieces.lattice", "quality._compressor", "toxicity._scorer")
+
+
+def keep_only(name: str | None) -> None:
+    """In a reused worker, free what other operators keep: an executor never holds the models of two stages."""
+    for other in KEPT:
+        module, attribute = other.split(".")
+        loaded = sys.modules.get(f"phraseloom.llm.{module}")
+        if other != name and loaded is not None:
+            getattr(loaded, attribute).cache_clear()
+
+
+def map_arrow(df: DataFrame, func, schema, keeps: str | None = None) -> DataFrame:
+    """mapInArrow with the package shipped; ``func`` takes and yields RecordBatches, ``keeps`` names its model of KEPT."""
     ship(df.sparkSession)
-    return df.mapInArrow(func, schema)
+
+    def run(batches):
+        from phraseloom.llm import common
+
+        common.keep_only(keeps)
+        yield from func(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:

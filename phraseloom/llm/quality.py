@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     good, bad = _dictionary(samples[1]), _dictionary(samples[0])
     scored = text.join(F.broadcast(tuning), "id").select(F.col("y"), "text")
-    got = C.map_arrow(scored, _scorer(good, bad, "y"), "y int, a double, b double, c double, d double").orderBy("y", "b", "c").collect()
+    got = C.map_arrow(scored, _scorer(good, bad, "y"), "y int, a double, b double, c double, d double", "quality._compressor").orderBy("y", "b", "c").collect()
     y = np.array([r["y"] for r in got], dtype=float)
     if len(got) < 8 or y.min() == y.max():
         return Model(good, bad, (0.0, 1.0, 0.0, 0.0))
@@ -141,7 +141,7 @@ def _scorer(good: bytes, bad: bytes, key: str):
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out (fold 0), score (0 to 1, higher: label 1 likelier), predicted (score >= 0.3)."""
-    rows = C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), _scorer(model.good, model.bad, "doc_id"), "doc_id long, a double, b double, c double, d double")
+    rows = C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), _scorer(model.good, model.bad, "doc_id"), "doc_id long, a double, b double, c double, d double", "quality._compressor")
     z = sum((F.lit(float(w)) * F.col(c) for w, c in zip(model.weights[1:], "bcd", strict=True)), F.lit(float(model.weights[0])))
     value = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
     return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), value.alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
@@ -159,4 +159,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_
             z = [np.dot(w, chunk_features(t or "", good, bad) if good else (1.0, 0.0, 0.0, 0.0)) for t in texts]
             yield batch.filter(pa.array([bool(v >= cut) for v in z], pa.bool_()))
 
-    return C.map_arrow(docs, run, docs.schema)
+    return C.map_arrow(docs, run, docs.schema, "quality._compressor")

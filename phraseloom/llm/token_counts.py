@@ -48,7 +48,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, store: boo
                 names += ["piece_ends", "piece_tokens"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), count, schema)
+    return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), count, schema, "byte_bpe.prefix_counter")
 
 
 def tokens_before(chars, ends="piece_ends", tokens="piece_tokens"):

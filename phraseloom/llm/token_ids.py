@@ -41,7 +41,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_c
             ids = [x + end for x in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()), pa.array([packer.compress(x) for x in ids], pa.binary())], names=["doc_id", "n", "width", "ids"])
 
-    return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, n long, width int, ids binary")
+    return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, n long, width int, ids binary", "byte_bpe.piece_encoder")
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
@@ -93,9 +93,6 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     bounds_of = spark.sparkContext.broadcast((np.array(bounds, dtype=np.int64), lengths))
 
     def code(batches):
-        from phraseloom.llm import byte_bpe
-
-        byte_bpe.piece_encoder.cache_clear()  # encoding is over: its cache would only take memory from what follows
         edges, own = bounds_of.value
         codes, unpack = huffman.canonical_codes(own), zstandard.ZstdDecompressor().decompress
         for batch in C.small_batches(batches, "ids", 1 << 20):  # a million ids or so: their coding takes 60 bytes each

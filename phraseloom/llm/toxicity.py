@@ -170,5 +170,5 @@ def toxicity(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD, id_col
             columns = [pa.array([f[c] for f in found], pa.float64()) for c in range(len(CATEGORIES))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *[f"p_{c}" for c in CATEGORIES]])
 
-    rows = C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, " + ", ".join(f"p_{c} double" for c in CATEGORIES))
+    rows = C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, " + ", ".join(f"p_{c} double" for c in CATEGORIES), "toxicity._scorer")
     return rows.withColumn("held_out", fold(F.col("doc_id")) == 0).withColumn("toxic", F.col("p_toxic") >= threshold)
