@@ -28,6 +28,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Within an equal segment so many documents are compared pair by pair; beyond, each with the representatives so far.
 SMALL_GROUP = 48
+ALL_LINKS = 8
+NEAREST = 2
 BROADCAST_ROWS = 500_000
 BUDGETS = tuple(length * RADIUS // SEGMENTS for length in range(1, SEGMENTS))
 
@@ -63,6 +65,11 @@ def shingle_hashes(text: str, k: int = SHINGLE) -> np.ndarray:
 
 def within_radius(diff: np.ndarray) -> np.ndarray:
     """XORs of fingerprints (rows of bytes) that pass the pigeonring test and then the full Hamming distance."""
+    return distances(diff) <= RADIUS
+
+
+def distances(diff: np.ndarray) -> np.ndarray:
+    """Hamming distances of XORs that pass the pigeonring test; BITS + 1 for the others."""
     per = np.bitwise_count(diff).reshape(-1, SEGMENTS, SEGMENT_BYTES).sum(axis=2, dtype=np.int16)
     ok = np.zeros(len(per), dtype=bool)
     for start in range(SEGMENTS):
@@ -73,26 +80,32 @@ def within_radius(diff: np.ndarray) -> np.ndarray:
             keep = total <= budget
             open_, total = open_[keep], total[keep]
         ok[open_] = True
-    return ok & (per.sum(axis=1) <= RADIUS)
+    return np.where(ok, per.sum(axis=1), BITS + 1)
 
 
 def _pairs_of_run(state: dict, ids: np.ndarray, fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links of the next rows of one segment value. ``state`` holds the first SMALL_GROUP rows and later representatives."""
+    """Links of the next rows of one segment value to rows before them.
+
+    ``state`` holds the first SMALL_GROUP rows and later those without a near one before. In a group of up to ALL_LINKS rows
+    every link counts; in a larger one each row keeps its NEAREST, the likeliest to be similar: with 20 segments a row has
+    many such choices, and the number of links stays in proportion to the rows.
+    """
     out = []
     for at in range(0, len(ids), SMALL_GROUP):
         new_ids, new_fps = ids[at : at + SMALL_GROUP], fps[at : at + SMALL_GROUP]
-        linked = np.zeros(len(new_ids), dtype=bool)
-        if len(state["ids"]):
-            n, m = len(state["ids"]), len(new_ids)
-            diff = (state["fps"][:, None, :] ^ new_fps[None, :, :]).reshape(n * m, -1)
-            hit = np.flatnonzero(within_radius(diff))
-            out.append((state["ids"][hit // m], new_ids[hit % m]))
-            linked[hit % m] = True
-        i, j = np.triu_indices(len(new_ids), 1)
-        near = within_radius(new_fps[i] ^ new_fps[j])
-        out.append((new_ids[i[near]], new_ids[j[near]]))
-        # what has a representative need not be one; the first rows all are
-        keep = np.ones(len(new_ids), dtype=bool) if not len(state["ids"]) else ~linked
+        n, m = len(state["ids"]), len(new_ids)
+        all_ids, all_fps = np.concatenate([state["ids"], new_ids]), np.concatenate([state["fps"], new_fps])
+        old, new = np.nonzero(np.arange(n + m)[:, None] < n + np.arange(m)[None, :])
+        far = np.full((n + m, m), BITS + 1)
+        far[old, new] = distances(all_fps[old] ^ new_fps[new])
+        linked = (far <= RADIUS).any(axis=0)
+        if n + m > ALL_LINKS:
+            rank = far.argsort(axis=0, kind="stable").argsort(axis=0, kind="stable")
+            far = np.where(rank < NEAREST, far, BITS + 1)
+        i, j = np.nonzero(far <= RADIUS)
+        out.append((all_ids[i], new_ids[j]))
+        # what has a near row before it need not be one to compare with; the first rows all are
+        keep = ~linked if n else np.ones(m, dtype=bool)
         state["ids"], state["fps"] = np.concatenate([state["ids"], new_ids[keep]]), np.concatenate([state["fps"], new_fps[keep]])
     return out
 
@@ -167,8 +180,8 @@ def drop_similar(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARI
     """``docs`` with one document of each group of near copies left, the one with the smallest id (nulls last); columns unchanged.
 
     Groups are the components of verified links. Rows that repeat both id and text are one document and stay or go together.
-    Beyond SMALL_GROUP documents that share a segment value, one is compared with the representatives so far instead of
-    with all; as every document has 20 segments, a group is still held together. Texts are read twice and are not shuffled
+    Beyond SMALL_GROUP documents that share a segment value, one is compared with representatives instead of with all, and
+    in groups of more than ALL_LINKS it keeps its NEAREST: as every document has 20 segments, a group is still held together. Texts are read twice and are not shuffled
     while the documents to compare or to drop can be broadcast (their number is counted first).
     """
     key = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
