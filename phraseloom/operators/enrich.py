@@ -96,6 +96,22 @@ def _level(idiom_id: Column) -> list[Column]:
 ROW = ("context_type", "source_style", "idiom_surface", "idiom_in_example", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "is_example_idiom", "example_usage_label", "explanation_en", "explanation_ar", "expected_label", "adversarial_type")
 
 
+def _rows_of(parsed: DataFrame, level: list[Column], *families: Column) -> DataFrame:
+    """Level columns and the rows of all families (arrays of one struct type): one pass, so that records are parsed once."""
+    every = F.concat(*[F.coalesce(f, F.array().cast(_ROWS)) for f in families])
+    out = parsed.where("parsed").select(*level, F.explode(every).alias("__row"))
+    return out.select(*[c for c in out.columns if c != "__row"], "__row.*")
+
+
+_FIELDS = ("row_type", "at int", "context_type", "source_style", "idiom_surface", "idiom_in_example", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "is_example_idiom boolean", "example_usage_label", "explanation_en", "explanation_ar", "expected_label", "adversarial_type", "minimal_pair_id", "is_adversarial_example boolean")
+_ROWS = f"array<struct<{_fields(_FIELDS, ':')}>>"
+
+
+def _row(values: Mapping[str, Column]) -> Column:
+    """One row struct of _FIELDS; null texts become '' unless they are given as null literals."""
+    return F.struct(*[values[f.split(" ")[0]].cast(f.split(" ")[1] if " " in f else "string").alias(f.split(" ")[0]) for f in _FIELDS])
+
+
 def flatten_core(parsed: DataFrame, idiom_id: Column | None = None) -> DataFrame:
     """Main and adversarial rows of each record with ids, flags and labels (UD3, SC20, SC44).
 
@@ -103,16 +119,21 @@ def flatten_core(parsed: DataFrame, idiom_id: Column | None = None) -> DataFrame
     surface and no pair. Records without examples of a kind give no rows of it.
     """
     key = F.col("custom_id") if idiom_id is None else idiom_id
-    common = [*_level(key), T.short_id("paraphrase_", key, F.lit("paraphrase"), separator="||", lower=False).alias("paraphrase_group_id"), F.coalesce("model", F.lit("")).alias("enrichment_model")]
-    main = parsed.where("parsed").select(*common, F.posexplode("record.examples").alias("at", "e"))
-    level = [c for c in main.columns if c not in ("at", "e")]
-    e = F.col("e")
-    text = ("context_type", "source_style", "idiom_surface", "idiom_in_example", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic")
-    main = main.select(*level, F.lit("main_example").alias("row_type"), "at", *[F.coalesce(e[c], F.lit("")).alias(c) for c in text], e["is_example_idiom"].alias("is_example_idiom"), F.coalesce(e["example_usage_label"], F.lit("")).alias("example_usage_label"), F.coalesce(e["explanation_en"], F.lit("")).alias("explanation_en"), F.coalesce(e["explanation_ar"], F.lit("")).alias("explanation_ar"), F.coalesce(e["example_usage_label"], F.lit("")).alias("expected_label"), F.lit("").alias("adversarial_type"), T.short_id("pair_", "idiom_id", F.coalesce(e["context_type"], F.lit("")), separator="||", lower=False).alias("minimal_pair_id"), F.lit(False).alias("is_adversarial_example"))
-    adv = parsed.where("parsed").select(*common, F.posexplode("record.adversarial_examples").alias("at", "e"))
-    label = F.coalesce(e["expected_label"], F.lit(""))
-    adv = adv.select(*level, F.concat(F.lit("adversarial_example_"), (F.col("at") + 1).cast("string")).alias("row_type"), "at", F.lit("adversarial").alias("context_type"), F.coalesce(e["source_style"], F.lit("synthetic_adversarial")).alias("source_style"), F.lit(None).cast("string").alias("idiom_surface"), *[F.coalesce(e[c], F.lit("")).alias(c) for c in text[3:]], T.label_bool(label).alias("is_example_idiom"), label.alias("example_usage_label"), F.coalesce(e["explanation_en"], F.lit("")).alias("explanation_en"), F.coalesce(e["explanation_ar"], F.lit("")).alias("explanation_ar"), label.alias("expected_label"), F.coalesce(e["adversarial_type"], F.lit("")).alias("adversarial_type"), F.lit(None).cast("string").alias("minimal_pair_id"), F.lit(True).alias("is_adversarial_example"))
-    return main.unionByName(adv)
+    level = [*_level(key), T.short_id("paraphrase_", key, F.lit("paraphrase"), separator="||", lower=False).alias("paraphrase_group_id"), F.coalesce("model", F.lit("")).alias("enrichment_model")]
+    text = lambda e, *names: {c: F.coalesce(e[c], F.lit("")) for c in names}
+    shared = ("idiom_in_example", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "explanation_en", "explanation_ar")
+    null = F.lit(None)
+
+    def main(e, i):
+        label = F.coalesce(e["example_usage_label"], F.lit(""))
+        pair = T.short_id("pair_", key, F.coalesce(e["context_type"], F.lit("")), separator="||", lower=False)
+        return _row(text(e, *shared, "context_type", "source_style", "idiom_surface") | {"row_type": F.lit("main_example"), "at": i, "is_example_idiom": e["is_example_idiom"], "example_usage_label": label, "expected_label": label, "adversarial_type": F.lit(""), "minimal_pair_id": pair, "is_adversarial_example": F.lit(False)})
+
+    def adversarial(e, i):
+        label = F.coalesce(e["expected_label"], F.lit(""))
+        return _row(text(e, *shared, "adversarial_type") | {"row_type": F.concat(F.lit("adversarial_example_"), (i + 1).cast("string")), "at": i, "context_type": F.lit("adversarial"), "source_style": F.coalesce(e["source_style"], F.lit("synthetic_adversarial")), "idiom_surface": null, "is_example_idiom": T.label_bool(label), "example_usage_label": label, "expected_label": label, "minimal_pair_id": null, "is_adversarial_example": F.lit(True)})
+
+    return _rows_of(parsed, level, F.transform("record.examples", main), F.transform("record.adversarial_examples", adversarial))
 
 
 def flatten_extended(parsed: DataFrame, example_field: str = "idiom_in_example") -> DataFrame:
