@@ -38,18 +38,20 @@ def mine_phrases(lines: DataFrame, min_count: int = 5, line_id: str = "line_id",
     """Phrases in at least ``min_count`` lines: phrase, frequency_count, example, token_length, lexical_score (AG24, WN11, WN12).
 
     A line counts once for a phrase. The example is the best of the first 20 occurrences in (line, n, start) order, the first on
-    ties. Counting is pre-aggregated per task; the occurrences join only the frequent phrases, and each task keeps no more
-    than 20 of a phrase before the shuffle.
+    ties. Counting is pre-aggregated per task; only lines of frequent phrases are looked at again, and each task keeps no more
+    than 20 of a phrase. Line ids must be unique.
     """
-    rows = occurrences(lines, line_id, text, least, most)
-    counts = rows.groupBy("phrase", "line_id").agg(F.lit(1).alias("one")).groupBy("phrase").agg(F.sum("one").alias("frequency_count")).where(F.col("frequency_count") >= min_count)
-    order = Window.partitionBy("phrase").orderBy("line_id", "n", "start")
-    first = rows.join(counts.select("phrase"), "phrase", "left_semi").withColumn("at", F.row_number().over(order)).where(F.col("at") <= EXAMPLES)
+    each = occurrences(lines, line_id, text, least, most).groupBy("phrase", "line_id", "line").agg(F.count(F.lit(1)).alias("times"))
+    # both uses of ``each`` share its shuffle: lines are read and unfolded once
+    counts = each.groupBy("phrase").agg(F.count(F.lit(1)).alias("frequency_count")).where(F.col("frequency_count") >= min_count)
+    order = Window.partitionBy("phrase").orderBy("line_id")
+    first = each.join(counts, "phrase").withColumn("at", F.row_number().over(order)).where(F.col("at") <= EXAMPLES)
+    before = F.coalesce(F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = first.withColumn("before", before).where(F.col("before") < EXAMPLES)
     scored = first.withColumn("score", S.example_score("line", F.col("phrase"), (5, 16), (4, 20)))
-    best = scored.groupBy("phrase").agg(F.max_by("line", F.struct(F.col("score"), -F.col("at"))).alias("example"))
+    best = scored.groupBy("phrase").agg(F.max("frequency_count").alias("frequency_count"), F.max_by("line", F.struct(F.col("score"), -F.col("at"))).alias("example"))
     tokens = F.split("phrase", " ")
-    out = counts.join(best, "phrase").select("phrase", "frequency_count", "example", F.size(tokens).alias("token_length"), S.lexical_score(tokens).alias("lexical_score"))
-    return out
+    return best.select("phrase", "frequency_count", "example", F.size(tokens).alias("token_length"), S.lexical_score(tokens).alias("lexical_score"))
 
 
 def ordered_phrases(mined: DataFrame) -> DataFrame:
