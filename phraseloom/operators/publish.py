@@ -34,7 +34,7 @@ def source_name(source: Column | str) -> Column:
     return F.coalesce(T.lookup(s, SOURCE_NAMES), s)
 
 
-def pre_enrichment(df: DataFrame, prefix: str = "idiomx_", origin: str = "source") -> DataFrame:
+def pre_enrichment(df: DataFrame, prefix: str = "idiom_", origin: str = "source") -> DataFrame:
     """Source rows in the pre-enrichment schema: stable ids, canonical names, licences, blanks as null (PRJ4, PRJ5, PRJ14)."""
     from phraseloom.operators.schema import PRE_ENRICHMENT_COLUMNS, blanks_to_null
 

@@ -200,9 +200,9 @@ def _token_stats(spark, d):
     return St.numeric_summary(table(spark, d, "documents"), T.word_count("text"))
 
 
-@query("q_keys", f"SELECT _pos, {s_key('idiom')} AS key, concat({s_key('idiom')}, ' || ', {s_key('meaning')}) AS pair, concat('idiomx_', substr(md5(concat(lower({s_norm('idiom')}), ' || ', lower({s_norm('meaning')}))), 1, 12)) AS id, regexp_replace({s_safe('idiom')}, '\\s+', '_', 'g') AS slug, CASE WHEN {s_norm('idiom')} = '' THEN '' ELSE concat('https://x/', replace(url_encode({s_norm('idiom')}), '+', '%20')) END AS url FROM idioms", idioms=IDIOMS_SQL)
+@query("q_keys", f"SELECT _pos, {s_key('idiom')} AS key, concat({s_key('idiom')}, ' || ', {s_key('meaning')}) AS pair, concat('idiom_', substr(md5(concat(lower({s_norm('idiom')}), ' || ', lower({s_norm('meaning')}))), 1, 12)) AS id, regexp_replace({s_safe('idiom')}, '\\s+', '_', 'g') AS slug, CASE WHEN {s_norm('idiom')} = '' THEN '' ELSE concat('https://x/', replace(url_encode({s_norm('idiom')}), '+', '%20')) END AS url FROM idioms", idioms=IDIOMS_SQL)
 def _keys(spark, d):
-    return idioms(spark, d).select("_pos", T.idiom_key("idiom").alias("key"), T.dedup_key("idiom", "meaning").alias("pair"), T.short_id("idiomx_", "idiom", "meaning").alias("id"), T.slug("idiom").alias("slug"), T.page_url("https://x/", "idiom").alias("url"))
+    return idioms(spark, d).select("_pos", T.idiom_key("idiom").alias("key"), T.dedup_key("idiom", "meaning").alias("pair"), T.short_id("idiom_", "idiom", "meaning").alias("id"), T.slug("idiom").alias("slug"), T.page_url("https://x/", "idiom").alias("url"))
 
 
 @query("q_tags_set", f"SELECT _pos, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(lower({s_safe('tags')}), ','), lambda t: trim(t)), lambda t: t <> ''))), '|') AS tags FROM idioms", idioms=IDIOMS_SQL)
@@ -662,7 +662,7 @@ def _removed(spark, d):
     return J.not_in(rows, _task_subset(spark, d).select("_pos"), "_pos").select("_pos")
 
 
-@query("q_pre_enrichment", f"SELECT concat('idiomx_', substr(md5(concat(lower({s_norm('idiom')}), ' || ', lower({s_norm('meaning')}))), 1, 12)) AS idiom_id, {s_norm('idiom')} AS idiom_canonical, nullif({s_norm('meaning')}, '') AS idiom_canonical_meaning, {s_case('source', Pub.LICENSES, chr(39) + 'unknown' + chr(39))} AS license_source, nullif(tags, '') AS tags FROM idioms", idioms=IDIOMS_SQL)
+@query("q_pre_enrichment", f"SELECT concat('idiom_', substr(md5(concat(lower({s_norm('idiom')}), ' || ', lower({s_norm('meaning')}))), 1, 12)) AS idiom_id, {s_norm('idiom')} AS idiom_canonical, nullif({s_norm('meaning')}, '') AS idiom_canonical_meaning, {s_case('source', Pub.LICENSES, chr(39) + 'unknown' + chr(39))} AS license_source, nullif(tags, '') AS tags FROM idioms", idioms=IDIOMS_SQL)
 def _pre_enrichment(spark, d):
     rows = Sch.ensure_columns(sourced(spark, d), Sch.SOURCE_COLUMNS)
     return Pub.pre_enrichment(rows).select("idiom_id", "idiom_canonical", "idiom_canonical_meaning", "license_source", "tags")

@@ -42,8 +42,8 @@ def test_text(spark, function, value, expected):
 
 def test_ids_urls_and_parts(spark):
     df = spark.createDataFrame([("Break  A leg", "good luck"), (" break a LEG", "Good  luck")], "a string, b string")
-    rows = df.select(T.short_id("idiomx_", "a", "b").alias("id"), T.page_url("https://x/", "a").alias("url"), T.dedup_key("a", "b").alias("key")).collect()
-    assert rows[0]["id"] == rows[1]["id"] and len(rows[0]["id"]) == len("idiomx_") + 12
+    rows = df.select(T.short_id("idiom_", "a", "b").alias("id"), T.page_url("https://x/", "a").alias("url"), T.dedup_key("a", "b").alias("key")).collect()
+    assert rows[0]["id"] == rows[1]["id"] and len(rows[0]["id"]) == len("idiom_") + 12
     assert rows[0]["url"] == "https://x/Break%20A%20leg"
     assert rows[0]["key"] == "break a leg || good luck"
 
