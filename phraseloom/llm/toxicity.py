@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -89,8 +90,8 @@ def fit_chain(sets: list[list[int]], targets: np.ndarray, n_features: int) -> tu
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
     """Fit on labelled rows whose id's crc32 modulo 5 isn't 0, at most TOXIC_DOCS and OTHER_DOCS of them.
 
-    Features are the words and stems that at least MIN_DOCS of these texts have, the FEATURES with the largest log odds
-    by label. Workers reduce each sampled text to its set of words; only these sets of a bounded number of texts reach the driver.
+    Features are words and stems of at least MIN_DOCS of the toxic texts, the FEATURES whose log odds by label are
+    the surest. Workers reduce each sampled text to its set of words; only these sets of a bounded number of texts reach the driver.
     Without rows of both labels every probability is the share of toxic rows (0 without any).
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1)).where(fold(F.col("id")) != 0)
@@ -104,23 +105,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(found, pa.list_(pa.string()))], names=["id", "y", "words"])
 
     rows = C.map_arrow(text.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), "y", "text"), words, "id long, y int, words array<string>")
-    y, sets, counts = [], [], (Counter(), Counter())
+    y, sets = [], []
     for r in rows.orderBy("id", "y", F.xxhash64("words")).toLocalIterator():
-        own = {n for w in r["words"] for n in names_of(w)}
-        counts[r["y"]].update(own)
         y.append(r["y"])
-        sets.append(r["words"])
+        sets.append([sys.intern(w) for w in r["words"]])  # one string for each distinct word
     labels_found = np.array(y, dtype=np.float64)
     if not len(y) or labels_found.min() == labels_found.max():
         b = -30.0 if not len(y) or labels_found.max() == 0 else 30.0
         return Chain((), (b,) * len(CATEGORIES), ((),) * len(CATEGORIES), tuple((0.0,) * k for k in range(len(CATEGORIES))))
     n1, n0 = int(labels_found.sum()), int(len(y) - labels_found.sum())
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for own, label in zip(sets, y, strict=True):
+        if label:
+            counts[1].update({n for w in own for n in names_of(w)})
+    seen = {n for n, c in counts[1].items() if c >= MIN_DOCS}
+    for own, label in zip(sets, y, strict=True):
+        if not label:
+            counts[0].update({n for w in own for n in names_of(w)} & seen)
     scored = []
-    for name in counts[1].keys() | counts[0].keys():
+    for name in seen:
         p, q = counts[1][name], counts[0][name]
-        if p + q >= MIN_DOCS:
-            odds = np.log((p + 0.5) / (n1 - p + 0.5)) - np.log((q + 0.5) / (n0 - q + 0.5))
-            scored.append((abs(odds) / np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)), odds, name))
+        odds = np.log((p + 0.5) / (n1 - p + 0.5)) - np.log((q + 0.5) / (n0 - q + 0.5))
+        scored.append((abs(odds) / np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)), odds, name))
     scored.sort(key=lambda s: (-s[0], s[2]))
     features = tuple(s[2] for s in scored[:FEATURES])
     at = {name: i for i, name in enumerate(features)}
