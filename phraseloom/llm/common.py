@@ -10,6 +10,7 @@ Conventions of every operator in this subpackage:
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
@@ -95,6 +96,11 @@ def keep_only(name: str | None) -> None:
         loaded = sys.modules.get(f"phraseloom.llm.{module}")
         if other != name and loaded is not None:
             getattr(loaded, attribute).cache_clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)  # freed memory goes back to the system, not to the worker's next stage
+    except (AttributeError, OSError):
+        pass
 
 
 def map_arrow(df: DataFrame, func, schema, keeps: str | None = None) -> DataFrame:

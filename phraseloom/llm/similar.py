@@ -1,153 +1,198 @@
-"""Near copies by shingle similarity: wide SimHash fingerprints propose pairs, pigeonring prunes them, shingles decide.
-
-Documents whose five-word shingles have a Jaccard similarity of 0.8 or more differ in about one word in forty, so that SimHashes of
-their sets of words differ in about 7 % of the bits, far from the 40 % of unrelated texts. A fingerprint has BITS bits in a ring of
-SEGMENTS segments. Pairs are proposed by an equal segment: with 20 segments of 24 bits a pair at similarity 0.8 has one with a
-probability of 0.98, closer pairs nearly always. A proposed pair must pass the pigeonring test (some chain of consecutive segments
-whose cumulative differences stay within its share of RADIUS all along), then the full Hamming distance, and at last
-the exact similarity of the shingle sets.
+"""Near copies by shingle similarity: rare shingles propose pairs, parity fingerprints prune them, shingle sets decide.
+
+Every pair of documents whose five-word shingles have a Jaccard similarity of 0.8 or more is joined, by one link or by a chain
+of links. Two sets of similarity t share a shingle among the first n - ceil(t n) + 1 of each in any one order of all shingles
+(the prefix filter), so that no pair is missed whatever the edits look like. The order is by frequency in a sample, then by
+hash: what many documents share comes last, and the sample changes the cost and never the result.
+
+Documents of equal sets stand behind one of them. Those with a common prefix shingle are compared in two rounds: first each with
+the first and the previous one of its shingle, then each with all others that verified links do not join to it already. What is
+compared must pass two exact bounds, that of the sizes and that of the fingerprints: a fingerprint holds BITS parities of
+the hashes that fall on each bit, and two differ in no more bits than the sets differ in shingles.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .byte_bpe import PieceCache
 from .components import connected_components
 
-SEGMENTS = 20
-SEGMENT_BYTES = 3
-BITS = SEGMENTS * SEGMENT_BYTES * 8
-#: 14 % of the bits: the expected 7 % at similarity 0.8 and five standard deviations.
+BITS = 480
+#: Differing bits that two sets of 300 shingles may have at similarity 0.8; other sizes have their own bound (see difference).
 RADIUS = 67
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Within an equal segment so many documents are compared pair by pair; beyond, each with the representatives so far.
+#: Rows of one shingle that are compared at once with so many others.
 SMALL_GROUP = 48
-ALL_LINKS = 8
-NEAREST = 2
+AT_ONCE = 4096
+#: Documents of the frequency sample (one in 16 between these bounds) and shingles that are known as frequent.
+SAMPLE = (2048, 65_536)
+FREQUENT = 200_000
+#: Links of one document that are verified by one task.
+LINKS_AT_ONCE = 256
 BROADCAST_ROWS = 500_000
-BUDGETS = tuple(length * RADIUS // SEGMENTS for length in range(1, SEGMENTS))
 
 
-class WideSimHash:
-    """Fingerprints of word sets; a word's bits are cached."""
+def shingle_hashes(text: str, k: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of k-word shingles; of the whole sequence where it is shorter; nothing for no words."""
+    from .simhash import hash_shingles
 
-    def __init__(self):
-        import xxhash
+    return np.unique(hash_shingles(text, k))
 
-        self._digest = xxhash.xxh64_digest
-        self._known = PieceCache(lambda words: [b"".join([self._digest(w, s) for s in range(8)])[: BITS // 8] for w in words], 150_000)
 
-    def fingerprint(self, words: list[bytes]) -> bytes:
-        """Bit i is 1 if it is set in over half of the distinct words' hashes; no words: zeros."""
-        distinct = set(words)
-        if not distinct:
-            return bytes(BITS // 8)
-        known = self._known.fill(distinct)
-        bits = np.frombuffer(b"".join([known[w] for w in distinct]), np.uint8).reshape(-1, BITS // 8)
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(bits), 255):  # 255 rows sum up in single bytes
-            ones += np.unpackbits(bits[at : at + 255], axis=1).sum(axis=0, dtype=np.uint8)
-        return np.packbits(ones * 2 > len(distinct)).tobytes()
+def parities(hashes: np.ndarray) -> bytes:
+    """Bit i is the parity of the number of hashes that fall on it."""
+    return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
 
 
-def shingle_hashes(text: str, k: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of k-word shingles; of the whole sequence where it is shorter; nothing for no words."""
-    from .simhash import hash_shingles
+def difference(sizes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The most shingles that two sets of this total size may differ in."""
+    return np.floor(sizes * (1 - similarity) / (1 + similarity) + 1e-6)
 
-    return np.unique(hash_shingles(text, k))
 
+def within_radius(diff: np.ndarray, radius: np.ndarray | int = RADIUS) -> np.ndarray:
+    """XORs of fingerprints (rows of bytes) with at most ``radius`` bits."""
+    return np.bitwise_count(diff).sum(axis=-1, dtype=np.int64) <= radius
 
-def within_radius(diff: np.ndarray) -> np.ndarray:
-    """XORs of fingerprints (rows of bytes) that pass the pigeonring test and then the full Hamming distance."""
-    return distances(diff) <= RADIUS
 
+def may_be_similar(n: np.ndarray, m: np.ndarray, diff: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles can be so similar by their sizes and the XOR of their fingerprints."""
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & within_radius(diff, difference(n + m, similarity))
 
-def distances(diff: np.ndarray) -> np.ndarray:
-    """Hamming distances of XORs that pass the pigeonring test; BITS + 1 for the others."""
-    per = np.bitwise_count(diff).reshape(-1, SEGMENTS, SEGMENT_BYTES).sum(axis=2, dtype=np.int16)
-    ok = np.zeros(len(per), dtype=bool)
-    for start in range(SEGMENTS):
-        open_ = np.flatnonzero(~ok & (per[:, start] <= BUDGETS[0]))
-        total = np.zeros(len(open_), np.int16)
-        for length, budget in enumerate(BUDGETS):
-            total = total + per[open_, (start + length) % SEGMENTS]
-            keep = total <= budget
-            open_, total = open_[keep], total[keep]
-        ok[open_] = True
-    return np.where(ok, per.sum(axis=1), BITS + 1)
 
+def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 of the sorted hashes, rare ones first."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    width = n - math.ceil(similarity * n - 1e-6) + 1
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        rank = np.where(frequent[at] == hashes, counts[at], 0)
+        hashes = hashes[np.lexsort((hashes, rank))]
+    return hashes[:width]
 
-def _pairs_of_run(state: dict, ids: np.ndarray, fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links of the next rows of one segment value to rows before them.
 
-    ``state`` holds the first SMALL_GROUP rows and later those without a near one before. In a group of up to ALL_LINKS rows
-    every link counts; in a larger one each row keeps its NEAREST, the likeliest to be similar: with 20 segments a row has
-    many such choices, and the number of links stays in proportion to the rows.
-    """
-    out = []
-    for at in range(0, len(ids), SMALL_GROUP):
-        new_ids, new_fps = ids[at : at + SMALL_GROUP], fps[at : at + SMALL_GROUP]
-        n, m = len(state["ids"]), len(new_ids)
-        all_ids, all_fps = np.concatenate([state["ids"], new_ids]), np.concatenate([state["fps"], new_fps])
-        old, new = np.nonzero(np.arange(n + m)[:, None] < n + np.arange(m)[None, :])
-        far = np.full((n + m, m), BITS + 1)
-        far[old, new] = distances(all_fps[old] ^ new_fps[new])
-        linked = (far <= RADIUS).any(axis=0)
-        if n + m > ALL_LINKS:
-            rank = far.argsort(axis=0, kind="stable").argsort(axis=0, kind="stable")
-            far = np.where(rank < NEAREST, far, BITS + 1)
-        i, j = np.nonzero(far <= RADIUS)
-        out.append((all_ids[i], new_ids[j]))
-        # what has a near row before it need not be one to compare with; the first rows all are
-        keep = ~linked if n else np.ones(m, dtype=bool)
-        state["ids"], state["fps"] = np.concatenate([state["ids"], new_ids[keep]]), np.concatenate([state["fps"], new_fps[keep]])
-    return out
-
-
-def candidate_links(prints: DataFrame) -> DataFrame:
-    """(key, fp) -> (a, b) distinct: pairs of keys that share a segment and lie within the radius."""
-    own = [F.conv(F.hex(F.substring("fp", 1 + i * SEGMENT_BYTES, SEGMENT_BYTES)), 16, 10).cast("int") for i in range(SEGMENTS)]
-    rows = prints.select("key", "fp", F.posexplode(F.array(*own)).alias("segment", "value"))
+def frequent_shingles(narrow: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that several documents of a sample have, and in how many; at most FREQUENT."""
+    rows = narrow.count()
+    every = max(1, rows // min(max(rows // 16, SAMPLE[0]), SAMPLE[1]))
+
+    def run(batches):
+        for batch in C.small_batches(batches, "text"):
+            found = [shingle_hashes(t or "", k) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], names=["hash"])
+
+    sample = narrow.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("text")
+    counted = C.map_arrow(sample, run, "hash long").groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
+    hashes, counts = found.column("hash").to_numpy().astype(np.int64).view(np.uint64), found.column("n").to_numpy().astype(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def shared_shingles(rows: DataFrame) -> DataFrame:
+    """(hash, key) -> (hash, key, first, before) of every hash of several keys: the first key of the hash and the one before."""
 
     def run(batches):
-        empty = lambda: {"ids": np.zeros(0, np.int64), "fps": np.zeros((0, BITS // 8), np.uint8)}
-        current, state, held = None, empty(), None
+        held = None  # the last row so far: its hash and key, whether it begins a hash, the first key and the one before it
 
-        def flush(found):
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def table(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hash", "key", "first", "before"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            label = batch.column("segment").to_numpy(zero_copy_only=False).astype(np.int64) << 32 | batch.column("value").to_numpy(zero_copy_only=False)
-            ids = batch.column("key").to_numpy(zero_copy_only=False)
-            fps = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, BITS // 8)
-            first = np.flatnonzero(np.diff(label, prepend=label[0] - 1))
-            stops = np.append(first[1:], len(label))
-            found = []
-            for f, s in zip(first, stops, strict=True):
-                if label[f] != current:
-                    current, state, held = label[f], empty(), None
-                    if s - f == 1:  # nearly all values: one row, compared only if the next batch goes on with it
-                        held = (ids[f:s], fps[f:s])
-                        continue
-                if held is not None:
-                    found += _pairs_of_run(state, *held)
-                    held = None
-                found += _pairs_of_run(state, ids[f:s], fps[f:s])
-            if found:
-                yield flush(found)
-
-    parts = rows.repartition("segment", "value").sortWithinPartitions("segment", "value", "key")
-    links = C.map_arrow(parts.select("segment", "value", "key", "fp"), run, "a long, b long")
-    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            h, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "key"))
+            if held is None:
+                start, first_key, before_key = True, key[0], key[0]
+            else:
+                h, key = np.concatenate([[held[0]], h]), np.concatenate([[held[1]], key])
+                start, first_key, before_key = held[2:]
+            same = h[1:] == h[:-1]
+            new = np.concatenate([[start], ~same])
+            at = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+            first = key[at]
+            if not start:
+                first[at == 0] = first_key
+            before = np.where(new, key, np.concatenate([[before_key], key[:-1]]))
+            shared = np.flatnonzero(~new[:-1] | same)
+            if len(shared):
+                yield table(h[shared], key[shared], first[shared], before[shared])
+            held = (h[-1], key[-1], new[-1], first[-1], before[-1])
+        if held is not None and not held[2]:
+            yield table(*[np.array([x]) for x in (held[0], held[1], held[3], held[4])])
+
+    parts = rows.repartition("hash").sortWithinPartitions("hash", "key")
+    return C.map_arrow(parts.select("hash", "key"), run, "hash long, key long, first long, before long")
+
+
+def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarray, similarity: float):
+    """Pairs of rows of one shingle that have different roots and may be similar, in blocks."""
+    order = np.argsort(n, kind="stable")
+    keys, n, roots, prints = keys[order], n[order], roots[order], prints[order]
+    for at in range(0, len(keys), SMALL_GROUP):
+        stop = min(at + SMALL_GROUP, len(keys))
+        end = int(np.searchsorted(n, n[stop - 1] / similarity + 1e-6, side="right"))  # larger sets can't be similar
+        for low in range(at, end, AT_ONCE):
+            high = min(low + AT_ONCE, end)
+            i, j = np.nonzero((roots[at:stop, None] != roots[None, low:high]) & (np.arange(at, stop)[:, None] < np.arange(low, high)[None, :]))
+            i, j = i + at, j + low
+            near = may_be_similar(n[i], n[j], prints[i] ^ prints[j], similarity)
+            if near.any():
+                yield keys[i[near]], keys[j[near]]
+
+
+def open_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """(hash, key, n, root, print) -> (a, b) distinct: keys of one hash with different roots that may be similar."""
+
+    def run(batches):
+        kept = None
+        for batch in _with_end(batches):
+            if batch is not None and not batch.num_rows:
+                continue
+            if batch is not None:
+                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "key", "n", "root")]
+                new.append(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(-1, BITS // 8))
+                kept = new if kept is None else [np.concatenate(x) for x in zip(kept, new, strict=True)]
+            if kept is None:
+                continue
+            edges = np.flatnonzero(np.diff(kept[0])) + 1
+            stops = [*edges, len(kept[0])] if batch is None else list(edges)  # the last hash may go on in the next batch
+            start = 0
+            for stop in stops:
+                for a, b in _pairs(*[x[start:stop] for x in kept[1:]], similarity):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                start = stop
+            kept = [x[start:] for x in kept]
+
+    parts = rows.repartition("hash").sortWithinPartitions("hash", "n", "key")
+    return C.map_arrow(parts.select("hash", "key", "n", "root", "print"), run, "a long, b long").distinct()
+
+
+def _with_end(batches):
+    yield from batches
+    yield None
+
+
+def pruned(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links that may be similar by size and fingerprint. ``sets``: (key, n, print)."""
+    side = lambda end, n, p: sets.select(F.col("key").alias(end), F.col("n").alias(n), F.col("print").alias(p))
+    both = links.join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b")
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in ("x", "y"))
+            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_be_similar(n, m, x ^ y, similarity), pa.bool_()))
+
+    return C.map_arrow(both.select("a", "b", "n", "m", "x", "y"), run, "a long, b long")
 
 
 def verified_links(links: DataFrame, keyed: DataFrame, k: int, similarity: float) -> DataFrame:
@@ -160,45 +205,82 @@ def verified_links(links: DataFrame, keyed: DataFrame, k: int, similarity: float
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(pa.int64()))], names=["key", "hashes"])
 
     texts = C.join_small(keyed, ends, "key", "left_semi", BROADCAST_ROWS).dropDuplicates(["key"])
-    sets = C.materialize(C.map_arrow(texts.select("key", "text"), hashes, "key long, hashes array<long>"), "similar-sets")
-    both = links.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
+    sets = C.materialize(C.map_arrow(texts.select("key", "text"), hashes, "key long, hashes array<long>"), "similar-hashes")
+    # each link meets at its first end, whose set comes once; ends of many links are salted
+    many = links.groupBy("a").agg(F.floor(F.count(F.lit(1)) / LINKS_AT_ONCE).alias("more"))
+    salted = links.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("more") + 1).alias("salt"))
+    places = salted.select("a", "salt", F.col("a").alias("key")).distinct().unionByName(salted.select("a", "salt", F.col("b").alias("key")))
+    rows = C.join_small(sets, C.materialize(places, "similar-places"), "key", "inner", BROADCAST_ROWS)
 
     def check(batches):
+        held = None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = x.values.to_numpy(), y.values.to_numpy()
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                either = len(p) + len(q) - common
-                keep.append(either == 0 or common >= similarity * either)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            left, right = [], []
+            for a, key, hashes in zip(batch.column("a").to_pylist(), batch.column("key").to_pylist(), batch.column("hashes"), strict=True):
+                own = hashes.values.to_numpy()
+                if a == key:
+                    held = own.copy()
+                    continue
+                common = len(np.intersect1d(held, own, assume_unique=True))
+                either = len(held) + len(own) - common
+                if either == 0 or common >= similarity * either:
+                    left.append(a)
+                    right.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    parts = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("key"))
+    return C.map_arrow(parts.select("a", "key", "hashes"), check, "a long, b long")
+
+
+def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(key, id, text) -> the table of sets with key and id, and (v, root) of all keys that have a near copy."""
+    frequent, counts = frequent_shingles(narrow, k)
+
+    def sets(batches):
+        import xxhash
 
-    return C.map_arrow(both.select("a", "b", "x", "y"), check, "a long, b long")
+        for batch in C.small_batches(batches, "text"):
+            hashes = [shingle_hashes(t or "", k) for t in batch.column("text").to_pylist()]
+            columns = [pa.array([len(h) for h in hashes], pa.int64()), pa.array([xxhash.xxh128_digest(h.tobytes()) for h in hashes], pa.binary()), pa.array([parities(h) for h in hashes], pa.binary()), pa.array([prefix(h, frequent, counts, similarity).view(np.int64) for h in hashes], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), *columns], names=["key", "id", "n", "digest", "print", "prefix"])
+
+    made = C.materialize(C.map_arrow(narrow, sets, "key long, id long, n long, digest binary, print binary, prefix array<long>"), "similar-sets")
+    equal = made.groupBy("digest").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("digest", "a")
+    equal = C.materialize(equal, "similar-equal")
+    twins = C.materialize(C.join_small(made.select("key", "digest"), equal, "digest", "inner", BROADCAST_ROWS).where("key <> a").select("a", F.col("key").alias("b")).distinct(), "similar-twins")
+    # rows that repeat id and text have one key and count once
+    reps = C.join_small(made.select("key", "prefix"), twins.select(F.col("b").alias("key")), "key", "left_anti", BROADCAST_ROWS)
+    shared = C.materialize(shared_shingles(reps.select("key", F.explode("prefix").alias("hash"))), "similar-shared")
+    ends = F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("key").alias("b")), F.struct(F.col("before").alias("a"), F.col("key").alias("b"))))
+    tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).where("a <> b").distinct()
+    own = C.join_small(made.select("key", "n", "print"), C.materialize(shared.select("key").distinct(), "similar-keys"), "key", "left_semi", BROADCAST_ROWS).dropDuplicates(["key"])
+    own = C.materialize(own, "similar-own")
+    tried = C.materialize(pruned(tried, own, similarity), "similar-tried")
+    texts = narrow.select("key", "text")
+    good = C.materialize(verified_links(tried, texts, k, similarity).unionByName(twins), "similar-verified")
+    roots = C.materialize(connected_components(good), "similar-roots")
+    # what verified links have joined needs no other link; all other rows of a shingle meet
+    named = C.join_small(shared.select("hash", "key").distinct(), roots.withColumnRenamed("v", "key"), "key", "left", BROADCAST_ROWS).withColumn("root", F.coalesce("root", "key"))
+    named = C.materialize(named, "similar-named")
+    mixed = C.materialize(named.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("hash"), "similar-mixed")
+    rows = C.join_small(C.join_small(named, mixed, "hash", "left_semi", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS)
+    rest = C.materialize(open_pairs(rows, similarity).join(tried, ["a", "b"], "left_anti"), "similar-open")
+    more = C.materialize(verified_links(rest, texts, k, similarity), "similar-more")
+    return made, C.materialize(connected_components(good.unionByName(more)), "similar-roots")
 
 
 def drop_similar(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near copies left, the one with the smallest id (nulls last); columns unchanged.
 
-    Groups are the components of verified links. Rows that repeat both id and text are one document and stay or go together.
-    Beyond SMALL_GROUP documents that share a segment value, one is compared with representatives instead of with all, and
-    in groups of more than ALL_LINKS it keeps its NEAREST: as every document has 20 segments, a group is still held together. Texts are read twice and are not shuffled
-    while the documents to compare or to drop can be broadcast (their number is counted first).
+    Groups are the components of all pairs of documents that are similar. Rows that repeat both id and text are one document and
+    stay or go together. Texts are read again for each round of comparisons and are not shuffled while the documents to
+    compare or to drop can be broadcast (their number is counted first).
     """
     key = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
     names = docs.columns
     keyed = docs.withColumn("__key", key)
-
-    def prints(batches):
-        maker = WideSimHash()
-        for batch in C.small_batches(batches, "text"):
-            fps = [maker.fingerprint((t or "").encode().lower().split()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), pa.array(fps, pa.binary())], names=["key", "id", "fp"])
-
     narrow = keyed.select(F.col("__key").alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.col(text_col).alias("text"))
-    made = C.materialize(C.map_arrow(narrow, prints, "key long, id long, fp binary"), "similar-prints")
-    links = C.materialize(candidate_links(made.select("key", "fp")), "similar-links")
-    good = C.materialize(verified_links(links, narrow.select("key", "text"), k, similarity), "similar-verified")
-    roots = C.materialize(connected_components(good), "similar-roots")
+    made, roots = similar_components(narrow, k, similarity)
     members = C.join_small(made.select("key", "id"), roots.withColumnRenamed("v", "key"), "key", "inner", BROADCAST_ROWS)
     first = members.groupBy("root").agg(F.min(F.struct("id", "key"))["key"].alias("stays"))
     gone = members.join(first, "root").where("key <> stays").select(F.col("key").alias("__key"))
