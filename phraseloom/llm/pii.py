@@ -147,7 +147,9 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, co
     scores = open_edges.select("instance", "kind").distinct().withColumn("score", F.lit(0.0))
     confident = None
     for _ in range(rounds):
-        sums = open_edges.join(scores, ["instance", "kind"]).groupBy("pattern", "kind").agg(F.sum("score").alias("gained"), F.sum(F.greatest(F.col("score"), F.lit(UNKNOWN))).alias("counted"), F.count(F.lit(1)).alias("unknown"))
+        # from the second round on only instances behind confident patterns have a score
+        scored = open_edges.join(scores, ["instance", "kind"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        sums = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("gained"), F.sum(F.greatest(F.col("score"), F.lit(UNKNOWN))).alias("counted"), F.count(F.lit(1)).alias("unknown"))
         gained, counted, unknown = (F.coalesce(c, F.lit(0.0)) for c in ("gained", "counted", "unknown"))
         value = (F.col("seeds") + gained) / (F.col("n") - unknown + counted)
         confident = C.materialize(graph.join(sums, ["pattern", "kind"], "left").select("pattern", "kind", value.alias("confidence")).where(F.col("confidence") >= confidence), "pii-confident")

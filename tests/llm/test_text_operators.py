@@ -230,3 +230,12 @@ def test_pii_of_no_rows_and_odd_ids(spark):
     assert pii.find_pii(docs_of(spark, [])).count() == 0
     rows = pii.find_pii(docs_of(spark, ["a@b.cc", "a@b.cc", None], [None, 4, 4])).collect()
     assert sorted((str(r["doc_id"]), r["n_email"]) for r in rows) == [("4", 0), ("4", 1), ("None", 1)]
+
+
+def test_unscored_instances_keep_their_weight_in_later_rounds(spark):
+    """A pattern of five seeds and three unseen instances gains confidence once one of them is known from elsewhere."""
+    known = [f"please call my office phone: +1 (269) 555-{3000 + i} thanks" for i in range(12)] + ["please call my office phone: (269) 555-4000 thanks"]
+    seeds = [f"ring our desk extension: +1 (269) 555-{5000 + i} thanks" for i in range(5)]
+    unseen = [f"ring our desk extension: (269) 555-{4000 + i} thanks" for i in range(3)]
+    got = {x["doc_id"]: x["n_added"] for x in pii.find_pii(docs_of(spark, known + seeds + unseen)).collect()}
+    assert [got[i] for i in range(18, 21)] == [1, 1, 1]
