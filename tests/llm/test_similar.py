@@ -104,3 +104,14 @@ def test_one_vocabulary_in_other_orders(spark):
     orders = [" ".join(r.sample(words, len(words))) for _ in range(40)]
     near = [t + " one two" for t in orders[:12]]
     assert kept_of(spark, orders + near) == set(range(40))
+
+
+def test_copies_of_variants_of_one_page(spark, monkeypatch):
+    """A row near a representative that isn't its copy must still meet its own copy."""
+    monkeypatch.setattr(similar, "SMALL_GROUP", 3)
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    pages = [[w if r.random() > 0.03 else f"n{r.randint(0, 10**6)}" for w in base] for _ in range(60)]
+    texts = [" ".join(p) for p in pages + [[*p[:-1], "end"] for p in pages]]
+    want = set(groups(list(enumerate(texts))).values())
+    assert len(want) == 60 and kept_of(spark, texts) == want
