@@ -115,3 +115,23 @@ def test_copies_of_variants_of_one_page(spark, monkeypatch):
     texts = [" ".join(p) for p in pages + [[*p[:-1], "end"] for p in pages]]
     want = set(groups(list(enumerate(texts))).values())
     assert len(want) == 60 and kept_of(spark, texts) == want
+
+
+@pytest.mark.parametrize("n", [100, 300])
+def test_contiguous_edits_against_brute_force(spark, n):
+    """Text appended, cut off and one passage replaced, down to similarity 0.8 and just below."""
+    texts = []
+    for i in range(8):
+        words = [f"w{i}_{j}" for j in range(n)]
+        new = [f"n{i}_{j}" for j in range(n)]
+        at = n // 3
+        for share in (0.11, 0.23, 0.27):
+            d = int(share * n)
+            part = [f"{w}_{share}" for w in words]
+            texts += [" ".join(part), " ".join(part + new[:d])]
+            cut = [f"{w}c" for w in part]
+            texts += [" ".join(cut), " ".join(cut[: int(n / (1 + share))])]
+            other = [f"{w}r" for w in part]
+            texts += [" ".join(other), " ".join(other[:at] + new[: d // 2 - 2] + other[at + d // 2 - 2 :])]
+    want = set(groups(list(enumerate(texts))).values())
+    assert len(texts) / 2 < len(want) < len(texts) and kept_of(spark, texts) == want
