@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import sys
 from array import array
 from functools import lru_cache
@@ -30,7 +31,8 @@ _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\x
 LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 BEYOND_LATIN = re.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 FULL = regex.compile(PATTERN)
-SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Runs of white space: one piece while nothing follows.
+SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
 
 
 def byte_table() -> list[str]:
@@ -43,6 +45,9 @@ def byte_table() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+LAST = struct.Struct("i").unpack
+
+
 class PieceCache:
     """Pieces and what is known of them in two generations: a full young one becomes the old one, which is then dropped."""
 
@@ -106,7 +111,7 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocab))
         self.bytes_of = {i: t for t, i in self.vocab.items()}
         self.split = PieceSplitter(added)
-        self.known = PieceCache(lambda pieces: [self.piece_counts(x.encode())[-1] for x in pieces])
+        self.known = PieceCache(lambda pieces: [self._table(x) for x in pieces])
         self._pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, b: bytes) -> list[bytes]:
@@ -140,6 +145,17 @@ class PrefixCounter:
                     break
         return count
 
+    def _table(self, piece: str) -> bytes:
+        """Tokens of every prefix of a piece, by characters, as packed 32-bit integers."""
+        table = self.piece_counts(piece.encode())
+        if len(table) == len(piece) + 1:
+            del table[0]
+        else:
+            table = [table[e] for e in accumulate(len(c.encode()) for c in piece)]
+        if piece[0] == "'" and len(piece) == 3 and piece[1:] in ("re", "ve", "ll"):
+            table[1] = sum(self.piece_counts(x.encode())[-1] for x in self.split.pieces(piece[:2]))  # 'r of 're is two pieces
+        return array("i", table).tobytes()
+
     def per_piece(self, text: str) -> tuple[list[str], list[int]]:
         """The pieces of a text and the tokens of each; a special string is a piece of one token."""
         pieces: list[str] = []
@@ -152,7 +168,7 @@ class PrefixCounter:
             found = self.split.pieces(segment)
             pieces += found
             known = self.known.fill(set(found))
-            counts += [known[x] for x in found]
+            counts += [LAST(known[x][-4:])[0] for x in found]
         return pieces, counts
 
     def count(self, text: str) -> int:
@@ -165,50 +181,36 @@ class PrefixCounter:
         whole text, and only their own last piece is looked at again: inside a run of white space (one piece while nothing
         follows it), inside a contraction ('r of 're), and inside a special string (ordinary text until it is complete).
         """
-        out = np.zeros(len(text) + 1, dtype=np.int64)
-        at = base = seg_base = 0
+        out = np.zeros(len(text) + 1, dtype=np.int32)
+        at = base = 0
         for k, segment in enumerate(self.split.segments(text)):
             start = at
+            at += len(segment)
             if k % 2:
                 # up to its last character the special string is ordinary text that goes on with the segment before
                 before = self.split.segments(text[:start])[-1]
-                tail_base = base - sum(self.per_piece(before)[1])
+                tail_base = base - self.count(before)
                 for i in range(1, len(segment)):
                     out[start + i] = tail_base + self.count(before + segment[:i])
                 base += 1
-                at += len(segment)
                 out[at] = base
                 continue
-            seg_base = base
-            for piece in self.split.pieces(segment):
-                table = self.piece_counts(piece.encode())
-                ends = list(accumulate(len(c.encode()) for c in piece))
-                for i, e in enumerate(ends, 1):
-                    out[at + i] = base + table[e]
-                if piece[0] == "'" and len(piece) == 3:
-                    out[at + 2] = base + self.count(piece[:2])
-                at += len(piece)
-                base += table[-1]
-            for m in SPACE.finditer(segment):
-                if m.end() - m.start() > 1:
-                    table = self.piece_counts(m.group().encode())
-                    ends = list(accumulate(len(c.encode()) for c in m.group()))
-                    head = int(out[start + m.start()]) if m.start() else seg_base
-                    for i in range(1, len(ends) + 1):
-                        out[start + m.start() + i] = head + table[ends[i - 1]]
+            if not segment:
+                continue
+            found = self.split.pieces(segment)
+            known = self.known.fill(set(found))
+            inside = np.frombuffer(b"".join([known[x] for x in found]), np.int32)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            sums = np.cumsum(inside[np.cumsum(lengths) - 1])
+            out[start + 1 : at + 1] = inside + np.repeat(base + np.concatenate([[0], sums[:-1]]), lengths)
+            for m in SPACES.finditer(segment):
+                run = m.group()
+                head = int(out[start + m.start()]) if m.start() else base
+                table = np.frombuffer(self.known.fill({run})[run], np.int32)
+                out[start + m.start() + 1 : start + m.end() + 1] = head + table
+            base += int(sums[-1])
         return out
 
-    def longest_prefix(self, text: str, budget: int, parts: tuple[list[str], list[int]] | None = None) -> int:
-        """Characters of the longest prefix, ending at a piece, that has at most ``budget`` tokens."""
-        pieces, counts = parts or self.per_piece(text)
-        chars = total = 0
-        for piece, n in zip(pieces, counts, strict=True):
-            if total + n > budget:
-                break
-            total += n
-            chars += len(piece)
-        return chars
-
 
 class PieceEncoder:
     """The library's ids, encoded once for each piece of the cache; texts beyond the fast pattern go to it whole."""

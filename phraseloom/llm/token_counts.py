@@ -10,54 +10,54 @@ from . import common as C
 
 LIMIT = 1024
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, limit_chars long"
-STORE = "piece_ends array<int>, piece_tokens array<int>"
+STORE = "prefix_tokens array<int>"
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, store: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit), limit_chars.
 
-    ``limit_chars`` is the truncation point: the characters of the longest prefix ending at a piece with at most ``limit``
-    tokens. With ``store`` two more columns keep the counts: ``piece_ends`` (characters) and ``piece_tokens`` (tokens up to
-    there), from which any truncation or budget question on the document is answered without encoding (see tokens_before).
+    ``limit_chars`` is the truncation point: the characters of the longest prefix with at most ``limit`` tokens. With ``store``
+    one more column keeps the counts of every prefix: ``prefix_tokens``, from that of no characters to that of all, from
+    which any truncation or budget question on the document is answered without encoding (see tokens_before).
     An empty or null text has no bytes and no tokens. Special strings in a text count as the library's default does. Counts
     don't depend on other rows: each text is read once, by any task, in bounded batches.
     """
     schema = f"{SCHEMA}, {STORE}" if store else SCHEMA
 
     def count(batches):
-        from itertools import accumulate
+        import numpy as np
 
         from phraseloom.llm import byte_bpe
 
         counter = byte_bpe.prefix_counter(tokenizer)
-        for batch in C.small_batches(batches, "text"):
-            cols: list[list] = [[] for _ in range(6)]
+        for batch in C.small_batches(batches, "text", 2 << 20):
+            cols: list[list] = [[] for _ in range(4)]
+            tables = []
             for text in batch.column("text").to_pylist():
-                parts = counter.per_piece(text or "")
-                n = sum(parts[1])
-                cut = len(text or "") if n <= limit else counter.longest_prefix(text, limit, parts)
-                row = [len((text or "").encode()), n, n > limit, cut]
-                if store:
-                    row += [list(accumulate(map(len, parts[0]))), list(accumulate(parts[1]))]
-                for col, x in zip(cols, row, strict=False):
+                counts = counter.prefix_counts(text or "")
+                n = int(counts[-1])
+                cut = len(counts) - 1 if n <= limit else int(np.flatnonzero(counts <= limit)[-1])
+                for col, x in zip(cols, [len((text or "").encode()), n, n > limit, cut], strict=True):
                     col.append(x)
+                if store:
+                    tables.append(counts)
             arrays = [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int64())]
             names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "limit_chars"]
             if store:
-                arrays += [pa.array(cols[4], pa.list_(pa.int32())), pa.array(cols[5], pa.list_(pa.int32()))]
-                names += ["piece_ends", "piece_tokens"]
+                ends = np.cumsum([0, *map(len, tables)], dtype=np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *tables]))))
+                names.append("prefix_tokens")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), count, schema, "byte_bpe.prefix_counter")
 
 
-def tokens_before(chars, ends="piece_ends", tokens="piece_tokens"):
-    """Column: tokens of the longest stored prefix of at most ``chars`` characters."""
-    fitting = F.size(F.filter(F.col(ends), lambda e: e <= chars))
-    return F.when(fitting > 0, F.element_at(F.col(tokens), fitting)).otherwise(0)
+def tokens_before(chars, counts="prefix_tokens"):
+    """Column: tokens of the first ``chars`` characters (of all, if there are fewer)."""
+    return F.element_at(F.col(counts), F.least(F.greatest(chars, F.lit(0)) + 1, F.size(counts)).cast("int"))
 
 
-def chars_within(budget, ends="piece_ends", tokens="piece_tokens"):
-    """Column: characters of the longest stored prefix of at most ``budget`` tokens."""
-    fitting = F.size(F.filter(F.col(tokens), lambda t: t <= budget))
-    return F.when(fitting > 0, F.element_at(F.col(ends), fitting)).otherwise(0)
+def chars_within(budget, counts="prefix_tokens"):
+    """Column: characters of the longest prefix of at most ``budget`` tokens."""
+    places = F.filter(F.sequence(F.lit(1), F.size(counts)), lambda i: F.element_at(F.col(counts), i) <= budget)
+    return F.coalesce(F.try_element_at(places, F.lit(-1)), F.lit(1)) - 1

@@ -239,3 +239,16 @@ def test_unscored_instances_keep_their_weight_in_later_rounds(spark):
     unseen = [f"ring our desk extension: (269) 555-{4000 + i} thanks" for i in range(3)]
     got = {x["doc_id"]: x["n_added"] for x in pii.find_pii(docs_of(spark, known + seeds + unseen)).collect()}
     assert [got[i] for i in range(18, 21)] == [1, 1, 1]
+
+
+def test_budgets_inside_one_long_piece(spark, library):
+    from pyspark.sql import functions as F
+
+    texts = ["7391" * 500, "=-+*" * 300, "they're  here   <|endoftext|> x", None]
+    df = token_counts.token_counts(docs_of(spark, texts), BPE, limit=6, store=True)
+    got = {r["doc_id"]: r for r in df.select("*", token_counts.tokens_before(F.lit(9)).alias("t"), token_counts.chars_within(F.lit(5)).alias("c")).collect()}
+    for i, text in enumerate(texts):
+        want = [len(library((text or "")[:k])) for k in range(len(text or "") + 1)]
+        longest = lambda budget: max(k for k, n in enumerate(want) if n <= budget)  # noqa: E731, B023
+        assert got[i]["prefix_tokens"] == want
+        assert (got[i]["limit_chars"], got[i]["t"], got[i]["c"]) == (longest(6), want[min(9, len(want) - 1)], longest(5))
