@@ -55,7 +55,7 @@ ENRICHED = {
     "context_type": "case when doc_id % 14 >= 12 then 'adversarial' when doc_id % 12 < 2 then 'dialogue' when doc_id % 12 < 4 then 'narrative' when doc_id % 12 < 6 then 'formal' when doc_id % 12 < 8 then 'social_media' when doc_id % 12 < 10 then 'question' else 'sarcastic' end",
     "source_style": "case when doc_id % 14 >= 12 then 'synthetic_adversarial' when doc_id % 37 = 0 then 'odd' else 'synthetic_formal' end",
     "idiom_surface": "case when doc_id % 14 >= 12 then null when doc_id % 5 = 0 then 'zzz qqq the' else 'the' end",
-    "idiom_in_example": "case when doc_id % 31 = 0 then ' ' when doc_id % 29 = 0 then 'word' else concat('the ', substr(text, 1, 40)) end",
+    "idiom_in_example": "case when doc_id % 31 = 0 then ' ' when doc_id % 29 = 0 then 'word' else concat('the ', text) end",
     "idiom_in_example_arabic": "case when doc_id % 23 = 0 then null else 'ar' end",
     "idiom_in_example_meaning_en": "'m'", "idiom_in_example_meaning_arabic": "'m'", "explanation_en": "'e'", "explanation_ar": "'e'",
     "idiom_level_explanation_en": "case when doc_id % 19 = 0 then '' else 'e' end", "idiom_level_explanation_ar": "'e'",

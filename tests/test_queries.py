@@ -40,3 +40,8 @@ def test_against_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_runs(spark, name):
     assert queries.QUERIES[name](spark, DATA).columns
+
+
+def test_examples_are_whole_texts(spark):
+    longest = spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("max(length(text))").first()[0]
+    assert queries.enriched(spark, DATA).selectExpr("max(length(idiom_in_example))").first()[0] > longest / 2 > 44
