@@ -10,20 +10,19 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 import sys
 from array import array
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import regex
 
+from . import cutting
+
 #: Entries of each of the two generations of a worker's piece cache, and of its pair cache. What a full cache forgets is
 #: worked out again: the size costs time and never changes a result.
-CACHE = 250_000
-#: Characters of texts whose unknown pieces are encoded in one call.
-GROUP = 1 << 20
+CACHE = 400_000
 #: The pre-tokenizer's published pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
@@ -45,17 +44,14 @@ def byte_table() -> list[str]:
     return [table[b] for b in range(256)]
 
 
-LAST = struct.Struct("i").unpack
-
-
 class PieceCache:
     """Pieces and what is known of them in two generations: a full young one becomes the old one, which is then dropped."""
 
     def __init__(self, learn, limit: int | None = None):
         self._learn, self._limit, self.young, self._old = learn, limit, {}, {}
 
-    def fill(self, pieces: set[str]) -> dict:
-        """The young generation, with all of ``pieces`` in it."""
+    def fill(self, pieces) -> dict:
+        """The young generation, with all of ``pieces`` (distinct ones) in it."""
         if len(self.young) >= (self._limit or CACHE):
             self.young, self._old = {}, self.young
         young, old = self.young, self._old
@@ -72,6 +68,47 @@ class PieceCache:
         return young
 
 
+#: Classes of characters: letters, numbers, white space, and all others.
+LETTER, NUMBER, SPACE, OTHER = range(4)
+
+
+def _class(char: str) -> int:
+    return next((k for k, group in ((LETTER, _L), (NUMBER, _N), (SPACE, _S)) if re.fullmatch(f"[{group}]", char)), OTHER)
+
+
+TABLE = cutting.class_table(_class, OTHER)
+
+
+def piece_starts(data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A mark on the first byte of every piece that the pattern finds in covered texts.
+
+    A piece is a run of one class. Of white space before anything else the last character stands apart, and goes with what
+    follows if it is a blank. A lone apostrophe before certain letters makes a piece with them.
+    """
+    n = len(data)
+    text = cutting.text_starts(offsets, n)
+    change, space, follows = np.ones(n, bool), kinds == SPACE, np.zeros(n, bool)  # follows: the byte goes with a blank before it
+    np.not_equal(kinds[1:], kinds[:-1], out=change[1:])
+    follows[1:] = (data[:-1] == 0x20) & ~space[1:]
+    starts = text | (change & ~follows)
+    lead = (data & 0xC0) != 0x80
+    # the last character of white space before something else of the same text
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~text[1:])
+    last[~lead[last]] -= 1  # white space beyond ASCII has two bytes
+    starts[last] = True
+    mark = np.flatnonzero((data[:-1] == 0x27) & starts[:-1] & (kinds[1:] == LETTER) & ~text[1:])
+    if len(mark):
+        one, two = data[mark + 1], data[np.minimum(mark + 2, n - 1)]
+        pair = ((one == 0x72) & (two == 0x65)) | ((one == 0x76) & (two == 0x65)) | ((one == 0x6C) & (two == 0x6C))
+        pair &= (mark + 2 < n) & ~text[np.minimum(mark + 2, n - 1)]
+        found = np.isin(one, np.frombuffer(b"stmd", np.uint8)) | pair
+        mark, length = mark[found], np.where(pair[found], 3, 2)
+        starts[mark + 1] = False
+        after = mark + length
+        starts[after[after < n]] = True
+    return starts
+
+
 class PieceSplitter:
     """Special strings first (as the library does by default), then the pattern's pieces."""
 
@@ -85,6 +122,18 @@ class PieceSplitter:
             return [text]
         return self._special.split(text)
 
+    def apart(self, data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts of a batch can't be cut together with others: special strings and uncovered characters."""
+        out = cutting.beyond(kinds, offsets)
+        whole = data.tobytes() if self.specials else b""
+        for special in self.specials:
+            own = special.encode()
+            at = whole.find(own)
+            while at >= 0:
+                out[np.searchsorted(offsets, at, side="right") - 1] = True
+                at = whole.find(own, at + 1)
+        return out
+
     @staticmethod
     def pieces(segment: str) -> list[str]:
         return (LATIN if BEYOND_LATIN.search(segment) is None else FULL).findall(segment)
@@ -111,7 +160,12 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocab))
         self.bytes_of = {i: t for t, i in self.vocab.items()}
         self.split = PieceSplitter(added)
-        self.known = PieceCache(lambda pieces: [self._table(x) for x in pieces])
+        lengths: dict[bytes, set[int]] = {}
+        for t in self.vocab:
+            lengths.setdefault(t[-2:], set()).add(len(t))
+        #: By their last two bytes, the lengths of tokens, longest first.
+        self.lengths = {end: tuple(sorted(own, reverse=True)) for end, own in lengths.items() if len(end) == 2}
+        self.known = PieceCache(self._tables)
         self._pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, b: bytes) -> list[bytes]:
@@ -133,28 +187,41 @@ class PrefixCounter:
             found = self._pairs[a, b] = self.merge(x + y) == [x, y]
         return found
 
+    def _extend(self, b: bytes, last: list[int], count: list[int]) -> None:
+        """Go on with the programme from the prefix that ``last`` and ``count`` describe to all of ``b``."""
+        vocab, follow, none = self.vocab, self._may_follow, ()
+        for i in range(len(count), len(b) + 1):
+            for size in self.lengths.get(b[i - 2 : i], none) if i > 1 else none:
+                t = vocab.get(b[i - size : i]) if size <= i else None
+                if t is not None and (size == i or follow(last[i - size], t)):
+                    break
+            else:
+                t, size = vocab[b[i - 1 : i]], 1  # what ends here is a single byte
+            last.append(t)
+            count.append(count[i - size] + 1)
+
     def piece_counts(self, b: bytes) -> list[int]:
         """count[i] for i = 0..len(b): tokens of b[:i] within one piece."""
-        vocab, longest, follow, n = self.vocab, self.longest, self._may_follow, len(b)
-        last, count = [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                t = vocab.get(b[j:i])
-                if t is not None and (j == 0 or follow(last[j], t)):
-                    last[i], count[i] = t, count[j] + 1
-                    break
+        last, count = [0], [0]
+        self._extend(b, last, count)
         return count
 
-    def _table(self, piece: str) -> bytes:
-        """Tokens of every prefix of a piece, by characters, as packed 32-bit integers."""
-        table = self.piece_counts(piece.encode())
-        if len(table) == len(piece) + 1:
-            del table[0]
-        else:
-            table = [table[e] for e in accumulate(len(c.encode()) for c in piece)]
-        if piece[0] == "'" and len(piece) == 3 and piece[1:] in ("re", "ve", "ll"):
-            table[1] = sum(self.piece_counts(x.encode())[-1] for x in self.split.pieces(piece[:2]))  # 'r of 're is two pieces
-        return array("i", table).tobytes()
+    def _tables(self, pieces: list[bytes]) -> list[bytes]:
+        """Tokens of every prefix of each piece, by characters, as packed 32-bit integers. Neighbours in order share their prefix's part."""
+        out: dict[bytes, bytes] = {}
+        last, count, before = [0], [0], b""
+        for piece in sorted(pieces):
+            same, most = 0, min(len(piece), len(before))
+            while same < most and piece[same] == before[same]:
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            self._extend(piece, last, count)
+            before = piece
+            table = count[1:] if piece.isascii() else [count[i] for i in range(1, len(piece) + 1) if i == len(piece) or piece[i] & 0xC0 != 0x80]
+            if len(piece) == 3 and piece in (b"'re", b"'ve", b"'ll"):
+                table[1] = sum(self.piece_counts(x.encode())[-1] for x in self.split.pieces(piece[:2].decode()))  # 'r of 're is two pieces
+            out[piece] = array("i", table).tobytes()
+        return [out[x] for x in pieces]
 
     def per_piece(self, text: str) -> tuple[list[str], list[int]]:
         """The pieces of a text and the tokens of each; a special string is a piece of one token."""
@@ -167,13 +234,59 @@ class PrefixCounter:
                 continue
             found = self.split.pieces(segment)
             pieces += found
-            known = self.known.fill(set(found))
-            counts += [LAST(known[x][-4:])[0] for x in found]
+            own = [x.encode() for x in found]
+            known = self.known.fill(set(own))
+            counts += [int.from_bytes(known[x][-4:], sys.byteorder) for x in own]
         return pieces, counts
 
     def count(self, text: str) -> int:
         return sum(self.per_piece(text)[1])
 
+    def prefix_counts_of(self, column: pa.Array) -> list[np.ndarray]:
+        """prefix_counts of every text of a column (null: empty), worked out together."""
+        data, offsets = cutting.bytes_of(column)
+        kinds = cutting.classes(data, TABLE)
+        slow = self.split.apart(data, kinds, offsets)
+        out = {i: self.prefix_counts(column[int(i)].as_py()) for i in np.flatnonzero(slow)}
+        if out:
+            data, offsets = cutting.without(data, offsets, slow)
+            kinds = cutting.classes(data, TABLE)
+        if not len(data):
+            return [out[i] if i in out else np.zeros(1, np.int32) for i in range(len(column))]
+        starts = np.flatnonzero(piece_starts(data, kinds, offsets))
+        which, pieces = cutting.distinct_pieces(data, starts)
+        known = self.known.fill(pieces)
+        tables = [known[x] for x in pieces]
+        sizes = np.fromiter(map(len, tables), np.int64, len(tables)) // 4
+        flat, first = np.frombuffer(b"".join(tables), np.int32), np.cumsum(sizes) - sizes
+        tokens = flat[first + sizes - 1].astype(np.int64)[which]
+        before = np.cumsum(tokens) - tokens
+        heads = np.searchsorted(starts, offsets)
+        before -= np.repeat(np.append(before, 0)[heads[:-1]], np.diff(heads))
+        inside = cutting.gather(flat, first[which], sizes[which]) + np.repeat(before, sizes[which]).astype(np.int32)
+        char_at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before each byte
+        self._white_space(data, kinds, offsets, char_at, inside)
+        ends = char_at[offsets]
+        for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            if i not in out:
+                out[i] = np.concatenate([np.zeros(1, np.int32), inside[a:b]])
+        return [out[i] for i in range(len(column))]
+
+    def _white_space(self, data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray, char_at: np.ndarray, inside: np.ndarray) -> None:
+        """Within a run of white space every prefix ends in one piece, that of the run so far."""
+        space, text = np.append(kinds == SPACE, False), np.append(cutting.text_starts(offsets, len(data)), True)
+        edge = np.flatnonzero((space[1:] != space[:-1]) | (text[1:] & space[1:])) + 1
+        begin = edge[space[edge]]
+        if space[0]:
+            begin = np.append(0, begin)
+        stops = np.flatnonzero(space[:-1] & (~space[1:] | text[1:])) + 1
+        long = char_at[stops] - char_at[begin] > 1
+        for a, b in zip(begin[long].tolist(), stops[long].tolist(), strict=True):
+            run = data[a:b].tobytes()
+            table = np.frombuffer(self.known.fill([run])[run], np.int32)
+            at = int(char_at[a])
+            inside[at : at + len(table)] = (0 if text[a] else int(inside[at - 1])) + table
+
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:i] for every i from 0 to len(text), each exactly as if that prefix were encoded alone.
 
@@ -197,23 +310,23 @@ class PrefixCounter:
                 continue
             if not segment:
                 continue
-            found = self.split.pieces(segment)
+            found = [x.encode() for x in self.split.pieces(segment)]
             known = self.known.fill(set(found))
             inside = np.frombuffer(b"".join([known[x] for x in found]), np.int32)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            lengths = np.fromiter((len(known[x]) // 4 for x in found), np.int64, len(found))
             sums = np.cumsum(inside[np.cumsum(lengths) - 1])
             out[start + 1 : at + 1] = inside + np.repeat(base + np.concatenate([[0], sums[:-1]]), lengths)
             for m in SPACES.finditer(segment):
-                run = m.group()
+                run = m.group().encode()
                 head = int(out[start + m.start()]) if m.start() else base
-                table = np.frombuffer(self.known.fill({run})[run], np.int32)
+                table = np.frombuffer(self.known.fill([run])[run], np.int32)
                 out[start + m.start() + 1 : start + m.end() + 1] = head + table
             base += int(sums[-1])
         return out
 
 
 class PieceEncoder:
-    """The library's ids, encoded once for each piece of the cache; texts beyond the fast pattern go to it whole."""
+    """The library's ids, encoded once for each piece of the cache; texts beyond the table go to it whole."""
 
     def __init__(self, path: str):
         # a task has one core: the library's own threads would only contend for it
@@ -222,45 +335,43 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self.width = array(self.code).itemsize
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
         self.split = PieceSplitter(added)
-        self.known = PieceCache(self._encode)
-
-    def _pack(self, ids: list[int]) -> bytes:
-        packed = array(self.code, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+        self.known = PieceCache(lambda pieces: [x.tobytes() for x in self._encode([p.decode() for p in pieces])])
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [self._pack(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``width`` bytes."""
-        out: list[bytes] = []
-        group: list[str] = []
-        held = 0
-        for text in texts:
-            group.append(text)
-            held += len(text)
-            if held >= GROUP:
-                out += self._encode_group(group)
-                group, held = [], 0
-        return out + self._encode_group(group)
-
-    def _encode_group(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if BEYOND_LATIN.search(t) is not None]
-        found = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True)) if whole else {}
-        cut = {i: [x if k % 2 else LATIN.findall(x) for k, x in enumerate(self.split.segments(t))] for i, t in enumerate(texts) if i not in found}
-        pieces: set[str] = set()
-        for segments in cut.values():
-            for x in segments[::2]:
-                pieces.update(x)
+        return [x.tobytes()[: -self.width] for x in self.encode_column(pa.array(texts, pa.string()), 0)]
+
+    def encode_column(self, column: pa.Array, end_id: int) -> list[np.ndarray]:
+        """Ids of every text of a column (null: none), each followed by ``end_id``; little-endian, ``width`` bytes."""
+        data, offsets = cutting.bytes_of(column)
+        kinds = cutting.classes(data, TABLE)
+        slow = self.split.apart(data, kinds, offsets)
+        whole = np.flatnonzero(slow).tolist()
+        if whole:
+            data, offsets = cutting.without(data, offsets, slow)
+            kinds = cutting.classes(data, TABLE)
+        starts = np.flatnonzero(piece_starts(data, kinds, offsets)) if len(data) else np.zeros(0, np.int64)
+        which, pieces = cutting.distinct_pieces(data, starts)
         known = self.known.fill(pieces)
-        for i, segments in cut.items():
-            found[i] = b"".join([self._pack([self.split.specials[x]]) if k % 2 else b"".join([known[p] for p in x]) for k, x in enumerate(segments)])
-        return [found[i] for i in range(len(texts))]
+        ids = [known[x] for x in pieces]
+        flat = np.frombuffer(b"".join([*ids, np.array([end_id], self.kind).tobytes()]), self.kind)
+        sizes = np.fromiter([*map(len, ids), self.width], np.int64, len(ids) + 1) // self.width
+        first = np.cumsum(sizes) - sizes
+        heads = np.searchsorted(starts, offsets)
+        which = np.insert(which, heads[1:], len(ids))  # the end id is one more piece
+        length = sizes[which]
+        joined = cutting.gather(flat, first[which], length)
+        ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], heads[1:] + np.arange(1, len(heads))])]
+        out = [joined[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i, own in zip(whole, self._encode([column[i].as_py() for i in whole]), strict=True):
+            out[i] = np.append(own, np.array([end_id], self.kind))
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), store=True)
+    return token_counts(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), store="packed")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import huffman
+from . import cutting, huffman
 
 END_ID = 0
 #: A block ends after the document with which it reaches so many ids; it holds whole documents.
@@ -35,11 +35,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_c
 
         encoder = byte_bpe.piece_encoder(tokenizer)
         width = encoder.width
-        end = np.array([end_id], dtype=f"<u{width}").tobytes()
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in C.small_batches(batches, "text"):
-            ids = [x + end for x in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()), pa.array([packer.compress(x) for x in ids], pa.binary())], names=["doc_id", "n", "width", "ids"])
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in C.small_batches(batches, "text", 2 * cutting.AT_ONCE):
+            ids = encoder.encode_column(batch.column("text"), end_id)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()), pa.array([packer.compress(x) for x in ids], pa.binary())], names=["doc_id", "n", "width", "ids"])
 
     return C.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, n long, width int, ids binary", "byte_bpe.piece_encoder")
 
