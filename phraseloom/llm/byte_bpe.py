@@ -47,12 +47,12 @@ def byte_table() -> list[str]:
 class PieceCache:
     """Pieces and what is known of them in two generations: a full young one becomes the old one, which is then dropped."""
 
-    def __init__(self, learn, limit: int | None = None):
-        self._learn, self._limit, self.young, self._old = learn, limit, {}, {}
+    def __init__(self, learn, limit: int | None = None, times: float = 1):
+        self._learn, self._limit, self._times, self.young, self._old = learn, limit, times, {}, {}
 
     def fill(self, pieces) -> dict:
         """The young generation, with all of ``pieces`` (distinct ones) in it."""
-        if len(self.young) >= (self._limit or CACHE):
+        if len(self.young) >= (self._limit or CACHE * self._times):
             self.young, self._old = {}, self.young
         young, old = self.young, self._old
         unknown = []
@@ -336,9 +336,19 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
+        self.code, self.kind = "H" if self.width == 2 else "I", np.dtype(f"<u{self.width}")
         self.split = PieceSplitter(added)
-        self.known = PieceCache(lambda pieces: [x.tobytes() for x in self._encode([p.decode() for p in pieces])])
+        self.printable = {b: ord(c) for b, c in enumerate(byte_table())}
+        self.known = PieceCache(self._learn, times=1.5)  # ids are shorter than tables of prefixes
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of single pieces: the library's model on their bytes' stand-ins, as its pre-tokenizer would hand them over."""
+        tokenize, table = self.tokenizer.model.tokenize, self.printable
+        out = [array(self.code, [t.id for t in tokenize(p.decode("latin-1").translate(table))]) for p in pieces]
+        if sys.byteorder == "big":
+            for x in out:
+                x.byteswap()
+        return [x.tobytes() for x in out]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

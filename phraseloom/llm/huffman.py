@@ -81,28 +81,31 @@ def encode_many(documents: list[np.ndarray], codes: np.ndarray, lengths: np.ndar
     if not counts.sum():
         return [b""] * len(documents), [b""] * len(documents)
     ids = np.concatenate(documents)
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    size = lengths.astype(np.int64 if len(ids) > 1 << 26 else np.int32)[ids]  # of so many ids all bits fit 32
+    ends = np.cumsum(size, dtype=size.dtype)
     first = np.cumsum(counts) - counts  # of each document: its first id, its bits before, and its bytes before
-    upto = np.concatenate([[0], ends])
-    bits = upto[first + counts] - upto[first]
+    upto = np.concatenate([np.zeros(1, size.dtype), ends])
+    bits = (upto[first + counts] - upto[first]).astype(np.int64)
     width = (bits + 7) // 8
     byte = np.cumsum(width) - width
     # every document starts at a byte
-    shift = np.repeat(8 * byte - upto[first], counts)
-    starts = ends - size + shift
+    starts = ends
+    starts -= size
+    starts += np.repeat((8 * byte - upto[first]).astype(size.dtype), counts)
     # a code of at most 16 bits, from any bit on, lies within three bytes
     shifted = codes[ids] << (24 - (starts & 7) - size).astype(np.uint32)
     at = starts >> 3
     out = np.zeros(int(width.sum()) + 3, dtype=np.uint8)
     # codes that start in one byte are neighbours and overlap in no bit: their sum is their union
     heads = np.flatnonzero(np.diff(at, prepend=-1))
+    joined = np.add.reduceat(shifted, heads)
+    at = at[heads]
     for k in range(3):
-        out[at[heads] + k] |= np.add.reduceat((shifted >> np.uint32(16 - 8 * k)) & np.uint32(255), heads).astype(np.uint8)
+        out[at + k] |= (joined >> np.uint32(16 - 8 * k)).astype(np.uint8)
     raw = memoryview(out.tobytes())
-    local = (starts - np.repeat(8 * byte, counts)).astype("<i8")
+    local = starts - np.repeat((8 * byte).astype(starts.dtype), counts)
     payloads = [bytes(raw[b : b + w]) for b, w in zip(byte.tolist(), width.tolist(), strict=True)]
-    return payloads, [local[f : f + n : STEP].tobytes() for f, n in zip(first.tolist(), counts.tolist(), strict=True)]
+    return payloads, [local[f : f + n : STEP].astype("<i8").tobytes() for f, n in zip(first.tolist(), counts.tolist(), strict=True)]
 
 
 def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
