@@ -79,23 +79,27 @@ def place(forest: Forest, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def probe(forest: Forest, vector: np.ndarray, share: float) -> list[int]:
-    """Leaves of all trees in the order of one queue, until they hold ``share`` of the rows.
+def probe(forest: Forest, vector: np.ndarray, share: float, reach: float = np.inf) -> list[int]:
+    """Leaves of all trees in the order of one queue, until they hold ``share`` of the rows or none is left within ``reach``.
 
-    A node's priority is the smallest margin by which the vector lies on its side of the splits above (negative on the far
-    side), so that trees compete: the next leaf is the most promising of the whole forest.
+    A node's priority is the sum of the squared margins of the splits above on whose far side it lies, so that trees
+    compete: the next leaf is the most promising of the whole forest. ``reach`` bounds that sum. The leaf of every tree that
+    holds the vector itself is opened first, whatever the bounds.
     """
-    queue = [(-np.inf, int(r)) for r in forest.roots]
-    heapq.heapify(queue)
+    queue = [(0.0, int(r)) for r in forest.roots]
     margins = forest.direction @ vector - forest.offset
-    found, held = [], 0.0
-    while queue and held < share:
-        worst, at = heapq.heappop(queue)
-        while forest.left[at] >= 0:
+    left, right, leaf, weight = forest.left, forest.right, forest.leaf, forest.weight
+    found, held, own = [], 0.0, len(queue)
+    while queue:
+        far_by, at = heapq.heappop(queue)
+        if own <= 0 and (held >= share or far_by > reach):
+            break
+        own -= 1
+        while left[at] >= 0:
             m = float(margins[at])
-            near, far = (forest.right[at], forest.left[at]) if m >= 0 else (forest.left[at], forest.right[at])
-            heapq.heappush(queue, (max(worst, abs(m)), int(far)))
+            near, far = (right[at], left[at]) if m >= 0 else (left[at], right[at])
+            heapq.heappush(queue, (far_by + m * m, int(far)))
             at = int(near)
-        found.append(int(forest.leaf[at]))
-        held += float(forest.weight[at])
+        found.append(int(leaf[at]))
+        held += float(weight[at])
     return found

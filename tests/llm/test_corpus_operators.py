@@ -210,9 +210,8 @@ def test_neighbours_of_odd_vectors(spark):
 
 
 def test_neighbours_recall_ties_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 40)
-    monkeypatch.setattr(ann, "MIN_ROWS", 1000)
-    monkeypatch.setattr(ann, "LEAF", 32)
+    monkeypatch.setattr(ann, "QUERIES_AT_ONCE", 7)
+    monkeypatch.setattr(ann, "ROWS_AT_ONCE", 5)
     rng = np.random.default_rng(1)
     x = rng.standard_normal((2000, 16)).astype(np.float32)
     x[500:1100] = x[500]  # a third of all rows are one vector
@@ -233,6 +232,32 @@ def test_neighbours_recall_ties_and_blocks(spark, monkeypatch):
     assert hits / 1000 >= 0.9
 
 
+def test_neighbours_score_few_rows_of_clusters(spark):
+    from phraseloom.llm import forest
+
+    rng = np.random.default_rng(3)
+    x = (rng.standard_normal((60, 64))[rng.integers(0, 60, 6000)] + 0.05 * rng.standard_normal((6000, 64))).astype(np.float32)
+    found = neighbours(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id % 50 = 0")
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    best = {q: set(np.argsort(-np.where(np.arange(6000) == q, -9, unit @ unit[q]))[:5]) for q in range(0, 6000, 50)}
+    assert sum(r["vec_id"] in best[r["query_id"]] for r in found) >= 0.9 * 5 * len(best)
+    # the queue alone: neighbours that are near close the search after a fifth of the rows
+    own = forest.build(unit.astype(np.float32), ann.TREES, 6000 // ann.LEAVES, ann.SEED)
+    places = forest.place(own, unit.astype(np.float32))
+    opened = 0
+    for q in best:
+        near = np.sort(unit @ unit[q])[-6]
+        leaves = forest.probe(own, unit[q].astype(np.float32), ann.SHARE, ann.REACH * (2 - 2 * near) / 64)
+        opened += np.isin(places, leaves).any(axis=1).sum()
+    assert opened < 0.2 * 6000 * len(best)
+
+
+def test_neighbours_of_repeated_ids(spark):
+    vectors = [(5, [1.0, 0.0]), (5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.1]), (6, [1.0, 0.1]), (7, [0.0, 2.0]), (10, [1.0, 0.0])]
+    got = [(r["query_id"], r["rank"], r["vec_id"]) for r in sorted(neighbours(spark, vectors), key=lambda r: (r["query_id"], r["rank"]))]
+    assert got == [(5, 1, 7), (5, 2, 6), (5, 3, 6), (5, 4, 10), (10, 1, 5), (10, 2, 5), (10, 3, 6), (10, 4, 6), (10, 5, 5)]
+
+
 def labelled(spark, n=600, seed=2):
     r = random.Random(seed)
     good = ["harbor", "willow", "candle", "meadow", "stone", "river", "gentle", "morning", "quiet", "walk", "the", "of", "and", "in"]
