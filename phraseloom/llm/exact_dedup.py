@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -22,36 +22,63 @@ class Groups:
     table: DataFrame
     #: Some group holds its largest id more than once, so that the id alone doesn't name the row that stays.
     repeated_keeper: bool
+    #: What the refinement has left: lengths that repeat, and (length, prefix hash) pairs that repeat among their rows.
+    lengths: DataFrame
+    prefixes: DataFrame
+
+    def with_digest(self, rows: DataFrame, text: str, row_id: str) -> DataFrame:
+        """``rows`` with ``__sha``: the digest of rows that may have a copy. Other texts are not hashed whole; a short key of their id stands there, which meets no digest."""
+        sized = rows.withColumn("__len", byte_length(F.col(text)))
+        # the prefix is taken only where the length repeats
+        known = C.join_small(sized, self.lengths.select(F.col("len").alias("__len"), F.lit(True).alias("__again")), "__len", "left", BROADCAST_ROWS)
+        known = known.withColumn("__prefix", F.when(F.col("__again"), prefix_hash(F.col(text))).otherwise(F.xxhash64(row_id)))
+        prefixes = self.prefixes.select(F.col("len").alias("__len"), F.col("prefix").alias("__prefix"), F.lit(True).alias("__met"))
+        met = C.join_small(known, prefixes, ["__len", "__prefix"], "left", BROADCAST_ROWS)
+        may = F.col("__again") & F.col("__met")
+        return met.withColumn("__sha", F.when(may, digest(F.col(text))).otherwise(F.unhex(F.hex(F.xxhash64(row_id))))).drop("__len", "__again", "__prefix", "__met")
+
+
+def byte_length(text: Column) -> Column:
+    # a translation of A-Z to a-z changes neither the bytes' number nor their places: lengths need no translation
+    return F.octet_length(F.coalesce(text, F.lit("")))
+
+
+def prefix_hash(text: Column) -> Column:
+    return F.xxhash64(C.ascii_lower(F.substring(text, 1, PREFIX_CHARS)))
+
+
+def digest(text: Column) -> Column:
+    return F.unhex(F.sha2(C.ascii_lower(text), 256))
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Groups:
     """Find the groups of equal texts (equal after lower-casing A-Z; null counts as empty).
 
-    Lengths are counted first; rows of a length that occurs once need no hash at all. Of the others a prefix hash is
-    taken, and only rows whose (length, prefix hash) occurs again have their full text hashed. Counts are
-    pre-aggregated, so a group that holds a third of all rows costs each task one row. A null id is smaller than any.
+    Three passes, each over what the one before has left: the lengths of all texts are counted; a prefix is read and hashed
+    only for rows whose length occurs again; the whole text only for rows whose (length, prefix hash) occurs again. Counts
+    are pre-aggregated, so a group that holds a third of all rows costs each task one row. A null id is smaller than any.
     """
-    # a translation of A-Z to a-z changes neither the bytes' number nor their places: lengths need no translation
-    sized = docs.select(F.col(id_col).alias("id"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("len"), F.xxhash64(C.ascii_lower(F.substring(F.col(text_col), 1, PREFIX_CHARS))).alias("prefix"), F.col(text_col).alias("text"))
-    lengths = sized.groupBy("len").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # the prefix hash is counted together with the length: one small partial aggregate, and the length test goes first
-    prefixes = C.materialize(sized.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len", "prefix").join(lengths.select("len"), "len", "left_semi"), "dedup-prefixes")
-    survivors = C.join_small(sized, prefixes, ["len", "prefix"], "left_semi", BROADCAST_ROWS).select("id", "len", "prefix", F.unhex(F.sha2(C.ascii_lower(F.col("text")), 256)).alias("sha"))
+    rows = docs.select(F.col(id_col).alias("id"), byte_length(F.col(text_col)).alias("len"), F.col(text_col).alias("text"))
+    lengths = C.materialize(rows.groupBy("len").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len"), "dedup-lengths")
+    again = C.join_small(rows, lengths, "len", "left_semi", BROADCAST_ROWS).withColumn("prefix", prefix_hash(F.col("text")))
+    prefixes = C.materialize(again.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len", "prefix"), "dedup-prefixes")
+    survivors = C.join_small(again, prefixes, ["len", "prefix"], "left_semi", BROADCAST_ROWS).select("id", digest(F.col("text")).alias("sha"))
     each = survivors.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
     groups = each.groupBy("sha").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size"), F.max(F.struct(F.col("id"), F.col("n")))["n"].alias("keep_rows")).where("group_size > 1")
     groups = C.materialize(groups, "dedup-groups")
     repeated = groups.agg(F.max("keep_rows")).first()[0]
-    return Groups(groups, bool(repeated and repeated > 1))
+    return Groups(groups, bool(repeated and repeated > 1), lengths, prefixes)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256 (hex of the normalised text).
 
     Of equal texts the row with the largest id stays; where that row itself is repeated, one of its copies does.
-    A unique text keeps itself with group_size 1. Null ids count as smallest.
+    A unique text keeps itself with group_size 1. Null ids count as smallest. The digest is a column of the result, so that here
+    every text is hashed once more; drop_exact_copies hashes only what the refinement leaves.
     """
     groups = duplicate_groups(docs, id_col, text_col)
-    hashed = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(C.ascii_lower(F.col(text_col)), 256)).alias("sha"))
+    hashed = docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("sha"))
     found = groups.table.select(F.col("sha"), F.col("keep_id").alias("group_keep"), "group_size")
     rows = C.join_small(hashed, found, "sha", "left", BROADCAST_ROWS)
     single = F.col("group_size").isNull()
@@ -72,11 +99,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the copies, columns unchanged: of equal texts the row with the largest id stays.
 
-    A text in no group passes untouched. Where the staying row is repeated, one of its copies passes.
+    A text in no group passes untouched, and one whose length or prefix occurs once without being hashed. Where the staying row is
+    repeated, one of its copies passes.
     """
     groups = duplicate_groups(docs, id_col, text_col)
     names = docs.columns
-    own = docs.withColumn("__sha", F.unhex(F.sha2(C.ascii_lower(F.col(text_col)), 256)))
+    own = groups.with_digest(docs, text_col, id_col)
     found = groups.table.select(F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep"), F.col("keep_rows").alias("__rows"))
     rows = C.join_small(own, found, "__sha", "left", BROADCAST_ROWS)
     rows = rows.where(F.col("__rows").isNull() | F.col(id_col).eqNullSafe(F.col("__keep")))

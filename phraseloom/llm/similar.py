@@ -1,14 +1,18 @@
-"""Near copies by shingle similarity: rare shingles propose pairs, parity fingerprints prune them, shingle sets decide.
+"""Near copies by shingle similarity: SimHash and rare shingles propose pairs, parity fingerprints prune them, shingle sets decide.
 
 Every pair of documents whose five-word shingles have a Jaccard similarity of 0.8 or more is joined, by one link or by a chain
 of links. Two sets of similarity t share a shingle among the first n - ceil(t n) + 1 of each in any one order of all shingles
 (the prefix filter), so that no pair is missed whatever the edits look like. The order is by frequency in a sample, then by
 hash: what many documents share comes last, and the sample changes the cost and never the result.
 
-Documents of equal sets stand behind one of them. Those with a common prefix shingle are compared in two rounds: first each with
-the first and the previous one of its shingle, then each with all others that verified links do not join to it already. What is
-compared must pass two exact bounds, that of the sizes and that of the fingerprints: a fingerprint holds BITS parities of
-the hashes that fall on each bit, and two differ in no more bits than the sets differ in shingles.
+Documents of equal sets stand behind one of them. The others are compared in two rounds. In the first, SimHash fingerprints of the
+five-word shingles propose what the pigeonring filter of ``simhash`` links, and every document meets the first and the
+previous one of each of its prefix shingles. In the second it meets all others of its prefix shingles that verified links do not
+join to it already: this round alone loses no pair, the first one spares it the many pairs within large groups.
+
+What is compared must pass exact bounds: that of the sizes, that of BITS parities (bit i is the parity of the number of
+hashes that fall on it: two sets differ in no fewer shingles than their parities in bits), and that of as many parities as
+the set has shingles, without which long texts would all pass.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
+from . import simhash
 from .components import connected_components
 
 BITS = 480
@@ -41,9 +46,7 @@ BROADCAST_ROWS = 500_000
 
 def shingle_hashes(text: str, k: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of k-word shingles; of the whole sequence where it is shorter; nothing for no words."""
-    from .simhash import hash_shingles
-
-    return np.unique(hash_shingles(text, k))
+    return np.unique(simhash.hash_shingles(text, k))
 
 
 def parities(hashes: np.ndarray) -> bytes:
@@ -51,6 +54,22 @@ def parities(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
 
 
+def wide_parities(hashes: np.ndarray) -> bytes:
+    """The same in the power of two of bits that holds the number of hashes, 512 at least."""
+    bits = 1 << max(9, (len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two wide fingerprints differ; the longer one is folded to the length of the other."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        half = len(x) // 2
+        x = (int.from_bytes(x[:half]) ^ int.from_bytes(x[half:])).to_bytes(half)
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+
+
 def difference(sizes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     """The most shingles that two sets of this total size may differ in."""
     return np.floor(sizes * (1 - similarity) / (1 + similarity) + 1e-6)
@@ -182,19 +201,31 @@ def _with_end(batches):
 
 
 def pruned(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links that may be similar by size and fingerprint. ``sets``: (key, n, print)."""
-    side = lambda end, n, p: sets.select(F.col("key").alias(end), F.col("n").alias(n), F.col("print").alias(p))
-    both = links.join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b")
+    """The links that may be similar by size and wide fingerprint. ``sets``: (key, n, wide), one row for each key."""
+    side = lambda end, n, p: sets.select(F.col("key").alias(end), F.col("n").alias(n), F.col("wide").alias(p))
+    sized = links.join(side("a", "n", "x").drop("x"), "a").join(side("b", "m", "y"), "b").where(F.least("n", "m") >= similarity * F.greatest("n", "m") - 1e-6)
+    both = sized.join(side("a", "n", "x").drop("n"), "a")
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in ("x", "y"))
             n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
-            yield batch.select(["a", "b"]).filter(pa.array(may_be_similar(n, m, x ^ y, similarity), pa.bool_()))
+            most = difference(n + m, similarity).tolist()
+            near = [differing(x, y) <= d for x, y, d in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), most, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return C.map_arrow(both.select("a", "b", "n", "m", "x", "y"), run, "a long, b long")
 
 
+def simhash_pairs(reps: DataFrame) -> DataFrame:
+    """(key, fp) -> (a, b): for each pair of fingerprints that the pigeonring filter links their first keys, and for each key the first one of its own fingerprint."""
+    first = C.materialize(reps.groupBy("fp").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n")), "similar-fingerprints")
+    links = simhash.near_links(first.select("fp"))
+    named = lambda end: first.select(F.col("fp").alias(end), F.col("least").alias(f"key_{end}"))
+    across = links.distinct().join(named("a"), "a").join(named("b"), "b").select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+    within = C.join_small(reps, first.where("n > 1").select("fp", "least"), "fp", "inner", BROADCAST_ROWS).where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b"))
+    return across.unionByName(within)
+
+
 def verified_links(links: DataFrame, keyed: DataFrame, k: int, similarity: float) -> DataFrame:
     """The links whose documents' shingle sets are at least so similar. ``keyed``: (key, text); two empty texts are alike."""
     ends = C.materialize(links.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "similar-ends")
@@ -240,22 +271,25 @@ def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[Da
         import xxhash
 
         for batch in C.small_batches(batches, "text"):
-            hashes = [shingle_hashes(t or "", k) for t in batch.column("text").to_pylist()]
-            columns = [pa.array([len(h) for h in hashes], pa.int64()), pa.array([xxhash.xxh128_digest(h.tobytes()) for h in hashes], pa.binary()), pa.array([parities(h) for h in hashes], pa.binary()), pa.array([prefix(h, frequent, counts, similarity).view(np.int64) for h in hashes], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), *columns], names=["key", "id", "n", "digest", "print", "prefix"])
+            raw = [simhash.hash_shingles(t or "", k) for t in batch.column("text").to_pylist()]
+            hashes = [np.unique(h) for h in raw]
+            columns = [pa.array([len(h) for h in hashes], pa.int64()), pa.array([xxhash.xxh128_digest(h.tobytes()) for h in hashes], pa.binary()), pa.array(np.array([simhash.fingerprint(h) for h in raw], np.uint64).view(np.int64), pa.int64())]
+            columns += [pa.array([parities(h) for h in hashes], pa.binary()), pa.array([wide_parities(h) for h in hashes], pa.binary()), pa.array([prefix(h, frequent, counts, similarity).view(np.int64) for h in hashes], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), *columns], names=["key", "id", "n", "digest", "fp", "print", "wide", "prefix"])
 
-    made = C.materialize(C.map_arrow(narrow, sets, "key long, id long, n long, digest binary, print binary, prefix array<long>"), "similar-sets")
+    made = C.materialize(C.map_arrow(narrow, sets, "key long, id long, n long, digest binary, fp long, print binary, wide binary, prefix array<long>"), "similar-sets")
     equal = made.groupBy("digest").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("digest", "a")
     equal = C.materialize(equal, "similar-equal")
     twins = C.materialize(C.join_small(made.select("key", "digest"), equal, "digest", "inner", BROADCAST_ROWS).where("key <> a").select("a", F.col("key").alias("b")).distinct(), "similar-twins")
     # rows that repeat id and text have one key and count once
-    reps = C.join_small(made.select("key", "prefix"), twins.select(F.col("b").alias("key")), "key", "left_anti", BROADCAST_ROWS)
+    reps = C.join_small(made.select("key", "fp", "prefix"), twins.select(F.col("b").alias("key")), "key", "left_anti", BROADCAST_ROWS)
     shared = C.materialize(shared_shingles(reps.select("key", F.explode("prefix").alias("hash"))), "similar-shared")
     ends = F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("key").alias("b")), F.struct(F.col("before").alias("a"), F.col("key").alias("b"))))
-    tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).where("a <> b").distinct()
-    own = C.join_small(made.select("key", "n", "print"), C.materialize(shared.select("key").distinct(), "similar-keys"), "key", "left_semi", BROADCAST_ROWS).dropDuplicates(["key"])
-    own = C.materialize(own, "similar-own")
-    tried = C.materialize(pruned(tried, own, similarity), "similar-tried")
+    tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).unionByName(simhash_pairs(reps.select("key", "fp").distinct())).where("a <> b").distinct()
+    tried = C.materialize(tried, "similar-proposed")
+    own = C.materialize(made.select("key", "n", "print").dropDuplicates(["key"]), "similar-own")
+    wide = made.select("key", "n", "wide").dropDuplicates(["key"])
+    tried = C.materialize(pruned(tried, wide, similarity), "similar-tried")
     texts = narrow.select("key", "text")
     good = C.materialize(verified_links(tried, texts, k, similarity).unionByName(twins), "similar-verified")
     roots = C.materialize(connected_components(good), "similar-roots")
@@ -265,6 +299,7 @@ def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[Da
     mixed = C.materialize(named.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("hash"), "similar-mixed")
     rows = C.join_small(C.join_small(named, mixed, "hash", "left_semi", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS)
     rest = C.materialize(open_pairs(rows, similarity).join(tried, ["a", "b"], "left_anti"), "similar-open")
+    rest = C.materialize(pruned(rest, wide, similarity), "similar-rest")
     more = C.materialize(verified_links(rest, texts, k, similarity), "similar-more")
     return made, C.materialize(connected_components(good.unionByName(more)), "similar-roots")
 
