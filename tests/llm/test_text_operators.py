@@ -252,3 +252,135 @@ def test_budgets_inside_one_long_piece(spark, library):
         longest = lambda budget: max(k for k, n in enumerate(want) if n <= budget)  # noqa: E731, B023
         assert got[i]["prefix_tokens"] == want
         assert (got[i]["limit_chars"], got[i]["t"], got[i]["c"]) == (longest(6), want[min(9, len(want) - 1)], longest(5))
+
+
+def test_batches_agree_with_the_library(library):
+    import pyarrow as pa
+
+    r = random.Random(11)
+    plain = [a for a in ALPHABET if a.isascii() and not a.startswith("<|")] + ["é", "ß", "\xa0", "\x85", "’", "‐", "it's", "we'll", "'d", "42"]
+    texts = ["".join(r.choice(plain) for _ in range(r.randint(0, 14))) for _ in range(3000)]
+    texts += ["".join(r.choice(ALPHABET) for _ in range(r.randint(0, 9))) for _ in range(300)] + [None, "", "w" * 40_000, "a b'c " * 20_000]
+    column = pa.array(texts, pa.string())
+    counter, encoder = byte_bpe.PrefixCounter(BPE), byte_bpe.PieceEncoder(BPE)
+    wanted = [library(t) for t in texts]
+    assert [list(x) for x in encoder.encode_column(column, 7)] == [[*w, 7] for w in wanted]
+    tables = counter.prefix_counts_of(column)
+    assert [int(t[-1]) for t in tables] == list(map(len, wanted)) and [len(t) for t in tables] == [len(t or "") + 1 for t in texts]
+    assert all(list(tables[i]) == [len(library(texts[i][:k])) for k in range(len(texts[i]) + 1)] for i in r.sample(range(3300), 400))
+    # a slice of a column, as batches are cut, counts alike
+    assert [list(t) for t in counter.prefix_counts_of(column.slice(100, 50))] == [list(t) for t in tables[100:150]]
+
+
+def test_equal_keys_of_short_pieces_are_told_apart(monkeypatch):
+    from phraseloom.llm import cutting
+
+    data = np.frombuffer(b"onetwothreeone" + b"x" * 20 + b"two", np.uint8)
+    starts = np.array([0, 3, 6, 11, 14, 34])
+    for factor in (cutting.MIX, (np.uint64(0), np.uint64(0))):  # without factors every key is equal
+        monkeypatch.setattr(cutting, "MIX", factor)
+        which, contents = cutting.distinct_pieces(data, starts)
+        assert [contents[k] for k in which] == [b"one", b"two", b"three", b"one", b"x" * 20, b"two"] and len(set(contents)) == len(contents)
+
+
+def test_packed_counts(spark, library):
+    df = token_counts.token_counts(docs_of(spark, TEXTS), BPE, store="packed")
+    rows = {r["doc_id"]: r for r in token_counts.unpacked(df).collect()}
+    same = {r["doc_id"]: r["prefix_tokens"] for r in token_counts.token_counts(docs_of(spark, TEXTS), BPE, store="array").collect()}
+    assert {i: r["prefix_tokens"] for i, r in rows.items()} == same and len(rows) == len(TEXTS)
+    assert max(len(r["prefix_packed"]) for r in df.collect()) < 3000
+
+
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_pieces_of_a_column_are_those_of_each_text(n):
+    import pyarrow as pa
+
+    r = random.Random(5)
+    lattice = pieces.PieceLattice(MODEL, n)
+    texts = ["".join(r.choice([*ALPHABET, "_", "▁", "word", "tion"]) for _ in range(r.randint(0, 12))) for _ in range(600)] + [None, "", "same", "same"]
+    ids, scores, restored = lattice.encode_column(pa.array(texts, pa.string()))
+    for text, own, best, ok in zip(texts, ids, scores, restored, strict=True):
+        alone, single = (lattice._alone(text)[:2]) if text else ([], [0.0])
+        assert list(own) == list(alone) and best == pytest.approx(single) and ok
+
+
+def graph(mentions, rounds=pii.ROUNDS, support=pii.SUPPORT, confidence=pii.CONFIDENCE):
+    """The bootstrap in plain Python: (pattern, instance, kinds, seed) edges -> added (pattern, instance, kind)."""
+    edges = {}
+    for pattern, instance, shapes, seed in mentions:
+        key = pattern, instance, tuple(shapes)
+        edges[key] = max(filter(None, [edges.get(key), seed]), default=None)
+    seeds, size, open_ = {}, {}, set()
+    for (p, i, shapes), seed in edges.items():
+        size[p] = size.get(p, 0) + 1
+        if seed:
+            seeds[p, seed] = seeds.get((p, seed), 0) + 1
+        else:
+            open_ |= {(p, i, k) for k in shapes}
+    seeds = {k: n for k, n in seeds.items() if n >= support}
+    open_ = {e for e in open_ if any(p == e[0] for p, _ in seeds)}
+    scores, confident = {}, {}
+    for _ in range(rounds):
+        confident = {}
+        for (p, k), n in seeds.items():
+            own = [scores.get((i, k), 0.0) for q, i, kind in open_ if (q, kind) == (p, k)]
+            value = (n + sum(own)) / (size[p] - len(own) + sum(max(x, pii.UNKNOWN) for x in own))
+            if value >= confidence:
+                confident[p, k] = value
+        scores = {}
+        for p, i, k in open_:
+            if (p, k) in confident:
+                scores[i, k] = 1 - (1 - scores.get((i, k), 0.0)) * max(1e-9, 1 - confident[p, k])
+    added = {(p, i, k) for p, i, k in open_ if (p, k) in confident and scores.get((i, k), 0) >= confidence}
+    return added | {(p, i, "secret") for (p, i, _), seed in edges.items() if seed == "secret" and (p, "secret") in confident}
+
+
+def test_bootstrap_against_plain_graph(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    hexes = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    number = lambda: f"({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}"
+    made = [lambda: "+1 " + number(), number, lambda: f"a{r.randint(0, 99)}@b.com", lambda: f"a{r.randint(0, 99)} (at) b.com"[:3] + "@home", lambda: "4111 1111 1111 1111", lambda: hexes(40), lambda: "k9" + hexes(16), lambda: "1.2.3.4"]
+    lead = {0: ["call", "ring", "dial"], 1: ["call", "ring", "order no"], 5: ['token = "', "key:", "sha"], 6: ['token = "', "key:", "bag"]}
+    texts = []
+    for _ in range(400):
+        k = r.randrange(len(made))
+        texts.append(" ".join([r.choice(["so", "then", "now"]), r.choice(lead.get(k, ["mail", "see", "call"])) + " " + made[k](), r.choice(["thanks", "ok", "today"])]))
+    found = C.materialize(pii.mentions(docs_of(spark, texts)), "found")
+    got = {(x["doc_id"], x["start"], x["end"], x["kind"]) for x in pii.bootstrap(found).collect()}
+    # the same mentions, scored without Spark
+    span = lambda s, kind, base, shapes: F.struct(F.lit(base).alias("base"), kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lower(s["hit"]).alias("hit"), pii._contexts(s).alias("patterns"), shapes.alias("shapes"))
+    every = F.concat(*[F.transform(k, pii._with_kind(k, lambda s, kind: span(s, F.lit(kind), True, F.array(F.lit(kind))))) for k in pii.KINDS], F.transform("loose", lambda s: span(s, F.when(pii._secret_seed(s["hit"]), F.lit("secret")), False, pii._loose_kind(s["hit"]))))
+    rows = found.select("doc_id", F.explode(every).alias("m")).select("doc_id", "m.*").collect()
+    taken = {}
+    for x in rows:
+        if x["base"]:
+            taken.setdefault(x["doc_id"], []).append((x["start"], x["end"]))
+    rows = [x for x in rows if x["base"] or not any(a < x["end"] and x["start"] < b for a, b in taken.get(x["doc_id"], []))]
+    added = graph([(p, x["hit"], x["shapes"], x["kind"]) for x in rows for p in x["patterns"]])
+    want = {}
+    for x in rows:
+        for p in x["patterns"]:
+            for k in pii.ADDED:
+                if not x["base"] and (p, x["hit"], k) in added:
+                    at = x["doc_id"], x["start"], x["end"]
+                    want[at] = min(want.get(at, "zzz"), k, key=lambda n: pii.ADDED.index(n) if n in pii.ADDED else 99)
+    assert got == {(*at, k) for at, k in want.items()} and len(got) > 20
+    assert {k for *_, k in got} >= {"phone", "secret"}
+
+
+def test_secrets_need_their_context(spark):
+    r = random.Random(8)
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    texts = [f'so {w} token = "{key()}" and {w}' for w in "abcdefgh"] + [f"hash {key()} of a file", 'my token = "abc123def456ghi789" here', "a" * 300_000 + " x@y.zz " + "b" * 300_000]
+    got = {x["doc_id"]: x for x in pii.find_pii(docs_of(spark, texts)).collect()}
+    assert all(got[i]["spans"] == "secret:14:54" and got[i]["n_added"] == got[i]["n_spans"] == 1 for i in range(8))
+    assert got[8]["spans"] == "" and got[9]["spans"] == "secret:12:30" and got[10]["spans"] == "email:300001:300007"
+
+
+def test_many_hits_of_one_text(spark):
+    text = "x " + " ".join(f"a{i}@b.com 10.0.{i % 200}.{i // 200}" for i in range(700))
+    got = pii.find_pii(docs_of(spark, [text])).first()
+    want = plain_spans(text)
+    assert (got["n_email"], got["n_ip"]) == (700, 700) and got["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
