@@ -326,11 +326,94 @@ def test_toxicity_on_held_out_rows(spark):
 def test_chain_uses_earlier_probabilities():
     r = np.random.default_rng(0)
     first = (r.random(800) < 0.5).astype(float)
-    sets = [[0] if a else [1] for a in first]
+    rows = [np.array([0 if a else 1]) for a in first]
     # the second label follows the first one, which features tell
-    bias, weights, earlier = toxicity.fit_chain(sets, np.column_stack([first, first]), 2)
-    assert [len(e) for e in earlier] == [0, 1] and earlier[1][0] > 0.5
-    assert math.isfinite(bias[1])
+    models = toxicity.fit_chain(rows, np.column_stack([first, first]), ["a", "b"])
+    assert [len(e) for *_, e in models] == [0, 1] and models[1][3][0] > 0.5
+    assert math.isfinite(models[1][0])
+
+
+def test_out_of_fold_predictions_see_no_row_of_their_fold(monkeypatch):
+    seen = []
+    select = toxicity.select_features
+    monkeypatch.setattr(toxicity, "select_features", lambda rows, y, names: seen.append(len(rows)) or select(rows, y, names))
+    r = np.random.default_rng(1)
+    y = (r.random(80) < 0.5).astype(float)
+    toxicity.fit_chain([np.array([int(a)]) for a in y], np.column_stack([y, y * (r.random(80) < 0.5)]), ["a", "b"])
+    assert seen == [60, 60, 60, 60, 80, 80]  # features of a fold's predictions come from the other folds, those of the models from all
+
+
+def test_toxicity_scores_against_plain_sums(spark):
+    r = random.Random(6)
+    words = ["idiot", "idiotic", "stone", "river", "Trash", "trashy", "ab", "été"]
+    features = tuple(sorted({n for w in words[:6] for n in toxicity.names_of(w.lower())}))
+    weights = tuple(tuple(r.uniform(-1, 1) for _ in features) for _ in toxicity.CATEGORIES)
+    chain = toxicity.Chain(features, (0.1, -0.2, 0.3), weights, ((), (0.7,), (-0.4, 0.9)))
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 9))) for _ in range(60)] + [None, "", "idiot " * 40_000]
+    ids = [*range(60), None, 7, 7]  # null and repeated ids are rows like any other
+    df = spark.createDataFrame([(i, t, 0.5, True) for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, p_toxic double, toxic boolean")
+    found = sorted(((-1 if x["doc_id"] is None else x["doc_id"]), *[round(x[f"p_{c}"], 9) for c in toxicity.CATEGORIES], x["toxic"]) for x in toxicity.toxicity(df, chain).collect())
+    want = []
+    for i, t in zip(ids, texts, strict=True):
+        own, p = {n for w in (t or "").lower().split() for n in toxicity.names_of(w)}, []
+        for c in range(3):
+            z = chain.bias[c] + sum(w for n, w in zip(features, weights[c], strict=True) if n in own) + sum(e * x for e, x in zip(chain.earlier[c], p, strict=True))
+            p.append(1 / (1 + math.exp(-z)))
+        want.append((-1 if i is None else i, *[round(x, 9) for x in p], p[0] >= 0.5))
+    assert found == sorted(want)
+
+
+def test_repeated_ids_keep_the_bounds_of_a_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_DOCS", 20)
+    monkeypatch.setattr(toxicity, "OTHER_DOCS", 30)
+    rows, labels = labelled(spark, 200)
+    gathered = []
+    fit = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda sets, targets, names: gathered.append(targets.sum(axis=0)[0]) or gathered.append(len(sets)) or fit(sets, targets, names))
+    toxicity.train(docs_of(spark, rows * 4), labels.unionByName(labels))
+    assert gathered == [20, 50]
+    monkeypatch.setattr(quality, "DICT_CHUNKS", 40)
+    taken = []
+    dictionary = quality._dictionary
+    monkeypatch.setattr(quality, "_dictionary", lambda samples: taken.append(len(samples)) or dictionary(samples))
+    quality.train(docs_of(spark, rows * 4), labels.unionByName(labels))
+    assert taken == [40, 40]
+
+
+def test_simhash_of_odd_rows(spark):
+    texts = ["a b c d e f g", "A B c d e f g", None, "", "one", "one", "w " * 60_000]
+    df = docs_of(spark, [(i, t, "s") for i, t in zip([5, 5, None, 2, None, 3, 9], texts, strict=True)])
+    got = sorted((str(r["doc_id"]), r["component_id"]) for r in simhash.simhash_components(df).collect())
+    assert got == [("2", 2), ("3", 3), ("5", 5), ("5", 5), ("9", 9), ("None", 2), ("None", 3)]
+    assert simhash.simhash_components(docs_of(spark, [])).count() == 0
+
+
+def test_simhash_large_groups_pass_the_chain_test(monkeypatch):
+    r = np.random.default_rng(2)
+    base = int(r.integers(0, 1 << 62))
+    fps = np.unique(np.array([base ^ (int(x) << 8) for x in r.integers(0, 1 << 16, 900)], np.uint64))
+    tested = []
+    near = simhash._near
+    monkeypatch.setattr(simhash, "_near", lambda a, b: tested.append(len(a)) or near(a, b))
+    a, b = simhash._link_large(fps, 0xFFFF << 8)
+    assert sum(tested) >= len(a) and (np.bitwise_count(a ^ b) <= 2).all()  # real links, each through the filter
+    root = {int(f): int(f) for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def parts(pairs):
+        for f in fps:
+            root[int(f)] = int(f)
+        for x, y in pairs:
+            p, q = find(int(x)), find(int(y))
+            root[max(p, q)] = min(p, q)
+        return [find(int(f)) for f in fps]
+
+    every = [(x, y) for i, x in enumerate(fps) for y in fps[:i][np.bitwise_count(fps[:i] ^ x) <= 2]]
+    assert parts(zip(a, b, strict=True)) == parts(every)
 
 
 def test_pipeline_stages(spark):

@@ -342,7 +342,7 @@ def test_bootstrap_against_plain_graph(spark):
     hexes = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
     number = lambda: f"({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}"
     made = [lambda: "+1 " + number(), number, lambda: f"a{r.randint(0, 99)}@b.com", lambda: f"a{r.randint(0, 99)} (at) b.com"[:3] + "@home", lambda: "4111 1111 1111 1111", lambda: hexes(40), lambda: "k9" + hexes(16), lambda: "1.2.3.4"]
-    lead = {0: ["call", "ring", "dial"], 1: ["call", "ring", "order no"], 5: ['token = "', "key:", "sha"], 6: ['token = "', "key:", "bag"]}
+    lead = {0: ["call", "ring", "dial"], 1: ["order no"] * 6 + ["dial"], 5: ['token = "', "key:", "sha"], 6: ['token = "', "key:", "bag"]}
     texts = []
     for _ in range(400):
         k = r.randrange(len(made))
