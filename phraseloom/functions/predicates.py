@@ -134,19 +134,22 @@ def too_literal(idiom="idiom", meaning="meaning_en", tags="tags", pos="pos") ->
     return ~strong & (T.any_in(m, L.GENERIC_WORDS) | (n <= 3) | ((i <= 3) & (n <= 6)))
 
 
-def raw_dialogue_line(line="text", least: int = 8) -> Column:
-    """(FLT18)"""
-    return T.has_letters(T.col(line)) & T.token_count(line).between(3, 40) & F.length(T.norm(line)).between(least, 250)
+def raw_dialogue_line(line="text", least: int = 8, clean: bool = False) -> Column:
+    """(FLT18) ``clean``: the line is normalised already, so that its blanks tell the tokens."""
+    own = T.col(line)
+    tokens = F.length(own) - F.length(F.replace(own, F.lit(" "), F.lit(""))) + 1 if clean else T.token_count(line)
+    return F.length(own if clean else T.norm(line)).between(least, 250) & T.has_letters(own) & tokens.between(3, 40)
 
 
 def bad_characters(c: Column) -> Column:
     return F.regexp_count(c, F.lit(T.BAD_CHARS))
 
 
-def mining_line(line="text") -> Column:
-    """(FLT19)"""
-    n = F.regexp_count(T.idiom_key(line), F.lit(T.WORD))
-    return F.length(T.norm(line)).between(8, 180) & T.has_letters(T.col(line)) & (bad_characters(T.col(line)) <= 2) & n.between(3, 25)
+def mining_line(line="text", clean: bool = False) -> Column:
+    """(FLT19) ``clean``: the line is normalised already."""
+    own = T.col(line) if clean else T.norm(line)
+    words = F.regexp_count(F.translate(F.lower(own), "’", "'"), F.lit(T.WORD))
+    return F.length(own).between(8, 180) & T.has_letters(T.col(line)) & (bad_characters(T.col(line)) <= 2) & words.between(3, 25)
 
 
 def _dialogue_phrase(phrase: Column, tokens: Column, blocked, starts, weak_words, scaffold: str | None) -> Column:
@@ -222,6 +225,11 @@ def valid_idiom(flag="is_idiom", validity="idiom_validity_label") -> Column:
     return F.coalesce(T.col(flag), F.lit(False)) & (F.coalesce(T.col(validity), F.lit("")) == "valid_idiom")
 
 
+def has_canonical(idiom="idiom_canonical") -> Column:
+    """(FLT38)"""
+    return T.safe(idiom) != ""
+
+
 def corrupted_example(example="example") -> Column:
     """Metadata fragments, or two colons in over 300 characters (FLT29)."""
     e = F.coalesce(T.col(example), F.lit(""))

@@ -60,17 +60,26 @@ def tfidf_pair(a: Column | str, b: Column | str, stopwords: Iterable[str] = SHOR
     empty or no term is left in both.
     """
     single = 1 + F.log(F.lit(1.5))
-    count = lambda terms, t: F.size(F.filter(terms, lambda u: u == t)).cast("double")
+    zero = F.lit(0.0)
 
-    def square(own, other):
-        weight = lambda t: F.when(F.array_contains(other, t), F.lit(1.0)).otherwise(single)
-        return F.aggregate(F.array_distinct(own), F.lit(0.0), lambda s, t: s + count(own, t) * count(own, t) * weight(t) * weight(t))
+    def closed(acc):
+        """The sums with the term that ends here."""
+        weight = F.when((acc["x"] > 0) & (acc["y"] > 0), F.lit(1.0)).otherwise(single)
+        square = lambda n: n * n * weight * weight
+        return acc["dot"] + acc["x"] * acc["y"], acc["xx"] + square(acc["x"]), acc["yy"] + square(acc["y"])
 
-    def of(x: Column, y: Column) -> Column:
-        dot = F.aggregate(F.array_intersect(x, y), F.lit(0.0), lambda s, t: s + count(x, t) * count(y, t))
-        cosine_ = lambda n: F.when(n == 0, 0.0).otherwise(F.round(dot / n, digits))
-        return F.when(F.size(x) + F.size(y) > 0, T.let(F.sqrt(square(x, y)) * F.sqrt(square(y, x)), cosine_))
+    def state(term, x, y, dot, xx, yy):
+        return F.struct(term.alias("term"), x.alias("x"), y.alias("y"), dot.alias("dot"), xx.alias("xx"), yy.alias("yy"))
 
-    # both term lists are found once, not for each term that is compared
-    terms = F.struct(tfidf_terms(a, stopwords).alias("x"), tfidf_terms(b, stopwords).alias("y"))
-    return F.when((T.safe(a) != "") & (T.safe(b) != ""), T.let(terms, lambda p: of(p["x"], p["y"])))
+    def step(acc, item):
+        x, y = item["side"], 1 - item["side"]
+        more = state(acc["term"], acc["x"] + x, acc["y"] + y, acc["dot"], acc["xx"], acc["yy"])
+        return F.when(item["term"] == acc["term"], more).otherwise(state(item["term"], x, y, *closed(acc)))
+
+    def done(acc):
+        return T.let(F.struct(*[c.alias(k) for k, c in zip(("dot", "xx", "yy"), closed(acc), strict=True)]), lambda s: T.let(F.sqrt(s["xx"]) * F.sqrt(s["yy"]), lambda n: F.when(n == 0, zero).otherwise(F.round(s["dot"] / n, digits))))
+
+    # the terms of both texts in one sorted list: equal ones are neighbours, and one pass counts them
+    tagged = lambda c, side: F.transform(tfidf_terms(c, stopwords), lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
+    of = lambda terms: F.when(F.size(terms) > 0, F.aggregate(terms, state(F.lit(""), zero, zero, zero, zero, zero), step, done))
+    return F.when((T.safe(a) != "") & (T.safe(b) != ""), T.let(F.array_sort(F.concat(tagged(a, 1.0), tagged(b, 0.0))), of))

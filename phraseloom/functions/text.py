@@ -12,6 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACES = r"(?U)\s+"
+#: Unicode's white space as characters, for trimming.
+WHITE_CHARS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: The runs that collapsing changes: single blanks, nearly all white space, are no match.
+UNEVEN_SPACES = r"(?U)[^\S ]\s*| \s+"
+NO_SPACES = r"(?U)\S+"
 BAD_SYMBOLS = r"[<>\[\]{}_=+*/\\|]"
 #: The older filters allow the vertical bar.
 BAD_SYMBOLS_NO_BAR = r"[<>\[\]{}_=+*/\\]"
@@ -33,14 +38,23 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df, **columns: Column):
+    """``df`` with columns that are computed once per row, however often later filters and projections mention them.
+
+    They are generated (an array of one struct is unfolded): nothing is inlined into what stands above a generator.
+    """
+    rows = df.select(*[c for c in df.columns if c not in columns], F.explode(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))).alias("__once"))
+    return rows.select(*[c for c in rows.columns if c != "__once"], *[F.col("__once")[k].alias(k) for k in columns])
+
+
 def safe(c: Column | str) -> Column:
     """Null becomes '', white space around is trimmed (SC1)."""
-    return F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(col(c).cast("string"), F.lit("")), F.lit(WHITE_CHARS))
 
 
 def norm(c: Column | str) -> Column:
     """safe, and inner white space runs become one blank (SC1)."""
-    return F.trim(F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), SPACES, " "))
+    return F.trim(F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), UNEVEN_SPACES, " "))
 
 
 def lower_norm(c: Column | str) -> Column:
@@ -70,12 +84,12 @@ def equality_normalized(c: Column | str) -> Column:
 def tidy_example(c: Column | str) -> Column:
     """Curly quotes straightened, blanks collapsed and removed before punctuation (SC6)."""
     straight = F.translate(F.coalesce(col(c), F.lit("")), "“”‘’", "\"\"''")
-    return norm(F.regexp_replace(F.regexp_replace(straight, SPACES, " "), r"\s+([,.!?;:])", "$1"))
+    return norm(F.regexp_replace(F.regexp_replace(straight, UNEVEN_SPACES, " "), r"\s+([,.!?;:])", "$1"))
 
 
 def tokens(c: Column | str) -> Column:
     """White-space tokens; an empty text has none."""
-    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(r"(?U)\S+"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(NO_SPACES), F.lit(0))
 
 
 def token_count(c: Column | str) -> Column:
@@ -85,7 +99,7 @@ def token_count(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Runs of non-space characters (SC8)."""
-    return F.regexp_count(F.coalesce(col(c), F.lit("")), F.lit(r"(?U)\S+"))
+    return F.regexp_count(F.coalesce(col(c), F.lit("")), F.lit(NO_SPACES))
 
 
 def words(c: Column | str) -> Column:
@@ -109,8 +123,8 @@ def literals(values: Iterable[str]) -> Column:
 
 def without(tokens_: Column, stopwords: Iterable[str]) -> Column:
     """Content words: tokens outside the set, repeats kept (SC12)."""
-    stop = literals(sorted(stopwords))
-    return F.filter(tokens_, lambda t: ~F.array_contains(stop, t))
+    stop = sorted(stopwords)  # a set of literals is hashed, an array of them would be searched
+    return F.filter(tokens_, lambda t: ~t.isin(*stop))
 
 
 def tag_list(c: Column | str) -> Column:

@@ -139,7 +139,7 @@ def flatten_core(parsed: DataFrame, idiom_id: Column | None = None) -> DataFrame
 def flatten_extended(parsed: DataFrame, example_field: str = "idiom_in_example") -> DataFrame:
     """Rows of the extended branches (UD4, UD5): a record that is no idiom gives one ``idiom_only`` row.
 
-    ``example_field`` names where the example text is ("example" in the generated branch). Adversarial rows keep an empty usage
+    ``at`` is a row's place in its list. ``example_field`` names where the example text is ("example" in the generated branch). Adversarial rows keep an empty usage
     label, and the idiom as their surface.
     """
     r = F.col("record")
@@ -147,26 +147,26 @@ def flatten_extended(parsed: DataFrame, example_field: str = "idiom_in_example")
     level = [c for c in base.columns if c != "record"]
     flag = F.coalesce(F.col("is_idiom"), F.lit(False))
     blank = {c: (F.lit(None).cast("boolean") if c == "is_example_idiom" else F.lit("")) for c in ROW}
-    only = base.where(~flag).select(*level, F.lit("idiom_only").alias("row_type"), *[v.alias(c) for c, v in blank.items()])
+    only = base.where(~flag).select(*level, F.lit("idiom_only").alias("row_type"), F.lit(0).alias("at"), *[v.alias(c) for c, v in blank.items()])
 
     def rows(frame: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
-        return frame.select(*level, F.lit(kind).alias("row_type"), *[(values[c] if c in values else v).alias(c) for c, v in blank.items()])
+        return frame.select(*level, F.lit(kind).alias("row_type"), "at", *[(values[c] if c in values else v).alias(c) for c, v in blank.items()])
 
     e = F.col("e")
     here = lambda names: {c: F.coalesce(e[c], F.lit("")) for c in names}
-    main = base.where(flag).select("*", F.explode(r["examples"]).alias("e"))
+    main = base.where(flag).select("*", F.posexplode(r["examples"]).alias("at", "e"))
     shared = ("source_style", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "explanation_en", "explanation_ar")
     main = rows(main, "main_example", here((*shared, "context_type", "idiom_surface", "example_usage_label")) | {"idiom_in_example": F.coalesce(e[example_field], F.lit("")), "is_example_idiom": e["is_example_idiom"]})
-    adv = base.where(flag).select("*", F.explode(r["adversarial_examples"]).alias("e"))
+    adv = base.where(flag).select("*", F.posexplode(r["adversarial_examples"]).alias("at", "e"))
     adv = rows(adv, "adversarial_example", here((*shared, "expected_label", "adversarial_type")) | {"context_type": F.lit("adversarial"), "idiom_surface": F.coalesce("idiom_canonical", F.lit("")), "idiom_in_example": F.coalesce(e[example_field], F.lit(""))})
     return only.unionByName(main).unionByName(adv)
 
 
 def candidates_of(results: DataFrame, value: str = "value") -> DataFrame:
-    """Generated candidates of result lines, one row each (UD6)."""
+    """Generated candidates of result lines, one row each, with their place ``at`` in the answer (UD6)."""
     schema = "generation_category string, candidates array<struct<idiom_candidate:string, proposed_meaning_en:string, idiom_domain:string, idiom_register:string, slang_strength:string, regionality:string, notes:string>>"
     parsed = parse_results(results, schema, value, first_only=True).where("parsed")
-    return parsed.select("custom_id", "record.generation_category", F.inline("record.candidates"))
+    return parsed.select("custom_id", "record.generation_category", F.posexplode("record.candidates").alias("at", "c")).select("custom_id", "generation_category", "at", "c.*")
 
 
 def unprocessed(df: DataFrame, log: DataFrame, key: str = "row_index") -> DataFrame:

@@ -66,7 +66,7 @@ def match_status(new: DataFrame, main: DataFrame, idiom: str = "idiom", meaning:
 
     In order: missing idiom, exact triple, known pair, known idiom without a meaning, near-duplicate of a known meaning (the first
     by the inventory's position), new meaning, new idiom. Candidates for near duplicates share the idiom, an equi join; the
-    sequence ratio, which runs in Python, sees only pairs that the token sets leave open.
+    sequence ratio, which runs in Python, sees only pairs that the token sets and the lengths leave open.
     """
     view = lambda df: df.withColumns({"__i": T.idiom_key(idiom), "__m": T.idiom_key(meaning), "__e": T.example_key(example)})
     n, m = view(new), view(main).where("__i <> ''")
@@ -81,7 +81,10 @@ def match_status(new: DataFrame, main: DataFrame, idiom: str = "idiom", meaning:
     candidates = open_rows.join(side, "__i").withColumn("__sure", S.surely_near("__m", "__main"))
     near = candidates.where("__sure")
     if with_ratio:
-        near = near.unionByName(candidates.where("not __sure").where(S.sequence_ratio(F.col("__m"), F.col("__main")) >= least_ratio))
+        # the ratio is 2 * matched / (both lengths), and no more than the shorter text can match
+        n, m = F.length("__m"), F.length("__main")
+        open_pairs = candidates.where("not __sure").where(2 * F.least(n, m) >= least_ratio * (n + m) - 1e-9)
+        near = near.unionByName(open_pairs.where(S.sequence_ratio(F.col("__m"), F.col("__main")) >= least_ratio))
     first = best_row(near, ["__row", "__m"], ["__at"]).select("__row", F.col("__m").alias("__of"), F.col("__main").alias("matched_meaning"))
     out = rows.join(first, (rows[position] == first["__row"]) & (rows["__m"] == first["__of"]) & rows["status"].isNull(), "left")
     status = F.coalesce("status", F.when(F.col("matched_meaning").isNotNull(), "remove_near_duplicate_meaning_of_main").otherwise("keep_new_meaning_for_existing_idiom"))

@@ -18,18 +18,28 @@ def ngrams(tokens: Column, least: int, most: int) -> Column:
 
     def of(n: int) -> Column:
         starts = F.when(size >= n, F.sequence(F.lit(0), F.greatest(size - n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(F.lit(n).alias("n"), i.alias("start"), F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ").alias("phrase")))
+        return F.transform(starts, lambda i: let_slice(i, n))
+
+    def let_slice(i: Column, n: int) -> Column:
+        return T.let(F.slice(tokens, i + 1, F.lit(n)), lambda w: F.struct(F.lit(n).alias("n"), i.alias("start"), F.array_join(w, " ").alias("phrase"), w.alias("tokens")))
 
     return F.concat(*[of(n) for n in range(least, most + 1)])
 
 
+def good_lines(lines: DataFrame, line_id: str = "line_id", text: str = "text") -> DataFrame:
+    """(line_id, line): normalised lines worth mining (FLT19)."""
+    rows = T.once(lines.select(F.col(line_id).alias("line_id"), F.col(text).alias("__text")), line=T.norm("__text"))
+    return rows.where(P.mining_line("line", clean=True)).select("line_id", "line")
+
+
 def occurrences(lines: DataFrame, line_id: str = "line_id", text: str = "text", least: int = 3, most: int = 5) -> DataFrame:
-    """(line_id, line, n, start, phrase): n-grams of good lines that pass the structural filters, repeats in a line kept.
+    """(line_id, n, start, phrase): n-grams of good lines that pass the structural filters, repeats in a line kept.
 
-    Lines are filtered before anything is exploded; the filters look at an n-gram's tokens once it is a row.
+    Lines are filtered before anything is exploded; the filters look at an n-gram's tokens once it is a row. The line itself
+    does not travel with its n-grams.
     """
-    good = lines.where(P.mining_line(text)).select(F.col(line_id).alias("line_id"), T.norm(text).alias("line"), F.regexp_extract_all(F.lower(T.norm(text)), F.lit(T.WORD), F.lit(0)).alias("tokens"))
-    rows = good.select("line_id", "line", F.explode(ngrams(F.col("tokens"), least, most)).alias("g")).select("line_id", "line", "g.*").withColumn("tokens", F.split("phrase", " "))
+    good = good_lines(lines, line_id, text).select("line_id", F.regexp_extract_all(F.lower("line"), F.lit(T.WORD), F.lit(0)).alias("tokens"))
+    rows = good.select("line_id", F.explode(ngrams(F.col("tokens"), least, most)).alias("g")).select("line_id", "g.*")
     spoken = (F.col("n") > 3) | P.spoken_signal(F.col("tokens"))
     return rows.where(P.mining_phrase(F.col("phrase"), F.col("tokens")) & spoken).drop("tokens")
 
@@ -38,16 +48,16 @@ def mine_phrases(lines: DataFrame, min_count: int = 5, line_id: str = "line_id",
     """Phrases in at least ``min_count`` lines: phrase, frequency_count, example, token_length, lexical_score (AG24, WN11, WN12).
 
     A line counts once for a phrase. The example is the best of the first 20 occurrences in (line, n, start) order, the first on
-    ties. Counting is pre-aggregated per task; only lines of frequent phrases are looked at again, and each task keeps no more
-    than 20 of a phrase. Line ids must be unique.
+    ties. (phrase, line) pairs are counted first, without the lines' text; of frequent phrases each task keeps no more than the
+    first 20 lines, and only these are looked up. Line ids must be unique.
     """
-    each = occurrences(lines, line_id, text, least, most).groupBy("phrase", "line_id", "line").agg(F.count(F.lit(1)).alias("times"))
-    # both uses of ``each`` share its shuffle: lines are read and unfolded once
+    each = occurrences(lines, line_id, text, least, most).groupBy("phrase", "line_id").agg(F.count(F.lit(1)).alias("times"))
+    # both uses of ``each`` share its shuffle: lines are unfolded once
     counts = each.groupBy("phrase").agg(F.count(F.lit(1)).alias("frequency_count")).where(F.col("frequency_count") >= min_count)
     order = Window.partitionBy("phrase").orderBy("line_id")
     first = each.join(counts, "phrase").withColumn("at", F.row_number().over(order)).where(F.col("at") <= EXAMPLES)
     before = F.coalesce(F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    first = first.withColumn("before", before).where(F.col("before") < EXAMPLES)
+    first = first.withColumn("before", before).where(F.col("before") < EXAMPLES).join(good_lines(lines, line_id, text), "line_id")
     scored = first.withColumn("score", S.example_score("line", F.col("phrase"), (5, 16), (4, 20)))
     best = scored.groupBy("phrase").agg(F.max("frequency_count").alias("frequency_count"), F.max_by("line", F.struct(F.col("score"), -F.col("at"))).alias("example"))
     tokens = F.split("phrase", " ")

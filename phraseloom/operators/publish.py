@@ -43,6 +43,11 @@ def pre_enrichment(df: DataFrame, prefix: str = "idiom_", origin: str = "source"
     return blanks_to_null(out).select(*PRE_ENRICHMENT_COLUMNS)
 
 
+def valid_only(df: DataFrame) -> DataFrame:
+    """Valid rows, null texts as '' (UD22)."""
+    return df.where(P.valid_idiom()).fillna("")
+
+
 def prepare_rows(df: DataFrame) -> DataFrame:
     """Clean texts and flags of flattened rows; null texts become ''."""
     texts = ("idiom_id", "idiom_canonical", "row_type", "context_type", "example_usage_label", "expected_label", "source_style", "idiom_surface", "idiom_in_example", "adversarial_type")
@@ -157,7 +162,9 @@ def add_quality(df: DataFrame, similarity: Column, high: float = 0.35, medium: f
 
 def below_quantile(df: DataFrame, column: str, share: float = 0.05) -> DataFrame:
     """Rows below a quantile of the column (FLT37): one aggregated row joined to all."""
-    cut = df.agg(F.percentile(column, F.lit(share)).alias("__cut"))
+    from phraseloom.operators.stats import exact_quantiles
+
+    cut = exact_quantiles(df, column, (share,)).select(F.col("q0").alias("__cut"))
     return df.join(F.broadcast(cut), F.col(column) < F.col("__cut")).drop("__cut")  # one row is broadcast
 
 

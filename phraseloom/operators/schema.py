@@ -47,10 +47,10 @@ def resolve(df: DataFrame, *candidates: str) -> str | None:
     return next((c for c in candidates if c in df.columns), None)
 
 
-def to_source_schema(df: DataFrame, source: str, source_type: str, confidence: str, meaning: str = "meaning") -> DataFrame:
-    """The common source schema with constants (PRJ1)."""
+def to_source_schema(df: DataFrame, source: str, source_type: str, confidence: str, meaning: str = "meaning", keep: Sequence[str] = ()) -> DataFrame:
+    """The common source schema with constants (PRJ1); ``keep`` names columns that stay after it."""
     out = df.withColumnRenamed(meaning, "meaning_en").withColumns({"source": F.lit(source), "source_type": F.lit(source_type), "idiom_confidence": F.lit(confidence)})
-    return reorder(ensure_columns(out, SOURCE_COLUMNS), SOURCE_COLUMNS, only=True)
+    return reorder(ensure_columns(out, SOURCE_COLUMNS), (*SOURCE_COLUMNS, *keep), only=True)
 
 
 def comparison_view(df: DataFrame, idiom: str, meaning: str, example: str, position: str = "_pos") -> DataFrame:

@@ -38,12 +38,51 @@ def shares(df: DataFrame, column: Column | str, digits: int = 4, percent: bool =
     return found.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) * (100 if percent else 1), digits))
 
 
+#: Rank error of the sketch that brackets a quantile, as a share of all rows, and half the width of the bracket.
+SKETCH, BRACKET = 1e-5, 2e-5
+
+
+def exact_quantiles(df: DataFrame, column: Column | str, shares: Sequence[float]) -> DataFrame:
+    """One row: n, and the interpolated quantiles q0, q1, ... of the non-null values, null without any.
+
+    A sketch brackets each quantile; the values are counted, pre-aggregated, and only the distinct values within a bracket,
+    BRACKET of the ranks on either side, meet in one task, with the counts of what lies below.
+    """
+    values = df.select(T.col(column).cast("double").alias("v")).where("v is not null")
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    edges = [min(max(p + d, 0.0), 1.0) for p in shares for d in (-BRACKET, BRACKET)]
+    marks = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", edges, int(1 / SKETCH)).alias("edges"))
+    rows = counts.join(F.broadcast(marks))  # one row
+    parts = []
+    for k in range(len(shares)):
+        lo, hi = F.get("edges", F.lit(2 * k)), F.get("edges", F.lit(2 * k + 1))
+        parts += [F.sum(F.when(F.col("v") < lo, F.col("c")).otherwise(0)).alias(f"below{k}"), F.max(F.when(F.col("v") < lo, F.col("v"))).alias(f"prev{k}"), F.min(F.when(F.col("v") > hi, F.col("v"))).alias(f"next{k}")]
+        parts.append(F.sort_array(F.collect_list(F.when((F.col("v") >= lo) & (F.col("v") <= hi), F.struct("v", "c")))).alias(f"inside{k}"))
+    found = rows.agg(F.max("n").alias("n"), *parts)
+
+    def at(k: int, rank: Column) -> Column:
+        """The value of a rank from 0; by the sketch's error it may lie one beyond the bracket of a small table."""
+        start = F.struct(F.col(f"below{k}").alias("run"), F.lit(None).cast("double").alias("v"))
+        step = lambda acc, x: F.struct((acc["run"] + x["c"]).alias("run"), F.when((acc["run"] <= rank) & (rank < acc["run"] + x["c"]), x["v"]).otherwise(acc["v"]).alias("v"))
+        inside = F.aggregate(f"inside{k}", start, step, lambda acc: acc["v"])
+        return F.when(rank < F.col(f"below{k}"), F.col(f"prev{k}")).otherwise(F.coalesce(inside, F.col(f"next{k}")))
+
+    out = []
+    for k, p in enumerate(shares):
+        place = F.lit(float(p)) * (F.col("n") - 1)
+        low = F.floor(place)
+        first, second = at(k, low), at(k, F.least(low + 1, F.col("n") - 1))
+        out.append((first + (place - low) * (second - first)).alias(f"q{k}"))
+    return found.select(F.coalesce("n", F.lit(0)).alias("n"), *out)
+
+
 def numeric_summary(df: DataFrame, column: Column | str, digits: int = 4) -> DataFrame:
     """count, mean, std, min, p25, median, p75, max; a single value has std 0, no values give 0 throughout (AG9, AG22)."""
     x = T.col(column).cast("double")
     zero = lambda c: F.coalesce(F.round(c, digits), F.lit(0.0))
-    q = lambda p: zero(F.percentile(x, F.lit(p)))
-    return df.agg(F.count(x).alias("count"), zero(F.avg(x)).alias("mean"), zero(F.stddev_samp(x)).alias("std"), zero(F.min(x)).alias("min"), q(0.25).alias("p25"), q(0.5).alias("median"), q(0.75).alias("p75"), zero(F.max(x)).alias("max"))
+    plain = df.agg(F.count(x).alias("count"), zero(F.avg(x)).alias("mean"), zero(F.stddev_samp(x)).alias("std"), zero(F.min(x)).alias("min"), zero(F.max(x)).alias("max"))
+    quantiles = exact_quantiles(df, column, (0.25, 0.5, 0.75)).select(*[zero(F.col(f"q{k}")).alias(name) for k, name in enumerate(("p25", "median", "p75"))])
+    return plain.join(F.broadcast(quantiles)).select("count", "mean", "std", "min", "p25", "median", "p75", "max")  # one row each
 
 
 def filled_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -144,6 +183,13 @@ def histogram(df: DataFrame, column: Column | str, low: float, high: float, bins
     return df.select(F.width_bucket(T.col(column).cast("double"), F.lit(low), F.lit(high), F.lit(bins)).alias("bin")).where("bin is not null").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+def bars(df: DataFrame, column: Column | str) -> DataFrame:
+    """Labels, counts and heights relative to the tallest: the data of a bar chart (SNK8)."""
+    counts = df.groupBy(T.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.agg(F.max("n").alias("most"))  # one row
+    return counts.join(F.broadcast(most)).select("label", "n", F.round(F.col("n") / F.col("most"), 4).alias("height"))
+
+
 def full_report(df: DataFrame, core: tuple[str, str, str], distributions: Sequence[str], numbers: Mapping[str, Column]) -> DataFrame:
     """(section, metric, value): core counts, distributions, numeric summaries and missing values (AG11, AG12, AG32)."""
     parts = [to_long("core", core_statistics(df, *core))]

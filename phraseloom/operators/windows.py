@@ -33,11 +33,17 @@ def pair_ids(df: DataFrame, keys: Sequence[str], complete: Column | None = None,
     """A running number over the sorted distinct key tuples, as ``<first key><infix><number>`` (WN7-WN9).
 
     With ``complete`` (a boolean aggregate of a pair) only such pairs are numbered, others get null. Numbers come from counts
-    per slice of the order (the first characters of the first key) and a number within the slice, so that the only
-    unpartitioned window runs over slices; rows get their id by a join and never pass through a window.
+    per slice of the order and a number within the slice, so that the only unpartitioned window runs over slices; rows get their
+    id by a join and never pass through a window. A slice is what shares the first characters of the first key beyond
+    the prefix that all keys have in common.
     """
     pairs = df.groupBy(*keys).agg((F.lit(True) if complete is None else complete).alias("__complete")).where("__complete").drop("__complete")
-    pairs = pairs.withColumn("__slice", F.substring(F.coalesce(F.col(keys[0]).cast("string"), F.lit("")), 1, slice_chars))
+    first = F.coalesce(F.col(keys[0]).cast("string"), F.lit(""))
+    ends = pairs.agg(F.min(first).alias("lo"), F.max(first).alias("hi"))
+    places = F.sequence(F.lit(0), F.least(F.length("lo"), F.length("hi")))
+    common = F.aggregate(places, F.lit(0), lambda n, i: F.when((n + 1 == i) & F.substring("lo", i, F.lit(1)).eqNullSafe(F.substring("hi", i, F.lit(1))), i).otherwise(n))
+    shared = ends.select(F.coalesce(common, F.lit(0)).alias("__shared"))  # one row
+    pairs = pairs.join(F.broadcast(shared)).withColumn("__slice", F.substring(first, F.lit(1), F.col("__shared") + slice_chars)).drop("__shared")
     upto = F.sum("count").over(Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     before = pairs.groupBy("__slice").count().select("__slice", F.coalesce(upto, F.lit(0)).alias("__before"))
     n = F.row_number().over(Window.partitionBy("__slice").orderBy(*keys))
@@ -48,12 +54,24 @@ def pair_ids(df: DataFrame, keys: Sequence[str], complete: Column | None = None,
     return rows.join(ids, same, "left").drop(*[f"__{k}" for k in keys])
 
 
-def fill_both_ways(df: DataFrame, key: str, column: str, position: str = "_pos") -> DataFrame:
-    """Nulls of a group filled from the rows before, else after (WN10)."""
-    w = Window.partitionBy(key).orderBy(position)
+def fill_both_ways(df: DataFrame, key: str, column: str, position: str = "_pos", slices: Column | None = None) -> DataFrame:
+    """Nulls of a group filled from the rows before, else after (WN10).
+
+    ``slices`` (a column that never falls as the position rises) splits the work of large groups: rows meet within a slice of
+    their key, and between slices only the first and last value of each is carried, so that no task holds a whole key.
+    """
+    rows = df.withColumn("__slice", F.lit(0).cast("long") if slices is None else slices.cast("long"))
+    w = Window.partitionBy(key, "__slice").orderBy(position)
     before = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return df.withColumn(column, F.coalesce(before, after))
+    if slices is None:
+        return rows.withColumn(column, F.coalesce(before, after)).drop("__slice")
+    known = F.col(column).isNotNull()
+    ends = rows.groupBy(key, "__slice").agg(F.max_by(column, F.when(known, F.col(position))).alias("__last"), F.min_by(column, F.when(known, F.col(position))).alias("__first"))
+    order = Window.partitionBy(key).orderBy("__slice")
+    carried = ends.select(F.col(key).alias("__key"), F.col("__slice").alias("__at"), F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+    filled = rows.withColumns({"__up": before, "__down": after}).join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__at")))
+    return filled.withColumn(column, F.coalesce("__up", "__before", "__down", "__after")).select(*df.columns)
 
 
 def best_value(df: DataFrame, keys: Sequence[str], value: str, score: Column, position: Column) -> DataFrame:

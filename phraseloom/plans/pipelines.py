@@ -35,13 +35,16 @@ def high_precision(rows: DataFrame) -> DataFrame:
 
 
 def core_inventory(entries: DataFrame, lexical: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dictionary entries (and lexical-database rows with ``_pos``) -> broad and high-precision sets, in the source schema + _pos."""
-    senses = D.first_row(R.dictionary_senses(entries), [F.lower("idiom"), F.lower("meaning")])
+    """Dictionary entries and lexical-database rows, both with ``_pos``, their place in the input -> broad and high-precision sets.
+
+    Sets are in the source schema; their ``_pos`` is (branch, place, sense), so that the first wins in the order of the input.
+    """
+    senses = R.dictionary_senses(entries).withColumn("_pos", F.struct(F.lit(0).alias("branch"), F.col("_pos").cast("long").alias("place"), F.col("sense_index").cast("int").alias("sense")))
+    senses = D.first_row(senses, [F.lower("idiom"), F.lower("meaning")])
     rows = high_precision(clean(strict_filter(senses)))
-    merged = Sch.to_source_schema(rows, "kaikki_wiktionary", "dictionary", "high")
-    merged = merged.withColumn("_pos", F.xxhash64("idiom", "meaning_en"))
+    merged = Sch.to_source_schema(rows, "kaikki_wiktionary", "dictionary", "high", keep=("_pos",))
     if lexical is not None:
-        other = Sch.normalize_source(lexical.withColumns({"source": F.lit("wordnet"), "source_type": F.lit("lexical_database"), "idiom_confidence": F.lit("medium")}))
+        other = Sch.normalize_source(lexical.withColumns({"source": F.lit("wordnet"), "source_type": F.lit("lexical_database"), "idiom_confidence": F.lit("medium"), "_pos": F.struct(F.lit(1).alias("branch"), F.col("_pos").cast("long").alias("place"), F.lit(0).alias("sense"))}))
         merged = Sch.align_union(merged, other.select(*Sch.SOURCE_COLUMNS, "_pos"))
     merged = D.first_row(merged, [F.lower(T.safe("idiom")), F.lower(T.safe("meaning_en"))])
     return global_filter(merged)
@@ -80,7 +83,7 @@ def merge_stage_2(merged: DataFrame, dialogue: DataFrame) -> DataFrame:
 def dialogue_candidates(lines: DataFrame, min_count: int = 5, line_id: str = "line_id", text: str = "text") -> DataFrame:
     """Mined and cleaned phrases in the source schema."""
     mined = M.mine_phrases(lines, min_count, line_id, text)
-    rows = mined.select(F.col("phrase").alias("idiom"), F.lit("").alias("meaning_en"), "example", F.lit(L.DIALOGUE_SOURCE).alias("source"), F.lit("dialogue").alias("source_type"), F.lit("phrase").alias("pos"), F.lit("candidate,dialogue,repeated_ngram").alias("tags"), F.lit("low").alias("idiom_confidence"), F.lit("").alias("source_url"), F.xxhash64("phrase").alias("_pos"))
+    rows = mined.select(F.col("phrase").alias("idiom"), F.lit("").alias("meaning_en"), "example", F.lit(L.DIALOGUE_SOURCE).alias("source"), F.lit("dialogue").alias("source_type"), F.lit("phrase").alias("pos"), F.lit("candidate,dialogue,repeated_ngram").alias("tags"), F.lit("low").alias("idiom_confidence"), F.lit("").alias("source_url"), F.col("phrase").alias("_pos"))
     return M.clean_candidates(rows)
 
 
@@ -104,7 +107,7 @@ def modern_inventory(broad: DataFrame, high: DataFrame, main: DataFrame) -> Data
 def generated_inventory(results: DataFrame, known: DataFrame) -> DataFrame:
     """Generated candidates, valid, not known yet, one per idiom; ``known`` has idiom_canonical."""
     found = E.candidates_of(results).where(P.generated_candidate())
-    rows = found.withColumns({"idiom_canonical": T.idiom_key("idiom_candidate"), "_pos": F.xxhash64("custom_id", "idiom_candidate", "proposed_meaning_en")})
+    rows = found.withColumns({"idiom_canonical": T.idiom_key("idiom_candidate"), "_pos": F.struct("custom_id", "at")})
     rows = J.not_in(rows, R.inventory(known), "idiom_canonical")
     return D.first_row(rows, ["idiom_canonical"])
 
@@ -112,7 +115,7 @@ def generated_inventory(results: DataFrame, known: DataFrame) -> DataFrame:
 def enriched(parsed: DataFrame, position: str = "_pos") -> DataFrame:
     """Parsed result records -> merge-ready rows of the extended branches."""
     rows = E.flatten_extended(parsed).where(P.valid_idiom())
-    rows = rows.withColumn(position, F.xxhash64("idiom_id", "row_type", "context_type", "idiom_in_example", "adversarial_type"))
+    rows = rows.withColumn(position, F.struct("idiom_id", "row_type", "at"))
     return Pub.finalize(rows, position)
 
 

@@ -180,8 +180,8 @@ def s_has(values, toks: str = "toks") -> str:
 # --- text functions -------------------------------------------------------------------------------------------------------------
 @query("q_line_normalize", "SELECT doc_id, line_no, text FROM (SELECT doc_id, line_no, " + "CASE WHEN regexp_matches(t, '^\\d+$') OR regexp_matches(t, '^\\d{1,2}:\\d{2}(?::\\d{2})?(?:,\\d{1,3})?$') THEN '' ELSE t END AS text FROM (SELECT doc_id, line_no, " + s_norm("translate(regexp_replace(regexp_replace(regexp_replace(" + s_norm("text") + ", '\\[(.*?)\\]|\\((.*?)\\)|\\{(.*?)\\}', ' ', 'g'), '^\\s*[A-Z][A-Z0-9 _-]{1,25}:\\s+', ''), '^\\s*[-–—]+\\s*', ''), '“”’‘', '\"\"''''')") + " AS t FROM lines)) WHERE length(text) BETWEEN 8 AND 250 AND regexp_matches(text, '[A-Za-z]') AND " + s_count("text") + " BETWEEN 3 AND 40", lines=LINES_SQL)
 def _line_normalize(spark, d):
-    rows = lines(spark, d).withColumn("text", T.dialogue_line("text"))
-    return rows.where(P.raw_dialogue_line("text")).select("doc_id", "line_no", "text")
+    rows = T.once(lines(spark, d), text=T.dialogue_line("text"))
+    return rows.where(P.raw_dialogue_line("text", clean=True)).select("doc_id", "line_no", "text")
 
 
 @query("q_example_normalized", f"SELECT doc_id, md5({s_norm(chr(114) + 'egexp_replace(lower(text), ' + chr(39) + '[^\\p{L}\\p{N}_\\s]' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}) AS deleted, md5({s_norm(chr(114) + 'egexp_replace(lower(text), ' + chr(39) + '[^\\p{L}\\p{N}_\\s]' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}) AS spaced, length(text) AS chars, {s_count('text')} AS words FROM documents")
@@ -332,9 +332,12 @@ def _mining_statistics(spark, d):
     return M.mining_statistics(lines(spark, d), 3).drop("good_lines")
 
 
-@query("q_dialogue_candidates")
+_DIALOGUE = f"SELECT c._pos AS idiom, '' AS meaning_en, m.example, 'opensubtitles_dialogue' AS source, 'dialogue' AS source_type FROM ({ORACLES['q_candidate_clean'].replace(IDIOMS_SQL, 'SELECT phrase AS _pos, phrase AS idiom, example FROM mined')}) c JOIN mined m ON c._pos = m.phrase WHERE shape_ok AND NOT literal"
+
+
+@query("q_dialogue_candidates", _DIALOGUE, mined=ORACLES["q_phrase_mining"])
 def _dialogue_candidates(spark, d):
-    return Plan.dialogue_candidates(lines(spark, d), 3)
+    return Plan.dialogue_candidates(lines(spark, d), 3).select("idiom", "meaning_en", "example", "source", "source_type")
 
 
 # --- deduplication -------------------------------------------------------------------------------------------------------------------
@@ -456,7 +459,7 @@ def _metadata_fill(spark, d):
 # --- windows, samples, splits ----------------------------------------------------------------------------------------------------------
 @query("q_ffill_bfill", "SELECT _pos, coalesce(last_value(meaning IGNORE NULLS) OVER (PARTITION BY src ORDER BY _pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(meaning IGNORE NULLS) OVER (PARTITION BY src ORDER BY _pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS meaning FROM meta", meta=META_SQL)
 def _fill(spark, d):
-    return W.fill_both_ways(metadata(spark, d), "src", "meaning").select("_pos", "meaning")
+    return W.fill_both_ways(metadata(spark, d), "src", "meaning", slices=F.floor(F.col("_pos") / 100)).select("_pos", "meaning")
 
 
 @query("q_cumcount", "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS rank FROM conversations")
@@ -470,14 +473,23 @@ def _pair_ids(spark, d):
     return W.pair_ids(enriched(spark, d), ["idiom_id", "context_type"], (F.count_if(label == "idiomatic") > 0) & (F.count_if(label == "literal") > 0)).select("_pos", "minimal_pair_id")
 
 
-@query("q_finalize", "SELECT _pos, CASE r WHEN 0 THEN 'main_example' ELSE concat('adversarial_example_', r) END AS row_type FROM (SELECT _pos, 0 AS r FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id, context_type, example_usage_label ORDER BY (trim(idiom_in_example) <> '')::INT DESC, length(e) DESC, (coalesce(idiom_surface, '') <> '')::INT DESC, _pos) AS a FROM rows WHERE row_type = 'main_example' AND example_usage_label IN ('idiomatic', 'literal')) WHERE a = 1 UNION ALL SELECT _pos, r FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY (e <> '')::INT DESC, length(e) DESC, adversarial_type, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2)", enriched=ENRICHED_SQL, rows=f"SELECT *, {s_safe('idiom_in_example')} AS e FROM enriched")
+_FINAL = {"enriched": ENRICHED_SQL, "rows": f"SELECT *, {s_safe('idiom_in_example')} AS e, CASE lower(is_example_idiom) WHEN 'true' THEN true WHEN 'false' THEN false WHEN '0' THEN false END AS flag FROM enriched"}
+_V2 = {"kept": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id, context_type, example_usage_label ORDER BY (trim(idiom_in_example) <> '')::INT DESC, length(e) DESC, (coalesce(idiom_surface, '') <> '')::INT DESC, _pos) AS a FROM rows WHERE row_type = 'main_example' AND example_usage_label IN ('idiomatic', 'literal')) WHERE a = 1", "pairs": "SELECT idiom_id AS i, context_type AS c, row_number() OVER (ORDER BY idiom_id, context_type) AS n FROM kept GROUP BY 1, 2 HAVING count(DISTINCT example_usage_label) = 2"}
+
+
+@query("q_finalize", f"SELECT _pos, row_type, example_usage_label, example_usage_label AS expected_label, example_usage_label = 'idiomatic' AS is_example_idiom, concat(i, '_pair_', n) AS minimal_pair_id, false AS is_adversarial_example FROM kept JOIN pairs ON idiom_id = i AND context_type = c UNION ALL SELECT _pos, row_type, example_usage_label, example_usage_label, example_usage_label = 'idiomatic', NULL, false FROM kept WHERE (idiom_id, context_type) NOT IN (SELECT (i, c) FROM pairs) UNION ALL SELECT _pos, concat('adversarial_example_', r), example_usage_label, CASE WHEN expected_label IN {s_list(L.LABELS)} THEN expected_label ELSE 'borderline' END, flag, NULL, true FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY (e <> '')::INT DESC, length(e) DESC, adversarial_type, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2", **_FINAL, **_V2)
 def _finalize(spark, d):
-    return Pub.finalize(enriched(spark, d)).select("_pos", "row_type")
+    return Pub.finalize(enriched(spark, d)).select("_pos", "row_type", "example_usage_label", "expected_label", "is_example_idiom", "minimal_pair_id", "is_adversarial_example")
 
 
-@query("q_finalize_v1", "SELECT _pos, row_type FROM (SELECT _pos, row_type FROM rows WHERE NOT contains(row_type, 'adversarial') UNION ALL SELECT _pos, concat('adversarial_example_', r) FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY adversarial_type, e, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2)", enriched=ENRICHED_SQL, rows=f"SELECT *, {s_safe('idiom_in_example')} AS e FROM enriched")
+@query("q_finalize_v1", "SELECT _pos, row_type, example_usage_label AS expected_label, concat(idiom_id, '_pair_', n) AS minimal_pair_id FROM rows JOIN (SELECT idiom_id AS i, context_type AS c, row_number() OVER (ORDER BY idiom_id, context_type) AS n FROM rows WHERE row_type = 'main_example' GROUP BY 1, 2) ON idiom_id = i AND context_type = c WHERE row_type = 'main_example' UNION ALL SELECT _pos, row_type, expected_label, NULL FROM rows WHERE row_type = 'other' UNION ALL SELECT _pos, concat('adversarial_example_', r), expected_label, NULL FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY adversarial_type, e, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2", **_FINAL)
 def _finalize_v1(spark, d):
-    return Pub.finalize(enriched(spark, d), version="v1").select("_pos", "row_type")
+    return Pub.finalize(enriched(spark, d), version="v1").select("_pos", "row_type", "expected_label", "minimal_pair_id")
+
+
+@query("q_finalize_generated", "SELECT _pos, concat('adversarial_example_', r) AS row_type, expected_label FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY e, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2 UNION ALL SELECT _pos, row_type, CASE WHEN row_type = 'main_example' THEN example_usage_label ELSE expected_label END FROM rows WHERE NOT contains(row_type, 'adversarial')", **_FINAL)
+def _finalize_generated(spark, d):
+    return Pub.finalize(enriched(spark, d), version="generated").select("_pos", "row_type", "expected_label")
 
 
 @query("q_split_by_key", "SELECT doc_id, CASE WHEN (('0x' || substr(md5(text), 1, 4))::INT % 100) < 80 THEN 'train' ELSE 'test' END AS split FROM documents")
@@ -687,14 +699,18 @@ def _group_validate(spark, d):
     return V.group_issues(enriched(spark, d)).select("idiom_id", "problem", "context_type", "idiom_in_example")
 
 
-@query("q_issue_union")
+_ISSUES = f"""SELECT v._pos AS row_index, problem, idiom_id, idiom_canonical, row_type, context_type, example_usage_label, expected_label, idiom_surface, idiom_in_example FROM ({ORACLES['q_row_validate']}) v JOIN ({ENRICHED_SQL}) e ON v._pos = e._pos WHERE problem IS NOT NULL
+UNION ALL SELECT NULL, problem, c.idiom_id, n.idiom_canonical, 'group_check', context_type, '', '', '', idiom_in_example FROM ({ORACLES['q_group_validate']}) c JOIN (SELECT idiom_id, min(idiom_canonical) AS idiom_canonical FROM ({ENRICHED_SQL}) GROUP BY 1) n ON c.idiom_id = n.idiom_id"""
+
+
+@query("q_issue_union", _ISSUES)
 def _issues(spark, d):
     return V.issues(V.validate_rows(enriched(spark, d)), "_pos")
 
 
 def _results(spark, d) -> DataFrame:
     """Result lines made of events: nested records as a model would answer, some broken, some without an answer."""
-    e = table(spark, d, "events").where("event_id % 10 = 0 or event_id % 10 <> 0")
+    e = table(spark, d, "events")
     record = F.struct((F.col("event_id") % 5 != 0).alias("is_idiom"), F.lit("valid_idiom").alias("idiom_validity_label"), F.concat(F.lit("idiom "), "event_type").alias("idiom_canonical"), F.array(F.lit("x"), F.lit("y")).alias("hard_negative_idioms"),
         F.transform(F.sequence(F.lit(1), (F.col("event_id") % 3 + 1).cast("int")), lambda i: F.struct(F.concat(F.lit("c"), i.cast("string")).alias("context_type"), F.concat("event_type", F.lit(" "), i.cast("string")).alias("idiom_in_example"), F.lit("literal").alias("example_usage_label"), F.lit(False).alias("is_example_idiom"))).alias("examples"),
         F.array(F.struct(F.lit("adv").alias("idiom_in_example"), F.lit("idiomatic").alias("expected_label"), F.lit("negation").alias("adversarial_type"))).alias("adversarial_examples"))
@@ -709,9 +725,9 @@ def _flatten(spark, d):
     return E.flatten_core(E.parse_results(_results(spark, d))).select("idiom_id", "row_type", "context_type", "idiom_in_example", "expected_label", "minimal_pair_id")
 
 
-@query("q_result_flatten_extended", "SELECT row_type, count(*) AS n FROM (SELECT 'idiom_only' AS row_type FROM events WHERE event_id % 7 <> 0 AND event_id % 5 = 0 UNION ALL SELECT 'main_example' FROM (SELECT unnest(range(event_id % 3 + 1)) FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0) UNION ALL SELECT 'adversarial_example' FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0) GROUP BY 1")
+@query("q_result_flatten_extended", "SELECT idiom_id, 'idiom_only' AS row_type, 0 AS k, '' AS context_type, '' AS idiom_in_example, '' AS example_usage_label, '' AS expected_label, '' AS idiom_surface FROM e WHERE NOT ok UNION ALL SELECT idiom_id, 'main_example', i - 1, concat('c', i), concat(event_type, ' ', i), 'literal', '', '' FROM (SELECT *, unnest(range(1, event_id % 3 + 2)) AS i FROM e WHERE ok) UNION ALL SELECT idiom_id, 'adversarial_example', 0, 'adversarial', 'adv', '', 'idiomatic', concat('idiom ', event_type) FROM e WHERE ok", e="SELECT event_id, event_type, concat('id_', event_id) AS idiom_id, event_id % 5 <> 0 AS ok FROM events WHERE event_id % 7 <> 0")
 def _flatten_extended(spark, d):
-    return E.flatten_extended(E.parse_results(_results(spark, d))).groupBy("row_type").agg(F.count(F.lit(1)).alias("n"))
+    return E.flatten_extended(E.parse_results(_results(spark, d))).select("idiom_id", "row_type", F.col("at").alias("k"), "context_type", "idiom_in_example", "example_usage_label", "expected_label", "idiom_surface")
 
 
 @query("q_result_parse_fail", "SELECT count(*) FILTER (event_id % 7 <> 0) AS parsed, count(*) FILTER (event_id % 7 = 0) AS failed FROM events")
@@ -719,9 +735,9 @@ def _parse_fail(spark, d):
     return E.parse_counts(E.parse_results(_results(spark, d)))
 
 
-@query("q_enriched_pipeline")
+@query("q_enriched_pipeline", "SELECT idiom_id, 'main_example' AS row_type, concat('c', i) AS context_type, concat(event_type, ' ', i) AS idiom_in_example, 'literal' AS example_usage_label, 'literal' AS expected_label, false AS is_example_idiom, NULL::VARCHAR AS minimal_pair_id, false AS is_adversarial_example, idiom_id AS paraphrase_group_id FROM (SELECT *, unnest(range(1, event_id % 3 + 2)) AS i FROM e) UNION ALL SELECT idiom_id, 'adversarial_example_1', 'adversarial', 'adv', 'borderline', 'idiomatic', NULL, NULL, true, idiom_id FROM e", e="SELECT event_id, event_type, concat('id_', event_id) AS idiom_id FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0")
 def _enriched_pipeline(spark, d):
-    return Plan.enriched(E.parse_results(_results(spark, d)))
+    return Plan.enriched(E.parse_results(_results(spark, d))).select("idiom_id", "row_type", "context_type", "idiom_in_example", "example_usage_label", "expected_label", "is_example_idiom", "minimal_pair_id", "is_adversarial_example", "paraphrase_group_id")
 
 
 @query("q_request_json", "SELECT concat('req_', p_partkey) AS custom_id, 'POST' AS method, concat('Explain ', p_name, '!') AS prompt FROM part")
@@ -754,7 +770,14 @@ def _links(spark, d):
     return Pages.all_links(table(spark, d, "pages"))
 
 
-@query("q_html_text")
+HIDDEN = "(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<head\\b.*?</head\\s*>|<!--.*?-->"
+BLOCKS = "(?i)<br\\s*/?>|</(?:p|div|li|h[1-6]|tr|section|article|ul|ol|title)\\s*>"
+VISIBLE = f"regexp_replace(regexp_replace(regexp_replace(html, '{HIDDEN}', ' ', 'g'), '{BLOCKS}', chr(10), 'g'), '(?s)<[^>]*>', '', 'g')"
+for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    VISIBLE = f"replace({VISIBLE}, '{_entity}', '{_char}')"
+
+
+@query("q_html_text", f"SELECT page_id, md5({s_norm(VISIBLE)}) AS text FROM pages")
 def _html_text(spark, d):
     return table(spark, d, "pages").select("page_id", F.md5(T.norm(Pages.visible_text("html")).cast("binary")).alias("text"))
 
@@ -787,15 +810,18 @@ def _inventory(spark, d):
     return R.inventory(table(spark, d, "part").select(F.col("p_name").alias("idiom_canonical")))
 
 
-@query("q_generated_inventory")
+@query("q_generated_inventory", f"SELECT idiom_canonical, arg_min(custom_id, custom_id) AS custom_id, arg_min(meaning, custom_id) AS proposed_meaning_en FROM (SELECT {s_key('p_name')} AS idiom_canonical, concat('g_', p_partkey) AS custom_id, p_type AS meaning FROM part WHERE {s_count('p_name')} BETWEEN 2 AND 6 AND NOT {s_prefix('lower(p_name)', ('go to', 'make a', 'have a', 'do a', 'get a', 'take a', 'go for', 'come to'))}) WHERE idiom_canonical NOT IN (SELECT {s_key('p_name')} FROM part WHERE p_size < 3) GROUP BY 1")
 def _generated(spark, d):
     p = table(spark, d, "part")
     record = F.struct(F.lit("g").alias("generation_category"), F.array(F.struct(F.col("p_name").alias("idiom_candidate"), F.col("p_type").alias("proposed_meaning_en"))).alias("candidates"))
     body = F.struct(F.array(F.struct(F.array(F.struct(F.to_json(record).alias("text"))).alias("content"))).alias("output"))
     results = p.select(F.to_json(F.struct(F.concat(F.lit("g_"), F.col("p_partkey").cast("string")).alias("custom_id"), F.struct(body.alias("body")).alias("response"))).alias("value"))
-    return Plan.generated_inventory(results, p.where("p_size < 3").select(F.col("p_name").alias("idiom_canonical")))
+    return Plan.generated_inventory(results, p.where("p_size < 3").select(F.col("p_name").alias("idiom_canonical"))).select("idiom_canonical", "custom_id", "proposed_meaning_en")
 
 
 @query("q_cascade", "SELECT p_partkey, CASE WHEN p_size < 10 THEN 'small' WHEN p_retailprice > 1500 THEN 'dear' ELSE 'plain' END AS kind FROM part")
 def _cascade(spark, d):
     return table(spark, d, "part").select("p_partkey", cascade([(F.col("p_size") < 10, "small"), (F.col("p_retailprice") > 1500, "dear")], "plain").alias("kind"))
+
+
+from phraseloom import queries_io  # noqa: E402, F401  (registers its own)

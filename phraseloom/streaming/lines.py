@@ -15,8 +15,8 @@ def read_line_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def dialogue_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Normalised lines that are worth keeping (SC35, FLT18); works on streams and tables alike."""
-    rows = lines.select(T.dialogue_line(value).alias("text"))
-    return rows.where(P.raw_dialogue_line("text"))
+    rows = T.once(lines.select(value), text=T.dialogue_line(value)).select("text")
+    return rows.where(P.raw_dialogue_line("text", clean=True))
 
 
 def phrase_counts(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from phraseloom.functions import text as T
@@ -11,6 +12,7 @@ from phraseloom.operators import publish as Pub
 from phraseloom.operators import schema as Sch
 from phraseloom.operators import stats as St
 from phraseloom.operators import windows as W
+from phraseloom.sources import readers as R
 
 
 def test_first_row_ignores_row_order(spark):
@@ -203,3 +205,42 @@ def test_ambiguous_examples_go(spark):
     df = spark.createDataFrame([("Same one.", "a"), ("same one", "b"), ("other", "a"), ("a", "A!")], "example string, idiom_canonical string")
     assert [r["example"] for r in Pub.clean_merged(df).collect()] == ["other"]
     assert T is not None
+
+
+def test_exact_quantiles(spark):
+    r = random.Random(1)
+    for n in (1, 2, 3, 5, 40, 333):
+        for values in ([r.random() for _ in range(n)], [float(r.randint(0, 3)) for _ in range(n)]):
+            got = St.exact_quantiles(spark.createDataFrame([(x,) for x in [*values, None]], "x double"), "x", (0.05, 0.25, 0.5, 0.75, 1.0)).first()
+            assert np.allclose(list(got)[1:], np.quantile(values, [0.05, 0.25, 0.5, 0.75, 1.0])) and got["n"] == n
+    assert St.exact_quantiles(spark.createDataFrame([], "x double"), "x", (0.5,)).first()["q0"] is None
+
+
+def test_fills_are_the_same_in_slices(spark):
+    r = random.Random(2)
+    rows = [(i, r.choice(["a", "b", None]), r.choice([None, None, None, f"v{i}"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "_pos long, k string, v string").repartition(4)
+    whole = {x["_pos"]: x["v"] for x in W.fill_both_ways(df, "k", "v").collect()}
+    assert whole == {x["_pos"]: x["v"] for x in W.fill_both_ways(df, "k", "v", slices=F.floor(F.col("_pos") / 7)).collect()} and len(whole) == 300
+
+
+def test_pair_ids_of_keys_with_a_long_common_prefix(spark):
+    keys = [(f"a-very-long-common-prefix-{k:03d}", c) for k in range(30) for c in ("x", "y")]
+    df = spark.createDataFrame([(*k, n) for k in keys for n in (1, 2)], "idiom_id string, context_type string, n int").repartition(3)
+    got = {(x["idiom_id"], x["context_type"]): x["minimal_pair_id"] for x in W.pair_ids(df, ["idiom_id", "context_type"]).collect()}
+    assert got == {k: f"{k[0]}_pair_{n + 1}" for n, k in enumerate(sorted(keys))}
+    one = spark.createDataFrame([("only", "x", 1)], "idiom_id string, context_type string, n int")
+    assert W.pair_ids(one, ["idiom_id", "context_type"]).first()["minimal_pair_id"] == "only_pair_1"
+
+
+def test_line_numbers_of_files(spark, tmp_path):
+    files = {f"f{k}.txt": [f"line {k} {i}" for i in range(50 * k)] for k in (1, 2, 5)}
+    for name, own in files.items():
+        (tmp_path / name).write_text("\n".join(own) + "\n")
+    got = {(x["file"].rsplit("/", 1)[-1], x["row"]): x["text"] for x in R.read_lines(spark, f"{tmp_path.as_uri()}/").collect()}
+    assert got == {(name, i): t for name, own in files.items() for i, t in enumerate(own)}
+
+
+def test_first_wins_by_the_order_of_the_input(spark):
+    rows = spark.createDataFrame([(n, f"s{n}", "same") for n in (5, 3, 9)], "place long, v string, k string").withColumn("_pos", F.struct("place", "v"))
+    assert D.first_row(rows, ["k"]).first()["v"] == "s3"
