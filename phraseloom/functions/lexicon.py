@@ -67,17 +67,23 @@ STOPWORDS = (
     "should", "may", "might", "must", "all", "any", "some", "one", "two", "three",
     "then", "than", "here", "there", "now", "well", "also", "only", "even", "still",
 )
-CUES_BASE = (
+#: Mining has "backfire"; the later stages have "rip" instead.
+MINING_CUES = (
     "get", "give", "take", "keep", "cut", "lose", "make", "play", "come", "go",
     "back", "over", "off", "out", "down", "up", "through", "around", "away",
     "mind", "break", "slack", "point", "deal", "catch", "mean", "mess", "hang",
     "blow", "fall", "pull", "push", "drag", "drop", "sell", "buy", "call", "turn",
     "hold", "bring", "throw", "pick", "run", "work", "stick", "hit", "cool", "save",
-    "snap", "shut", "spill", "burn", "move", "read", "ride",
+    "snap", "shut", "spill", "burn", "move", "read", "ride", "backfire", "flip",
+)
+CUES = (
+    "get", "give", "take", "keep", "cut", "lose", "make", "play", "come", "go",
+    "back", "over", "off", "out", "down", "up", "through", "around", "away",
+    "mind", "break", "slack", "point", "deal", "catch", "mean", "mess", "hang",
+    "blow", "fall", "pull", "push", "drag", "drop", "sell", "buy", "call", "turn",
+    "hold", "bring", "throw", "pick", "run", "work", "stick", "hit", "cool", "save",
+    "snap", "shut", "spill", "burn", "move", "read", "ride", "flip", "rip",
 )
-#: Mining has "backfire"; the later stages have "rip" instead.
-MINING_CUES = (*CUES_BASE, "backfire", "flip")
-CUES = (*CUES_BASE, "flip", "rip")
 PARTICLES = ("up", "down", "off", "out", "over", "away", "around", "back", "through")
 MINING_WEAK_WORDS = ("thing", "stuff", "person", "people", "someone", "somebody", "something", "anything", "everything", "nothing", "time", "place", "way", "kind", "sort")
 WEAK_WORDS = (*MINING_WEAK_WORDS, "part", "side", "moment", "minute", "day", "night", "man", "woman")
@@ -101,7 +107,10 @@ LITERAL_STARTS = (
     "go to ", "come to ", "walk to ", "drive to ", "open the ", "close the ", "pick up ", "put it ", "take the ",
     "sit on ", "look at ", "talk to ", "wait for ", "work on ", "call the ", "bring the ", "leave the ", "hold the ",
 )
-MINING_LITERAL_STARTS = (*LITERAL_STARTS, "come with ")
+MINING_LITERAL_STARTS = (
+    "go to ", "come to ", "walk to ", "drive to ", "open the ", "close the ", "pick up ", "put it ", "take the ",
+    "sit on ", "look at ", "talk to ", "come with ", "wait for ", "work on ", "call the ", "bring the ", "leave the ", "hold the ",
+)
 WEAK_PHRASES = (
     "how are you", "where are you", "what are you", "what do you", "do you know", "do you want", "can you help",
     "can you see", "i need you", "i want you", "i love you", "i miss you", "let me go", "come with me", "look at me",
@@ -114,17 +123,48 @@ SCAFFOLDS = (
     r"^(?:(?:there|this|that|what|who|why|how)\s+\w+\s+\w+\b|(?:do|did|can|will|would|are|have)\s+you\s+\w+\b)"
 )
 MINING_SCAFFOLDS = r"^(?:(?:i|you|we|he|she|they|it)\s+\w+\s+(?:to|the|a|an|my|your|his|her|our|their)\b|(?:there|this|that|what|who|why|how)\s+\w+\s+\w+\b|(?:do|did|can|will|would|are|have)\s+you\s+\w+\b)"
-STRONG_PAIRS = (
-    ("get", "over"), ("give", "up"), ("make", "up"), ("cut", "slack"), ("blow", "off"), ("hang", "out"), ("back", "off"),
-    ("shut", "up"), ("keep", "up"), ("lose", "mind"), ("catch", "up"), ("fall", "apart"), ("pull", "off"), ("work", "out"),
-    ("come", "through"), ("turn", "down"), ("turn", "up"), ("stick", "out"), ("call", "off"),
-)
+STRONG_PATTERNS = (
+    r"\bget\b.*\bover\b",
+    r"\bgive\b.*\bup\b",
+    r"\bmake\b.*\bup\b",
+    r"\bcut\b.*\bslack\b",
+    r"\bblow\b.*\boff\b",
+    r"\bhang\b.*\bout\b",
+    r"\bback\b.*\boff\b",
+    r"\bshut\b.*\bup\b",
+    r"\bkeep\b.*\bup\b",
+    r"\blose\b.*\bmind\b",
+    r"\bcatch\b.*\bup\b",
+    r"\bfall\b.*\bapart\b",
+    r"\bpull\b.*\boff\b",
+    r"\bwork\b.*\bout\b",
+    r"\bcome\b.*\bthrough\b",
+    r"\bturn\b.*\bdown\b",
+    r"\bturn\b.*\bup\b",
+    r"\bstick\b.*\bout\b",
+    r"\bcall\b.*\boff\b",
+)
 #: The merged filter leaves out "shut ... up".
-MODERN_STRONG_PAIRS = tuple(p for p in STRONG_PAIRS if p != ("shut", "up"))
-
-
-def strong_patterns(pairs=STRONG_PAIRS) -> tuple[str, ...]:
-    return tuple(rf"\b{a}\b.*\b{b}\b" for a, b in pairs)
+MODERN_STRONG_PATTERNS = (
+    r"\bget\b.*\bover\b",
+    r"\bgive\b.*\bup\b",
+    r"\bmake\b.*\bup\b",
+    r"\bcut\b.*\bslack\b",
+    r"\bblow\b.*\boff\b",
+    r"\bhang\b.*\bout\b",
+    r"\bback\b.*\boff\b",
+    r"\bkeep\b.*\bup\b",
+    r"\blose\b.*\bmind\b",
+    r"\bcatch\b.*\bup\b",
+    r"\bfall\b.*\bapart\b",
+    r"\bpull\b.*\boff\b",
+    r"\bwork\b.*\bout\b",
+    r"\bcome\b.*\bthrough\b",
+    r"\bturn\b.*\bdown\b",
+    r"\bturn\b.*\bup\b",
+    r"\bstick\b.*\bout\b",
+    r"\bcall\b.*\boff\b",
+)
 
 
 # Enriched rows.

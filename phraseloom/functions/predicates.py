@@ -198,7 +198,7 @@ def broad_keep(idiom="idiom", meaning="meaning_en", example="example", tags="tag
     """Source-dependent decision (FLT24)."""
     i, m, e, s = T.idiom_key(idiom), T.norm(meaning), T.norm(example), T.lower_norm(source)
     shape = shape_score(i)
-    by_source = F.when(s.isin(*L.DICTIONARY_SOURCES), True).when(s == L.DIALOGUE_SOURCE, strong_pattern(i, L.MODERN_STRONG_PAIRS) | ((shape >= 4) & (example_score(example, i) >= 4)))
+    by_source = F.when(s.isin(*L.DICTIONARY_SOURCES), True).when(s == L.DIALOGUE_SOURCE, strong_pattern(i, L.MODERN_STRONG_PATTERNS) | ((shape >= 4) & (example_score(example, i) >= 4)))
     by_source = by_source.otherwise((shape >= 3) | T.any_in(T.lower_norm(tags), L.MODERN_TAGS) | T.lower_norm(pos).isin(*L.PHRASE_POS))
     return modern_phrase(idiom) & meaning_allowed(L.MODERN_BAD_MEANINGS, meaning) & ((m != "") | (e != "")) & by_source
 
@@ -209,7 +209,7 @@ def high_quality_keep(idiom="idiom", meaning="meaning_en", example="example", ta
     shape, ex = shape_score(i), example_score(example, i)
     tag = T.any_in(T.lower_norm(tags), L.MODERN_TAGS)
     lexical = (s.isin(*L.DICTIONARY_SOURCES) & ((shape >= 3) | tag | T.lower_norm(pos).isin(*L.PHRASE_POS))) | (T.lower_norm(confidence).isin("high", "medium") & ((shape >= 4) | tag))
-    spoken = (s == L.DIALOGUE_SOURCE) & ((strong_pattern(i, L.MODERN_STRONG_PAIRS) & (ex >= 4)) | ((shape >= 6) & (ex >= 5)))
+    spoken = (s == L.DIALOGUE_SOURCE) & ((strong_pattern(i, L.MODERN_STRONG_PATTERNS) & (ex >= 4)) | ((shape >= 6) & (ex >= 5)))
     return F.when((m != "") & ~meaning_allowed(L.MODERN_BAD_MEANINGS, meaning), False).otherwise(((m != "") & lexical) | spoken)
 
 

@@ -18,9 +18,9 @@ def has_cue(tokens: Column, cues=L.CUES) -> Column:
     return F.exists(tokens, lambda t: t.isin(*cues))
 
 
-def strong_pattern(idiom: Column, pairs=L.STRONG_PAIRS) -> Column:
+def strong_pattern(idiom: Column, patterns=L.STRONG_PATTERNS) -> Column:
     """A phrasal pattern of two words in order (SC34)."""
-    return T.any_match(idiom, L.strong_patterns(pairs))
+    return T.any_match(idiom, patterns)
 
 
 def confidence_score(c="idiom_confidence") -> Column:
@@ -96,7 +96,7 @@ def shape_score(idiom: Column | str) -> Column:
     i = T.idiom_key(idiom)
     tokens = T.tokens(i)
     content = F.size(F.array_distinct(T.without(tokens, L.STOPWORDS)))
-    return _shape(F.size(tokens), tokens) + score((content >= 3, 1), (strong_pattern(i, L.MODERN_STRONG_PAIRS), 3))
+    return _shape(F.size(tokens), tokens) + score((content >= 3, 1), (strong_pattern(i, L.MODERN_STRONG_PATTERNS), 3))
 
 
 def example_score(example: Column | str, idiom: Column, ideal: tuple[int, int] = (5, 18), fair: tuple[int, int] = (4, 24)) -> Column:
@@ -124,7 +124,7 @@ def candidate_score(idiom="idiom", example="example", tags="tags") -> Column:
 def best_row_score(idiom="idiom", meaning="meaning_en", example="example", source="source", tags="tags", pos="pos", confidence="idiom_confidence") -> Column:
     """(SC32)"""
     i = T.idiom_key(idiom)
-    return source_priority(source) * 3 + confidence_score(confidence) * 2 + shape_score(i) + example_score(example, i) + score((T.norm(meaning) != "", 5), (T.norm(example) != "", 4), (T.any_in(T.lower_norm(tags), L.MODERN_TAGS), 2), (phrase_pos(pos), 2), (strong_pattern(i, L.MODERN_STRONG_PAIRS), 3))
+    return source_priority(source) * 3 + confidence_score(confidence) * 2 + shape_score(i) + example_score(example, i) + score((T.norm(meaning) != "", 5), (T.norm(example) != "", 4), (T.any_in(T.lower_norm(tags), L.MODERN_TAGS), 2), (phrase_pos(pos), 2), (strong_pattern(i, L.MODERN_STRONG_PATTERNS), 3))
 
 
 def before_enrichment_score(meaning="idiom_canonical_meaning", example="example", source="source", confidence="idiom_confidence", tags="tags", pos="pos") -> Column:

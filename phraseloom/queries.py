@@ -289,12 +289,12 @@ def s_example_score(line: str, phrase: str, ideal=(5, 18), fair=(4, 24)) -> str:
     return f"(CASE WHEN {n} BETWEEN {ideal[0]} AND {ideal[1]} THEN 3 WHEN {n} BETWEEN {fair[0]} AND {fair[1]} THEN 2 ELSE 1 END + CASE WHEN {line} <> '' THEN 2 ELSE 0 END + CASE WHEN {phrase} <> '' AND contains(lower({line}), {phrase}) THEN 2 ELSE 0 END - CASE WHEN upper({line}) = {line} AND lower({line}) <> {line} THEN 2 ELSE 0 END - len(regexp_extract_all({line}, '[<>\\[\\]{{}}_=*\\\\|]')))".replace("{{}}", "{}")
 
 
-SHAPE_SQL = f"(CASE WHEN len(toks) IN (3, 4) THEN 2 WHEN len(toks) = 5 THEN 1 ELSE 0 END + CASE WHEN {LAST} IN {s_list(L.PARTICLES)} THEN 2 ELSE 0 END + CASE WHEN {s_has(L.CUES)} THEN 2 ELSE 0 END + CASE WHEN len(list_distinct({CONTENT})) >= 3 THEN 1 ELSE 0 END + CASE WHEN {s_match('k', L.strong_patterns(L.MODERN_STRONG_PAIRS))} THEN 3 ELSE 0 END)"
+SHAPE_SQL = f"(CASE WHEN len(toks) IN (3, 4) THEN 2 WHEN len(toks) = 5 THEN 1 ELSE 0 END + CASE WHEN {LAST} IN {s_list(L.PARTICLES)} THEN 2 ELSE 0 END + CASE WHEN {s_has(L.CUES)} THEN 2 ELSE 0 END + CASE WHEN len(list_distinct({CONTENT})) >= 3 THEN 1 ELSE 0 END + CASE WHEN {s_match('k', L.MODERN_STRONG_PATTERNS)} THEN 3 ELSE 0 END)"
 EX_SQL = s_example_score("ex", "k")
 MODERN_BASE = f"SELECT *, {s_key('idiom')} AS k, {s_norm('example')} AS ex, string_split({s_key('idiom')}, ' ') AS toks FROM idioms"
 DIALOGUE_SHAPE = f"k NOT IN {{blocked}} AND NOT {s_prefix('k', L.BLOCKED_STARTS)} AND NOT regexp_matches(k, '{BAR.replace('{', '{{').replace('}', '}}')}') AND regexp_matches(k, '[A-Za-z]') AND len(toks) BETWEEN 3 AND 5 AND toks[1] NOT IN {s_list(L.PRONOUNS)} AND len({CONTENT}) >= 2 AND NOT {{literal}} AND NOT ({LAST} IN {s_list(L.STOPWORDS)} AND {LAST} NOT IN {s_list(L.PARTICLES)}) AND len(list_filter({CONTENT}, lambda t: list_contains({{weak}}, t))) < 2"
 MODERN_PHRASE = DIALOGUE_SHAPE.format(blocked=s_list(L.MODERN_WEAK_PHRASES), literal=s_prefix("k", L.LITERAL_STARTS), weak=s_arr(L.WEAK_WORDS))
-STRONG_PATTERN = s_match("k", L.strong_patterns(L.MODERN_STRONG_PAIRS))
+STRONG_PATTERN = s_match("k", L.MODERN_STRONG_PATTERNS)
 MODERN_TAG = s_any(_G["tags"], L.MODERN_TAGS)
 
 
@@ -303,7 +303,7 @@ def _modern_keep(spark, d):
     return sourced(spark, d).select("_pos", S.shape_score("idiom").alias("shape"), S.example_score("example", T.idiom_key("idiom")).alias("ex_score"), P.broad_keep().alias("broad"), P.high_quality_keep().alias("high"))
 
 
-@query("q_candidate_clean", f"SELECT _pos, shape_ok, literal FROM (SELECT *, ({DIALOGUE_SHAPE.format(blocked=s_list(L.WEAK_PHRASES), literal=s_prefix('k', L.LITERAL_STARTS), weak=s_arr(L.WEAK_WORDS))} AND NOT regexp_matches(k, '{L.SCAFFOLDS}') AND len({WORDS_SQL.format('k')}) BETWEEN 3 AND 5) AS shape_ok, (NOT {s_match('k', L.strong_patterns())} AND (k IN {s_list(L.WEAK_PHRASES)} OR {s_prefix('k', L.BLOCKED_STARTS)} OR {s_prefix('k', L.LITERAL_STARTS)} OR regexp_matches(k, '{L.SCAFFOLDS}') OR len({CONTENT}) < 2 OR (NOT {s_has(L.CUES)} AND {LAST} NOT IN {s_list(L.PARTICLES)} AND len({CONTENT}) <= 2) OR {s_example_score('lower(ex)', 'k')} <= 1)) AS literal FROM base)", idioms=IDIOMS_SQL, base=MODERN_BASE)
+@query("q_candidate_clean", f"SELECT _pos, shape_ok, literal FROM (SELECT *, ({DIALOGUE_SHAPE.format(blocked=s_list(L.WEAK_PHRASES), literal=s_prefix('k', L.LITERAL_STARTS), weak=s_arr(L.WEAK_WORDS))} AND NOT regexp_matches(k, '{L.SCAFFOLDS}') AND len({WORDS_SQL.format('k')}) BETWEEN 3 AND 5) AS shape_ok, (NOT {s_match('k', L.STRONG_PATTERNS)} AND (k IN {s_list(L.WEAK_PHRASES)} OR {s_prefix('k', L.BLOCKED_STARTS)} OR {s_prefix('k', L.LITERAL_STARTS)} OR regexp_matches(k, '{L.SCAFFOLDS}') OR len({CONTENT}) < 2 OR (NOT {s_has(L.CUES)} AND {LAST} NOT IN {s_list(L.PARTICLES)} AND len({CONTENT}) <= 2) OR {s_example_score('lower(ex)', 'k')} <= 1)) AS literal FROM base)", idioms=IDIOMS_SQL, base=MODERN_BASE)
 def _candidate_clean(spark, d):
     return idioms(spark, d).select("_pos", P.candidate_phrase("idiom").alias("shape_ok"), P.candidate_too_literal("idiom", "example").alias("literal"))
 
@@ -349,7 +349,7 @@ def _dedup_pair(spark, d):
 MERGE1 = f"CASE WHEN {s_norm('example')} <> '' THEN 4 ELSE 0 END + {s_case('lower(idiom_confidence)', L.CONFIDENCE, '0').join(['(', ')'])} * 3 + ({s_case('source', L.PRIORITY_STAGE_1, '0')}) * 2 + CASE WHEN {_G['pos']} IN {s_list(L.PHRASE_POS)} THEN 2 ELSE 0 END + CASE WHEN {s_any(_G['tags'], L.MERGE_TAGS)} THEN 1 ELSE 0 END"
 MERGE2 = f"CASE WHEN len(w) IN (3, 4) THEN 2 WHEN len(w) = 5 THEN 1 ELSE 0 END + CASE WHEN w[len(w)] IN {s_list(L.PARTICLES)} THEN 2 ELSE 0 END + CASE WHEN {s_has(L.CUES, 'w')} THEN 2 ELSE 0 END + CASE WHEN {s_norm('example')} <> '' THEN 4 ELSE 0 END + CASE WHEN {s_norm('meaning')} <> '' THEN 5 ELSE 1 END + ({s_case('lower(idiom_confidence)', L.CONFIDENCE, '0')}) * 3 + ({s_case('source', L.PRIORITY_STAGE_2, '0')}) * 3 + CASE WHEN {_G['pos']} IN {s_list(L.PHRASE_POS)} THEN 2 ELSE 0 END + CASE WHEN {s_any(_G['tags'], L.MERGE_TAGS)} THEN 2 ELSE 0 END"
 BEST = f"({s_case('source', L.PRIORITY_STAGE_2, '0')}) * 3 + ({s_case('lower(idiom_confidence)', L.CONFIDENCE, '0')}) * 2 + {SHAPE_SQL} + {EX_SQL} + CASE WHEN {s_norm('meaning')} <> '' THEN 5 ELSE 0 END + CASE WHEN ex <> '' THEN 4 ELSE 0 END + CASE WHEN {MODERN_TAG} THEN 2 ELSE 0 END + CASE WHEN {_G['pos']} IN {s_list(L.PHRASE_POS)} THEN 2 ELSE 0 END + CASE WHEN {STRONG_PATTERN} THEN 3 ELSE 0 END"
-CANDIDATE = f"{EX_SQL} + CASE WHEN len(list_distinct({CONTENT})) >= 3 THEN 2 WHEN len(list_distinct({CONTENT})) = 2 THEN 1 ELSE 0 END + CASE WHEN len(toks) IN (3, 4) THEN 2 WHEN len(toks) = 5 THEN 1 ELSE 0 END + CASE WHEN {s_match('k', L.strong_patterns())} THEN 5 ELSE 0 END + CASE WHEN {s_has(L.CUES)} THEN 3 ELSE 0 END + CASE WHEN {LAST} IN {s_list(L.PARTICLES)} THEN 2 ELSE 0 END + CASE WHEN contains({_G['tags']}, 'repeated_ngram') THEN 1 ELSE 0 END"
+CANDIDATE = f"{EX_SQL} + CASE WHEN len(list_distinct({CONTENT})) >= 3 THEN 2 WHEN len(list_distinct({CONTENT})) = 2 THEN 1 ELSE 0 END + CASE WHEN len(toks) IN (3, 4) THEN 2 WHEN len(toks) = 5 THEN 1 ELSE 0 END + CASE WHEN {s_match('k', L.STRONG_PATTERNS)} THEN 5 ELSE 0 END + CASE WHEN {s_has(L.CUES)} THEN 3 ELSE 0 END + CASE WHEN {LAST} IN {s_list(L.PARTICLES)} THEN 2 ELSE 0 END + CASE WHEN contains({_G['tags']}, 'repeated_ngram') THEN 1 ELSE 0 END"
 PRE_LLM = f"CASE WHEN contains(source, 'wiktionary') THEN 4 WHEN contains(source, 'urban') THEN 3 WHEN contains(source, 'opensubtitles') THEN 1 ELSE 0 END * 3 + ({s_case('lower(idiom_confidence)', L.CONFIDENCE, '0')}) * 2 + CASE WHEN {s_norm('meaning')} <> '' THEN 5 ELSE 0 END + CASE WHEN ex <> '' THEN 1 ELSE 0 END + CASE WHEN {s_any(_G['tags'], ('idiomatic', 'figurative', 'slang', 'colloquial'))} THEN 2 ELSE 0 END + CASE WHEN {_G['pos']} IN {s_list(L.PHRASE_POS)} THEN 1 ELSE 0 END"
 SLANG_B = f"CASE WHEN {_G['pos']} IN {s_list(L.PHRASE_POS)} THEN 3 ELSE 0 END + CASE WHEN {s_any(_G['tags'], ('slang', 'informal', 'colloquial', 'internet'))} THEN 3 ELSE 0 END + CASE WHEN {s_any(_G['tags'], L.STRONG_TAGS)} THEN 2 ELSE 0 END + CASE WHEN {s_any('lower(meaning)', L.FIGURATIVE_MEANINGS)} THEN 2 ELSE 0 END + CASE WHEN ex <> '' THEN 1 ELSE 0 END + CASE WHEN {s_count('idiom')} BETWEEN 2 AND 5 THEN 1 ELSE 0 END"
 
