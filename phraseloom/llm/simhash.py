@@ -24,7 +24,7 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 SEGMENTS = 8
-#: Groups of a key up to this size are compared pair by pair; larger ones through masks, in time linear in their size.
+#: Groups of a key up to this size are compared pair by pair; larger ones through sorted masks, in time about linear in their size.
 SMALL_GROUP = 8
 BROADCAST_ROWS = 500_000
 BUDGETS = tuple(length * RADIUS // SEGMENTS for length in range(1, SEGMENTS))
@@ -87,25 +87,42 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _link_large(fps: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the components of a group whose members differ in the ``free`` 16 bits only.
 
-    Two members are within two bits exactly if they agree after some pair of free bits is masked; members that agree under
-    one mask are all within two bits of each other. So labels sink within the classes of 120 masks until none moves.
+    Two members are within two bits exactly if they agree after some pair of free bits is masked. Sorting the group under each
+    of the 120 masks brings such members together; neighbours under a mask are the candidates, which pass the chain test and
+    the full distance like all others. Members that agree under one mask are linked in a row, so that these links
+    span what all pairs would; of them one for each step that joins two parts is kept.
     """
     bits = [1 << i for i in range(64) if free >> i & 1]
-    labels = np.arange(len(fps))
+    pairs = []
+    for x, y in combinations(bits, 2):
+        masked = fps & np.uint64(~(x | y) & (1 << 64) - 1)
+        order = np.argsort(masked, kind="stable")
+        same = np.flatnonzero(masked[order][1:] == masked[order][:-1])
+        a, b = order[same], order[same + 1]
+        near = _near(fps[a], fps[b])
+        pairs.append(np.minimum(a, b)[near] * len(fps) + np.maximum(a, b)[near])
+    pairs = np.unique(np.concatenate(pairs))
+    a, b = pairs // len(fps), pairs % len(fps)
+    labels, left, right = np.arange(len(fps)), [], []
     while True:
-        before = labels.copy()
-        for x, y in combinations(bits, 2):
-            masked = fps & np.uint64(~(x | y) & (1 << 64) - 1)
-            order = np.argsort(masked, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(masked[order]) != 0]))
-            least = np.minimum.reduceat(labels[order], first)
-            labels[order] = np.repeat(least, np.diff(np.append(first, len(fps))))
-        if (labels == before).all():
+        x, y = labels[a], labels[b]
+        open_ = np.flatnonzero(x != y)
+        if not len(open_):
             break
-    order = np.argsort(labels, kind="stable")
-    same = np.flatnonzero(labels[order][1:] == labels[order][:-1])
-    # a path along each component: the links' ends need not be near each other, their component is right
-    return fps[order[same]], fps[order[same + 1]]
+        # every part but the smaller one of a pair hooks to one smaller part; the pair that did it is kept
+        high, low = np.maximum(x[open_], y[open_]), np.minimum(x[open_], y[open_])
+        order = np.lexsort((low, high))
+        first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+        left.append(a[open_[first]])
+        right.append(b[open_[first]])
+        parent = np.arange(len(fps))
+        parent[high[first]] = low[first]
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        labels = parent[labels]
+    if not left:
+        return fps[:0], fps[:0]
+    return fps[np.concatenate(left)], fps[np.concatenate(right)]
 
 
 def _links_of_groups(which: np.ndarray, key: np.ndarray, fps: np.ndarray, masks: list[int]) -> tuple[np.ndarray, np.ndarray]:
