@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from . import common as C
 from .quality import fold
 
-#: Chain order. ``toxic`` is the label; the others are its degrees: so many distinct marker features occur in a toxic text.
-CATEGORIES = ("toxic", "repeated_toxic", "severe_toxic")
-DEGREES = {"repeated_toxic": 2, "severe_toxic": 5}
-#: Bounds of the fit: labelled rows (in the order of a seeded hash), and features kept.
+#: Chain order. All three are labels of the table: toxic texts, and those of them that its quality label marks as junk (0) and
+#: as prose (1).
+CATEGORIES = ("toxic", "toxic_junk", "toxic_prose")
+#: Bounds of the fit: labelled rows (in the order of a seeded hash), and features kept for each category.
 TOXIC_DOCS = 4000
 OTHER_DOCS = 8000
 FEATURES = 1500
@@ -64,78 +64,100 @@ def _fit(x: np.ndarray, y: np.ndarray, extra: np.ndarray, ridge: float = 0.1, st
     return float(w[-1]), w[:n], w[n:-1]
 
 
-def fit_chain(sets: list[list[int]], targets: np.ndarray, n_features: int) -> tuple[list[float], list[np.ndarray], list[np.ndarray]]:
-    """Models along the chain. A later model is trained on what earlier ones predict for rows they were not fitted on."""
-    x = np.zeros((len(sets), n_features), np.float32)
-    for i, s in enumerate(sets):
-        x[i, s] = 1
-    part = np.arange(len(sets)) % FOLDS
-    held = np.zeros((len(sets), 0))
-    bias, weights, earlier = [], [], []
+def select_features(rows: list[np.ndarray], y: np.ndarray, names: list[str]) -> np.ndarray:
+    """Ids of the FEATURES names whose log odds by label are the surest, among those in MIN_DOCS texts of label 1 at least; ties by name."""
+    n1, n0 = int(y.sum()), int(len(y) - y.sum())
+    if not n1 or not n0:
+        return np.zeros(0, np.int64)
+    p = np.bincount(np.concatenate([np.zeros(0, np.int64), *[r for r, one in zip(rows, y, strict=True) if one]]), minlength=len(names))
+    q = np.bincount(np.concatenate([np.zeros(0, np.int64), *[r for r, one in zip(rows, y, strict=True) if not one]]), minlength=len(names))
+    seen = np.flatnonzero(p >= MIN_DOCS)
+    p, q = p[seen], q[seen]
+    odds = np.log((p + 0.5) / (n1 - p + 0.5)) - np.log((q + 0.5) / (n0 - q + 0.5))
+    sure = np.abs(odds) / np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5))
+    order = sorted(range(len(seen)), key=lambda i: (-sure[i], names[seen[i]]))
+    return np.sort(seen[order[:FEATURES]])
+
+
+def _matrix(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
+    x = np.zeros((len(rows), len(features)), np.float32)
+    for i, r in enumerate(rows):
+        x[i, np.searchsorted(features, r[np.isin(r, features, assume_unique=True)])] = 1
+    return x
+
+
+def fit_chain(rows: list[np.ndarray], targets: np.ndarray, names: list[str]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each category: bias, feature ids, their weights, and weights of the earlier categories.
+
+    A later model is trained on what earlier ones predict for rows they were not fitted on: for every fold the features are
+    selected and the model fitted on the other folds alone.
+    """
+    part = np.arange(len(rows)) % FOLDS
+    held = np.zeros((len(rows), 0))
+    models = []
     for c in range(targets.shape[1]):
         y = targets[:, c]
-        out = np.zeros(len(sets))
-        for f in range(FOLDS):
-            train = part != f
-            b, w, e = _fit(x[train], y[train], held[train])
-            out[~train] = _sigmoid(x[~train] @ w + held[~train] @ e + b)
-        b, w, e = _fit(x, y, held)
-        bias.append(b)
-        weights.append(w)
-        earlier.append(e)
+        out = np.zeros(len(rows))
+        if c + 1 < targets.shape[1]:  # nothing follows the last category
+            for f in range(FOLDS):
+                train, rest = np.flatnonzero(part != f), np.flatnonzero(part == f)
+                own = select_features([rows[i] for i in train], y[train], names)
+                b, w, e = _fit(_matrix([rows[i] for i in train], own), y[train], held[train])
+                out[rest] = _sigmoid(_matrix([rows[i] for i in rest], own) @ w + held[rest] @ e + b)
+        own = select_features(rows, y, names)
+        b, w, e = _fit(_matrix(rows, own), y, held)
+        models.append((b, own, w, e))
         held = np.column_stack([held, out])
-    return bias, weights, earlier
+    return models
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
-    """Fit on labelled rows whose id's crc32 modulo 5 isn't 0, at most TOXIC_DOCS and OTHER_DOCS of them.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", quality_col: str = "quality") -> Chain:
+    """Fit on labelled rows whose id's crc32 modulo 5 isn't 0, at most TOXIC_DOCS and OTHER_DOCS of them, also where ids repeat.
 
-    Features are words and stems of at least MIN_DOCS of the toxic texts, the FEATURES whose log odds by label are
-    the surest. Workers reduce each sampled text to its set of words; only these sets of a bounded number of texts reach the driver.
+    Features are words and stems of at least MIN_DOCS of a category's texts. Workers reduce each sampled text to its set of
+    words; only these sets of a bounded number of texts reach the driver. A null quality is neither junk nor prose.
     Without rows of both labels every probability is the share of toxic rows (0 without any).
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1)).where(fold(F.col("id")) != 0)
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), F.coalesce(F.col(quality_col).cast("int"), F.lit(-1)).alias("q")).where(F.col("y").isin(0, 1)).where(fold(F.col("id")) != 0)
     order = F.xxhash64(F.lit(SEED), F.col("id"))
-    chosen = known.where("y = 1").orderBy(order, "id").limit(TOXIC_DOCS).unionByName(known.where("y = 0").orderBy(order, "id").limit(OTHER_DOCS))
+    limits = {1: TOXIC_DOCS, 0: OTHER_DOCS}
+    chosen = known.where("y = 1").orderBy(order, "id", "q").limit(TOXIC_DOCS).unionByName(known.where("y = 0").orderBy(order, "id", "q").limit(OTHER_DOCS))
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def words(batches):
         for batch in C.small_batches(batches, "text"):
             found = [sorted(set(TOKEN.findall(t.lower()))) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(found, pa.list_(pa.string()))], names=["id", "y", "words"])
-
-    rows = C.map_arrow(text.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), "y", "text"), words, "id long, y int, words array<string>")
-    y, sets = [], []
-    for r in rows.orderBy("id", "y", F.xxhash64("words")).toLocalIterator():
-        y.append(r["y"])
-        sets.append([sys.intern(w) for w in r["words"]])  # one string for each distinct word
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "y", "q")], pa.array(found, pa.list_(pa.string()))], names=["id", "y", "q", "words"])
+
+    sampled = text.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), "y", "q", "text")  # a bounded number of labels
+    sampled = C.materialize(C.map_arrow(sampled, words, "id long, y int, q int, words array<string>"), "toxicity-words")
+    y, q, sets = [], [], []
+    for label in (1, 0):
+        # a repeated id has multiplied its rows: the bound holds for what is gathered
+        for r in sampled.where(F.col("y") == label).orderBy(order, "id", "q", F.xxhash64("words")).limit(limits[label]).toLocalIterator():
+            y.append(r["y"])
+            q.append(r["q"])
+            sets.append([sys.intern(w) for w in r["words"]])  # one string for each distinct word
     labels_found = np.array(y, dtype=np.float64)
     if not len(y) or labels_found.min() == labels_found.max():
         b = -30.0 if not len(y) or labels_found.max() == 0 else 30.0
         return Chain((), (b,) * len(CATEGORIES), ((),) * len(CATEGORIES), tuple((0.0,) * k for k in range(len(CATEGORIES))))
-    n1, n0 = int(labels_found.sum()), int(len(y) - labels_found.sum())
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    for own, label in zip(sets, y, strict=True):
+    mixed = np.random.default_rng(SEED).permutation(len(y))  # every fold gets rows of both labels
+    labels_found, junk, sets = labels_found[mixed], np.array(q)[mixed], [sets[i] for i in mixed]
+    counts: Counter = Counter()
+    for own, label in zip(sets, labels_found, strict=True):
         if label:
-            counts[1].update({n for w in own for n in names_of(w)})
-    seen = {n for n, c in counts[1].items() if c >= MIN_DOCS}
-    for own, label in zip(sets, y, strict=True):
-        if not label:
-            counts[0].update({n for w in own for n in names_of(w)} & seen)
-    scored = []
-    for name in seen:
-        p, q = counts[1][name], counts[0][name]
-        odds = np.log((p + 0.5) / (n1 - p + 0.5)) - np.log((q + 0.5) / (n0 - q + 0.5))
-        scored.append((abs(odds) / np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)), odds, name))
-    scored.sort(key=lambda s: (-s[0], s[2]))
-    features = tuple(s[2] for s in scored[:FEATURES])
-    at = {name: i for i, name in enumerate(features)}
-    rows_of = [sorted({at[n] for w in s for n in names_of(w) if n in at}) for s in sets]
-    marker = np.array([s[1] > 2 and not s[2].endswith("*") for s in scored[:FEATURES]])
-    hits = np.array([marker[r].sum() for r in rows_of])
-    targets = np.column_stack([labels_found * (hits >= DEGREES.get(c, 0)) for c in CATEGORIES])
-    bias, weights, earlier = fit_chain(rows_of, targets, len(features))
-    return Chain(features, tuple(bias), tuple(tuple(map(float, w)) for w in weights), tuple(tuple(map(float, e)) for e in earlier))
+            counts.update({n for w in own for n in names_of(w)})
+    names = sorted(n for n, c in counts.items() if c >= MIN_DOCS)
+    at = {name: i for i, name in enumerate(names)}
+    rows = [np.array(sorted({at[n] for w in s for n in names_of(w) if n in at}), np.int64) for s in sets]
+    targets = np.column_stack([labels_found, labels_found * (junk == 0), labels_found * (junk == 1)])
+    models = fit_chain(rows, targets, names)
+    used = np.unique(np.concatenate([own for _, own, _, _ in models]))
+    weights = np.zeros((len(models), len(used)))
+    for c, (_, own, w, _) in enumerate(models):
+        weights[c, np.searchsorted(used, own)] = w
+    return Chain(tuple(names[i] for i in used), tuple(b for b, _, _, _ in models), tuple(tuple(map(float, w)) for w in weights), tuple(tuple(map(float, e)) for _, _, _, e in models))
 
 
 @lru_cache(maxsize=2)
