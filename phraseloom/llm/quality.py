@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -16,10 +16,11 @@ from . import common as C
 CHUNK = 1024
 DICT_BYTES = 1 << 17
 LEVEL = 1
-#: Bounds of what the classifier is fitted on (labelled rows, in the order of a seeded hash) and of the chunks of one text.
+#: Bounds of what the classifier is fitted on, in the order of seeded hashes: labelled texts of each label, chunks out of all
+#: chunks of these texts for a dictionary, and labelled texts for the calibration.
 DICT_DOCS = 4000
+DICT_CHUNKS = 3000
 CALIBRATION_DOCS = 12_000
-CHUNKS_OF_TEXT = 8
 SEED = 42
 THRESHOLD = 0.3
 
@@ -96,24 +97,24 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarr
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on labelled rows whose fold isn't 0: dictionaries on folds 1-3, calibration on fold 4.
 
-    At most DICT_DOCS texts of each label and CALIBRATION_DOCS texts are used, chosen by a seeded hash of the id; a text gives at
-    most CHUNKS_OF_TEXT chunks, spread over its whole length, to a dictionary. Only these bounded samples reach the driver.
-    Null labels are left out. Without rows of both labels the score is the share of label 1 (0.5 without any).
+    At most DICT_DOCS texts of each label and CALIBRATION_DOCS texts are used, chosen by a seeded hash of the id. Of all chunks of
+    a label's texts, however long, DICT_CHUNKS are drawn in a seeded order, one of each text in turn. Only these bounded samples reach the driver, also
+    where ids repeat in either table. Null labels are left out. Without rows of both labels the score is the share of label 1 (0.5 without any).
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1)).withColumn("fold", fold(F.col("id"))).where("fold <> 0")
     order = F.xxhash64(F.lit(SEED), F.col("id"))
     parts = [known.where((F.col("fold") < 4) & (F.col("y") == y)).orderBy(order, "id").limit(DICT_DOCS) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = F.ceil(F.length("text") / CHUNK)
-    step = F.greatest(F.lit(1), F.ceil(n / CHUNKS_OF_TEXT)).cast("int")
-    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)).cast("int"), step)
-    pieces = F.transform(starts, lambda k: F.substring(F.col("text"), k * CHUNK + 1, F.lit(CHUNK)))
-    samples: dict[int, list[bytes]] = {0: [], 1: []}
+    at = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.length("text") / CHUNK) - 1, F.lit(0)).cast("int"))).alias("at")
     # at most 2 * DICT_DOCS rows are broadcast
-    rows = text.join(F.broadcast(chosen), "id").select("id", "y", pieces.alias("pieces")).toLocalIterator()
-    for r in sorted(rows, key=lambda r: (r["id"] is None, r["id"], r["pieces"])):
-        samples[r["y"]] += [p.encode() for p in r["pieces"] if p]
+    chunks = text.join(F.broadcast(chosen), "id").select("id", "y", "text", at).select("id", "y", "at", F.substring(F.col("text"), F.col("at") * CHUNK + 1, F.lit(CHUNK)).alias("piece")).where("piece <> ''")
+    samples: dict[int, list[bytes]] = {}
+    for y in (0, 1):
+        own = chunks.where(F.col("y") == y).withColumn("place", F.xxhash64(F.lit(SEED), "id", "at"))
+        turn = F.row_number().over(Window.partitionBy("id").orderBy("place", "at", "piece"))
+        drawn = own.withColumn("turn", turn).orderBy("turn", "place", "id", "at", "piece").limit(DICT_CHUNKS).select("id", "at", "piece").collect()
+        samples[y] = [r["piece"].encode() for r in sorted(drawn, key=lambda r: (r["id"] is None, r["id"], r["at"], r["piece"]))]
     tuning = known.where("fold = 4").orderBy(order, "id").limit(CALIBRATION_DOCS)
     if not samples[0] or not samples[1]:
         share = known.agg(F.avg("y")).first()[0]
@@ -121,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     good, bad = _dictionary(samples[1]), _dictionary(samples[0])
     scored = text.join(F.broadcast(tuning), "id").select(F.col("y"), "text")
-    got = C.map_arrow(scored, _scorer(good, bad, "y"), "y int, a double, b double, c double, d double", "quality._compressor").orderBy("y", "b", "c").collect()
+    got = C.map_arrow(scored, _scorer(good, bad, "y"), "y int, a double, b double, c double, d double", "quality._compressor")
+    got = got.orderBy(F.xxhash64(F.lit(SEED), "b", "c"), "y", "b", "c").limit(CALIBRATION_DOCS).orderBy("y", "b", "c").collect()
     y = np.array([r["y"] for r in got], dtype=float)
     if len(got) < 8 or y.min() == y.max():
         return Model(good, bad, (0.0, 1.0, 0.0, 0.0))
