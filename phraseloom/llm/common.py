@@ -11,6 +11,7 @@ Conventions of every operator in this subpackage:
 from __future__ import annotations
 
 import ctypes
+import re
 import sys
 import tempfile
 import uuid
@@ -38,12 +39,14 @@ def ascii_lower(col: Column) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where it is unset (tests, local runs) a temporary one is set once."""
+    """The shared folder of spark.checkpoint.dir; on a local master (tests) a temporary one is set once where it is unset."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
     own = spark.conf.get("phraseloom.shared.dir", None)
     if own is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         own = Path(tempfile.mkdtemp(prefix="phraseloom-")).as_uri()
         spark.conf.set("phraseloom.shared.dir", own)
     return own
