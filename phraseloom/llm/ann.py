@@ -34,6 +34,8 @@ REACH = 0.25
 #: Rows and queries of a leaf that meet at once.
 ROWS_AT_ONCE = 1024
 QUERIES_AT_ONCE = 4096
+#: Queries whose leaves are looked for by one task.
+QUERIES_OF_TASK = 256
 #: Results that a task holds before it passes them on.
 HELD = 400_000
 #: Rounding slack of the products of matrices, within which pairs are scored again one by one.
@@ -198,6 +200,7 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int = NEIGHBOURS,
 
     kind = dict(rows.dtypes)["v"]
     indexed = C.materialize(C.map_arrow(distinct.select("h", "first", "second", "v"), index, f"h long, first long, second long, v {kind}, leaves array<int>"), "ann-index")
+    asked = asked.repartition(asked.count() // QUERIES_OF_TASK + 1, "id")  # a query takes milliseconds, its row is small
     probed = C.materialize(C.map_arrow(asked, search, f"id long, v {kind}, leaves array<int>"), "ann-queries")
     # blocks of each leaf: numbers bounded by the forest's size
     blocks = lambda t, name, most: t.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
