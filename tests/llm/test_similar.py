@@ -135,3 +135,24 @@ def test_contiguous_edits_against_brute_force(spark, n):
             texts += [" ".join(other), " ".join(other[:at] + new[: d // 2 - 2] + other[at + d // 2 - 2 :])]
     want = set(groups(list(enumerate(texts))).values())
     assert len(texts) / 2 < len(want) < len(texts) and kept_of(spark, texts) == want
+
+
+@pytest.mark.parametrize("share", [0.012, 0.02])
+def test_a_cluster_of_variants_against_brute_force(spark, share):
+    """600 variants of one text: which of them stay is what all pairs decide, however large the group."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(w if r.random() > share else f"n{r.randint(0, 10**6)}" for w in base)) for i in range(600)]
+    want = set(groups(rows).values())
+    got = {x["doc_id"] for x in similar.drop_similar(docs_of(spark, rows)).collect()}
+    assert got == want and 30 < len(want) < 400
+
+
+def test_wide_parities_bound_the_difference():
+    r = random.Random(3)
+    for n in (1, 5, 400, 600, 3000):
+        a = np.array(r.sample(range(1 << 62), n), np.uint64)
+        for change in (0, n // 10, n // 2, n):
+            b = np.concatenate([a[change:], np.array(r.sample(range(1 << 62), change + n // 3), np.uint64)])
+            bits = similar.differing(similar.wide_parities(np.unique(a)), similar.wide_parities(np.unique(b)))
+            assert bits <= len(np.setxor1d(a, b)) and (bits > 0 or len(np.setxor1d(a, b)) < 20 or n < 5)
