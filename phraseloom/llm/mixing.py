@@ -47,15 +47,16 @@ def water_fill(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs:
     return leveled.select("source", "source_size", F.when(F.col("clamped"), F.col("cap").cast("double")).otherwise(level * F.col("weight")).alias("target"))
 
 
-def seeded_cell(id_col: Column, text: Column, seed: int) -> Column:
-    """63 seeded bits of a row: its place in the order in which fractional repetitions are dealt."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col.cast("string"), text), 1)
+def seeded_place(id_col: Column, text: Column, seed: int) -> Column:
+    """60 bits of a seeded md5 of id and text, the same in any engine: a row's place in the order in which fractional repetitions are dealt."""
+    digits = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
+    return F.conv(F.substring(digits, 1, 15), 16, 10).cast("long")
 
 
 def _placed(docs: DataFrame, seed: int, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with __size, __place (seeded hash) and __cell (its highest 12 bits)."""
-    place = seeded_cell(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")), seed)
-    return docs.withColumns({"__size": size_of(F.col(text_col)), "__place": place}).withColumn("__cell", F.shiftrightunsigned("__place", 51).cast("int"))
+    place = seeded_place(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")), seed)
+    return docs.withColumns({"__size": size_of(F.col(text_col)), "__place": place}).withColumn("__cell", F.shiftrightunsigned("__place", 48).cast("int"))
 
 
 def mix_plan(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
@@ -75,7 +76,7 @@ def mix_plan(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFr
     at_cut = (F.col("before") < F.col("t.rest")) & (F.col("before") + F.col("cell_size") >= F.col("t.rest"))
     cut = c.join(t, F.col("c.source").eqNullSafe(F.col("t.source")) & at_cut)
     cut = C.materialize(cut.select("c.source", F.col("c.cell").alias("cut_cell"), "before", "t.rest").coalesce(1), "mix-cuts")
-    k = F.broadcast(cut).alias("k")
+    k = (F.broadcast(cut) if C.rows_below(cut, MAX_BROADCAST_SOURCES) else cut).alias("k")
     inside = rows.alias("r").join(k, F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r.cell") == F.col("k.cut_cell"))).select("k.source", "size", "place", "before", "rest")
     upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("place"))
     gap = F.abs(upto - F.col("rest"))

@@ -89,4 +89,21 @@ SELECT doc_id,
 FROM t
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  ('0x' || substr(md5(concat('42:', coalesce(doc_id::VARCHAR, 'null'), ':', coalesce(text, ''))), 1, 15))::BIGINT AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+w AS (SELECT *, source_size * 3 AS cap, source_size * 3 / weight AS ratio FROM s),
+v AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER r, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER r, 0))::DOUBLE AS level
+      FROM w WINDOW r AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT level FROM v WHERE ratio > level ORDER BY ratio, level LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN ratio <= level THEN cap::DOUBLE ELSE (SELECT level FROM l) * weight END AS target FROM v),
+u AS (SELECT *, target - source_size * whole AS rest FROM (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t)),
+p AS (SELECT source, place, sum(size) OVER (PARTITION BY source ORDER BY place)::BIGINT AS upto FROM d),
+g AS (SELECT u.source, place, abs(upto - rest) AS gap FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source UNION ALL SELECT source, -1, rest FROM u),
+c AS (SELECT source, place AS last_place FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY gap, place) AS k FROM g) WHERE k = 1)
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE size * (whole + (place <= last_place)::INT) END::BIGINT AS taken
+FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source JOIN c ON d.source IS NOT DISTINCT FROM c.source
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL}
