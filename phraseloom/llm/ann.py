@@ -27,7 +27,7 @@ SAMPLE = 32_768
 SEED = 7
 #: Rows (as a share of the table, counted in each tree anew) whose leaves the queue opens at most. Data without structure need
 #: that many: in 64 dimensions the nearest neighbours of random vectors are hardly nearer than other rows.
-SHARE = 1.0
+SHARE = 1.2
 #: Leaves farther away than this are not opened. The unit is how far the k-th neighbour found in the sample strays across a
 #: random direction (squared distance over dimensions), so that neighbours that are near close the search early.
 REACH = 0.25
