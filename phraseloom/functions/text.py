@@ -261,3 +261,23 @@ def json_salvage(c: Column | str, kind: str = "object") -> Column:
     opening, pattern = ("{", r"(?s)\{.*\}") if kind == "object" else ("[", r"(?s)\[.*\]")
     valid = lambda x: F.when(F.startswith(x, F.lit(opening)) & F.try_parse_json(x).isNotNull(), x)
     return let(safe(c), lambda t: F.coalesce(valid(t), let(F.regexp_extract(t, pattern, 0), valid)))
+
+
+def json_repaired(c: Column | str, kind: str = "object") -> Column:
+    """json_salvage, else the text from its first bracket on with trailing commas gone and strings and brackets closed, if that is JSON (UD15)."""
+    opening = "{" if kind == "object" else "["
+    valid = lambda x: F.when(F.try_parse_json(x).isNotNull(), x)
+
+    def closed(t: Column) -> Column:
+        bare = F.regexp_replace(t, r'"(?:[^"\\]|\\.)*+"', "")  # without whole strings
+        in_string = F.contains(bare, F.lit('"'))
+        brackets = F.split(F.regexp_replace(F.regexp_replace(bare, r'(?s)".*', ""), r"[^\[\]{}]", ""), "")
+        step = lambda open_, b: F.when(b == "{", F.concat(F.lit("}"), open_)).when(b == "[", F.concat(F.lit("]"), open_)).when(b.isin("}", "]"), F.substr(open_, F.lit(2))).otherwise(open_)
+        whole = F.concat(t, F.when(in_string, F.lit('"')).otherwise(F.lit("")), F.aggregate(brackets, F.lit(""), step))
+        return valid(F.regexp_replace(whole, r",\s*([}\]])", "$1"))
+
+    def repair(t: Column) -> Column:
+        start = F.instr(t, opening)
+        return F.when(start > 0, let(F.regexp_replace(F.substr(t, start), r"\s*(?:```)?\s*$", ""), closed))
+
+    return let(safe(c), lambda t: F.coalesce(json_salvage(t, kind), repair(t)))

@@ -55,6 +55,28 @@ def build_requests(df: DataFrame, custom_id: Column, prompt: Column, model: str,
     return df.select(F.to_json(F.struct(custom_id.alias("custom_id"), F.lit("POST").alias("method"), F.lit(url).alias("url"), F.struct(*body).alias("body"))).alias("value"))
 
 
+#: Branches: the prefix of ids of rows without one, the column of the example, and the instruction.
+BRANCHES = {
+    "core": ("core_v2_", "example", "Describe the idiom {idiom} and write labelled examples. Meaning: {meaning}. Known example: {example}"),
+    "modern": ("modern_v1_", "example", "Decide whether the modern expression {idiom} is an idiom, then describe it. Meaning: {meaning}. Known example: {example}"),
+    "generated": ("generated_v1_", "example_raw", "Check the proposed idiom {idiom}, reject what is literal or unknown, then describe it. Meaning: {meaning}. Known example: {example}"),
+}
+
+
+def branch_requests(df: DataFrame, branch: str, model: str, schema: str | None = None, instruction: str | None = None, position: str = "_pos") -> DataFrame:
+    """Request lines of an enrichment branch (UD21): idiom id as custom id, else the branch's prefix and the row's position; null texts are ''."""
+    prefix, example, own = BRANCHES[branch]
+    text = fill_template(instruction or own, {"idiom": F.col("idiom_canonical"), "meaning": F.col("idiom_canonical_meaning"), "example": F.col(example)})
+    custom_id = F.coalesce(F.col("idiom_id").cast("string"), F.concat(F.lit(prefix), F.col(position).cast("string")))
+    return build_requests(df, custom_id, text, model, schema)
+
+
+def generation_requests(exclusions: DataFrame, instruction: str, model: str, schema: str | None = None, category: str = "category", listed: str = "excluded") -> DataFrame:
+    """One request for each category, naming the idioms not to propose (UD21, SL8). ``exclusions``: (category, array of idioms)."""
+    text = fill_template(instruction, {"category": F.col(category), "excluded": F.array_join(F.col(listed), ", ")})
+    return build_requests(exclusions, F.concat(F.lit("missing_idioms_"), F.col(category), F.lit("_v1")), text, model, schema)
+
+
 def output_text(response: Column, first_only: bool = False) -> Column:
     """The text of the first output_text item of a message; or simply of the first item (SC41). Null where there is none."""
     output = response["body"]["output"]
@@ -67,10 +89,10 @@ def output_text(response: Column, first_only: bool = False) -> Column:
 def parse_results(lines: DataFrame, record: str = RECORD, value: str = "value", first_only: bool = False) -> DataFrame:
     """Result lines -> custom_id, model, record (null where nothing can be parsed), parsed (UD7, UD15).
 
-    Broken text around a JSON object is cut away; ids are trimmed.
+    Text around a JSON object is cut away, trailing commas go and what is left open is closed; ids are trimmed.
     """
     outer = lines.select(F.from_json(value, RESULT).alias("r")).where("r is not null")
-    text = outer.select(T.safe("r.custom_id").alias("custom_id"), F.col("r.response.body.model").alias("model"), T.json_salvage(output_text(F.col("r.response"), first_only)).alias("json"))
+    text = outer.select(T.safe("r.custom_id").alias("custom_id"), F.col("r.response.body.model").alias("model"), T.json_repaired(output_text(F.col("r.response"), first_only)).alias("json"))
     out = text.select("custom_id", "model", F.from_json("json", record, {"mode": "PERMISSIVE"}).alias("record"), F.col("json").isNotNull().alias("parsed"))
     return out.withColumn("record", F.when(F.col("parsed"), F.col("record")))
 

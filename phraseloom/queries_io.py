@@ -445,6 +445,58 @@ def _publication(spark, d):
 
 
 # --- services --------------------------------------------------------------------------------------------------------------------------
+@query("q_branch_requests", "SELECT branch, CASE WHEN _pos % 4 = 0 THEN concat(branch, CASE branch WHEN 'core' THEN '_v2_' ELSE '_v1_' END, _pos) ELSE concat('i', _pos) END AS custom_id, idiom AS idiom, true AS has_example FROM idioms, (SELECT unnest(['core', 'modern', 'generated']) AS branch)", idioms=IDIOMS_SQL)
+def _branch_requests(spark, d):
+    """Requests of the three branches: ids, fallback ids, and each branch's own example column (UD21)."""
+    rows = idioms(spark, d).select("_pos", F.col("idiom").alias("idiom_canonical"), F.col("meaning").alias("idiom_canonical_meaning"), F.col("tags").alias("example"), F.col("example").alias("example_raw"), F.when(F.col("_pos") % 4 != 0, F.concat(F.lit("i"), F.col("_pos").cast("string"))).alias("idiom_id"))
+    schema = E.json_schema({"is_idiom": "boolean", "examples": ({"text": "string"}, 12)})
+    found = []
+    for branch, (_, example, _) in E.BRANCHES.items():
+        tail = F.concat(F.lit("Known example: "), F.coalesce(F.col(example), F.lit("")))
+        lines_ = E.branch_requests(rows.withColumn("idiom_canonical", F.concat_ws("\u241f", "idiom_canonical", tail)), branch, "m", schema)
+        entry = F.parse_json("value")
+        prompt = F.try_variant_get(entry, "$.body.input", "string")
+        own = F.split(F.regexp_extract(prompt, "(?s)(?:idiom|expression) (.*?)(?: and write|, reject| is an idiom)", 1), "\u241f")
+        found.append(lines_.select(F.lit(branch).alias("branch"), F.try_variant_get(entry, "$.custom_id", "string").alias("custom_id"), own[0].alias("idiom"), F.endswith(prompt, own[1]).alias("has_example")))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+@query("q_generation_requests", "SELECT concat('missing_idioms_', lower(p_type), '_v1') AS custom_id, concat('Propose idioms about ', lower(p_type), ' but none of: ', string_agg(DISTINCT p_brand, ', ' ORDER BY p_brand)) AS prompt FROM part GROUP BY lower(p_type)")
+def _generation_requests(spark, d):
+    """One request for each category with the idioms not to propose (UD21)."""
+    lists = table(spark, d, "part").groupBy(F.lower("p_type").alias("category")).agg(F.array_sort(F.collect_set("p_brand")).alias("excluded"))
+    made = E.generation_requests(lists, "Propose idioms about {category} but none of: {excluded}", "m")
+    v = F.parse_json("value")
+    return made.select(F.try_variant_get(v, "$.custom_id", "string").alias("custom_id"), F.try_variant_get(v, "$.body.input", "string").alias("prompt"))
+
+
+@query("q_json_repair", "SELECT p_partkey, CASE WHEN p_partkey % 5 = 4 THEN NULL ELSE p_size END AS a, CASE WHEN p_partkey % 5 IN (3, 4) THEN NULL ELSE p_name END AS b FROM part")
+def _json_repair(spark, d):
+    """Whole JSON, JSON within text, trailing commas, open strings and brackets, and what can't be repaired (SC40, UD15)."""
+    text = F.expr("""case p_partkey % 5 when 0 then concat('{"a": ', p_size, ', "b": "', p_name, '"}') when 1 then concat('Sure: {"a": ', p_size, ', "b": "', p_name, '"} done') when 2 then concat('```json {"a": ', p_size, ', "b": "', p_name, '", "c": [1, 2, {"d": "[ open') when 3 then concat('so {"a": ', p_size, ', }') else concat('no json, ', p_name) end""")
+    fixed = F.from_json(T.json_repaired(text), "a int, b string")
+    return table(spark, d, "part").select("p_partkey", fixed["a"].alias("a"), fixed["b"].alias("b"))
+
+
+@query("q_lexical_database", "SELECT lower(p_name) AS idiom, concat(p_type, '; of ', p_brand) AS meaning_en, CASE p_size % 2 WHEN 0 THEN 'n' ELSE 'v' END AS pos FROM part WHERE contains(p_name, ' ')")
+def _lexical_database(spark, d):
+    """Multiword lemmas out of a lexical database's data files (SRC10)."""
+    path = scratch_folder(spark, "lexical")
+    line = F.expr("""concat(lpad(p_partkey, 8, '0'), ' 04 ', case p_size % 2 when 0 then 'n' else 'v' end, ' 02 ', replace(p_name, ' ', '_'), '(p) 0 single 1 001 @ 00000001 n 0000 | ', p_type, '; of ', p_brand, '; "an example"')""")
+    table(spark, d, "part").select(F.explode(F.array(line, F.lit("  1 a line of the licence"))).alias("value")).write.text(path)
+    return R.lexical_entries(R.read_lexical_database(spark, path))
+
+
+@query("q_checkpoint_slices", "SELECT run, count(*) AS n FROM (SELECT unnest(CASE WHEN p_partkey < (SELECT ceil(max(p_partkey) / 4.0)::BIGINT FROM part) * 2 THEN ['first', 'second'] ELSE ['second'] END) AS run FROM part) GROUP BY 1")
+def _slices(spark, d):
+    """Two slices of four saved, then the rerun goes on with the rest (SNK10)."""
+    part, path = table(spark, d, "part").select(F.col("p_partkey").alias("_pos")), scratch_folder(spark, "slices")
+    every = -(-part.agg(F.max("_pos")).first()[0] // 4)
+    first = Out.checkpoint_slices(part, path, every, stop_after=2).agg(F.lit("first").alias("run"), F.count(F.lit(1)).alias("n")).collect()
+    second = Out.checkpoint_slices(part, path, every).agg(F.lit("second").alias("run"), F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame(first, "run string, n long").unionByName(second)
+
+
 class _Rehearsal:
     """A batch service in memory: a batch is completed at the third look."""
 

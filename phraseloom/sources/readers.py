@@ -130,6 +130,20 @@ def slang_senses(entries: DataFrame) -> DataFrame:
     return rows.select(*keep, "idiom", meaning.alias("meaning_en"), example_text(s["examples"]).alias("example"), F.lit("wiktionary_slang_kaikki").alias("source"), F.lit("dictionary").alias("source_type"), "pos", T.merge_tags(s["tags"], s["topics"]).alias("tags"), F.lit("medium").alias("idiom_confidence"), T.page_url("https://en.wiktionary.org/wiki/", "word").alias("source_url"), "sense_index")
 
 
+def read_lexical_database(spark: SparkSession, path: str) -> DataFrame:
+    """Synsets of a lexical database's data files: (definition, pos, lemmas), one line each, the licence's indented lines left out (SRC10).
+
+    A line is ``offset file type count word id word id ... | gloss`` with the count in hexadecimal; quoted parts of the gloss are
+    examples, the others the definition.
+    """
+    lines = spark.read.text(path).where(~F.startswith("value", F.lit("  ")) & (F.trim("value") != ""))
+    head, gloss = F.split(F.substring_index("value", " | ", 1), " "), F.trim(F.substring_index("value", " | ", -1))
+    words = F.conv(F.get(head, F.lit(3)), 16, 10).cast("int")
+    lemmas = F.transform(F.sequence(F.lit(0), words - 1), lambda i: F.regexp_replace(F.get(head, i * 2 + 4), r"\((?:a|p|ip)\)$", ""))
+    parts = F.filter(F.transform(F.split(gloss, ";"), lambda x: F.trim(x)), lambda x: (x != "") & ~F.startswith(x, F.lit('"')))
+    return lines.select(F.array_join(parts, "; ").alias("definition"), F.get(head, F.lit(2)).alias("pos"), lemmas.alias("lemmas"))
+
+
 def lexical_entries(synsets: DataFrame) -> DataFrame:
     """Multiword lemmas of (definition, pos, lemmas array): underscores as blanks, lower case (SRC10)."""
     rows = synsets.select("definition", "pos", F.explode("lemmas").alias("lemma"))
