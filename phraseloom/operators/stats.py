@@ -183,6 +183,13 @@ def histogram(df: DataFrame, column: Column | str, low: float, high: float, bins
     return df.select(F.width_bucket(T.col(column).cast("double"), F.lit(low), F.lit(high), F.lit(bins)).alias("bin")).where("bin is not null").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+def crawl_statistics(fetched: DataFrame, entries: DataFrame, key: str = "page_id", html: str = "html", term: str = "term", meaning: str = "meaning") -> DataFrame:
+    """One row: pages asked for, fetched, failed and with entries; entries, those with a meaning, and distinct terms (AG31)."""
+    pages = fetched.agg(F.count(F.lit(1)).alias("pages"), F.count(html).alias("fetched"), F.count_if(F.col(html).isNull()).alias("failed"))
+    found = entries.agg(F.count_distinct(key).alias("pages_with_entries"), F.count(F.lit(1)).alias("entries"), F.count_if(T.safe(meaning) != "").alias("with_meaning"), F.count_distinct(T.lower_norm(term)).alias("unique_terms"))
+    return pages.join(F.broadcast(found))  # one row each
+
+
 def bars(df: DataFrame, column: Column | str) -> DataFrame:
     """Labels, counts and heights relative to the tallest: the data of a bar chart (SNK8)."""
     counts = df.groupBy(T.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))

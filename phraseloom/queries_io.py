@@ -234,6 +234,13 @@ def _crawl(spark, d):
     return spark.createDataFrame([(k, term) for k, (term, _) in enumerate(found)], "at int, term string")
 
 
+@query("q_crawl_statistics", "SELECT count(*) AS pages, count(*) FILTER (p_partkey % 5 <> 0) AS fetched, count(*) FILTER (p_partkey % 5 = 0) AS failed, count(*) FILTER (p_partkey % 5 <> 0) AS pages_with_entries, count(*) FILTER (p_partkey % 5 <> 0) AS entries, count(*) FILTER (p_partkey % 5 <> 0) AS with_meaning, count(DISTINCT CASE WHEN p_partkey % 5 <> 0 THEN lower(p_name) END) AS unique_terms FROM part")
+def _crawl_statistics(spark, d):
+    """(AG31)"""
+    pages = made_pages(spark, d).withColumn("html", F.when(F.col("page_id") % 5 != 0, F.col("html")))
+    return St.crawl_statistics(pages, Pages.class_entries(pages))
+
+
 # --- schema ----------------------------------------------------------------------------------------------------------------------------
 @query("q_source_schema", "SELECT idiom, meaning AS meaning_en, example, 'kaikki_wiktionary' AS source, 'dictionary' AS source_type, pos, tags, 'high' AS idiom_confidence, '' AS source_url FROM idioms", idioms=IDIOMS_SQL)
 def _source_schema(spark, d):
@@ -444,6 +451,15 @@ def _publication(spark, d):
     return Plan.publication(rows).select("_pos", F.col("example_usage_label").alias("label"), "split")
 
 
+@query("q_flatten_generated", "SELECT concat('id_', p_partkey) AS idiom_id, 'main_example' AS row_type, p_name AS idiom_in_example FROM part UNION ALL SELECT concat('id_', p_partkey), 'adversarial_example', p_brand FROM part")
+def _flatten_generated(spark, d):
+    """The generated branch's records have their example texts in ``example`` (UD5)."""
+    record = F.struct(F.lit(True).alias("is_idiom"), F.array(F.struct(F.col("p_name").alias("example"))).alias("examples"), F.array(F.struct(F.col("p_brand").alias("example"))).alias("adversarial_examples"))
+    body = F.struct(F.lit("m").alias("model"), F.array(F.struct(F.lit("message").alias("type"), F.array(F.struct(F.lit("output_text").alias("type"), F.to_json(record).alias("text"))).alias("content"))).alias("output"))
+    results = table(spark, d, "part").select(F.to_json(F.struct(F.concat(F.lit("id_"), F.col("p_partkey").cast("string")).alias("custom_id"), F.struct(body.alias("body")).alias("response"))).alias("value"))
+    return E.flatten_extended(E.parse_results(results), "example").select("idiom_id", "row_type", "idiom_in_example")
+
+
 # --- services --------------------------------------------------------------------------------------------------------------------------
 @query("q_branch_requests", "SELECT branch, CASE WHEN _pos % 4 = 0 THEN concat(branch, CASE branch WHEN 'core' THEN '_v2_' ELSE '_v1_' END, _pos) ELSE concat('i', _pos) END AS custom_id, idiom AS idiom, true AS has_example FROM idioms, (SELECT unnest(['core', 'modern', 'generated']) AS branch)", idioms=IDIOMS_SQL)
 def _branch_requests(spark, d):
