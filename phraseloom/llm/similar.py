@@ -152,12 +152,12 @@ def shared_shingles(rows: DataFrame) -> DataFrame:
     return C.map_arrow(parts.select("hash", "key"), run, "hash long, key long, first long, before long")
 
 
-def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarray, similarity: float):
+def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarray, similarity: float, small: int = SMALL_GROUP):
     """Pairs of rows of one shingle that have different roots and may be similar, in blocks."""
     order = np.argsort(n, kind="stable")
     keys, n, roots, prints = keys[order], n[order], roots[order], prints[order]
-    for at in range(0, len(keys), SMALL_GROUP):
-        stop = min(at + SMALL_GROUP, len(keys))
+    for at in range(0, len(keys), small):
+        stop = min(at + small, len(keys))
         end = int(np.searchsorted(n, n[stop - 1] / similarity + 1e-6, side="right"))  # larger sets can't be similar
         for low in range(at, end, AT_ONCE):
             high = min(low + AT_ONCE, end)
@@ -170,6 +170,7 @@ def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarra
 
 def open_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     """(hash, key, n, root, print) -> (a, b) distinct: keys of one hash with different roots that may be similar."""
+    small = SMALL_GROUP
 
     def run(batches):
         kept = None
@@ -186,7 +187,7 @@ def open_pairs(rows: DataFrame, similarity: float) -> DataFrame:
             stops = [*edges, len(kept[0])] if batch is None else list(edges)  # the last hash may go on in the next batch
             start = 0
             for stop in stops:
-                for a, b in _pairs(*[x[start:stop] for x in kept[1:]], similarity):
+                for a, b in _pairs(*[x[start:stop] for x in kept[1:]], similarity, small):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 start = stop
             kept = [x[start:] for x in kept]
@@ -297,7 +298,8 @@ def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[Da
     named = C.join_small(shared.select("hash", "key").distinct(), roots.withColumnRenamed("v", "key"), "key", "left", BROADCAST_ROWS).withColumn("root", F.coalesce("root", "key"))
     named = C.materialize(named, "similar-named")
     mixed = C.materialize(named.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("hash"), "similar-mixed")
-    rows = C.join_small(C.join_small(named, mixed, "hash", "left_semi", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS)
+    # fingerprints are 60 bytes each: fewer of them are broadcast
+    rows = C.join_small(C.join_small(named, mixed, "hash", "left_semi", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS // 8)
     rest = C.materialize(open_pairs(rows, similarity).join(tried, ["a", "b"], "left_anti"), "similar-open")
     rest = C.materialize(pruned(rest, wide, similarity), "similar-rest")
     more = C.materialize(verified_links(rest, texts, k, similarity), "similar-more")
