@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 
 from phraseloom.functions import predicates as P
 from phraseloom.functions import text as T
+from phraseloom.operators import dedup as D
 from phraseloom.operators import enrich as E
 from phraseloom.operators import joins as J
 from phraseloom.operators import publish as Pub
 from phraseloom.operators import schema as Sch
 from phraseloom.operators import stats as St
-from phraseloom.operators import validate as V
 from phraseloom.operators import windows as W
 from phraseloom.plans import pipelines as Plan
-from phraseloom.queries import ENRICHED_SQL, IDIOMS_SQL, LINES_SQL, enriched, idioms, lines, query, s_count, s_key, s_match, s_norm, s_safe, table
-from phraseloom.functions import lexicon as L
+from phraseloom.queries import ENRICHED_SQL, IDIOMS_SQL, LINES_SQL, enriched, idioms, lines, query, s_count, s_key, s_norm, s_safe, table
 from phraseloom.sources import pages as Pages
 from phraseloom.sources import readers as R
 from phraseloom.sources import services
@@ -367,6 +366,97 @@ def _encoded(spark, d):
     return rows.select("p_partkey", F.col("embedding")[0].cast("double").alias("chars"), F.col("embedding")[1].cast("double").alias("words"))
 
 
+# --- best rows by each operator's own key and score ---------------------------------------------------------------------------------------
+def s_first(keys: str, order: str = "_pos", rows: str = "idioms") -> str:
+    return f"SELECT _pos FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS r FROM {rows}) WHERE r = 1"
+
+
+@query("q_dedup_case_sensitive", s_first("idiom, meaning"), idioms=IDIOMS_SQL)
+def _dedup_exact(spark, d):
+    """(DD25)"""
+    return D.first_row(idioms(spark, d), ["idiom", "meaning"]).select("_pos")
+
+
+@query("q_dedup_idiom_example", s_first(f"lower({s_norm('idiom')}), lower({s_norm('example')})"), idioms=IDIOMS_SQL)
+def _dedup_example(spark, d):
+    """(DD17, DD23)"""
+    return D.first_row(idioms(spark, d), [T.lower_norm("idiom"), T.lower_norm("example")]).select("_pos")
+
+
+@query("q_dedup_key_list", s_first("brand, size, source"), idioms=IDIOMS_SQL)
+def _dedup_keys(spark, d):
+    """(DD16)"""
+    return D.first_row(idioms(spark, d), ["brand", "size", "source"]).select("_pos")
+
+
+@query("q_dedup_crawled", f"SELECT _pos FROM ({s_first(s_key('idiom'))}) JOIN (SELECT _pos AS p, meaning FROM idioms) ON _pos = p WHERE {s_norm('meaning')} <> ''", idioms=IDIOMS_SQL)
+def _dedup_crawled(spark, d):
+    """First per term, then rows without a meaning go, even if a later row of the term had one (DD22)."""
+    rows = D.first_row(idioms(spark, d), [T.idiom_key("idiom")])
+    return rows.where(T.norm("meaning") != "").select("_pos")
+
+
+@query("q_dedup_triples_then_best", f"SELECT _pos FROM (SELECT *, row_number() OVER (PARTITION BY {s_key('idiom')} ORDER BY length(meaning) DESC, _pos) AS b FROM (SELECT *, row_number() OVER (PARTITION BY {s_key('idiom')}, {s_key('meaning')}, {s_norm('example')} ORDER BY _pos) AS r FROM idioms) WHERE r = 1) WHERE b = 1", idioms=IDIOMS_SQL)
+def _dedup_triples(spark, d):
+    """Exact triples first, then the best row of each idiom (DD10)."""
+    rows = D.first_row(idioms(spark, d), [T.idiom_key("idiom"), T.idiom_key("meaning"), T.norm("example")])
+    return D.best_scored(rows, [T.idiom_key("idiom")], F.length("meaning")).select("_pos")
+
+
+@query("q_best_then_meaning_order", s_first(s_key("idiom"), "size DESC, meaning, _pos"), idioms=IDIOMS_SQL)
+def _best_meaning(spark, d):
+    """Highest score, ties by meaning, then by position (DD8, DD9)."""
+    return D.best_scored(idioms(spark, d), [T.idiom_key("idiom")], F.col("size"), "meaning").select("_pos")
+
+
+@query("q_branch_priority", "SELECT _pos, source FROM (SELECT *, row_number() OVER (PARTITION BY brand, size ORDER BY CASE source WHEN 'urban_dictionary' THEN 1 WHEN 'wordnet' THEN 2 ELSE 3 END, _pos) AS r FROM idioms) WHERE r = 1", idioms=IDIOMS_SQL)
+def _priority(spark, d):
+    """The listed sources first, in their order (DD15)."""
+    return D.by_priority(idioms(spark, d), ["brand", "size"], "source", ["urban_dictionary", "wordnet"]).select("_pos", "source")
+
+
+@query("q_rank_by_example", "SELECT _pos, row_number() OVER (PARTITION BY idiom_id ORDER BY idiom_in_example, _pos) AS rank FROM enriched WHERE contains(row_type, 'adversarial')", enriched=ENRICHED_SQL)
+def _rank_by_example(spark, d):
+    """(WN2)"""
+    rows = enriched(spark, d).where(F.contains("row_type", F.lit("adversarial")))
+    return W.numbered(rows, ["idiom_id"], ["idiom_in_example", "_pos"]).select("_pos", "rank")
+
+
+@query("q_exclusion_samples", "SELECT i, p_partkey FROM (SELECT i, p_partkey, row_number() OVER (PARTITION BY i ORDER BY md5(concat(p_partkey, 42 + i)), p_partkey) AS r FROM part, (SELECT unnest([0, 1, 2]) AS i)) WHERE r <= 20")
+def _exclusions(spark, d):
+    """A seeded sample for each category, by seeds 42 + i (SL8)."""
+    part = table(spark, d, "part").select("p_partkey")
+    return reduce(lambda a, b: a.unionByName(b), [W.sample(part, "p_partkey", 20, 42 + i).select(F.lit(i).alias("i"), "p_partkey") for i in range(3)])
+
+
+@query("q_shared_rows", "SELECT lang, n_chars % 50 AS size FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT lang, n_chars % 50 FROM documents WHERE doc_id % 2 = 1")
+def _shared(spark, d):
+    """Distinct rows of two tables (ST3)."""
+    docs = table(spark, d, "documents").withColumn("size", F.col("n_chars") % 50)
+    return W.overlap(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), ["lang", "size"])
+
+
+@query("q_merge_order", "SELECT _pos, row_number() OVER (ORDER BY idiom_id, CASE row_type WHEN 'main_example' THEN 1 WHEN 'adversarial_example_1' THEN 2 WHEN 'adversarial_example_2' THEN 3 ELSE 99 END, context_type, example_usage_label, idiom_in_example, _pos) AS place FROM enriched", enriched=ENRICHED_SQL)
+def _merge_order(spark, d):
+    """The order of the merge, numbered, so that the sort itself is compared (SL2)."""
+    rows = Pub.merge_order(enriched(spark, d)).select("_pos").coalesce(1)
+    return rows.select("_pos", (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+@query("q_full_report", "SELECT 'core' AS section, 'total_rows' AS metric, count(*)::VARCHAR AS value FROM idioms UNION ALL SELECT 'pos', coalesce(pos, 'MISSING'), count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'source', source, count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'missing', c, n::VARCHAR FROM (SELECT unnest(['example', 'tags', 'pos']) AS c, unnest([count(*) FILTER (example IS NULL), count(*) FILTER (tags IS NULL), count(*) FILTER (pos IS NULL)]) AS n FROM idioms) WHERE n > 0", idioms=IDIOMS_SQL)
+def _full_report(spark, d):
+    """Core counts, distributions and missing values in one long table (AG4, AG11, AG30, AG34)."""
+    report = St.full_report(idioms(spark, d), ("idiom", "meaning", "example"), ["pos", "source"], {})
+    return report.where("section <> 'core' or metric = 'total_rows'")
+
+
+@query("q_filter_previews", "SELECT kind, _pos FROM (SELECT 'broad' AS kind, _pos, row_number() OVER (ORDER BY idiom, _pos) AS r FROM idioms WHERE size < 30 UNION ALL SELECT 'high', _pos, row_number() OVER (ORDER BY idiom, _pos) FROM idioms WHERE size < 10) WHERE r <= 20", idioms=IDIOMS_SQL)
+def _previews(spark, d):
+    """The first 20 rows of the broad and the high set (AG33, SL5)."""
+    sets = {"broad": idioms(spark, d).where("size < 30"), "high": idioms(spark, d).where("size < 10")}
+    return reduce(lambda a, b: a.unionByName(b), [W.head(rows, ["idiom", "_pos"], 20).select(F.lit(kind).alias("kind"), "_pos") for kind, rows in sets.items()])
+
+
 # --- slang senses, publication -----------------------------------------------------------------------------------------------------------
 SLANG_WORDS = "SELECT p_partkey AS _pos, p_name, p_type, p_brand, CASE p_partkey % 5 WHEN 0 THEN 'verb' WHEN 1 THEN 'name' WHEN 2 THEN 'phrase' ELSE 'noun' END AS pos FROM part"
 _SLANG_OK = f"{s_count('p_name')} BETWEEN 2 AND 8 AND pos <> 'name'"
