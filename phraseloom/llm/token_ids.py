@@ -60,25 +60,39 @@ def id_counts(encoded: DataFrame) -> DataFrame:
     return C.map_arrow(encoded.select("width", "ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _bounds(encoded: DataFrame) -> list[int]:
-    """Bucket edges over doc_id, from approximate quantiles of that one column; at most MAX_BUCKETS numbers."""
+def _bounds(encoded: DataFrame) -> tuple[list[int], list[int]]:
+    """Bucket edges over doc_id, and into how many parts each bucket is split.
+
+    Bucket 0 holds the null ids, bucket k + 1 those above edge k - 1 up to edge k. Edges come from approximate quantiles of that one
+    column; at most MAX_BUCKETS numbers (twice as many with split ids). An id whose rows alone hold more than a bucket's size has a bucket of its own, split by content.
+    """
     rows = encoded.agg(F.sum("n").alias("n"), F.count("doc_id").alias("rows")).first()
-    if not rows["rows"]:
-        return []
-    buckets = min(MAX_BUCKETS, -(-rows["n"] // BUCKET_IDS))
-    if buckets < 2:
-        return []
-    at = [k / buckets for k in range(1, buckets)]
-    found = encoded.agg(F.percentile_approx("doc_id", at, max(10_000, 20 * buckets)).alias("q")).first()["q"]
-    return sorted(set(found))
+    if not rows["n"]:
+        return [], [1, 1]
+    size = BUCKET_IDS * max(1, rows["n"] // (BUCKET_IDS * MAX_BUCKETS))
+    buckets = -(-rows["n"] // size)
+    edges: set[int] = set()
+    if buckets > 1 and rows["rows"]:
+        at = [k / buckets for k in range(1, buckets)]
+        edges |= set(encoded.agg(F.percentile_approx("doc_id", at, max(10_000, 20 * buckets)).alias("q")).first()["q"])
+    # at most one row for each bucket's size
+    many = {r["doc_id"]: r["n"] for r in encoded.groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > size).collect()}
+    for i in many:
+        if i is not None:
+            edges |= {i, i - 1} if i > -(1 << 63) else {i}
+    order = sorted(edges)
+    parts = [1] * (len(order) + 2)
+    for i, n in many.items():
+        parts[0 if i is None else order.index(i) + 1] = -(-n // size)
+    return order, parts
 
 
 def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode ``docs`` and write blocks, codes and bucket offsets under ``path``.
 
     The vocabulary bounds what reaches the driver (one count for each id). Documents are ordered by id, nulls first; rows that
-    repeat an id follow one another in the order of their ids' bytes, so reruns write the same. A bucket is a range of ids, and
-    its size follows the bucket count, not the number of partitions the session has set.
+    repeat an id follow one another in an order that their contents give, so reruns write the same. A bucket is a range of ids, or
+    a part of the rows of one id that many rows share; its size does not follow the number of partitions the session has set.
     """
     spark = docs.sparkSession
     encoded = C.materialize(encode_documents(docs, tokenizer, end_id, id_col, text_col), "token-ids", codec="uncompressed")  # packed already
@@ -88,17 +102,21 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         table[r["id"]] = r["n"]
     lengths = huffman.code_lengths(table)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codes")
-    bounds = _bounds(encoded)
-    bounds_of = spark.sparkContext.broadcast((np.array(bounds, dtype=np.int64), lengths))
+    bounds, parts = _bounds(encoded)
+    bounds_of = spark.sparkContext.broadcast((np.array(bounds, dtype=np.int64), parts, lengths))
 
     def code(batches):
-        edges, own = bounds_of.value
+        import zlib
+
+        edges, parts, own = bounds_of.value
+        first = np.cumsum(parts) - parts
         codes, unpack = huffman.canonical_codes(own), zstandard.ZstdDecompressor().decompress
         for batch in C.small_batches(batches, "ids", 1 << 20):  # a million ids or so: their coding takes 60 bytes each
             ids = batch.column("doc_id").to_pylist()
             raw = [np.frombuffer(unpack(x), f"<u{width}") for width, x in zip(batch.column("width").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
             out, starts = huffman.encode_many(raw, codes, own)
-            bucket = [0 if x is None else int(np.searchsorted(edges, x, side="left")) for x in ids]
+            bucket = [0 if x is None else int(np.searchsorted(edges, x, side="left")) + 1 for x in ids]
+            bucket = [int(first[b]) + (zlib.crc32(x) % parts[b] if parts[b] > 1 else 0) for b, x in zip(bucket, out, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), batch.column("doc_id"), batch.column("n"), pa.array(out, pa.binary()), pa.array(starts, pa.binary())], names=["bucket", "doc_id", "n", "bits", "starts"])
 
     def pack(batches):
@@ -129,7 +147,7 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             yield flush()
 
     coded = C.map_arrow(encoded, code, "bucket int, doc_id long, n long, bits binary, starts binary")
-    ordered = coded.repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "n", "bits")
+    ordered = coded.repartitionById(sum(parts), "bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "n", "bits")
     blocks = C.map_arrow(ordered, pack, "bucket int, block long, first_id long, n_ids long, doc_ids array<long>, doc_counts array<long>, starts binary, payload binary")
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     C.remove(spark, encoded)

@@ -384,3 +384,22 @@ def test_many_hits_of_one_text(spark):
     got = pii.find_pii(docs_of(spark, [text])).first()
     want = plain_spans(text)
     assert (got["n_email"], got["n_ip"]) == (700, 700) and got["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+
+
+def test_rows_of_one_id_are_split(spark, library, monkeypatch, tmp_path):
+    monkeypatch.setattr(token_ids, "BUCKET_IDS", 50)
+    monkeypatch.setattr(token_ids, "BLOCK_IDS", 20)
+    texts = [f"text number {i} of many" for i in range(90)]
+    ids = [None] * 30 + [7] * 30 + list(range(30))
+    path = f"{tmp_path.as_uri()}/blocks"
+    token_ids.write_token_blocks(docs_of(spark, texts, ids), BPE, path)
+    assert len({r["bucket"] for r in spark.read.parquet(f"{path}/blocks").select("bucket").distinct().collect()}) > 10
+    got = sorted(token_ids.read_token_blocks(spark, path).collect(), key=lambda r: r["start"])
+    order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in got]
+    assert order == sorted(order) and len(got) == 90  # nulls first, then ascending ids
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    want = sorted((str(i), [*library(t), 0]) for i, t in zip(ids, texts, strict=True))
+    assert sorted((str(r["doc_id"]), list(r["ids"])) for r in got) == want
