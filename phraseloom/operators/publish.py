@@ -105,8 +105,12 @@ def clean_examples(df: DataFrame, example: str = "example", idiom: str = "idiom_
 
 
 def clean_merged(df: DataFrame, example: str = "example", idiom: str = "idiom_canonical") -> DataFrame:
-    """Examples equal to the idiom, and examples of several idioms, go (FLT33, FLT34): a grouped count, joined as an anti join."""
-    rows = df.where(~P.trivial_example(example, idiom)).withColumn("__e", T.equality_normalized(example))
+    """Examples equal to the idiom, and examples of several idioms, go (FLT33, FLT34): a grouped count, joined as an anti join.
+
+    Each text is normalised once on either side; what is grouped and joined is the md5 of the result, not the text.
+    """
+    norms = {"__e": T.equality_normalized(example), "__i": T.equality_normalized(idiom)}
+    rows = T.once(df, **norms).where("__e <> __i").withColumn("__e", F.unhex(F.md5(F.col("__e").cast("binary")))).drop("__i")
     shared = rows.groupBy("__e").agg(F.count_distinct(idiom).alias("n")).where("n > 1").select("__e")
     return rows.join(shared, "__e", "left_anti").drop("__e")
 
