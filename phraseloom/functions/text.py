@@ -264,9 +264,10 @@ def json_salvage(c: Column | str, kind: str = "object") -> Column:
 
 
 def json_repaired(c: Column | str, kind: str = "object") -> Column:
-    """json_salvage, else the text from its first bracket on with trailing commas gone and strings and brackets closed, if that is JSON (UD15)."""
+    """json_salvage, else the text from its first bracket on with trailing commas gone and strings and brackets closed, if that is JSON
+    with anything in it (UD15)."""
     opening = "{" if kind == "object" else "["
-    valid = lambda x: F.when(F.try_parse_json(x).isNotNull(), x)
+    valid = lambda x: F.when(F.try_parse_json(x).isNotNull() & ~F.rlike(x, F.lit(r"^[\[{]\s*[\]}]$")), x)
 
     def closed(t: Column) -> Column:
         bare = F.regexp_replace(t, r'"(?:[^"\\]|\\.)*+"', "")  # without whole strings

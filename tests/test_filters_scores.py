@@ -74,7 +74,7 @@ def test_shape_and_lexical_score(spark):
 
 def test_strong_pattern_lists_differ(spark):
     assert value(spark, S.strong_pattern(F.col("i")), "i string", "shut it up")
-    assert not value(spark, S.strong_pattern(F.col("i"), L.MODERN_STRONG_PAIRS), "i string", "shut it up")
+    assert not value(spark, S.strong_pattern(F.col("i"), L.MODERN_STRONG_PATTERNS), "i string", "shut it up")
 
 
 @pytest.mark.parametrize("s,expected", [(0.35, "high"), (0.18, "medium"), (0.1799, "low"), (None, None)])
