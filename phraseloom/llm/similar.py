@@ -288,8 +288,9 @@ def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[Da
     ends = F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("key").alias("b")), F.struct(F.col("before").alias("a"), F.col("key").alias("b"))))
     tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).unionByName(simhash_pairs(reps.select("key", "fp").distinct())).where("a <> b").distinct()
     tried = C.materialize(tried, "similar-proposed")
-    own = C.materialize(made.select("key", "n", "print").dropDuplicates(["key"]), "similar-own")
-    wide = made.select("key", "n", "wide").dropDuplicates(["key"])
+    # one row for each key, written once: joins with it read plain shuffles, which AQE may split where an end has many links
+    own = C.materialize(made.select("key", "n", "print", "wide").dropDuplicates(["key"]), "similar-own")
+    own, wide = own.select("key", "n", "print"), own.select("key", "n", "wide")
     tried = C.materialize(pruned(tried, wide, similarity), "similar-tried")
     texts = narrow.select("key", "text")
     good = C.materialize(verified_links(tried, texts, k, similarity).unionByName(twins), "similar-verified")
