@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import quality, toxicity
 from .ann import nearest_neighbours
+from .centroids import CLUSTERS, ROUNDS, centroid_clusters, centroid_report
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .pieces import encode_pieces
@@ -66,6 +67,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_blocks(spark, path, with_ids=False)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_report(*centroid_clusters(C.table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_token_ids": op10_token_ids,
+    "op11_centroids": op11_centroids,
 }
 
 OP4_SQL = """
@@ -106,4 +112,30 @@ SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE size *
 FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source JOIN c ON d.source IS NOT DISTINCT FROM c.source
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL}
+
+def centroid_sql(k: int = CLUSTERS, rounds: int = ROUNDS) -> str:
+    """Every vector against every centroid in every round."""
+    parts = [
+        """WITH e AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE)))),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM e)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS j, v FROM (SELECT v, sha256('2:' || coalesce(vec_id::VARCHAR, 'null')) AS h FROM v ORDER BY h, v LIMIT {k}))""",
+    ]
+    for n in range(rounds + 1):
+        parts.append(
+            f"""a{n} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, j) AS place FROM (
+  SELECT r, vec_id, v.v, j, list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{n} AS c)) WHERE place = 1)"""
+        )
+        if n < rounds:
+            parts.append(
+                f"""c{n + 1} AS MATERIALIZED (SELECT c{n}.j, coalesce(m.v, c{n}.v) AS v FROM c{n} LEFT JOIN (
+  SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+    SELECT j, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT j, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY j, i) GROUP BY j) AS m ON m.j = c{n}.j)"""
+            )
+    return ",\n".join(parts) + f"""
+SELECT vec_id, a.j::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c ON a.j = c.j
+"""
+
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL, "op11_centroids": centroid_sql()}
