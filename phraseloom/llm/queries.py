@@ -16,6 +16,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix
 from .pieces import encode_pieces
 from .pii import find_pii
+from .setsketch import sketch_components
 from .simhash import simhash_components
 from .token_counts import token_counts
 from .token_ids import read_token_blocks, write_token_blocks
@@ -71,6 +72,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_report(*centroid_clusters(C.table(spark, sf_dir, "embeddings")))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_components(C.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_token_ids": op10_token_ids,
     "op11_centroids": op11_centroids,
+    "op12_minhash": op12_minhash,
 }
 
 OP4_SQL = """
@@ -138,4 +144,18 @@ FROM a{rounds} AS a JOIN c{rounds} AS c ON a.j = c.j
 """
 
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL, "op11_centroids": centroid_sql()}
+OP12_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2])))) END AS s FROM w),
+d AS MATERIALIZED (SELECT doc_id, len(s) AS n, md5(array_to_string(s, chr(10))) AS g, s FROM s),
+g AS MATERIALIZED (SELECT g, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS least FROM d WHERE n > 0 GROUP BY g),
+x AS MATERIALIZED (SELECT g, n, unnest(s) AS x FROM g),
+p AS MATERIALIZED (SELECT a.g AS a, b.g AS b, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m FROM x AS a JOIN x AS b ON a.x = b.x AND a.g < b.g AND a.n * 100 >= b.n * 85 AND b.n * 100 >= a.n * 85 GROUP BY a.g, b.g),
+l AS MATERIALIZED (SELECT a, b FROM p WHERE 100 * c >= 85 * (n + m - c) UNION ALL SELECT b, a FROM p WHERE 100 * c >= 85 * (n + m - c)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT q.g, least(any_value(q.least), min(o.least)) AS least FROM g AS q LEFT JOIN r ON r.a = q.g LEFT JOIN g AS o ON r.b = o.g GROUP BY q.g)
+SELECT doc_id, n AS n_shingles, coalesce(least, doc_id) AS component_id, doc_id = coalesce(least, doc_id) AS kept FROM d LEFT JOIN c ON d.g = c.g AND d.n > 0
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL, "op11_centroids": centroid_sql(), "op12_minhash": OP12_SQL}

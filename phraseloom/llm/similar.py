@@ -36,6 +36,8 @@ SIMILARITY = 0.8
 #: Rows of one shingle that are compared at once with so many others.
 SMALL_GROUP = 48
 AT_ONCE = 4096
+#: Rows of one shingle beyond which it is cut into blocks that meet pairwise, in tasks of their own.
+BLOCK_ROWS = 8192
 #: Documents of the frequency sample (one in 16 between these bounds) and shingles that are known as frequent.
 SAMPLE = (2048, 65_536)
 FREQUENT = 200_000
@@ -152,25 +154,38 @@ def shared_shingles(rows: DataFrame) -> DataFrame:
     return C.map_arrow(parts.select("hash", "key"), run, "hash long, key long, first long, before long")
 
 
-def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarray, similarity: float, small: int = SMALL_GROUP):
-    """Pairs of rows of one shingle that have different roots and may be similar, in blocks."""
+def _pairs(keys: np.ndarray, n: np.ndarray, roots: np.ndarray, prints: np.ndarray, blocks: np.ndarray, similarity: float, small: int = SMALL_GROUP):
+    """Pairs of rows of one shingle that have different roots and may be similar, in blocks; two blocks of rows meet each other only."""
     order = np.argsort(n, kind="stable")
-    keys, n, roots, prints = keys[order], n[order], roots[order], prints[order]
+    keys, n, roots, prints, blocks = keys[order], n[order], roots[order], prints[order], blocks[order]
+    across = blocks.min() != blocks.max()
     for at in range(0, len(keys), small):
         stop = min(at + small, len(keys))
         end = int(np.searchsorted(n, n[stop - 1] / similarity + 1e-6, side="right"))  # larger sets can't be similar
         for low in range(at, end, AT_ONCE):
             high = min(low + AT_ONCE, end)
-            i, j = np.nonzero((roots[at:stop, None] != roots[None, low:high]) & (np.arange(at, stop)[:, None] < np.arange(low, high)[None, :]))
+            meet = (roots[at:stop, None] != roots[None, low:high]) & (np.arange(at, stop)[:, None] < np.arange(low, high)[None, :])
+            if across:
+                meet &= blocks[at:stop, None] != blocks[None, low:high]
+            i, j = np.nonzero(meet)
             i, j = i + at, j + low
             near = may_be_similar(n[i], n[j], prints[i] ^ prints[j], similarity)
             if near.any():
                 yield keys[i[near]], keys[j[near]]
 
 
-def open_pairs(rows: DataFrame, similarity: float) -> DataFrame:
-    """(hash, key, n, root, print) -> (a, b) distinct: keys of one hash with different roots that may be similar."""
+def open_pairs(rows: DataFrame, similarity: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(hash, key, n, root, print, rows) -> (a, b) distinct: keys of one hash with different roots that may be similar.
+
+    A hash of more than ``block_rows`` rows is cut into blocks, and every two blocks are a group of their own: no task holds the whole.
+    """
     small = SMALL_GROUP
+    cut = F.ceil(F.col("rows") / block_rows).cast("int")
+    block = F.pmod(F.xxhash64("key"), cut).cast("int")
+    # the pairs of blocks that a row belongs to: with every block, and with its own only where there is no other
+    others = F.when(cut == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), cut - 1))
+    spread = rows.select("hash", "key", "n", "root", "print", block.alias("block"), F.explode(others).alias("other"))
+    spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
 
     def run(batches):
         kept = None
@@ -178,22 +193,23 @@ def open_pairs(rows: DataFrame, similarity: float) -> DataFrame:
             if batch is not None and not batch.num_rows:
                 continue
             if batch is not None:
-                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "key", "n", "root")]
+                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "i", "j", "key", "n", "root")]
                 new.append(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(-1, BITS // 8))
+                new.append(batch.column("block").to_numpy(zero_copy_only=False))
                 kept = new if kept is None else [np.concatenate(x) for x in zip(kept, new, strict=True)]
             if kept is None:
                 continue
-            edges = np.flatnonzero(np.diff(kept[0])) + 1
-            stops = [*edges, len(kept[0])] if batch is None else list(edges)  # the last hash may go on in the next batch
+            edges = np.flatnonzero((np.diff(kept[0]) != 0) | (np.diff(kept[1]) != 0) | (np.diff(kept[2]) != 0)) + 1
+            stops = [*edges, len(kept[0])] if batch is None else list(edges)  # the last group may go on in the next batch
             start = 0
             for stop in stops:
-                for a, b in _pairs(*[x[start:stop] for x in kept[1:]], similarity, small):
+                for a, b in _pairs(*[x[start:stop] for x in kept[3:]], similarity, small):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 start = stop
             kept = [x[start:] for x in kept]
 
-    parts = rows.repartition("hash").sortWithinPartitions("hash", "n", "key")
-    return C.map_arrow(parts.select("hash", "key", "n", "root", "print"), run, "a long, b long").distinct()
+    parts = spread.repartition("hash", "i", "j").sortWithinPartitions("hash", "i", "j", "n", "key")
+    return C.map_arrow(parts.select("hash", "i", "j", "key", "n", "root", "print", "block"), run, "a long, b long").distinct()
 
 
 def _with_end(batches):
@@ -279,32 +295,43 @@ def similar_components(narrow: DataFrame, k: int, similarity: float) -> tuple[Da
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), *columns], names=["key", "id", "n", "digest", "fp", "print", "wide", "prefix"])
 
     made = C.materialize(C.map_arrow(narrow, sets, "key long, id long, n long, digest binary, fp long, print binary, wide binary, prefix array<long>"), "similar-sets")
+    # one row for each key, written once: joins with it read plain shuffles, which AQE may split where an end has many links
+    own = C.materialize(made.select("key", "n", "print", "wide").dropDuplicates(["key"]), "similar-own")
+    prune = lambda links: pruned(links, own.select("key", "n", "wide"), similarity)
+    rows = lambda reps: reps.select("key", F.explode("prefix").alias("hash"))
+    more = lambda reps: simhash_pairs(reps.select("key", "fp").distinct())
+    return made, components_in_rounds(made, rows, more, own.select("key", "n", "print"), prune, narrow.select("key", "text"), k, similarity)
+
+
+def components_in_rounds(made: DataFrame, rows, more, own: DataFrame, prune, texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(v, root) of all documents that have a near copy: proposals of two rounds, pruned and then verified on full sets.
+
+    ``made`` has (key, digest, ...); ``rows`` gives the (hash, key) under which documents meet, ``more`` further pairs or is None;
+    ``own`` has (key, n, print) and ``texts`` (key, text); ``prune`` drops links that cannot be.
+    """
     equal = made.groupBy("digest").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("digest", "a")
     equal = C.materialize(equal, "similar-equal")
     twins = C.materialize(C.join_small(made.select("key", "digest"), equal, "digest", "inner", BROADCAST_ROWS).where("key <> a").select("a", F.col("key").alias("b")).distinct(), "similar-twins")
     # rows that repeat id and text have one key and count once
-    reps = C.join_small(made.select("key", "fp", "prefix"), twins.select(F.col("b").alias("key")), "key", "left_anti", BROADCAST_ROWS)
-    shared = C.materialize(shared_shingles(reps.select("key", F.explode("prefix").alias("hash"))), "similar-shared")
+    reps = C.join_small(made, twins.select(F.col("b").alias("key")), "key", "left_anti", BROADCAST_ROWS)
+    shared = C.materialize(shared_shingles(rows(reps)), "similar-shared")
     ends = F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("key").alias("b")), F.struct(F.col("before").alias("a"), F.col("key").alias("b"))))
-    tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).unionByName(simhash_pairs(reps.select("key", "fp").distinct())).where("a <> b").distinct()
+    tried = shared.select(ends.alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b"))
+    tried = (tried if more is None else tried.unionByName(more(reps))).where("a <> b").distinct()
     tried = C.materialize(tried, "similar-proposed")
-    # one row for each key, written once: joins with it read plain shuffles, which AQE may split where an end has many links
-    own = C.materialize(made.select("key", "n", "print", "wide").dropDuplicates(["key"]), "similar-own")
-    own, wide = own.select("key", "n", "print"), own.select("key", "n", "wide")
-    tried = C.materialize(pruned(tried, wide, similarity), "similar-tried")
-    texts = narrow.select("key", "text")
+    tried = C.materialize(prune(tried), "similar-tried")
     good = C.materialize(verified_links(tried, texts, k, similarity).unionByName(twins), "similar-verified")
     roots = C.materialize(connected_components(good), "similar-roots")
     # what verified links have joined needs no other link; all other rows of a shingle meet
     named = C.join_small(shared.select("hash", "key").distinct(), roots.withColumnRenamed("v", "key"), "key", "left", BROADCAST_ROWS).withColumn("root", F.coalesce("root", "key"))
     named = C.materialize(named, "similar-named")
-    mixed = C.materialize(named.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("hash"), "similar-mixed")
+    mixed = C.materialize(named.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count(F.lit(1)).alias("rows")).where("p <> q").select("hash", "rows"), "similar-mixed")
     # fingerprints are 60 bytes each: fewer of them are broadcast
-    rows = C.join_small(C.join_small(named, mixed, "hash", "left_semi", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS // 8)
-    rest = C.materialize(open_pairs(rows, similarity).join(tried, ["a", "b"], "left_anti"), "similar-open")
-    rest = C.materialize(pruned(rest, wide, similarity), "similar-rest")
-    more = C.materialize(verified_links(rest, texts, k, similarity), "similar-more")
-    return made, C.materialize(connected_components(good.unionByName(more)), "similar-roots")
+    meet = C.join_small(C.join_small(named, mixed, "hash", "inner", BROADCAST_ROWS), own, "key", "inner", BROADCAST_ROWS // 8)
+    rest = C.materialize(open_pairs(meet, similarity).join(tried, ["a", "b"], "left_anti"), "similar-open")
+    rest = C.materialize(prune(rest), "similar-rest")
+    found = C.materialize(verified_links(rest, texts, k, similarity), "similar-more")
+    return C.materialize(connected_components(good.unionByName(found)), "similar-roots")
 
 
 def drop_similar(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
