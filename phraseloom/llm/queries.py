@@ -14,6 +14,7 @@ from .ann import nearest_neighbours
 from .centroids import CLUSTERS, ROUNDS, centroid_clusters, centroid_report
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .name_join import name_links
 from .pieces import encode_pieces
 from .pii import find_pii
 from .setsketch import sketch_components
@@ -76,6 +77,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_components(C.table(spark, sf_dir, "documents"))
 
 
+def op13_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_links(C.table(spark, sf_dir, "clients"), C.table(spark, sf_dir, "vendors"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_ids": op10_token_ids,
     "op11_centroids": op11_centroids,
     "op12_minhash": op12_minhash,
+    "op13_name_join": op13_name_join,
 }
 
 OP4_SQL = """
@@ -158,4 +164,24 @@ c AS (SELECT q.g, least(any_value(q.least), min(o.least)) AS least FROM g AS q L
 SELECT doc_id, n AS n_shingles, coalesce(least, doc_id) AS component_id, doc_id = coalesce(least, doc_id) AS kept FROM d LEFT JOIN c ON d.g = c.g AND d.n > 0
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL, "op11_centroids": centroid_sql(), "op12_minhash": OP12_SQL}
+OP13_SQL = """
+WITH RECURSIVE v AS (SELECT vendor_id, name, length(name) AS n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(vendor_id::VARCHAR) + 1), lambda i: ascii(substr(vendor_id::VARCHAR, i, 1))::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)) + z))) AS h FROM vendors),
+w AS (SELECT vendor_id, CASE WHEN h % 2 = 0 AND n >= 2 THEN substr(name, 1, h % (n - 1)) || substr(name, h % (n - 1) + 2, 1) || substr(name, h % (n - 1) + 1, 1) || substr(name, h % (n - 1) + 3) ELSE name END AS b FROM v),
+chars AS MATERIALIZED (SELECT s, list_transform(range(1, length(s) + 1), lambda i: substr(s, i, 1)) AS c FROM (SELECT name AS s FROM clients WHERE name <> '' UNION SELECT b FROM w WHERE b <> '')),
+p AS (SELECT DISTINCT x.s AS a, y.s AS b, x.c AS ca, y.c AS cb FROM chars AS x JOIN chars AS y ON abs(len(x.c) - len(y.c)) <= 2 WHERE x.s IN (SELECT name FROM clients) AND y.s IN (SELECT b FROM w)),
+d AS (
+  SELECT a, b, ca, cb, 0::BIGINT AS i, range(0, len(cb) + 1) AS r, NULL::BIGINT[] AS q FROM p
+  UNION ALL
+  SELECT a, b, ca, cb, i + 1, list_reduce(list_prepend([i + 1], list_transform(range(1, len(cb) + 1), lambda j: [j])),
+    lambda acc, e: list_append(acc, least(acc[e[1]] + 1, r[e[1] + 1] + 1, r[e[1]] + (ca[i + 1] <> cb[e[1]])::BIGINT,
+      CASE WHEN i > 0 AND e[1] > 1 AND ca[i + 1] = cb[e[1] - 1] AND ca[i] = cb[e[1]] THEN q[e[1] - 1] + 1 ELSE 9 END))), r
+  FROM d WHERE i < len(ca) AND list_min(r) <= 2),
+m AS MATERIALIZED (SELECT a, b, r[len(cb) + 1] AS distance FROM d WHERE i = len(ca) AND r[len(cb) + 1] <= 2),
+k AS (SELECT name, client_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(client_id::VARCHAR) + 1), lambda i: ascii(substr(client_id::VARCHAR, i, 1))::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)) + z))) AS crc FROM clients)
+SELECT vendor_id, distance::INT AS distance, count(*) AS n_clients, min(client_id) AS first_client_id, sum(crc)::BIGINT AS clients_crc
+FROM m JOIN k ON k.name = m.a JOIN w ON w.b = m.b GROUP BY vendor_id, distance
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op8_mixing": OP8_SQL, "op11_centroids": centroid_sql(), "op12_minhash": OP12_SQL, "op13_name_join": OP13_SQL}
