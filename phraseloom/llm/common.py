@@ -4,7 +4,8 @@ Conventions of every operator in this subpackage:
 
 * a null text counts as the empty text; a null id is an ordinary value and yields a row like any other;
 * an empty table gives an empty result with the full schema;
-* only the named id and text columns are read, so extra columns, whatever their names, never clash;
+* only the named id and text columns are read; operators that pass rows through rename all columns first (``renamed``) and back
+  at the end, so extra columns, whatever their names, never clash;
 * repeated rows are processed as often as they occur unless the docstring says otherwise.
 """
 
@@ -33,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def renamed(docs: DataFrame, *used: str):
+    """``docs`` under plain names (c0, c1, ...), so that no name of an operator's own can meet one of them; how to get the columns back; and
+    the plain names of the columns ``used``."""
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    at = {name.lower(): p for name, p in reversed(list(zip(names, plain, strict=True)))}
+    return docs.toDF(*plain), lambda df: df.select(*plain).toDF(*names), [at[name.lower()] for name in used]
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z and nothing else; null becomes the empty text."""
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())

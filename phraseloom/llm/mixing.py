@@ -117,9 +117,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
 
     A repetition keeps the row's id: it is the same document seen again. Documents without words take no part and go.
     """
-    names = docs.columns
-    own = _placed(docs, seed, id_col, text_col)
-    rows = own.select(F.col(source_col).alias("source"), F.col("__size").alias("size"), F.col("__place").alias("place"), F.col("__cell").alias("cell"))
+    held, back, (own_id, text, source) = C.renamed(docs, id_col, text_col, source_col)
+    own = _placed(held, seed, own_id, text)
+    rows = own.select(F.col(source).alias("source"), F.col("__size").alias("size"), F.col("__place").alias("place"), F.col("__cell").alias("cell"))
     rows = C.materialize(rows, "mix-rows")
-    out = _with_plan(own, mix_plan(rows, weights, max_epochs), source_col).withColumn("__times", _times("__size", "__cell", "__place")).where("__times > 0")
-    return out.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*names)
+    out = _with_plan(own, mix_plan(rows, weights, max_epochs), source).withColumn("__times", _times("__size", "__cell", "__place")).where("__times > 0")
+    return back(out.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))))

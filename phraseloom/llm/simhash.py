@@ -210,15 +210,14 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id",
 
     Rows that repeat both id and text are one document and stay or go together. Only the rows to drop are joined to the texts.
     """
-    key = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    names = docs.columns
-    keyed = docs.withColumn("__key", key)
+    held, back, (own_id, text) = C.renamed(docs, id_col, text_col)
+    keyed = held.withColumn("__key", F.xxhash64(F.col(own_id).cast("string"), F.coalesce(F.col(text), F.lit(""))))
     own = F.struct(F.coalesce(F.col("id"), F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").alias("key"))
     # the key travels as the id of the fingerprint pass, the id itself beside it
-    fps = fingerprints(keyed.select(F.col("__key").alias("doc_id"), F.col(text_col).alias("text")), k)
-    ids = keyed.select(F.col("__key").alias("doc_id"), F.col(id_col).cast("long").alias("id")).distinct()
+    fps = fingerprints(keyed.select(F.col("__key").alias("doc_id"), F.col(text).alias("text")), k)
+    ids = keyed.select(F.col("__key").alias("doc_id"), F.col(own_id).cast("long").alias("id")).distinct()
     fps = C.materialize(fps.distinct().join(ids, "doc_id").select("fp", own.alias("own")), "simhash")
     known = _component_of(fps.groupBy("fp").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("n")))
     rows = C.join_small(fps, known, "fp", "inner", BROADCAST_ROWS)
     gone = C.materialize(rows.where(F.col("own") != F.col("component")).select(F.col("own.key").alias("__key")), "simhash-gone")
-    return C.join_small(keyed, gone, "__key", "left_anti", BROADCAST_ROWS).select(*names)
+    return back(C.join_small(keyed, gone, "__key", "left_anti", BROADCAST_ROWS))

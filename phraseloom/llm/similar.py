@@ -341,13 +341,12 @@ def drop_similar(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARI
     stay or go together. Texts are read again for each round of comparisons and are not shuffled while the documents to
     compare or to drop can be broadcast (their number is counted first).
     """
-    key = F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    names = docs.columns
-    keyed = docs.withColumn("__key", key)
-    narrow = keyed.select(F.col("__key").alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.col(text_col).alias("text"))
+    held, back, (own_id, text) = C.renamed(docs, id_col, text_col)
+    keyed = held.withColumn("__key", F.xxhash64(F.col(own_id).cast("string"), F.coalesce(F.col(text), F.lit(""))))
+    narrow = keyed.select(F.col("__key").alias("key"), F.coalesce(F.col(own_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.col(text).alias("text"))
     made, roots = similar_components(narrow, k, similarity)
     members = C.join_small(made.select("key", "id"), roots.withColumnRenamed("v", "key"), "key", "inner", BROADCAST_ROWS)
     first = members.groupBy("root").agg(F.min(F.struct("id", "key"))["key"].alias("stays"))
     gone = members.join(first, "root").where("key <> stays").select(F.col("key").alias("__key"))
     gone = C.materialize(gone.distinct(), "similar-gone")
-    return C.join_small(keyed, gone, "__key", "left_anti", BROADCAST_ROWS).select(*names)
+    return back(C.join_small(keyed, gone, "__key", "left_anti", BROADCAST_ROWS))
