@@ -15,6 +15,10 @@ PREFIX_CHARS = 64
 BROADCAST_ROWS = 1_000_000
 
 
+#: What the refinement knows of a row without its text: a hash of its id, the text's length and the hash of its prefix.
+MARKS = ["place", "len", "prefix"]
+
+
 @dataclass
 class Groups:
     """Groups of two or more equal texts: ``sha`` (binary SHA-256), ``keep_id``, ``group_size``, ``keep_rows``."""
@@ -22,20 +26,8 @@ class Groups:
     table: DataFrame
     #: Some group holds its largest id more than once, so that the id alone doesn't name the row that stays.
     repeated_keeper: bool
-    #: What the refinement has left: lengths that repeat, and (length, prefix hash) pairs that repeat among their rows.
-    lengths: DataFrame
-    prefixes: DataFrame
-
-    def with_digest(self, rows: DataFrame, text: str, row_id: str) -> DataFrame:
-        """``rows`` with ``__sha``: the digest of rows that may have a copy. Other texts are not hashed whole; a short key of their id stands there, which meets no digest."""
-        sized = rows.withColumn("__len", byte_length(F.col(text)))
-        # the prefix is taken only where the length repeats
-        known = C.join_small(sized, self.lengths.select(F.col("len").alias("__len"), F.lit(True).alias("__again")), "__len", "left", BROADCAST_ROWS)
-        known = known.withColumn("__prefix", F.when(F.col("__again"), prefix_hash(F.col(text))).otherwise(F.xxhash64(row_id)))
-        prefixes = self.prefixes.select(F.col("len").alias("__len"), F.col("prefix").alias("__prefix"), F.lit(True).alias("__met"))
-        met = C.join_small(known, prefixes, ["__len", "__prefix"], "left", BROADCAST_ROWS)
-        may = F.col("__again") & F.col("__met")
-        return met.withColumn("__sha", F.when(may, digest(F.col(text))).otherwise(F.unhex(F.hex(F.xxhash64(row_id))))).drop("__len", "__again", "__prefix", "__met")
+    #: (id, place, len, prefix, sha) of the rows that the refinement has left: the only ones whose texts were hashed whole.
+    survivors: DataFrame
 
 
 def byte_length(text: Column) -> Column:
@@ -51,23 +43,32 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(C.ascii_lower(text), 256))
 
 
+def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with MARKS."""
+    text = F.col(text_col)
+    return docs.withColumns({"place": F.xxhash64(F.col(id_col).cast("string")), "len": byte_length(text), "prefix": prefix_hash(text)})
+
+
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Groups:
     """Find the groups of equal texts (equal after lower-casing A-Z; null counts as empty).
 
-    Three passes, each over what the one before has left: the lengths of all texts are counted; a prefix is read and hashed
-    only for rows whose length occurs again; the whole text only for rows whose (length, prefix hash) occurs again. Counts
-    are pre-aggregated, so a group that holds a third of all rows costs each task one row. A null id is smaller than any.
+    Each pass looks at what the one before has left: rows whose length occurs again, of these the rows whose prefix hash occurs again, and of
+    these the hash of the whole text. The first two read narrow rows without texts; texts meet the rows that are left once, by a
+    key that holds the id, so that no group of copies meets in one task. Counts are pre-aggregated. A null id is smaller than any.
     """
-    rows = docs.select(F.col(id_col).alias("id"), byte_length(F.col(text_col)).alias("len"), F.col(text_col).alias("text"))
-    lengths = C.materialize(rows.groupBy("len").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len"), "dedup-lengths")
-    again = C.join_small(rows, lengths, "len", "left_semi", BROADCAST_ROWS).withColumn("prefix", prefix_hash(F.col("text")))
+    rows = marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
+    narrow = C.materialize(rows.select(*MARKS), "dedup-rows")
+    lengths = C.materialize(narrow.groupBy("len").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len"), "dedup-lengths")
+    again = C.join_small(narrow, lengths, "len", "left_semi", BROADCAST_ROWS)
     prefixes = C.materialize(again.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len", "prefix"), "dedup-prefixes")
-    survivors = C.join_small(again, prefixes, ["len", "prefix"], "left_semi", BROADCAST_ROWS).select("id", digest(F.col("text")).alias("sha"))
+    left = C.materialize(C.join_small(again, prefixes, ["len", "prefix"], "left_semi", BROADCAST_ROWS).distinct(), "dedup-left")
+    survivors = C.join_small(rows, left, MARKS, "left_semi", BROADCAST_ROWS).select("id", *MARKS, digest(F.col("text")).alias("sha"))
+    survivors = C.materialize(survivors, "dedup-survivors")
     each = survivors.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
     groups = each.groupBy("sha").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size"), F.max(F.struct(F.col("id"), F.col("n")))["n"].alias("keep_rows")).where("group_size > 1")
     groups = C.materialize(groups, "dedup-groups")
     repeated = groups.agg(F.max("keep_rows")).first()[0]
-    return Groups(groups, bool(repeated and repeated > 1), lengths, prefixes)
+    return Groups(groups, bool(repeated and repeated > 1), survivors)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,18 +98,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the copies, columns unchanged: of equal texts the row with the largest id stays.
+    """``docs`` without the copies, columns unchanged, whatever their names: of equal texts the row with the largest id stays.
 
-    A text in no group passes untouched, and one whose length or prefix occurs once without being hashed. Where the staying row is
-    repeated, one of its copies passes.
+    A text that the refinement has not left passes without being hashed. Where the staying row is repeated, one of its copies passes.
     """
-    groups = duplicate_groups(docs, id_col, text_col)
-    names = docs.columns
-    own = groups.with_digest(docs, text_col, id_col)
-    found = groups.table.select(F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep"), F.col("keep_rows").alias("__rows"))
-    rows = C.join_small(own, found, "__sha", "left", BROADCAST_ROWS)
-    rows = rows.where(F.col("__rows").isNull() | F.col(id_col).eqNullSafe(F.col("__keep")))
+    held, back, (own_id, text) = C.renamed(docs, id_col, text_col)
+    groups = duplicate_groups(held, own_id, text)
+    of = C.join_small(groups.survivors, groups.table, "sha", "inner", BROADCAST_ROWS)
+    stays = F.col("id").eqNullSafe(F.col("keep_id"))
+    # of a row's marks: the digests that go, and those of rows that stay but are repeated (one digest, unless an id has several texts)
+    verdicts = of.groupBy(*MARKS).agg(F.collect_set(F.when(~stays, F.col("sha"))).alias("gone"), F.collect_set(F.when(stays & (F.col("keep_rows") > 1), F.col("sha"))).alias("twice"))
+    verdicts = C.materialize(verdicts.where("size(gone) > 0 or size(twice) > 0"), "dedup-verdicts")
+    rows = C.join_small(marked(held, own_id, text), verdicts, MARKS, "left", BROADCAST_ROWS)
+    rows = rows.withColumn("sha", F.when(F.col("gone").isNotNull(), digest(F.col(text))))
+    rows = rows.where(F.col("gone").isNull() | ~F.array_contains("gone", F.col("sha")))
     if groups.repeated_keeper:
-        again = F.coalesce("__rows", F.lit(1)) > 1
-        rows = rows.where(~again).unionByName(rows.where(again).dropDuplicates(["__sha"]))
-    return rows.select(*names)
+        again = F.coalesce(F.array_contains("twice", F.col("sha")), F.lit(False))
+        rows = rows.where(~again).unionByName(rows.where(again).dropDuplicates([*MARKS, "sha"]))
+    return back(rows)

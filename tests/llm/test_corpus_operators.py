@@ -433,3 +433,21 @@ def test_pipeline_stages(spark):
     assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] > 0
     last = corpus_pipeline.run(spark, sf)
     assert last.count() == sizes[-1] and last.where("not restored").count() == 0
+
+
+#: Names that the operators use themselves.
+OWN_NAMES = ("__key", "__size", "__place", "__cell", "__times", "__again", "__plan_source", "__len", "__prefix", "__sha", "place", "len", "prefix", "gone", "twice", "sha", "key", "id", "fp", "root", "c0", "c1", "row", "Text2")
+
+
+@pytest.mark.parametrize("operator", ["exact", "near", "simhash", "mixing", "quality"])
+def test_columns_of_any_name_pass_unchanged(spark, operator):
+    from phraseloom.llm import similar
+
+    rows = [(i, f"w{i} x{i * 7} some words of text {i}", "a", *[f"{n}-{i}" for n in OWN_NAMES]) for i in range(12)] + [(20, "w1 x7 some words of text 1", "b", *[f"{n}-20" for n in OWN_NAMES])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in OWN_NAMES)).repartition(3)
+    run = {"exact": exact_dedup.drop_exact_copies, "near": similar.drop_similar, "simhash": simhash.drop_near_copies, "mixing": mixing.mixed_documents, "quality": lambda d: quality.keep_good(d, quality.train(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")))}
+    out = run[operator](docs)
+    assert out.columns == docs.columns
+    given = {r[0]: tuple(r) for r in rows}
+    got = [tuple(r) for r in out.collect()]
+    assert got and all(given[r[0]] == r for r in got)
