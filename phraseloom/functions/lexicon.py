@@ -34,6 +34,9 @@ FIGURATIVE_MEANINGS = ("figurative", "idiomatic", "informal", "slang", "colloqui
 CROWD_BAD_MEANINGS = (r"^a person who\b", r"^someone who\b", r"^a girl who\b", r"^a guy who\b", r"^when\b", r"^the act of\b", r"^an act of\b", r"^used to describe\b", r"^a word used\b", r"^something you say\b", r"^something said\b")
 CROWD_TAGS = ("slang", "colloquial", "informal", "modern", "internet", "social media", "viral", "meme")
 CROWD_WEAK = ("bro", "sis", "vibe", "mood", "energy", "tea", "shade", "ghost", "cap")
+#: Lines of a dictionary page that belong to its controls, and terms that drop an entry of such a page.
+PAGE_STOP_LINES = ("share definition", "listen to pronunciation", "flag", "more random definitions", "sign in to vote", "copy link")
+PAGE_EXPLICIT = ("porn", "rape", "murder", "suicide", "kill yourself", "nazi", "slur", "racist", "cocaine", "meth", "heroin", "weapon", "gun")
 EXPLICIT = ("porn", "rape", "suicide", "kill yourself", "nazi", "racist", "cocaine", "meth", "heroin")
 
 # Dictionary slang.

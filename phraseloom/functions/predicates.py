@@ -85,12 +85,12 @@ def broad_signal(idiom="idiom", source="source", tags="tags", pos="pos", meaning
     return strong_signal(source, tags, pos, meaning, confidence) | lexical | T.any_in(F.lower(T.safe(tags)), L.GLOBAL_TAGS)
 
 
-def explicit(*columns, word_boundary: bool = False) -> Column:
+def explicit(*columns, word_boundary: bool = False, terms: tuple[str, ...] = L.EXPLICIT) -> Column:
     """A term of the explicit list as a substring (or, if asked, as a word) of any column (FLT13)."""
     test = T.any_word_in if word_boundary else T.any_in
     found = F.lit(False)
     for c in columns:
-        found = found | test(T.lower_norm(c), L.EXPLICIT)
+        found = found | test(T.lower_norm(c), terms)
     return found
 
 

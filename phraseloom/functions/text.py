@@ -8,9 +8,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from phraseloom.shipping import ship
+
 SPACES = r"(?U)\s+"
 #: Unicode's white space as characters, for trimming.
 WHITE_CHARS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -264,21 +267,18 @@ def json_salvage(c: Column | str, kind: str = "object") -> Column:
 
 
 def json_repaired(c: Column | str, kind: str = "object") -> Column:
-    """json_salvage, else the text from its first bracket on with trailing commas gone and strings and brackets closed, if that is JSON
-    with anything in it (UD15)."""
-    opening = "{" if kind == "object" else "["
-    valid = lambda x: F.when(F.try_parse_json(x).isNotNull() & ~F.rlike(x, F.lit(r"^[\[{]\s*[\]}]$")), x)
-
-    def closed(t: Column) -> Column:
-        bare = F.regexp_replace(t, r'"(?:[^"\\]|\\.)*+"', "")  # without whole strings
-        in_string = F.contains(bare, F.lit('"'))
-        brackets = F.split(F.regexp_replace(F.regexp_replace(bare, r'(?s)".*', ""), r"[^\[\]{}]", ""), "")
-        step = lambda open_, b: F.when(b == "{", F.concat(F.lit("}"), open_)).when(b == "[", F.concat(F.lit("]"), open_)).when(b.isin("}", "]"), F.substr(open_, F.lit(2))).otherwise(open_)
-        whole = F.concat(t, F.when(in_string, F.lit('"')).otherwise(F.lit("")), F.aggregate(brackets, F.lit(""), step))
-        return valid(F.regexp_replace(whole, r",\s*([}\]])", "$1"))
-
-    def repair(t: Column) -> Column:
-        start = F.instr(t, opening)
-        return F.when(start > 0, let(F.regexp_replace(F.substr(t, start), r"\s*(?:```)?\s*$", ""), closed))
-
-    return let(safe(c), lambda t: F.coalesce(json_salvage(t, kind), repair(t)))
+    """json_salvage, else what a tolerant reader finds from the first bracket on, if there is anything in it (UD15).
+
+    Single or curly quotes, bare keys and words, words of Python, missing and trailing commas, comments, quotes within strings and all
+    that was left open are read. Only texts that are not JSON reach Python.
+    """
+    ship(SparkSession.getActiveSession())
+
+    @F.pandas_udf("string")
+    def repair(texts: pd.Series) -> pd.Series:
+        from phraseloom.functions.repair import repaired
+
+        return texts.map(lambda t: repaired(t, "{" if kind == "object" else "["), na_action="ignore").astype(object)
+
+    whole = json_salvage(c, kind)
+    return F.coalesce(whole, repair(F.when(whole.isNull(), safe(c))))

@@ -11,9 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phraseloom.functions import similarity as S
 from phraseloom.functions import text as T
-from phraseloom.operators.dedup import best_row, first_row
+from phraseloom.operators.dedup import best_row
+from phraseloom.operators.near import near_pairs
+from phraseloom.operators.windows import running_number
+from phraseloom.sources.scratch import scratch_folder
 
 
 def add_metadata(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -65,49 +67,63 @@ def match_status(new: DataFrame, main: DataFrame, idiom: str = "idiom", meaning:
     """Each new row with ``status`` and ``matched_meaning`` (JN8-JN10, SC37-SC39).
 
     In order: missing idiom, exact triple, known pair, known idiom without a meaning, near-duplicate of a known meaning (the first
-    by the inventory's position), new meaning, new idiom. Candidates for near duplicates share the idiom, an equi join; the
-    sequence ratio, which runs in Python, sees only pairs that the token sets and the lengths leave open.
+    by the inventory's position), new meaning, new idiom. The inventory is read once: its distinct triples are written, and pairs and
+    idioms are summed up from them. Meanings of one idiom meet as ``near`` describes; rows without an idiom are kept out of all joins.
     """
+    spark = new.sparkSession
     view = lambda df: df.withColumns({"__i": T.idiom_key(idiom), "__m": T.idiom_key(meaning), "__e": T.example_key(example)})
-    n, m = view(new), view(main).where("__i <> ''")
-    triples = m.select("__i", "__m", "__e").distinct().withColumn("__triple", F.lit(True))
-    pairs = m.select("__i", "__m").distinct().withColumn("__pair", F.lit(True))
-    idioms = m.select("__i").distinct().withColumn("__known", F.lit(True))
-    rows = n.join(triples, ["__i", "__m", "__e"], "left").join(pairs, ["__i", "__m"], "left").join(idioms, "__i", "left")
-    known = F.coalesce("__known", F.lit(False))
-    rows = rows.withColumn("status", F.when(F.col("__i") == "", "remove_missing_idiom").when(F.col("__triple"), "remove_exact_duplicate_of_main").when(F.col("__pair"), "remove_duplicate_idiom_meaning_of_main").when(known & (F.col("__m") == ""), "remove_existing_idiom_without_new_meaning").when(~known, "keep_new_idiom"))
-    open_rows = rows.where("status is null").select(F.col(position).alias("__row"), "__i", "__m").distinct()
-    side = first_row(m.where("__m <> ''"), ["__i", "__m"], position).select("__i", F.col("__m").alias("__main"), F.col(position).alias("__at"))
-    candidates = open_rows.join(side, "__i").withColumn("__sure", S.surely_near("__m", "__main"))
-    near = candidates.where("__sure")
-    if with_ratio:
-        # the ratio is 2 * matched / (both lengths), and no more than the shorter text can match
-        n, m = F.length("__m"), F.length("__main")
-        open_pairs = candidates.where("not __sure").where(2 * F.least(n, m) >= least_ratio * (n + m) - 1e-9)
-        near = near.unionByName(open_pairs.where(S.sequence_ratio(F.col("__m"), F.col("__main")) >= least_ratio))
-    first = best_row(near, ["__row", "__m"], ["__at"]).select("__row", F.col("__m").alias("__of"), F.col("__main").alias("matched_meaning"))
-    out = rows.join(first, (rows[position] == first["__row"]) & (rows["__m"] == first["__of"]) & rows["status"].isNull(), "left")
-    status = F.coalesce("status", F.when(F.col("matched_meaning").isNotNull(), "remove_near_duplicate_meaning_of_main").otherwise("keep_new_meaning_for_existing_idiom"))
-    return out.select(*new.columns, status.alias("status"), F.coalesce("matched_meaning", F.lit("")).alias("matched_meaning"))
-
-
-def crawl(seeds: Sequence[str], fetch, links, limit: int) -> list[tuple[str, str]]:
-    """Breadth-first traversal with an injected ``fetch(term) -> page | None`` and ``links(page) -> terms`` (JN11).
-
-    A driver loop: the service behind ``fetch`` sets its pace, and ``limit`` bounds what it holds. Crawled pages in a table
-    need none of it (see sources.pages).
+    triples = view(main).where("__i <> ''").groupBy("__i", "__m", "__e").agg(F.min(position).alias("__at"))
+    path = scratch_folder(spark, "match-inventory")
+    triples.write.parquet(path)
+    triples = spark.read.schema(triples.schema).parquet(path)
+    pairs = triples.groupBy("__i", "__m").agg(F.min("__at").alias("__at"))
+    known = triples.select("__i").distinct()
+    flag = lambda name: F.lit(True).alias(name)
+    n = view(new)
+    own = n.where("__i <> ''")
+    rows = own.join(triples.select("__i", "__m", "__e", flag("__triple")), ["__i", "__m", "__e"], "left")
+    rows = rows.join(pairs.select("__i", "__m", flag("__pair")), ["__i", "__m"], "left").join(known.select("__i", flag("__known")), "__i", "left")
+    is_known = F.coalesce("__known", F.lit(False))
+    rows = rows.withColumn("status", F.when(F.col("__triple"), "remove_exact_duplicate_of_main").when(F.col("__pair"), "remove_duplicate_idiom_meaning_of_main").when(is_known & (F.col("__m") == ""), "remove_existing_idiom_without_new_meaning").when(~is_known, "keep_new_idiom"))
+    # each new meaning of a known idiom once, against each of its known meanings once
+    side = lambda df: df.where("__m <> ''").select(F.col("__i").alias("key"), F.col("__m").alias("text"))
+    near = near_pairs(side(rows.where("status is null")).distinct(), side(pairs), least_ratio=least_ratio if with_ratio else None)
+    placed = near.join(pairs.select(F.col("__i").alias("key"), F.col("__m").alias("other"), "__at"), ["key", "other"])
+    first = placed.groupBy("key", "text").agg(F.min_by("other", F.struct("__at", "other")).alias("matched_meaning")).withColumnsRenamed({"key": "__i", "text": "__m"})
+    out = rows.join(first, ["__i", "__m"], "left")
+    matched = F.when(F.col("status").isNull(), F.col("matched_meaning"))
+    status = F.coalesce("status", F.when(matched.isNotNull(), "remove_near_duplicate_meaning_of_main").otherwise("keep_new_meaning_for_existing_idiom"))
+    found = out.select(*new.columns, status.alias("status"), F.coalesce(matched, F.lit("")).alias("matched_meaning"))
+    return found.unionByName(n.where("__i = ''").select(*new.columns, F.lit("remove_missing_idiom").alias("status"), F.lit("").alias("matched_meaning")))
+
+
+def crawl_stored(pages: DataFrame, links: DataFrame, seeds: DataFrame, limit: int, depth: int | None = None) -> DataFrame:
+    """Breadth-first traversal of stored pages: (at, term, depth) of the first ``limit`` pages reached (JN11).
+
+    ``pages`` has the terms that have a page, ``links`` (term, at, other), ``seeds`` (term, at). One round joins the links of the last round's
+    terms, keeps what has a page and was not seen, and numbers it by the place of the term that leads to it first, then by the
+    link's. A round is a written table; each term is in one of them, so that rounds shrink to nothing, or to the limit or the depth.
     """
-    from collections import deque
-
-    queue, seen, out = deque(dict.fromkeys(seeds)), set(seeds), []
-    while queue and len(out) < limit:
-        term = queue.popleft()
-        page = fetch(term)
-        if page is None:
-            continue
-        out.append((term, page))
-        for other in links(page):
-            if other not in seen:
-                seen.add(other)
-                queue.append(other)
-    return out
+    spark = pages.sparkSession
+
+    def written(df: DataFrame) -> DataFrame:
+        path = scratch_folder(spark, "crawl")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    known = pages.select("term").distinct()
+    place = lambda df, order: running_number(df, order, "at", 0)
+    first = seeds.join(known, "term", "left_semi").groupBy("term").agg(F.min("at").alias("place"))
+    frontier = written(place(first, ["place", "term"]).select("at", "term", F.lit(0).alias("depth")))
+    found, count, round_ = frontier, frontier.count(), 0
+    while count < limit and (depth is None or round_ < depth):
+        round_ += 1
+        led = frontier.select(F.col("at").alias("from"), "term").join(links.select("term", F.col("at").alias("link"), "other"), "term")
+        new = led.groupBy(F.col("other").alias("term")).agg(F.min(F.struct("from", "link")).alias("place"))
+        new = new.join(known, "term", "left_semi").join(found.select("term"), "term", "left_anti")
+        frontier = written(place(new, ["place", "term"]).select((F.col("at") + count).alias("at"), "term", F.lit(round_).alias("depth")))
+        more = frontier.count()
+        if not more:
+            break
+        found, count = written(found.unionByName(frontier)), count + more
+    return found.where(F.col("at") < limit)

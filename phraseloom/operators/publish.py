@@ -91,9 +91,14 @@ def finalize(df: DataFrame, position: str = "_pos", version: str = "v2") -> Data
     return out.withColumns({"is_adversarial_example": F.startswith("row_type", F.lit("adversarial_example")), "paraphrase_group_id": F.col("idiom_id")})
 
 
+def merge_columns(position: str = "_pos") -> list:
+    """What the merged rows are ordered by (SL2)."""
+    return ["idiom_id", T.lookup(F.col("row_type"), ROW_ORDER, 99), "context_type", "example_usage_label", "idiom_in_example", position]
+
+
 def merge_order(df: DataFrame, position: str = "_pos") -> DataFrame:
     """(SL2)"""
-    return df.orderBy("idiom_id", T.lookup(F.col("row_type"), ROW_ORDER, 99), "context_type", "example_usage_label", "idiom_in_example", position)
+    return df.orderBy(*merge_columns(position))
 
 
 def clean_examples(df: DataFrame, example: str = "example", idiom: str = "idiom_canonical", label: str = "example_usage_label", longer_than: int = 15) -> DataFrame:

@@ -99,6 +99,14 @@ def schema_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
     return {"shared": sorted(set(a.columns) & set(b.columns)), "left_only": sorted(set(a.columns) - set(b.columns)), "right_only": sorted(set(b.columns) - set(a.columns))}
 
 
+def schema_contents(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, column, n): shared and one-sided columns of two tables and how many values they hold, those of both tables where shared (PRJ15, ST4)."""
+    sides = {c: side for side, columns in schema_diff(left, right).items() for c in columns}
+    counts = lambda df: df.agg(*[F.count(c).alias(c) for c in df.columns]).select(F.inline(F.array(*[F.struct(F.lit(sides[c]).alias("side"), F.lit(c).alias("column"), F.col(c).alias("n")) for c in df.columns])))
+    return counts(left).unionByName(counts(right)).groupBy("side", "column").agg(F.sum("n").alias("n"))
+
+
+
 def mark_adversarial(df: DataFrame, row_type: str = "row_type") -> DataFrame:
     """(PRJ16)"""
     return df.withColumn("is_adversarial", F.contains(F.lower(F.coalesce(F.col(row_type), F.lit(""))), F.lit("adversarial")))

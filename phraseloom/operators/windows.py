@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phraseloom.functions import text as T
+from phraseloom.sources.scratch import scratch_folder
 
 
 def numbered(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], name: str = "rank", start: int = 1) -> DataFrame:
@@ -29,48 +30,59 @@ def split_adversarial(df: DataFrame, order: Sequence[Column | str], row_type: st
     return df.where(~adversarial).unionByName(kept)
 
 
-def pair_ids(df: DataFrame, keys: Sequence[str], complete: Column | None = None, infix: str = "_pair_", name: str = "minimal_pair_id", slice_chars: int = 10) -> DataFrame:
+def ranges(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` dealt out by ranges of the whole order and sorted, as a written table with ``__range`` and the running ``__at``.
+
+    Ranges are found from a sample, so that they may differ when they are found again: the table is written once. Rows that are equal in
+    the order cannot part; orders that end in a unique position have none.
+    """
+    spark = df.sparkSession
+    by = [T.col(o) for o in order]
+    dealt = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"__range": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    path = scratch_folder(spark, "ranges")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
+def running_number(df: DataFrame, order: Sequence[Column | str], name: str = "number", start: int = 1) -> DataFrame:
+    """Numbers of all rows in one order: ranges of the order are sorted in parallel, and only their counts meet in one task (SL2, WN7-WN9)."""
+    dealt = ranges(df, order)
+    counts = dealt.groupBy("__range").agg(F.min("__at").alias("first"), F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = counts.select("__range", (F.coalesce(upto, F.lit(0)) - F.col("first") + start).alias("__shift"))
+    numbered_ = dealt.join(F.broadcast(shifts), "__range")  # a row for each partition
+    return numbered_.withColumn(name, F.col("__at") + F.col("__shift")).drop("__range", "__at", "__shift")
+
+
+def pair_ids(df: DataFrame, keys: Sequence[str], complete: Column | None = None, infix: str = "_pair_", name: str = "minimal_pair_id") -> DataFrame:
     """A running number over the sorted distinct key tuples, as ``<first key><infix><number>`` (WN7-WN9).
 
-    With ``complete`` (a boolean aggregate of a pair) only such pairs are numbered, others get null. Numbers come from counts
-    per slice of the order and a number within the slice, so that the only unpartitioned window runs over slices; rows get their
-    id by a join and never pass through a window. A slice is what shares the first characters of the first key beyond
-    the prefix that all keys have in common.
+    With ``complete`` (a boolean aggregate of a pair) only such pairs are numbered, others get null. Rows get their id by a join and
+    are neither sorted nor numbered themselves.
     """
     pairs = df.groupBy(*keys).agg((F.lit(True) if complete is None else complete).alias("__complete")).where("__complete").drop("__complete")
-    first = F.coalesce(F.col(keys[0]).cast("string"), F.lit(""))
-    ends = pairs.agg(F.min(first).alias("lo"), F.max(first).alias("hi"))
-    places = F.sequence(F.lit(0), F.least(F.length("lo"), F.length("hi")))
-    common = F.aggregate(places, F.lit(0), lambda n, i: F.when((n + 1 == i) & F.substring("lo", i, F.lit(1)).eqNullSafe(F.substring("hi", i, F.lit(1))), i).otherwise(n))
-    shared = ends.select(F.coalesce(common, F.lit(0)).alias("__shared"))  # one row
-    pairs = pairs.join(F.broadcast(shared)).withColumn("__slice", F.substring(first, F.lit(1), F.col("__shared") + slice_chars)).drop("__shared")
-    upto = F.sum("count").over(Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
-    before = pairs.groupBy("__slice").count().select("__slice", F.coalesce(upto, F.lit(0)).alias("__before"))
-    n = F.row_number().over(Window.partitionBy("__slice").orderBy(*keys))
-    ids = pairs.withColumn("__n", n).join(before, "__slice")
-    ids = ids.select(*[F.col(k).alias(f"__{k}") for k in keys], F.concat(F.col(keys[0]).cast("string"), F.lit(infix), (F.col("__n") + F.col("__before")).cast("string")).alias(name))
+    ids = running_number(pairs, keys, "__n")
+    ids = ids.select(*[F.col(k).alias(f"__{k}") for k in keys], F.concat(F.col(keys[0]).cast("string"), F.lit(infix), F.col("__n").cast("string")).alias(name))
     rows = df.drop(name)
     same = [rows[k].eqNullSafe(ids[f"__{k}"]) for k in keys]
     return rows.join(ids, same, "left").drop(*[f"__{k}" for k in keys])
 
 
-def fill_both_ways(df: DataFrame, key: str, column: str, position: str = "_pos", slices: Column | None = None) -> DataFrame:
+def fill_both_ways(df: DataFrame, key: str, column: str, position: str = "_pos") -> DataFrame:
     """Nulls of a group filled from the rows before, else after (WN10).
 
-    ``slices`` (a column that never falls as the position rises) splits the work of large groups: rows meet within a slice of
-    their key, and between slices only the first and last value of each is carried, so that no task holds a whole key.
+    Rows are dealt out by ranges of key and position, so that a large key spreads over many; rows meet within a range of their key, and between
+    ranges only the first and last value of each is carried.
     """
-    rows = df.withColumn("__slice", F.lit(0).cast("long") if slices is None else slices.cast("long"))
-    w = Window.partitionBy(key, "__slice").orderBy(position)
+    rows = ranges(df, [key, position])
+    w = Window.partitionBy(key, "__range").orderBy(position)
     before = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    if slices is None:
-        return rows.withColumn(column, F.coalesce(before, after)).drop("__slice")
     known = F.col(column).isNotNull()
-    ends = rows.groupBy(key, "__slice").agg(F.max_by(column, F.when(known, F.col(position))).alias("__last"), F.min_by(column, F.when(known, F.col(position))).alias("__first"))
-    order = Window.partitionBy(key).orderBy("__slice")
-    carried = ends.select(F.col(key).alias("__key"), F.col("__slice").alias("__at"), F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
-    filled = rows.withColumns({"__up": before, "__down": after}).join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__at")))
+    ends = rows.groupBy(key, "__range").agg(F.max_by(column, F.when(known, F.col(position))).alias("__last"), F.min_by(column, F.when(known, F.col(position))).alias("__first"))
+    order = Window.partitionBy(key).orderBy("__range")
+    carried = ends.select(F.col(key).alias("__key"), F.col("__range").alias("__part"), F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+    filled = rows.withColumns({"__up": before, "__down": after}).join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__range") == F.col("__part")))
     return filled.withColumn(column, F.coalesce("__up", "__before", "__down", "__after")).select(*df.columns)
 
 

@@ -19,6 +19,7 @@ from phraseloom.operators import schema as Sch
 from phraseloom.operators import windows as W
 from phraseloom.operators.validate import issues, validate_rows
 from phraseloom.sources import readers as R
+from phraseloom.sources.scratch import scratch_folder
 
 
 def strict_filter(senses: DataFrame) -> DataFrame:
@@ -40,6 +41,11 @@ def core_inventory(entries: DataFrame, lexical: DataFrame | None = None) -> tupl
     Sets are in the source schema; their ``_pos`` is (branch, place, sense), so that the first wins in the order of the input.
     """
     senses = R.dictionary_senses(entries).withColumn("_pos", F.struct(F.lit(0).alias("branch"), F.col("_pos").cast("long").alias("place"), F.col("sense_index").cast("int").alias("sense")))
+    return core_of_senses(senses, lexical)
+
+
+def core_of_senses(senses: DataFrame, lexical: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same from sense rows whose ``_pos`` is (branch, place, sense). What the stages keep is written once and read by both sets."""
     senses = D.first_row(senses, [F.lower("idiom"), F.lower("meaning")])
     rows = high_precision(clean(strict_filter(senses)))
     merged = Sch.to_source_schema(rows, "kaikki_wiktionary", "dictionary", "high", keep=("_pos",))
@@ -47,7 +53,13 @@ def core_inventory(entries: DataFrame, lexical: DataFrame | None = None) -> tupl
         other = Sch.normalize_source(lexical.withColumns({"source": F.lit("wordnet"), "source_type": F.lit("lexical_database"), "idiom_confidence": F.lit("medium"), "_pos": F.struct(F.lit(1).alias("branch"), F.col("_pos").cast("long").alias("place"), F.lit(0).alias("sense"))}))
         merged = Sch.align_union(merged, other.select(*Sch.SOURCE_COLUMNS, "_pos"))
     merged = D.first_row(merged, [F.lower(T.safe("idiom")), F.lower(T.safe("meaning_en"))])
-    return global_filter(merged)
+    return global_filter(_written(merged, "core-merged"))
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def global_filter(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -88,17 +100,17 @@ def dialogue_candidates(lines: DataFrame, min_count: int = 5, line_id: str = "li
 
 
 def modern_filter(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merged modern sources -> broad and high-quality sets; the second is filtered from the first."""
+    """Merged modern sources -> broad and high-quality sets; the second is filtered from the first, which is written once."""
     base = Sch.normalize_source(rows, {"idiom": T.idiom_key})
     pick = lambda df: D.unique_pairs_plus_best(df, T.idiom_key("idiom"), T.idiom_key("meaning_en"), S.best_row_score())
-    broad = pick(base.where(P.broad_keep()))
+    broad = _written(pick(base.where(P.broad_keep())), "modern-broad")
     return broad, pick(broad.where(P.high_quality_keep()))
 
 
-def modern_inventory(broad: DataFrame, high: DataFrame, main: DataFrame) -> DataFrame:
+def modern_inventory(broad: DataFrame, high: DataFrame, main: DataFrame, with_ratio: bool = True) -> DataFrame:
     """High rows and the rest of broad, new against the main inventory (columns idiom, meaning, example, _pos), one row per idiom."""
     rows = J.rest_of_broad(high, broad, ["idiom", "meaning_en"])
-    matched = J.match_status(rows.withColumnRenamed("meaning_en", "meaning"), main)
+    matched = J.match_status(rows.withColumnRenamed("meaning_en", "meaning"), main, with_ratio=with_ratio)
     kept = matched.where(F.startswith("status", F.lit("keep_"))).withColumnRenamed("meaning", "meaning_en")
     score = S.before_enrichment_score("meaning_en")
     return D.best_scored(kept, [T.idiom_key("idiom")], score).select(*rows.columns)

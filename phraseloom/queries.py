@@ -6,7 +6,9 @@ Idiom, enrichment and metadata rows are projected from the driver's tables by ex
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,7 +112,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.split_lines(table(spark, sf_dir, "documents"))
+    return R.split_lines(R.spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def query(name: str, sql: str | None = None, **views: str):
@@ -456,10 +458,67 @@ def _metadata_fill(spark, d):
     return J.fill_from(rows, rows.groupBy("src").agg(F.max("meaning").alias("f")), "src", {"meaning": "f"}).select("_pos", "meaning")
 
 
+# --- whole pipelines -------------------------------------------------------------------------------------------------------------------
+def on_view(sql: str, view: str) -> str:
+    """A stage's SQL over another view than ``idioms``."""
+    body = sql.removeprefix(f"WITH idioms AS ({IDIOMS_SQL})").lstrip()
+    body = f"WITH {body[1:]}" if body.startswith(",") else body
+    return re.sub(r"\bidioms\b", view, body)
+
+
+def kept_by(name: str, view: str) -> str:
+    """The rows of a view that a stage's query keeps."""
+    return f"SELECT * FROM {view} WHERE _pos IN (SELECT _pos FROM ({on_view(ORACLES[name], view)}))"
+
+
+_CORE = {
+    "idioms": IDIOMS_SQL,
+    "senses": "SELECT * EXCLUDE r0 FROM (SELECT *, row_number() OVER (PARTITION BY lower(idiom), lower(meaning) ORDER BY _pos) AS r0 FROM idioms) WHERE r0 = 1",
+    "strict": kept_by("q_strict_filter", "senses"),
+    "cleaned": kept_by("q_clean_filter", "strict"),
+    "precise": kept_by("q_high_precision", "cleaned"),
+    "sources": "SELECT * REPLACE ('kaikki_wiktionary' AS source, 'high' AS idiom_confidence) FROM precise UNION ALL SELECT * REPLACE ('wordnet' AS source, 'medium' AS idiom_confidence, _pos + 1000000000 AS _pos) FROM idioms WHERE _pos % 3 = 0",
+    "merged": f"SELECT * EXCLUDE r1 FROM (SELECT *, row_number() OVER (PARTITION BY lower({s_safe('idiom')}), lower({s_safe('meaning')}) ORDER BY _pos) AS r1 FROM sources) WHERE r1 = 1",
+}
+
+
+@query("q_core_pipeline", f"SELECT 'broad' AS kind, _pos FROM ({kept_by('q_global_broad', 'merged')}) UNION ALL SELECT 'high', _pos FROM ({kept_by('q_global_high', 'merged')})", **_CORE)
+def _core_pipeline(spark, d):
+    """Dictionary senses and lexical rows through all filters to the broad and the high-precision set."""
+    rows = idioms(spark, d)
+    senses = rows.withColumn("_pos", F.struct(F.lit(0).alias("branch"), F.col("_pos").cast("long").alias("place"), F.lit(0).alias("sense")))
+    sets = Plan.core_of_senses(senses, sourced(spark, d).where("_pos % 3 = 0"))
+    place = F.col("_pos.branch") * 1000000000 + F.col("_pos.place")
+    return reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), place.alias("_pos")) for kind, df in zip(("broad", "high"), sets, strict=True)])
+
+
+_MODERN = {
+    "idioms": IDIOMS_SQL,
+    "crowd_in": "SELECT * FROM idioms WHERE _pos % 3 = 0", "crowd": kept_by("q_crowd_slang", "crowd_in"),
+    "slang_in": "SELECT * FROM idioms WHERE _pos % 3 = 1", "slang": kept_by("q_dictionary_slang", "slang_in"),
+    "first_in": "SELECT * FROM crowd UNION ALL SELECT * FROM slang", "first_merge": kept_by("q_merge_best", "first_in"),
+    "second_in": "SELECT * FROM first_merge UNION ALL SELECT * FROM idioms WHERE _pos % 3 = 2",
+    "second_merge": f"SELECT * EXCLUDE (w, r2) FROM (SELECT *, row_number() OVER (PARTITION BY {s_key('idiom')}, {s_key('meaning')} ORDER BY {MERGE2} DESC, _pos) AS r2 FROM (SELECT *, {WORDS_SQL.format('idiom')} AS w FROM ({on_view(MODERN_BASE, 'second_in')}))) WHERE r2 = 1",
+    "second": "SELECT * FROM second_in WHERE _pos IN (SELECT _pos FROM second_merge)",
+    "broad_in": f"SELECT * FROM second WHERE _pos IN (SELECT _pos FROM ({on_view(ORACLES['q_modern_keep'], 'second')}) WHERE broad)",
+    "broad_set": kept_by("q_unique_pairs_plus_best", "broad_in"),
+    "high_in": f"SELECT * FROM broad_set WHERE _pos IN (SELECT _pos FROM ({on_view(ORACLES['q_modern_keep'], 'broad_set')}) WHERE high)",
+}
+
+
+@query("q_modern_pipeline", f"SELECT 'broad' AS kind, _pos FROM broad_set UNION ALL SELECT 'high', _pos FROM ({kept_by('q_unique_pairs_plus_best', 'high_in')})", **_MODERN)
+def _modern_pipeline(spark, d):
+    """Three modern sources, cleaned each its own way and merged in two stages, to the broad and the high-quality set."""
+    rows = sourced(spark, d)
+    merged = Plan.merge_stage_1(Plan.crowd_slang(rows.where("_pos % 3 = 0")), Plan.dictionary_slang(rows.where("_pos % 3 = 1")))
+    sets = Plan.modern_filter(Plan.merge_stage_2(merged, rows.where("_pos % 3 = 2")))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), "_pos") for kind, df in zip(("broad", "high"), sets, strict=True)])
+
+
 # --- windows, samples, splits ----------------------------------------------------------------------------------------------------------
 @query("q_ffill_bfill", "SELECT _pos, coalesce(last_value(meaning IGNORE NULLS) OVER (PARTITION BY src ORDER BY _pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(meaning IGNORE NULLS) OVER (PARTITION BY src ORDER BY _pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS meaning FROM meta", meta=META_SQL)
 def _fill(spark, d):
-    return W.fill_both_ways(metadata(spark, d), "src", "meaning", slices=F.floor(F.col("_pos") / 100)).select("_pos", "meaning")
+    return W.fill_both_ways(metadata(spark, d), "src", "meaning").select("_pos", "meaning")
 
 
 @query("q_cumcount", "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS rank FROM conversations")
@@ -487,9 +546,9 @@ def _finalize_v1(spark, d):
     return Pub.finalize(enriched(spark, d), version="v1").select("_pos", "row_type", "expected_label", "minimal_pair_id")
 
 
-@query("q_finalize_generated", "SELECT _pos, concat('adversarial_example_', r) AS row_type, expected_label FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY e, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2 UNION ALL SELECT _pos, row_type, CASE WHEN row_type = 'main_example' THEN example_usage_label ELSE expected_label END FROM rows WHERE NOT contains(row_type, 'adversarial')", **_FINAL)
+@query("q_finalize_generated", "SELECT _pos, concat('adversarial_example_', r) AS row_type, expected_label, NULL AS minimal_pair_id FROM (SELECT *, row_number() OVER (PARTITION BY idiom_id ORDER BY e, _pos) AS r FROM rows WHERE contains(row_type, 'adversarial')) WHERE r <= 2 UNION ALL SELECT _pos, row_type, example_usage_label, concat(idiom_id, '_pair_', n) FROM rows JOIN (SELECT idiom_id AS i, context_type AS c, row_number() OVER (ORDER BY idiom_id, context_type) AS n FROM rows WHERE row_type = 'main_example' GROUP BY 1, 2) ON idiom_id = i AND context_type = c WHERE row_type = 'main_example' UNION ALL SELECT _pos, row_type, expected_label, NULL FROM rows WHERE NOT contains(row_type, 'adversarial') AND row_type <> 'main_example'", **_FINAL)
 def _finalize_generated(spark, d):
-    return Pub.finalize(enriched(spark, d), version="generated").select("_pos", "row_type", "expected_label")
+    return Pub.finalize(enriched(spark, d), version="generated").select("_pos", "row_type", "expected_label", "minimal_pair_id")
 
 
 @query("q_split_by_key", "SELECT doc_id, CASE WHEN (('0x' || substr(md5(text), 1, 4))::INT % 100) < 80 THEN 'train' ELSE 'test' END AS split FROM documents")
@@ -514,7 +573,10 @@ def _order_map(spark, d):
 
 
 # --- statistics ------------------------------------------------------------------------------------------------------------------------
-@query("q_stats_core", f"SELECT count(*) AS total_rows, count(DISTINCT nullif(lower({s_norm('idiom')}), '')) AS unique_idioms, count(DISTINCT nullif(lower({s_norm('meaning')}), '')) AS unique_meanings, count(*) FILTER ({s_safe('meaning')} <> '') AS rows_with_meaning, count(*) FILTER ({s_safe('example')} <> '') AS rows_with_example, round(avg({s_count('idiom')}), 4) AS avg_idiom_tokens, min({s_count('idiom')}) AS min_idiom_tokens, max({s_count('idiom')}) AS max_idiom_tokens, round(avg(CASE WHEN {s_safe('meaning')} <> '' THEN {s_count('meaning')} END), 4) AS avg_meaning_tokens, round(avg(CASE WHEN {s_safe('example')} <> '' THEN {s_count('example')} END), 4) AS avg_example_tokens FROM idioms", idioms=IDIOMS_SQL)
+CORE_SQL = f"SELECT count(*) AS total_rows, count(DISTINCT nullif(lower({s_norm('idiom')}), '')) AS unique_idioms, count(DISTINCT nullif(lower({s_norm('meaning')}), '')) AS unique_meanings, count(*) FILTER ({s_safe('meaning')} <> '') AS rows_with_meaning, count(*) FILTER ({s_safe('example')} <> '') AS rows_with_example, round(avg({s_count('idiom')}), 4) AS avg_idiom_tokens, min({s_count('idiom')}) AS min_idiom_tokens, max({s_count('idiom')}) AS max_idiom_tokens, round(avg(CASE WHEN {s_safe('meaning')} <> '' THEN {s_count('meaning')} END), 4) AS avg_meaning_tokens, round(avg(CASE WHEN {s_safe('example')} <> '' THEN {s_count('example')} END), 4) AS avg_example_tokens FROM idioms"
+
+
+@query("q_stats_core", CORE_SQL, idioms=IDIOMS_SQL)
 def _stats_core(spark, d):
     return St.core_statistics(idioms(spark, d), "idiom", "meaning", "example")
 

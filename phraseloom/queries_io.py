@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from phraseloom.functions import predicates as P
@@ -16,12 +17,13 @@ from phraseloom.operators import schema as Sch
 from phraseloom.operators import stats as St
 from phraseloom.operators import windows as W
 from phraseloom.plans import pipelines as Plan
-from phraseloom.queries import ENRICHED_SQL, IDIOMS_SQL, LINES_SQL, enriched, idioms, lines, query, s_count, s_key, s_norm, s_safe, table
+from phraseloom.queries import CORE_SQL, ENRICHED_SQL, IDIOMS_SQL, LINES_SQL, enriched, idioms, lines, query, s_count, s_key, s_norm, s_safe, table
 from phraseloom.sources import pages as Pages
 from phraseloom.sources import readers as R
 from phraseloom.sources import services
 from phraseloom.sources import sinks as Out
 from phraseloom.sources.scratch import scratch_folder
+from phraseloom.streaming import resume as Resume
 
 EMPTY_IS_NULL = "SELECT _pos::VARCHAR AS _pos, nullif(idiom, '') AS idiom, nullif(meaning, '') AS meaning, nullif(example, '') AS example, nullif(tags, '') AS tags FROM idioms"
 
@@ -36,6 +38,14 @@ def _csv(spark, d):
     return R.read_csv(spark, path)
 
 
+@query("q_csv_quoted_breaks", "SELECT doc_id, CASE WHEN text <> '' THEN text END AS text, CASE WHEN lang <> '' THEN lang END AS lang FROM documents")
+def _csv_breaks(spark, d):
+    """Whole texts with line breaks, quotes and separators, read by blocks of the files (SRC3)."""
+    path = scratch_folder(spark, "csv-breaks")
+    Out.write_csv(table(spark, d, "documents").select(F.col("doc_id").alias("﻿doc_id"), "text", "lang"), path)
+    return R.read_csv(spark, path, "doc_id long, text string, lang string")
+
+
 @query("q_parquet_round_trip", "SELECT _pos, idiom, example, size FROM idioms", idioms=IDIOMS_SQL)
 def _parquet(spark, d):
     path = f"{scratch_folder(spark, 'parquet')}.parquet"
@@ -75,22 +85,23 @@ def _json_file(spark, d):
     return R.line_counts(R.read_json_lines(spark, path, "event_id long"))
 
 
-TEXT_LINES = "SELECT text, count(*) AS n FROM lines WHERE NOT contains(text, chr(13)) GROUP BY 1"
+#: Written lines as a reader finds them: a carriage return ends a line, before a line feed it is part of that line's end.
+FILE_LINES = "SELECT unnest(string_split(regexp_replace(text, '\\r$', ''), chr(13))) AS text FROM lines"
 
 
-@query("q_text_lines", TEXT_LINES, lines=LINES_SQL)
+@query("q_text_lines", "SELECT text, count(*) AS n FROM found GROUP BY 1", lines=LINES_SQL, found=FILE_LINES)
 def _text_lines(spark, d):
     """Lines written as gz text and read again (SRC5)."""
     path = f"{scratch_folder(spark, 'lines')}/"
-    lines(spark, d).where("not contains(text, '\\r')").select("text").write.option("compression", "gzip").text(path)
+    lines(spark, d).select("text").write.option("compression", "gzip").text(path)
     return R.read_lines(spark, path).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("q_line_numbers", "SELECT count(*) AS lines, count(*) AS positions, 0 AS gaps FROM lines WHERE NOT contains(text, chr(13))", lines=LINES_SQL)
+@query("q_line_numbers", "SELECT count(*) AS lines, count(*) AS positions, 0 AS gaps FROM found", lines=LINES_SQL, found=FILE_LINES)
 def _line_numbers(spark, d):
     """Every line has a row number of its own in its file, from 0 without gaps (SRC5)."""
     path = f"{scratch_folder(spark, 'numbers')}/"
-    lines(spark, d).where("not contains(text, '\\r')").select("text").write.text(path)
+    lines(spark, d).select("text").write.text(path)
     files = R.read_lines(spark, path).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row").alias("rows"), F.min("row").alias("least"), F.max("row").alias("most"))
     gap = F.col("most") + 1 - F.col("n") + F.abs("least")
     return files.agg(F.sum("n").alias("lines"), F.sum("rows").alias("positions"), F.sum(gap).alias("gaps"))
@@ -134,11 +145,11 @@ def _inventory_file(spark, d):
     return reduce(lambda a, b: a.unionByName(b), kinds)
 
 
-@query("q_seeds", "SELECT 'default' AS kind, unnest(['break a leg', 'spill the beans']) AS term UNION ALL SELECT 'given', unnest(['hit the sack', 'piece of cake'])")
+@query("q_seeds", f"SELECT DISTINCT term FROM (SELECT {s_key('p_name')} AS term FROM part UNION ALL SELECT {s_key('brand')} FROM items) WHERE {s_count('term')} BETWEEN 2 AND 8 AND regexp_matches(term, '[a-zA-Z]') AND NOT regexp_matches(term, '[<>\\[\\]{{}}_=+*/\\\\|]')")
 def _seeds(spark, d):
-    """Seed terms, multiword only, distinct (SRC15)."""
-    given = R.seeds(spark, ["Piece  of cake", "piece of cake", "single", "hit the sack"]).select(F.lit("given").alias("kind"), "term")
-    return R.seeds(spark).select(F.lit("default").alias("kind"), "term").unionByName(given)
+    """Seed terms out of lines: normalised phrases of two to eight words, distinct (SRC15)."""
+    listed = table(spark, d, "part").select(F.col("p_name").alias("term")).unionByName(table(spark, d, "items").select(F.col("brand").alias("term")))
+    return R.seed_terms(listed)
 
 
 @query("q_header_peek", "SELECT 'idiom' AS name UNION ALL SELECT 'meaning' UNION ALL SELECT 'rows <= 3'")
@@ -185,12 +196,12 @@ def _stage(spark, d):
     return done.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("q_request_lines", "SELECT concat('r_', p_partkey) AS custom_id, p_name AS idiom FROM part WHERE p_size < 25")
+@query("q_request_lines", "SELECT concat('r_', p_partkey) AS custom_id, p_name AS idiom FROM part")
 def _requests(spark, d):
     """Request lines written and parsed again (SNK5)."""
     path = scratch_folder(spark, "requests")
     value = F.to_json(F.struct(F.concat(F.lit("r_"), F.col("p_partkey").cast("string")).alias("custom_id"), F.struct(F.col("p_name").alias("input")).alias("body")))
-    Out.write_requests(table(spark, d, "part").where("p_size < 25").select(value.alias("value")), path)
+    Out.write_requests(table(spark, d, "part").select(value.alias("value")), path)
     return R.read_json_lines(spark, path, "custom_id string, body struct<input:string>").select("entry.custom_id", F.col("entry.body.input").alias("idiom"))
 
 
@@ -213,9 +224,9 @@ def _classes(spark, d):
     return Pages.class_entries(made_pages(spark, d))
 
 
-@query("q_page_lines", "SELECT p_partkey AS page_id, p_name AS term, p_name AS meaning, concat('a & ', p_type, ' so ', p_brand) AS example FROM part")
+@query("q_page_lines", f"SELECT p_partkey AS page_id, 0 AS \"at\", {s_key('p_name')} AS term, p_name AS meaning, 'a &' AS example FROM part WHERE {s_count('p_name')} BETWEEN 2 AND 8")
 def _page_lines(spark, d):
-    """After the term's line the next is the meaning, the rest up to a stop line the example (SRC13)."""
+    """The lines after the term's, up to an author's line: here the term's heading again is the first of them (SRC13)."""
     return Pages.text_entries(made_pages(spark, d))
 
 
@@ -225,12 +236,19 @@ def _term_links(spark, d):
     return Pages.links(made_pages(spark, d))
 
 
-@query("q_crawl", "SELECT unnest([0, 1, 2, 3]) AS \"at\", unnest(['a b', 'c d', 'e f', 'g h']) AS term")
+@query("q_crawl", """WITH RECURSIVE p AS (SELECT page_id, list_transform(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"'']+)["'']', 1), lambda u: lower(ltrim(u, '/'))) AS urls FROM pages),
+f AS (SELECT term, urls FROM (SELECT urls[1] AS term, urls, row_number() OVER (PARTITION BY urls[1] ORDER BY page_id) AS k FROM p WHERE len(urls) > 0) WHERE k = 1),
+l AS MATERIALIZED (SELECT term, other, min(pos) AS pos FROM (SELECT term, unnest(urls) AS other, unnest(range(len(urls))) AS pos FROM f) WHERE other IN (SELECT term FROM f) GROUP BY term, other),
+walk AS (SELECT term, 0 AS depth, [rank() OVER (ORDER BY term)] AS path FROM f WHERE term IN ('the', 'der', 'les', 'los', 'thanks') UNION ALL SELECT l.other, depth + 1, list_append(path, pos) FROM walk JOIN l ON walk.term = l.term WHERE depth < 4),
+best AS (SELECT term, min(struct_pack(depth := depth, path := path)) AS place FROM walk GROUP BY term)
+SELECT row_number() OVER (ORDER BY place) - 1 AS "at", term, place.depth AS depth FROM best ORDER BY place LIMIT 60""")
 def _crawl(spark, d):
-    """Breadth first from the seeds, each term once, missing pages skipped, up to the limit (JN11, AG31)."""
-    web = {"a b": ["c d", "lost", "e f"], "c d": ["a b", "g h"], "e f": ["c d"], "g h": ["i j"], "i j": []}
-    found = J.crawl(["a b", "a b"], lambda t: web.get(t), lambda page: page, 4)
-    return spark.createDataFrame([(k, term) for k, (term, _) in enumerate(found)], "at int, term string")
+    """Breadth first over stored pages, each under its first link: four steps from a few seeds, each term once, targets without a page skipped (JN11)."""
+    links = Pages.all_links(table(spark, d, "pages")).select("page_id", "at", F.lower(F.ltrim("url", F.lit("/"))).alias("other"))
+    first = D.best_row(links.where("at = 0"), ["other"], ["page_id"]).select("page_id", F.col("other").alias("term"))
+    targets = links.join(first, "page_id").select("term", "at", "other")
+    seeds = first.where(F.col("term").isin("the", "der", "les", "los", "thanks")).select("term")
+    return J.crawl_stored(first.select("term"), targets, W.running_number(seeds, ["term"], "at", 0), 60, 4)
 
 
 @query("q_crawl_statistics", "SELECT count(*) AS pages, count(*) FILTER (p_partkey % 5 <> 0) AS fetched, count(*) FILTER (p_partkey % 5 = 0) AS failed, count(*) FILTER (p_partkey % 5 <> 0) AS pages_with_entries, count(*) FILTER (p_partkey % 5 <> 0) AS entries, count(*) FILTER (p_partkey % 5 <> 0) AS with_meaning, count(DISTINCT CASE WHEN p_partkey % 5 <> 0 THEN lower(p_name) END) AS unique_terms FROM part")
@@ -286,11 +304,11 @@ def _coerced(spark, d):
     return Sch.coerce_types(rows, numeric=["score"], boolean=["flag"], text=["tags"])
 
 
-@query("q_schema_diff", "SELECT unnest(['shared', 'left_only', 'right_only']) AS side, unnest(['_pos,idiom', 'brand', 'size']) AS columns")
+@query("q_schema_diff", "SELECT side, c AS \"column\", n FROM (SELECT unnest(['shared', 'shared', 'left_only', 'right_only']) AS side, unnest(['_pos', 'idiom', 'tags', 'pos']) AS c, unnest([count(*) FILTER (_pos IS NOT NULL) * 2, count(*) FILTER (idiom IS NOT NULL) * 2, count(*) FILTER (tags IS NOT NULL), count(*) FILTER (pos IS NOT NULL)]) AS n FROM idioms)", idioms=IDIOMS_SQL)
 def _schema_diff(spark, d):
+    """Shared and one-sided columns of two tables, with the values that they hold (PRJ15, ST4)."""
     rows = idioms(spark, d)
-    diff = Sch.schema_diff(rows.select("_pos", "idiom", "brand"), rows.select("_pos", "idiom", "size"))
-    return spark.createDataFrame([(k, ",".join(v)) for k, v in diff.items()], "side string, columns string")
+    return Sch.schema_contents(rows.select("_pos", "idiom", "tags"), rows.select("_pos", "idiom", "pos"))
 
 
 @query("q_adversarial_mark", "SELECT _pos, contains(row_type, 'adversarial') AS is_adversarial FROM enriched", enriched=ENRICHED_SQL)
@@ -439,15 +457,16 @@ def _shared(spark, d):
 @query("q_merge_order", "SELECT _pos, row_number() OVER (ORDER BY idiom_id, CASE row_type WHEN 'main_example' THEN 1 WHEN 'adversarial_example_1' THEN 2 WHEN 'adversarial_example_2' THEN 3 ELSE 99 END, context_type, example_usage_label, idiom_in_example, _pos) AS place FROM enriched", enriched=ENRICHED_SQL)
 def _merge_order(spark, d):
     """The order of the merge, numbered, so that the sort itself is compared (SL2)."""
-    rows = Pub.merge_order(enriched(spark, d)).select("_pos").coalesce(1)
-    return rows.select("_pos", (F.monotonically_increasing_id() + 1).alias("place"))
+    return W.running_number(enriched(spark, d), Pub.merge_columns(), "place").select("_pos", "place")
+
+
+CORE = ("total_rows", "unique_idioms", "unique_meanings", "rows_with_meaning", "rows_with_example", "avg_idiom_tokens", "min_idiom_tokens", "max_idiom_tokens", "avg_meaning_tokens", "avg_example_tokens")
 
 
-@query("q_full_report", "SELECT 'core' AS section, 'total_rows' AS metric, count(*)::VARCHAR AS value FROM idioms UNION ALL SELECT 'pos', coalesce(pos, 'MISSING'), count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'source', source, count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'missing', c, n::VARCHAR FROM (SELECT unnest(['example', 'tags', 'pos']) AS c, unnest([count(*) FILTER (example IS NULL), count(*) FILTER (tags IS NULL), count(*) FILTER (pos IS NULL)]) AS n FROM idioms) WHERE n > 0", idioms=IDIOMS_SQL)
+@query("q_full_report", "SELECT 'core' AS section, m AS metric, v AS value FROM (SELECT unnest([" + ", ".join(f"'{m}'" for m in CORE) + "]) AS m, unnest([" + ", ".join(f"{m}::VARCHAR" for m in CORE) + "]) AS v FROM core) UNION ALL SELECT 'pos', coalesce(pos, 'MISSING'), count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'source', source, count(*)::VARCHAR FROM idioms GROUP BY 2 UNION ALL SELECT 'missing', c, n::VARCHAR FROM (SELECT unnest(['example', 'tags', 'pos']) AS c, unnest([count(*) FILTER (example IS NULL), count(*) FILTER (tags IS NULL), count(*) FILTER (pos IS NULL)]) AS n FROM idioms) WHERE n > 0", idioms=IDIOMS_SQL, core=CORE_SQL)
 def _full_report(spark, d):
     """Core counts, distributions and missing values in one long table (AG4, AG11, AG30, AG34)."""
-    report = St.full_report(idioms(spark, d), ("idiom", "meaning", "example"), ["pos", "source"], {})
-    return report.where("section <> 'core' or metric = 'total_rows'")
+    return St.full_report(idioms(spark, d), ("idiom", "meaning", "example"), ["pos", "source"], {})
 
 
 @query("q_filter_previews", "SELECT kind, _pos FROM (SELECT 'broad' AS kind, _pos, row_number() OVER (ORDER BY idiom, _pos) AS r FROM idioms WHERE size < 30 UNION ALL SELECT 'high', _pos, row_number() OVER (ORDER BY idiom, _pos) FROM idioms WHERE size < 10) WHERE r <= 20", idioms=IDIOMS_SQL)
@@ -593,50 +612,33 @@ def _lexical_database(spark, d):
     return R.lexical_entries(R.read_lexical_database(spark, path))
 
 
-@query("q_checkpoint_slices", "SELECT run, count(*) AS n FROM (SELECT unnest(CASE WHEN p_partkey < (SELECT ceil(max(p_partkey) / 4.0)::BIGINT FROM part) * 2 THEN ['first', 'second'] ELSE ['second'] END) AS run FROM part) GROUP BY 1")
+@query("q_checkpoint_slices", "SELECT p_partkey, upper(p_name) AS done, 1 AS times FROM part")
 def _slices(spark, d):
-    """Two slices of four saved, then the rerun goes on with the rest (SNK10)."""
-    part, path = table(spark, d, "part").select(F.col("p_partkey").alias("_pos")), scratch_folder(spark, "slices")
-    every = -(-part.agg(F.max("_pos")).first()[0] // 4)
-    first = Out.checkpoint_slices(part, path, every, stop_after=2).agg(F.lit("first").alias("run"), F.count(F.lit(1)).alias("n")).collect()
-    second = Out.checkpoint_slices(part, path, every).agg(F.lit("second").alias("run"), F.count(F.lit(1)).alias("n"))
-    return spark.createDataFrame(first, "run string, n long").unionByName(second)
-
-
-class _Rehearsal:
-    """A batch service in memory: a batch is completed at the third look."""
-
-    def __init__(self):
-        self.looks, self.lines = 0, {}
-
-    def submit(self, request_file, metadata):
-        self.lines["b1"] = request_file.split("\n")
-        return "b1"
-
-    def status(self, batch_id):
-        self.looks += 1
-        return "completed" if self.looks > 2 else "in_progress"
-
-    def download(self, batch_id, target):
-        return str(len(self.lines[batch_id]))
-
-    def cancel(self, batch_id):
-        del self.lines[batch_id]
-
-    def list(self, limit):
-        return [{"id": b} for b in list(self.lines)[:limit]]
+    """A run that dies after its second batch was saved, and another one that goes on: every row once (SNK10)."""
+    folder = scratch_folder(spark, "resumed")
+    schema, result = "p_partkey long, p_name string", "p_partkey long, done string"
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name")
+    Resume.stage_rows(part, f"{folder}/items", max(1, part.count() // 5))
+    step = lambda df: df.select("p_partkey", F.upper("p_name").alias("done"))
+
+    def die(number: int) -> None:
+        if number == 1:
+            raise InterruptedError("killed before the batch is marked as finished")
+
+    run = lambda after: Resume.work_off(spark, f"{folder}/items", schema, step, f"{folder}/done", f"{folder}/marks", 1, after)
+    try:
+        run(die)
+    except StreamingQueryException:
+        run(None)
+    return Resume.worked_off(spark, f"{folder}/done", result).groupBy("p_partkey", "done").agg(F.count(F.lit(1)).cast("int").alias("times"))
 
 
-@query("q_batch_service", "SELECT 'submitted' AS step, 'b1' AS value UNION ALL SELECT 'early', 'batch b1 is in_progress' UNION ALL SELECT 'status', 'completed' UNION ALL SELECT 'waits', '1' UNION ALL SELECT 'lines', '2' UNION ALL SELECT 'listed', 'b1' UNION ALL SELECT 'left', '0'")
+@query("q_batch_service", "SELECT batch, count(*) AS requests, min(p_partkey) AS first, count(*) FILTER ((batch % 3 <> 0)) AS downloaded, count(*) FILTER (batch % 3 = 0) AS outstanding FROM (SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // 300 AS batch FROM part) GROUP BY batch")
 def _service(spark, d):
-    """Submit, an early download refused, poll, download, list and cancel through an injected client (UD16-UD20)."""
-    service, waits = _Rehearsal(), []
-    batch = services.submit(service, "one\ntwo", {"stage": "rehearsal"})["batch_id"]
-    steps = [("submitted", batch)]
-    try:
-        services.download(service, batch, "x")
-    except RuntimeError as e:
-        steps.append(("early", str(e)))
-    steps += [("status", services.poll(service, batch, sleep=waits.append)), ("waits", str(len(waits))), ("lines", services.download(service, batch, "x")), ("listed", service.list(5)[0]["id"])]
-    service.cancel(batch)
-    return spark.createDataFrame([*steps, ("left", str(len(service.list(5))))], "step string, value string")
+    """Requests in batches of bounded size, results of the completed ones, and what a next submission still holds (UD16-UD20)."""
+    batches = services.batched(table(spark, d, "part").select("p_partkey"), ["p_partkey"], 300)
+    results = services.completed(batches, batches.select("batch", F.when(F.col("batch") % 3 == 0, "in_progress").otherwise("completed").alias("status")).distinct())
+    left = E.unprocessed(batches, results, "p_partkey")
+    both = batches.withColumn("kind", F.lit("request")).unionByName(results.withColumn("kind", F.lit("result"))).unionByName(left.withColumn("kind", F.lit("left")))
+    counted = lambda kind: F.count_if(F.col("kind") == kind)
+    return both.groupBy("batch").agg(counted("request").alias("requests"), F.min("p_partkey").alias("first"), counted("result").alias("downloaded"), counted("left").alias("outstanding"))

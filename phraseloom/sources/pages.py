@@ -1,11 +1,14 @@
-"""Crawled pages: terms by class, visible text as a fallback, and links. Regular expressions over one row at a time, in the JVM."""
+"""Crawled pages: terms by tag and class, visible lines as a fallback, and links. Pages are parsed in Arrow batches; the rest is columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phraseloom.functions import lexicon as L
+from phraseloom.functions import predicates as P
 from phraseloom.functions import text as T
+from phraseloom.sources.dom import parsed_pages
 
 
 def visible_text(html: Column | str) -> Column:
@@ -18,43 +21,79 @@ def visible_text(html: Column | str) -> Column:
     return t
 
 
-def class_texts(html: Column | str, name: str) -> Column:
-    """Texts of the elements whose class list has ``name``, in order; nested elements of the same tag end the match early."""
-    found = F.regexp_extract_all(F.coalesce(T.col(html), F.lit("")), F.lit(rf"""(?is)<([a-z0-9]+)\b[^>]*\bclass\s*=\s*["'][^"']*\b{name}\b[^"']*["'][^>]*>(.*?)</\1\s*>"""), F.lit(2))
-    return F.transform(found, lambda x: T.norm(visible_text(x)))
-
-
-def class_entries(pages: DataFrame, term_class: str = "word", meaning_class: str = "meaning", example_class: str = "example", key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, at, term, meaning, example): the classes' texts side by side, as many as there are terms (SRC12)."""
-    zipped = F.arrays_zip(class_texts(html, term_class).alias("term"), class_texts(html, meaning_class).alias("meaning"), class_texts(html, example_class).alias("example"))
-    rows = pages.select(key, F.posexplode(zipped).alias("at", "e"))
-    return rows.select(key, "at", "e.term", F.coalesce("e.meaning", F.lit("")).alias("meaning"), F.coalesce("e.example", F.lit("")).alias("example")).where("term is not null")
-
-
-def text_entries(pages: DataFrame, term: str = "term", stops: tuple[str, ...] = ("by ", "share", "flag", "get the"), key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, term, meaning, example) from the visible lines: after the term's line the next is the meaning, and the lines up to a
-    stop line the example (SRC13). Pages without the term or without a meaning give no row."""
-    lines = F.filter(F.transform(F.split(visible_text(html), "\n"), T.norm), lambda x: x != "")
-    rows = pages.select(key, F.col(term).alias("term"), lines.alias("lines"))
-    at = F.array_position(F.transform("lines", F.lower), F.lower(T.norm("term")))
-    rest = F.slice("lines", F.lit(1) + at.cast("int"), F.size("lines"))
-    rows = rows.where(at > 0).select(key, "term", rest.alias("rest"))
-    is_stop = lambda x: T.any_prefix(F.lower(x), stops)
-    flags = F.transform("rest", is_stop)
-    end = F.array_position(flags, True).cast("int")
-    body = F.when(end > 0, F.slice("rest", F.lit(1), F.greatest(end - 1, F.lit(0)))).otherwise(F.col("rest"))
-    rows = rows.select(key, "term", body.alias("body")).where(F.size("body") > 0)
-    return rows.select(key, "term", F.get("body", F.lit(0)).alias("meaning"), F.array_join(F.slice("body", 2, F.size("body")), " ").alias("example"))
-
-
-def links(pages: DataFrame, parameter: str = "term", most: int = 20, key: str = "page_id", html: str = "html", own: str | None = None) -> DataFrame:
-    """(key, at, term): terms of links that carry the parameter, decoded, in order, distinct, without the page's own, at most ``most``
-    (SRC14)."""
-    found = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(rf"""(?i)href\s*=\s*["'][^"']*[?&](?:amp;)?{parameter}=([^"'&#]+)"""), F.lit(1))
-    terms = F.filter(F.transform(found, lambda x: T.norm(F.coalesce(F.try_url_decode(x), x))), lambda x: x != "")
+def class_entries(pages: DataFrame, terms: str = ".word, a.word, h1, h2", meanings: str = ".meaning", examples: str = ".example", key: str = "page_id", html: str = "html", requested: str | None = None) -> DataFrame:
+    """(key, at, term, meaning, example): the elements' texts side by side, as many as there are both terms and meanings (SRC12).
+
+    With ``requested``, the column of the term that a page was asked for, only that term stays, as a phrase with a meaning and
+    without explicit text.
+    """
+    asked = ["__asked"] if requested else []
+    found = parsed_pages(pages.select(key, *([F.col(requested).alias("__asked")] if requested else []), html), {"__terms": terms, "__meanings": meanings, "__examples": examples}, html)
+    both = F.least(F.size("__terms"), F.size("__meanings"))
+    zipped = F.slice(F.arrays_zip(F.col("__terms").alias("term"), F.col("__meanings").alias("meaning"), F.col("__examples").alias("example")), F.lit(1), both)
+    rows = found.select(key, *asked, F.posexplode(zipped).alias("at", "e"))
+    rows = rows.select(key, *asked, "at", T.norm("e.term").alias("term"), T.norm("e.meaning").alias("meaning"), T.norm("e.example").alias("example"))
+    if requested:
+        same = T.idiom_key("term") == T.idiom_key("__asked")
+        rows = rows.where(same & P.good_phrase("term") & (F.col("meaning") != "") & ~P.explicit("meaning", "example", terms=L.PAGE_EXPLICIT))
+        rows = rows.withColumn("term", T.idiom_key("term"))
+    return rows.select(key, "at", "term", "meaning", "example")
+
+
+def text_entries(
+    pages: DataFrame, term: str = "term", skipped: tuple[str, ...] = L.PAGE_STOP_LINES, key: str = "page_id", html: str = "html"
+) -> DataFrame:
+    """(key, at, term, meaning, example) from the visible lines (SRC13).
+
+    After a line that is the term, the lines up to an author's line, a footer or the term again are its entry, without those to skip: the first
+    is the meaning, the second the example. Each such line of a page starts an entry, but for those within another one's
+    lines; terms that are no phrase, entries without a meaning and those with explicit text give no row.
+    """
+    lines = F.filter(F.transform(F.flatten(F.transform("page_strings", lambda x: F.split(x, "\n"))), T.norm), lambda x: x != "")
+    rows = parsed_pages(pages.select(key, F.col(term).alias("__term"), html), {}, html)
+    rows = T.once(rows.select(key, T.idiom_key("__term").alias("term"), lines.alias("lines")), marks=F.transform("lines", T.idiom_key)).where(P.good_phrase("term"))
+    # an entry is open after its term; it closes before an author's line or a footer, or at the term again once it has a line
+    ends = lambda i: T.any_prefix(F.get("marks", i), ("by ",)) | T.any_prefix(F.get("lines", i), ("Get the ", "© "))
+    none = F.array().cast("array<string>")
+    entry = lambda x: F.struct(x.alias("lines"))
+
+    def step(s: Column, i: Column) -> Column:
+        is_term, stops, skip = F.get("marks", i) == F.col("term"), ends(i), F.get("marks", i).isin(*skipped)
+        fresh = F.struct(F.lit(True).alias("open"), none.alias("held"), s["done"].alias("done"))
+        closed = F.concat(s["done"], F.array(entry(s["held"])))
+        again = F.struct(F.lit(True).alias("open"), none.alias("held"), closed.alias("done"))
+        shut = F.struct(F.lit(False).alias("open"), none.alias("held"), closed.alias("done"))
+        more = F.struct(F.lit(True).alias("open"), F.concat(s["held"], F.array(F.get("lines", i))).alias("held"), s["done"].alias("done"))
+        opened = F.when(stops, shut).when(skip, s).when(is_term & (F.size(s["held"]) > 0), again).otherwise(more)
+        return F.when(s["open"], opened).when(is_term, fresh).otherwise(s)
+
+    start = F.struct(F.lit(False).alias("open"), none.alias("held"), F.array().cast("array<struct<lines:array<string>>>").alias("done"))
+    finish = lambda s: F.when(s["open"], F.concat(s["done"], F.array(entry(s["held"])))).otherwise(s["done"])
+    found = F.aggregate(F.sequence(F.lit(0), F.size("lines") - 1), start, step, finish)
+    rows = rows.where(F.size("lines") > 0).select(key, "term", F.posexplode(found).alias("at", "e"))
+    rows = rows.select(key, "at", "term", F.coalesce(F.get("e.lines", F.lit(0)), F.lit("")).alias("meaning"), F.coalesce(F.get("e.lines", F.lit(1)), F.lit("")).alias("example"))
+    return rows.where((F.col("meaning") != "") & ~P.explicit("meaning", "example", terms=L.PAGE_EXPLICIT))
+
+
+def page_entries(pages: DataFrame, term: str = "term", key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, at, term, meaning, example): entries by class, or by visible lines where a page has none (SRC12, SRC13)."""
+    by_class = class_entries(pages, key=key, html=html, requested=term)
+    rest = pages.join(by_class.select(key).distinct(), key, "left_anti")
+    return by_class.unionByName(text_entries(rest, term, key=key, html=html))
+
+
+def links(pages: DataFrame, parameter: str = "term", most: int = 20, key: str = "page_id", html: str = "html", own: str | None = None, path: str = "define.php?") -> DataFrame:
+    """(key, at, term): terms of links to ``path`` that carry the parameter, decoded and normalised, phrases only, in order, distinct, without
+    the page's own, at most ``most`` (SRC14)."""
+    asked = [own] if own else []
+    found = parsed_pages(pages.select(key, *asked, html), {}, html)
+    fitting = F.filter("page_links", lambda x: F.contains(x, F.lit(f"{path}{parameter}=")) if path else F.contains(x, F.lit(f"{parameter}=")))
+    query = lambda x: F.regexp_extract(x, rf"[?&]{parameter}=([^&#]*)", 1)
+    decoded = lambda x: F.coalesce(F.try_url_decode(x), x)
+    terms = F.filter(F.transform(fitting, lambda x: T.idiom_key(decoded(query(x)))), lambda x: P.good_phrase(x))
     if own:
-        terms = F.filter(terms, lambda x: F.lower(x) != F.lower(F.coalesce(F.col(own), F.lit(""))))
-    return pages.select(key, F.posexplode(F.slice(F.array_distinct(terms), 1, most)).alias("at", "term"))
+        terms = F.filter(terms, lambda x: x != T.idiom_key(own))
+    return found.select(key, F.posexplode(F.slice(F.array_distinct(terms), 1, most)).alias("at", "term"))
 
 
 def all_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

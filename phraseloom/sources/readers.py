@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from phraseloom.functions import predicates as P
 from phraseloom.functions import text as T
+from phraseloom.sources.quoted import OPTIONS, read_quoted_csv
 
 ENTRY = "word string, lang string, pos string, wiktionary_url string, senses array<struct<tags:array<string>, topics:array<string>, glosses:array<string>, raw_glosses:array<string>, examples:array<variant>>>"
 
@@ -31,10 +32,20 @@ def first_existing(spark: SparkSession, *paths: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with header, quoted line breaks and an optional byte-order mark (SRC3). Only '' is null."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").option("nullValue", "")
-    df = (reader.schema(schema) if schema else reader).csv(path)
-    return df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns})
+    """CSV with header, quoted line breaks and an optional byte-order mark (SRC3), as many tasks as it has splits. Only '' is null."""
+    return read_quoted_csv(spark, path, schema)
+
+
+def spread(df: DataFrame, bytes_per_task: int = 4 << 20) -> DataFrame:
+    """A small input dealt out to all cores; one of more than ``bytes_per_task`` for each core keeps its splits.
+
+    A file of one row group is one task however many cores are idle. What Spark estimates of the input's size decides, so that nothing
+    large is ever shuffled for this.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= bytes_per_task * cores else df
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +66,8 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 def peek(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
     """(SRC17)"""
-    return read_csv(spark, path).limit(n)
+    head = spark.read.options(**OPTIONS).option("header", True).csv(path)  # the first records of a file, without the rest
+    return head.withColumnsRenamed({c: c.lstrip("﻿") for c in head.columns}).limit(n)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -176,18 +188,18 @@ def read_rounds(spark: SparkSession, paths: Sequence[str], column: str = "idiom_
     return out
 
 
-def seeds(spark: SparkSession, terms: Sequence[str] | None = None, default: Sequence[str] = ("break a leg", "spill the beans")) -> DataFrame:
-    """Seed terms, multiword only, distinct and sorted (SRC15)."""
-    df = spark.createDataFrame([(t,) for t in (terms or default)], "term string")
-    return df.select(T.idiom_key("term").alias("term")).where(F.contains("term", F.lit(" "))).distinct().orderBy("term")
+def seed_terms(terms: DataFrame, column: str = "term") -> DataFrame:
+    """Normalised seed phrases of two to eight words, distinct and sorted (SRC15)."""
+    return terms.select(T.idiom_key(column).alias("term")).where(P.good_phrase("term")).distinct().orderBy("term")
+
+
+def seeds(spark: SparkSession, path: str | None = None, default: Sequence[str] = ("break a leg", "spill the beans")) -> DataFrame:
+    """Seed phrases of a text file with one in each line, or the default list where there is no file (SRC15)."""
+    given = path is not None and exists(spark, path)
+    return seed_terms(spark.read.text(path).withColumnRenamed("value", "term") if given else spark.createDataFrame([(t,) for t in default], "term string"))
 
 
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines of documents with an id that keeps their order: (key, line_no, line_id, text)."""
     rows = docs.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "text"))
     return rows.select(key, "line_no", F.struct(key, "line_no").alias("line_id"), "text")
-
-
-def with_position(df: DataFrame, *order: str) -> DataFrame:
-    """``_pos`` from a unique order of small tables; large ones bring their own."""
-    return df.withColumn("_pos", F.row_number().over(Window.orderBy(*order)).cast("long"))

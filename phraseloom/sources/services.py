@@ -8,6 +8,11 @@ from collections.abc import Callable
 from pathlib import Path
 from typing import Protocol
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from phraseloom.operators.windows import running_number
+
 FINAL = ("completed", "failed", "expired", "cancelled")
 
 
@@ -30,6 +35,16 @@ def submit(service: BatchService, request_file: str, metadata: dict[str, str]) -
     return {"batch_id": service.submit(request_file, metadata), **metadata}
 
 
+def batched(requests: DataFrame, order: list[str], size: int) -> DataFrame:
+    """``requests`` with ``batch``: numbers of batches of at most ``size`` requests in the order, as a service limits them (UD16)."""
+    return running_number(requests, order, "batch", 0).withColumn("batch", F.floor(F.col("batch") / size))
+
+
+def completed(results: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Results of batches that ``statuses`` (batch, status) calls completed; others are not looked at (UD17, UD18)."""
+    return results.join(statuses.where(F.col("status") == "completed").select("batch"), "batch", "left_semi")
+
+
 def poll(service: BatchService, batch_id: str, every: float = 30, most: float = 3600, sleep: Callable[[float], None] = time.sleep) -> str:
     """Status until it is final or the time is up (UD17, UD20)."""
     waited = 0.0

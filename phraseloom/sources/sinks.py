@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """(SNK1)"""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """White space around values is kept (SNK1)."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -69,24 +69,3 @@ def checkpoint_stage(df: DataFrame, path: str) -> DataFrame:
     if not exists(df.sparkSession, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def checkpoint_slices(df: DataFrame, path: str, every: int, position: str = "_pos", stop_after: int | None = None) -> DataFrame:
-    """Rows saved in slices of ``every`` positions, one commit for each; a rerun goes on with the first slice that is missing (SNK10).
-
-    For stages whose rows cost an outside call: ``df`` must be lazy, a slice computes its own rows alone. ``stop_after`` ends after so
-    many new slices. Positions count from 0 or 1 without large gaps; the number of slices sets the number of jobs.
-    """
-    from phraseloom.sources.readers import exists
-
-    spark = df.sparkSession
-    last = df.agg(F.floor(F.max(position) / every).cast("int")).first()[0]
-    written = 0
-    for k in range(0 if last is None else last + 1):
-        if exists(spark, f"{path}/slice={k}/_SUCCESS"):
-            continue
-        if stop_after is not None and written >= stop_after:
-            break
-        df.where((F.col(position) >= k * every) & (F.col(position) < (k + 1) * every)).write.mode("overwrite").parquet(f"{path}/slice={k}")
-        written += 1
-    return spark.read.schema(df.schema).parquet(f"{path}/slice=*") if last is not None else df

@@ -1,6 +1,8 @@
 import random
+import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from phraseloom.functions import text as T
@@ -84,7 +86,7 @@ def test_fill_both_ways(spark):
 def test_pair_ids_run_over_sorted_pairs(spark):
     rows = [(f"i{i % 7:02d}", f"c{i % 3}") for i in range(60)] + [(None, "c0")]
     df = spark.createDataFrame(rows, "idiom_id string, context_type string").repartition(6)
-    got = {(r[0], r[1]): r[2] for r in W.pair_ids(df, ["idiom_id", "context_type"], slice_chars=2).collect()}
+    got = {(r[0], r[1]): r[2] for r in W.pair_ids(df, ["idiom_id", "context_type"]).collect()}
     order = sorted(k for k in set(rows) if k[0])
     assert all(got[k] == f"{k[0]}_pair_{n + 2}" for n, k in enumerate(order))  # the null pair comes first
 
@@ -123,6 +125,27 @@ def test_mining_counts_once_per_line(spark):
     assert M.mine_phrases(df, 6).where("phrase = 'cut some slack'").count() == 0
 
 
+def test_mining_prunes_and_counts_exactly(spark):
+    """Against plain counts, with a sketch so small that its buckets collide; repeats in a line count once."""
+    r = random.Random(6)
+    words = ["cut", "some", "slack", "break", "down", "carry", "on", "figure", "out", "hang", "up", "run", "away"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(3, 14))) for _ in range(150)] + ["cut some slack cut some slack cut some slack"] * 2
+    df = lines_of(spark, *texts).repartition(3)
+    every = {(x["phrase"], x["line_id"]) for x in M.occurrences(df).collect()}
+    counts: dict = {}
+    for phrase, _ in every:
+        counts[phrase] = counts.get(phrase, 0) + 1
+    want = {p: n for p, n in counts.items() if n >= 3}
+    assert want and {x["phrase"]: x["frequency_count"] for x in M.mine_phrases(df, 3, size=256).collect()} == want
+    assert {x["phrase"]: x["frequency_count"] for x in M.mine_phrases(df, 3).collect()} == want
+    # at the full size nearly nothing else is unfolded
+    kept = {x["phrase"] for x in M.frequent_occurrences(df, 3).collect()}
+    assert set(want) <= kept < set(counts)
+    assert [tuple(x) for x in M.top_candidates(df, 5).collect()][0][1] == max(counts.values())
+    stats = M.mining_statistics(df, 3).first()
+    assert (stats["candidates"], stats["frequent_phrases"]) == (len(counts), len(want))
+
+
 def test_mining_looks_at_twenty_examples(spark):
     good = "I said that you must cut some slack"
     df = lines_of(spark, *["cut some slack"] * 20, good)
@@ -216,12 +239,38 @@ def test_exact_quantiles(spark):
     assert St.exact_quantiles(spark.createDataFrame([], "x double"), "x", (0.5,)).first()["q0"] is None
 
 
-def test_fills_are_the_same_in_slices(spark):
+def ranges_of(spark, df, order):
+    """How many ranges there are where Spark does not put small ones together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return W.ranges(df, order).select("__range").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_fills_of_one_large_key_spread_over_ranges(spark):
     r = random.Random(2)
-    rows = [(i, r.choice(["a", "b", None]), r.choice([None, None, None, f"v{i}"])) for i in range(300)]
+    rows = [(i, r.choice(["a", "b", None]) if i % 2 else "a", r.choice([None, None, None, f"v{i}"])) for i in range(400)]
     df = spark.createDataFrame(rows, "_pos long, k string, v string").repartition(4)
-    whole = {x["_pos"]: x["v"] for x in W.fill_both_ways(df, "k", "v").collect()}
-    assert whole == {x["_pos"]: x["v"] for x in W.fill_both_ways(df, "k", "v", slices=F.floor(F.col("_pos") / 7)).collect()} and len(whole) == 300
+    want = {}
+    for key in ("a", "b", None):
+        own = [(p, v) for p, k, v in rows if k == key]
+        for n, (p, _) in enumerate(own):
+            before, after = [v for _, v in own[: n + 1] if v], [v for _, v in own[n:] if v]
+            want[p] = before[-1] if before else after[0] if after else None
+    assert {x["_pos"]: x["v"] for x in W.fill_both_ways(df, "k", "v").collect()} == want
+    assert ranges_of(spark, df.where("k = 'a'"), ["k", "_pos"]) > 1
+
+
+def test_running_numbers_follow_the_whole_order(spark):
+    r = random.Random(3)
+    rows = [(i, "a prefix of more than thirty characters" + r.choice(["", "x", "y"]), r.choice([None, 1, 2])) for i in range(500)]
+    df = spark.createDataFrame(rows, "_pos long, k string, n int").repartition(7)
+    got = {x["_pos"]: x["place"] for x in W.running_number(df, ["k", F.desc("n"), "_pos"], "place").collect()}
+    order = sorted(rows, key=lambda x: (x[1], -(x[2] or -1), x[0]))
+    assert got == {x[0]: n + 1 for n, x in enumerate(order)}
+    assert W.running_number(df.limit(0), ["k"], "place").count() == 0
+    assert ranges_of(spark, df, ["k", "_pos"]) > 1
 
 
 def test_pair_ids_of_keys_with_a_long_common_prefix(spark):
@@ -244,3 +293,82 @@ def test_line_numbers_of_files(spark, tmp_path):
 def test_first_wins_by_the_order_of_the_input(spark):
     rows = spark.createDataFrame([(n, f"s{n}", "same") for n in (5, 3, 9)], "place long, v string, k string").withColumn("_pos", F.struct("place", "v"))
     assert D.first_row(rows, ["k"]).first()["v"] == "s3"
+
+
+@pytest.mark.parametrize("block_rows", [2048, 4])
+def test_near_meanings_against_brute_force(spark, block_rows):
+    from difflib import SequenceMatcher
+
+    from phraseloom.operators import near
+
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(12)] + ["to", "tell", "a", "secret", "gradually", "!!"]
+    text = lambda: " ".join(r.choice(words) for _ in range(r.randrange(1, 9)))
+    new = {(r.choice("ab"), text()) for _ in range(60)} | {("a", "?!"), ("a", "x" * 30), ("c", "alone")}
+    main = {(k, t[: r.randrange(len(t) + 1)] + r.choice(["", "s", " a"]) + t[r.randrange(len(t)) :]) for k, t in new for _ in range(2)} | {(r.choice("ab"), text()) for _ in range(60)} | {("a", "--"), ("d", "alone")}
+    main = {(k, t) for k, t in main if t}
+    tokens = lambda t: set(re.findall(r"[A-Za-z0-9]+(?:'[A-Za-z0-9]+)?", t.lower()))
+
+    def jaccard(x, y):
+        return len(x & y) / len(x | y) if x | y else 1.0
+
+    df = lambda rows: spark.createDataFrame(sorted(rows), "key string, text string").repartition(3)
+    pairs = [(k, t, o) for k, t in new for j, o in main if k == j]
+    ratio = {(k, t, o) for k, t, o in pairs if SequenceMatcher(None, t, o).ratio() >= 0.92}
+    similar = {(k, t, o) for k, t, o in pairs if jaccard(tokens(t), tokens(o)) >= 0.85}
+    assert ratio and similar
+    assert {tuple(x) for x in near.jaccard_pairs(df(new), df(main)).collect()} == similar
+    assert {tuple(x) for x in near.ratio_pairs(df(new), df(main), block_rows=block_rows).collect()} == ratio
+    assert {tuple(x) for x in near.near_pairs(df(new), df(main), block_rows=block_rows).collect()} == ratio | similar
+    # what is measured in Python is a small part of all pairs
+    assert len(ratio) <= near.ratio_pairs(df(new), df(main), block_rows=block_rows, measured=True).count() < len(pairs) / 4
+
+
+def test_one_idiom_of_many_meanings(spark):
+    from phraseloom.operators import near
+
+    base = spark.range(3000).selectExpr("'hot' AS key", "concat('meaning ', sha2(cast(id as string), 256)) AS text")
+    other = base.withColumn("text", F.concat("text", F.lit("s")))
+    assert near.ratio_pairs(base, other, block_rows=512).count() == 3000
+
+
+def test_crawl_over_stored_pages(spark):
+    from collections import deque
+
+    r = random.Random(4)
+    web = {f"t{i}": [f"t{r.randrange(60)}" for _ in range(r.randrange(5))] for i in range(40)}
+    links = spark.createDataFrame([(t, n, o) for t, own in web.items() for n, o in enumerate(own)], "term string, at int, other string").repartition(3)
+    pages = spark.createDataFrame([(t,) for t in web], "term string")
+    seeds = spark.createDataFrame([("t5", 0), ("t50", 1), ("t3", 2), ("t5", 3)], "term string, at int")
+    queue, seen, want = deque([("t5", 0), ("t3", 0)]), {"t5", "t3"}, []
+    while queue:
+        term, depth = queue.popleft()
+        want.append((len(want), term, depth))
+        for o in web[term]:
+            if o in web and o not in seen:
+                seen.add(o)
+                queue.append((o, depth + 1))
+    rows = lambda *a: sorted(tuple(x) for x in J.crawl_stored(pages, links, seeds, *a).collect())
+    assert rows(1000) == want and rows(7) == want[:7] and rows(1000, 1) == [w for w in want if w[2] <= 1]
+    assert J.crawl_stored(pages, links, seeds.limit(0), 5).count() == 0
+
+
+def test_modern_inventory_is_new_against_the_main_one(spark):
+    from phraseloom.plans import pipelines as Plan
+
+    columns = "_pos long, idiom string, meaning_en string, example string, source string, idiom_confidence string, tags string, pos string"
+    row = lambda i, idiom, meaning: (i, idiom, meaning, "an example of it", "urban_dictionary", "low", "slang", "phrase")
+    high = spark.createDataFrame([row(1, "spill the tea", "to tell a secret"), row(2, "touch grass", "to go outside")], columns)
+    broad = spark.createDataFrame([row(1, "spill the tea", "to tell a secret"), row(3, "no cap", "no lie"), row(4, "No  cap", "without any lie at all"), row(5, "hit the hay", "to go to bed now")], columns)
+    main = spark.createDataFrame([(1, "touch grass", "to go outside", ""), (2, "hit the hay", "to go to bed now.", "")], "_pos long, idiom string, meaning string, example string")
+    got = Plan.modern_inventory(broad, high, main)
+    assert got.columns == high.columns and sorted(r["_pos"] for r in got.collect()) in ([1, 3], [1, 4])
+
+
+def test_validated_rows_and_issues(spark):
+    from phraseloom import queries
+    from phraseloom.plans import pipelines as Plan
+
+    rows = queries.enriched(spark, "/root/testdata/sf0.001")
+    done, issues = Plan.validated(rows)
+    assert done.count() == rows.count() and issues.count() >= done.where("problem <> ''").count() > 0

@@ -2,8 +2,7 @@ import json
 
 import pytest
 
-from phraseloom.operators.joins import crawl
-from phraseloom.sources import pages, readers, services, sinks
+from phraseloom.sources import dom, pages, quoted, readers, services, sinks
 
 
 def entries(spark, *items):
@@ -52,23 +51,84 @@ def test_report_and_markdown(spark, tmp_path):
     assert [r[0] for r in sinks.markdown(long, "T").collect()] == ["# T", "\n## core\n\n| metric | value |\n|---|---|", "| rows | 3 |"]
 
 
-HTML = '<html><head><title>x</title></head><body><a class="big word" href="/define.php?term=cut+slack">Cut  slack</a><div class="meaning">to <b>ease</b> &amp; relax</div><div class="example">He cut me slack.</div><a href="/d?term=hang%20out">h</a><a href="/d?term=hang%20out">h</a><p>by me</p></body></html>'
+HTML = '<html><head><title>x</title></head><body><a class="big word" href="/define.php?term=cut+slack">Cut  slack</a><div class="meaning">to <b>ease</b> &amp; relax</div><div class="example">He cut me slack.</div><a href="/define.php?term=hang%20out">h</a><a href="/define.php?x=1&amp;term=hang%20out">h</a><a href="/define.php?term=single">s</a><a href="/other?term=no+link">n</a><p>by me</p></body></html>'
 
 
 def test_pages(spark):
-    df = spark.createDataFrame([(1, "cut slack", HTML), (2, "none", None)], "page_id long, term string, html string")
+    df = spark.createDataFrame([(1, "cut slack", HTML), (2, "none at all", None)], "page_id long, term string, html string")
     assert [tuple(r) for r in pages.class_entries(df).collect()] == [(1, 0, "Cut slack", "to ease & relax", "He cut me slack.")]
-    plain = spark.createDataFrame([(1, "cut slack", "<p>Intro</p><p>Cut Slack</p><p>to ease</p><p>He did.</p><p>Again.</p><p>by me</p><p>more</p>")], "page_id long, term string, html string")
-    assert [tuple(r) for r in pages.text_entries(plain).collect()] == [(1, "cut slack", "to ease", "He did. Again.")]
-    assert [r["term"] for r in pages.links(df).collect()] == ["cut slack", "hang out"]
-    assert [r["term"] for r in pages.links(df, own="term").collect()] == ["hang out"]
+    assert [tuple(r) for r in pages.class_entries(df, requested="term").collect()] == [(1, 0, "cut slack", "to ease & relax", "He cut me slack.")]
+    assert [r["term"] for r in pages.links(df).collect()] == ["cut slack", "hang out"]  # of the path, phrases only
+    assert [r["term"] for r in pages.links(df, path="").collect()] == ["cut slack", "hang out", "no link"]
+    assert [r["term"] for r in pages.links(df, own="term", path="").collect()] == ["hang out", "no link"]
 
 
-def test_crawl_and_services():
-    web = {"a": ["b", "c"], "b": ["a", "d"], "d": []}
-    assert crawl(["a"], web.get, lambda p: p, 10) == [("a", ["b", "c"]), ("b", ["a", "d"]), ("d", [])]
-    assert len(crawl(["a"], web.get, lambda p: p, 2)) == 2
+def test_page_lines(spark):
+    html = "<p>Intro</p><p>Cut Slack</p><p>Share definition</p><p>to ease</p><p>He did.</p><p>Again.</p><p>by me</p><p>more</p><p>cut slack</p><p>a gun</p><p>by you</p><p>cut slack</p><p>to let go</p><p>Get the mug</p>"
+    df = spark.createDataFrame([(1, "cut slack", html), (2, "cut slack", "<p>cut slack</p><p>by me</p>"), (3, "slack", "<p>slack</p><p>m</p>"), (4, "cut slack", "")], "page_id long, term string, html string")
+    assert [tuple(r) for r in pages.text_entries(df).orderBy("page_id", "at").collect()] == [(1, 0, "cut slack", "to ease", "He did."), (1, 2, "cut slack", "to let go", "")]
+    both = df.union(spark.createDataFrame([(5, "cut slack", HTML)], df.schema))
+    assert sorted((r["page_id"], r["meaning"]) for r in pages.page_entries(both).collect()) == [(1, "to ease"), (1, "to let go"), (5, "to ease & relax")]
 
+
+PARSES = [
+    ('<div class="meaning">a <div>b</div> c</div>', ".meaning", ["a b c"]),
+    ('<p class="word-count">no</p><p class="word">yes</p><p class=word>plain</p>', ".word", ["yes", "plain"]),
+    ("<h1>one</h1><H2 id=x>two</H2><h3>three</h3>", "h1, h2", ["one", "two"]),
+    ('<a class="x word y">a</a><b class="word">b</b>', "a.word", ["a"]),
+    ("<div class=m>caf&eacute; &mdash; it&#8217;s &#x41;&lt;b&gt;</div>", ".m", ["café — it’s A<b>"]),
+    ("<div class=m>open <i>never closed <p>more", ".m", ["open never closed more"]),
+    ("<div class=m>a<br>b<img src=x>c</div>d", ".m", ["a b c"]),
+    ("</div></p><div class=m>x</span>y</div>", ".m", ["x y"]),
+    ("<div class=m>a<script>var b = '</p>';</script><style>p{}</style><!-- c -->d</div>", ".m", ["a d"]),
+    ("<div class=m><div class=m>in</div>out</div>", ".m", ["in out", "in"]),
+    ("", ".m", []),
+]
+
+
+@pytest.mark.parametrize(("html", "selector", "texts"), PARSES)
+def test_elements_by_tag_and_class(html, selector, texts):
+    assert [" ".join(t) for t in dom.parse(html, [dom.selector(selector)]).texts[0]] == texts
+
+
+def test_selectors_that_are_none():
+    with pytest.raises(ValueError):
+        dom.selector("div > p")
+
+
+QUOTED = [
+    ["a,b", "1,x"],
+    ['"a","b"', '1,"two\nlines"', '2,"a ""quoted"" word"'],
+    ["a,b", '1,"x\n\ny"', "", '2,"comma, and\r\nCRLF"', '3,5" pipe'],
+    ["\ufeffa,b", '"",""', "1,", ',"last\n"'],
+    ["a,b", '1,"' + "\n".join(f"line {i}" for i in range(400)) + '"', *[f"{i},v{i}" for i in range(2, 300)], '300,"' + '""\n' * 50 + '"'],
+]
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("rows", QUOTED)
+def test_quoted_csv_by_blocks_is_what_the_whole_file_gives(spark, tmp_path, rows, end, broadcast):
+    text = end.join(rows) + end
+    (tmp_path / "f.csv").write_bytes(text.encode())
+    path = f"{tmp_path.as_uri()}/f.csv"
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "").csv(path)
+    want = sorted(repr(tuple(r)) for r in whole.collect())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 64)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        got = quoted.read_quoted_csv(spark, path, broadcast_rows=broadcast)
+        assert got.columns == [c.lstrip("\ufeff") for c in whole.columns]
+        assert sorted(repr(tuple(r)) for r in got.collect()) == want
+        if len(text) > 1000:
+            assert spark.read.text(path).rdd.getNumPartitions() > 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_services():
     class Fake:
         def __init__(self):
             self.left = ["running", "completed"]
@@ -89,6 +149,39 @@ def test_crawl_and_services():
     assert services.poll(fake, "b", 1, 5, sleep=lambda s: None) == "completed" and services.download(fake, "b", "t") == "t"
 
 
+def test_work_goes_on_after_a_kill_at_any_batch(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from phraseloom.streaming import resume
+
+    folder, schema = tmp_path.as_uri(), "i long, t string"
+    rows = spark.range(40).selectExpr("id AS i", "concat('t', id) AS t").coalesce(1)
+    resume.stage_rows(rows, f"{folder}/items", 8)
+    seen = []
+
+    def step(df):
+        seen.append(df.count())
+        return df.selectExpr("i", "upper(t) AS t")
+
+    def die_at(n):
+        def after(number):
+            if number == n:
+                raise InterruptedError
+
+        return after
+
+    work = lambda after: resume.work_off(spark, f"{folder}/items", schema, step, f"{folder}/done", f"{folder}/marks", 1, after)
+    for n in (0, 2, 3):
+        with pytest.raises(StreamingQueryException):
+            work(die_at(n))
+    work(None)
+    got = resume.worked_off(spark, f"{folder}/done", schema)
+    assert sorted((r["i"], r["t"]) for r in got.collect()) == [(i, f"T{i}") for i in range(40)] and got.select("batch").distinct().count() == 5
+    assert len(seen) == 5 + 3  # the three batches that were under way once more, no other
+    work(None)
+    assert got.count() == 40 and len(seen) == 8
+
+
 def test_stream_of_lines(spark, tmp_path):
     from phraseloom.streaming import lines
 

@@ -59,3 +59,38 @@ def test_safe_div_and_lookup(spark):
     df = spark.createDataFrame([(1, 3, "high"), (1, 0, "odd"), (1, None, None)], "a int, b int, c string")
     got = df.select(T.safe_div(F.col("a"), F.col("b")).alias("q"), T.lookup(F.col("c"), {"high": 3}, 0).alias("l")).collect()
     assert [(r["q"], r["l"]) for r in got] == [(0.333333, 3), (0.0, 0), (0.0, 0)]
+
+
+REPAIRS = [
+    ("{'a': 'x', 'b': 'y'}", '{"a": "x", "b": "y"}'),
+    ("{'a': 'don't stop', 'b': 1}", '{"a": "don\'t stop", "b": 1}'),
+    ('{a: 1, b_c: "x"}', '{"a": 1, "b_c": "x"}'),
+    ('{"a": "x" "b": "y"}', '{"a": "x", "b": "y"}'),
+    ('{"a": 1\n"b": 2}', '{"a": 1, "b": 2}'),
+    ('{"a" 1, "b": 2}', '{"b": 2}'),
+    ('{"a": None, "b": True, "c": false}', '{"a": null, "b": true, "c": false}'),
+    ('{"a": 1, // note\n "b": 2 /* c */, # d\n"c": 3}', '{"a": 1, "b": 2, "c": 3}'),
+    ('{"a": [1, 2, {"d": "[ open', '{"a": [1, 2, {"d": "[ open"}]}'),
+    ('{"a": "she said "hi" to me", "b": 1}', '{"a": "she said \\"hi\\" to me", "b": 1}'),
+    ('{"a": ["x" "y", "z",]}', '{"a": ["x", "y", "z"]}'),
+    ('{"a": [1, {"b": 2], "c": 3}', '{"a": [1, {"b": 2}], "c": 3}'),
+    ('so ```json\n{"a": 1, "b": ["t"\n```', '{"a": 1, "b": ["t"]}'),
+    ("{“a”: “b”}", '{"a": "b"}'),
+    ('{"a": "\\ud83d\\ude00 \\q", }', '{"a": "😀 q"}'),
+    ('{"a": 007, "b": -1.5}', '{"a": "007", "b": -1.5}'),
+    ('{"a": "x", "b', '{"a": "x"}'),
+    ("{ }", "{ }"), ('{"a": {}', None), ('{,}', None), ('{"a":', None), ("no json", None), ("", None), (None, None), ("{" * 3000, None),
+]
+
+
+def test_repair_of_json(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(REPAIRS)], "i int, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", T.json_repaired("t").alias("x")).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(REPAIRS)}
+    lists = spark.createDataFrame([("x [1, 'two', {a: 3}",), ('{"a": [1]}',)], "t string").select(T.json_repaired("t", "array").alias("x")).collect()
+    assert [r["x"] for r in lists] == ['[1, "two", {"a": 3}]', "[1]"]
+
+
+def test_whole_json_is_left_as_it_is(spark):
+    df = spark.createDataFrame([('{"a":1 }',), ('Sure: {"a": 1} done',)], "t string")
+    assert [r[0] for r in df.select(T.json_repaired("t")).collect()] == ['{"a":1 }', '{"a": 1}']
