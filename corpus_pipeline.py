@@ -51,8 +51,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again by the next."""
-    docs = common.table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and read again by the next.
+
+    What a stage writes for itself is deleted once its result is written, and that once the next stage's is. The last table stays: the
+    returned rows are read from it.
+    """
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = common.scratch_path(spark, f"pipeline-{name}")
+        with common.cleared(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        if before is not None:
+            common.delete(spark, before)
+        docs, before = spark.read.schema(made.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

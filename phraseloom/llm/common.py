@@ -18,6 +18,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -66,10 +67,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/phraseloom/{label}-{uuid.uuid4().hex}"
 
 
+#: Paths written within each open ``cleared`` block, innermost last.
+_written: list[list[str]] = []
+
+
+@contextmanager
+def cleared(spark: SparkSession):
+    """Tables that are materialized in the block are deleted at its end: nothing that outlives it may read them."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            delete(spark, path)
+
+
 def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back. Survives lost executors."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.option("compression", codec).parquet(path)
+    if _written:
+        _written[-1].append(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch = path
     return back
@@ -77,9 +95,11 @@ def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
 
 def remove(spark: SparkSession, df: DataFrame) -> None:
     """Delete a materialized table that no later plan reads."""
-    path = df.scratch
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    delete(spark, df.scratch)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
