@@ -38,7 +38,8 @@ def test_against_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{DATA}/documents.parquet')")
+    for table in ("documents", "embeddings", "clients", "vendors"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
     found = con.execute(queries.ORACLES[name])
     names = [d[0] for d in found.description]
     got = queries.QUERIES[name](spark, DATA)
