@@ -266,19 +266,32 @@ def json_salvage(c: Column | str, kind: str = "object") -> Column:
     return let(safe(c), lambda t: F.coalesce(valid(t), let(F.regexp_extract(t, pattern, 0), valid)))
 
 
-def json_repaired(c: Column | str, kind: str = "object") -> Column:
-    """json_salvage, else what a tolerant reader finds from the first bracket on, if there is anything in it (UD15).
-
-    Single or curly quotes, bare keys and words, words of Python, missing and trailing commas, comments, quotes within strings and all
-    that was left open are read. Only texts that are not JSON reach Python.
-    """
+def json_read(c: Column, kind: str = "object") -> Column:
+    """JSON of what a tolerant reader finds in a text from the first bracket on, null if there is nothing in it; null texts are not looked at."""
     ship(SparkSession.getActiveSession())
 
     @F.pandas_udf("string")
-    def repair(texts: pd.Series) -> pd.Series:
+    def read(texts: pd.Series) -> pd.Series:
         from phraseloom.functions.repair import repaired
 
         return texts.map(lambda t: repaired(t, "{" if kind == "object" else "["), na_action="ignore").astype(object)
 
+    return read(c)
+
+
+def json_repaired(c: Column | str, kind: str = "object") -> Column:
+    """json_salvage, else what a tolerant reader finds from the first bracket on, if there is anything in it (UD15).
+
+    Single or curly quotes, bare keys and words, words of Python, missing and trailing commas, comments, quotes within strings and all
+    that was left open are read. Only texts that are not JSON reach Python. (The text is salvaged twice: see with_json.)
+    """
     whole = json_salvage(c, kind)
-    return F.coalesce(whole, repair(F.when(whole.isNull(), safe(c))))
+    return F.coalesce(whole, json_read(F.when(whole.isNull(), safe(c)), kind))
+
+
+def with_json(df, c: Column | str, name: str, kind: str = "object"):
+    """``df`` with json_repaired of a text, which is salvaged once for each row."""
+    rows = once(df, __text=safe(c))
+    rows = once(rows, __whole=json_salvage("__text", kind))
+    rows = rows.withColumn("__text", F.when(F.col("__whole").isNull(), F.col("__text")))
+    return rows.withColumn(name, F.coalesce("__whole", json_read(F.col("__text"), kind))).drop("__text", "__whole")

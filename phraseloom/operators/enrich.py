@@ -89,10 +89,10 @@ def output_text(response: Column, first_only: bool = False) -> Column:
 def parse_results(lines: DataFrame, record: str = RECORD, value: str = "value", first_only: bool = False) -> DataFrame:
     """Result lines -> custom_id, model, record (null where nothing can be parsed), parsed (UD7, UD15).
 
-    Text around a JSON object is cut away, trailing commas go and what is left open is closed; ids are trimmed.
+    Text around a JSON object is cut away, and what is no JSON is read tolerantly; ids are trimmed.
     """
     outer = lines.select(F.from_json(value, RESULT).alias("r")).where("r is not null")
-    text = outer.select(T.safe("r.custom_id").alias("custom_id"), F.col("r.response.body.model").alias("model"), T.json_repaired(output_text(F.col("r.response"), first_only)).alias("json"))
+    text = T.with_json(outer, output_text(F.col("r.response"), first_only), "json").select(T.safe("r.custom_id").alias("custom_id"), F.col("r.response.body.model").alias("model"), "json")
     out = text.select("custom_id", "model", F.from_json("json", record, {"mode": "PERMISSIVE"}).alias("record"), F.col("json").isNotNull().alias("parsed"))
     return out.withColumn("record", F.when(F.col("parsed"), F.col("record")))
 
