@@ -180,6 +180,26 @@ def test_encode_and_decode(spark):
     assert pieces.encode_pieces(docs_of(spark, []), MODEL).count() == 0
 
 
+@pytest.mark.parametrize("n, ranks", [(1, False), (2, False), (4, False), (3, True)])
+def test_every_one_of_the_n_best_has_its_ids(spark, n, ranks):
+    """Ids of all N segmentations of whole texts, in the order of their scores, against all segmentations."""
+    import pyarrow as pa
+
+    lattice = pieces.PieceLattice(MODEL, n, ranks)
+    assert (lattice.score[300] == lattice.model.get_score(300)) == ranks
+    for text in ["the cat", "a  b", "日本 é", "in on"]:
+        want = brute_segmentations(lattice, lattice.normalize(text))
+        found, scores, restored = lattice.n_best_column(pa.array([text]))
+        assert restored == [True] and scores[0] == pytest.approx([s for s, _ in want[:n]])
+        known = {ids: s for s, ids in want}
+        assert len({tuple(x.tolist()) for x in found[0]}) == len(found[0]) == min(n, len(want))
+        assert [known[tuple(x.tolist())] for x in found[0]] == pytest.approx(scores[0])
+    for r in pieces.encode_pieces(docs_of(spark, TEXTS), MODEL, n, ranks=ranks).collect():
+        assert len(r["n_best_ids"]) == len(r["scores"]) and r["n_best_ids"][0] == r["ids"]
+        assert all(lattice.decode(x) == (TEXTS[r["doc_id"]] or "") for x in r["n_best_ids"])
+        assert r["n_best_crc32"] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in r["n_best_ids"]]
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
