@@ -75,13 +75,14 @@ def fill_both_ways(df: DataFrame, key: str, column: str, position: str = "_pos")
     ranges only the first and last value of each is carried.
     """
     rows = ranges(df, [key, position])
-    w = Window.partitionBy(key, "__range").orderBy(position)
-    before = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # what follows is what precedes in the reversed order: a frame up to the end would be read again for each row
+    upto = lambda *by: Window.partitionBy(key, "__range").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last(column, ignorenulls=True).over(upto(F.asc(position), F.asc("__at")))
+    after = F.last(column, ignorenulls=True).over(upto(F.desc(position), F.desc("__at")))
     known = F.col(column).isNotNull()
     ends = rows.groupBy(key, "__range").agg(F.max_by(column, F.when(known, F.col(position))).alias("__last"), F.min_by(column, F.when(known, F.col(position))).alias("__first"))
-    order = Window.partitionBy(key).orderBy("__range")
-    carried = ends.select(F.col(key).alias("__key"), F.col("__range").alias("__part"), F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+    others = lambda by: Window.partitionBy(key).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col(key).alias("__key"), F.col("__range").alias("__part"), F.last("__last", ignorenulls=True).over(others(F.asc("__range"))).alias("__before"), F.last("__first", ignorenulls=True).over(others(F.desc("__range"))).alias("__after"))
     filled = rows.withColumns({"__up": before, "__down": after}).join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__range") == F.col("__part")))
     return filled.withColumn(column, F.coalesce("__up", "__before", "__down", "__after")).select(*df.columns)
 

@@ -262,6 +262,23 @@ def test_fills_of_one_large_key_spread_over_ranges(spark):
     assert ranges_of(spark, df.where("k = 'a'"), ["k", "_pos"]) > 1
 
 
+def test_fills_read_no_frame_again_for_each_row(spark):
+    """Frames up to the end of a group cost its square; values are those of plain Python."""
+    r = random.Random(5)
+    rows = [(i, "ab"[i % 3 == 0], r.choice([None, None, None, f"v{i}"])) for i in range(3000)]
+    got = W.fill_both_ways(spark.createDataFrame(rows, "_pos long, k string, v string").repartition(5), "k", "v")
+    assert "unboundedfollowing" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+    want = {}
+    for k in "ab":
+        own, last = [x for x in rows if x[1] == k], None
+        for i, _, v in own:
+            last = v or last
+            want[i] = last
+        first = next(v for _, _, v in own if v)
+        want |= {i: first for i, _, _ in own if want[i] is None}
+    assert {x["_pos"]: x["v"] for x in got.collect()} == want
+
+
 def test_running_numbers_follow_the_whole_order(spark):
     r = random.Random(3)
     rows = [(i, "a prefix of more than thirty characters" + r.choice(["", "x", "y"]), r.choice([None, 1, 2])) for i in range(500)]
