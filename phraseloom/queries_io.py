@@ -216,7 +216,7 @@ HTML = "concat('<html><head><title>x</title></head><body><script>var a = 1;</scr
 
 
 def made_pages(spark, d):
-    return table(spark, d, "part").selectExpr("p_partkey AS page_id", "p_name AS term", f"{HTML} AS html")
+    return R.dealt(table(spark, d, "part")).selectExpr("p_partkey AS page_id", "p_name AS term", f"{HTML} AS html")
 
 
 @query("q_page_classes", "SELECT p_partkey AS page_id, 0 AS at, p_name AS term, concat('a & ', p_type) AS meaning, concat('so ', p_brand) AS example FROM part")

@@ -48,6 +48,16 @@ def spread(df: DataFrame, bytes_per_task: int = 4 << 20) -> DataFrame:
     return df.repartition(cores) if size <= bytes_per_task * cores else df
 
 
+def dealt(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """Narrow rows dealt out for work that is heavy for each of them: to all cores, and to no task more than ``rows_per_task``.
+
+    A file's bytes say little of such work: millions of narrow rows may be one row group, which is one task. The rows of a file are counted
+    by its footers.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // rows_per_task)))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """(SRC4, SRC16)"""
     if not exists(spark, path):

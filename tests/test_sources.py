@@ -194,3 +194,20 @@ def test_stream_of_lines(spark, tmp_path):
     finally:
         query.stop()
     assert got["cut some slack"] == 2
+
+
+def test_one_row_group_of_narrow_rows_is_dealt_out(spark, tmp_path):
+    """Pages and answers that queries make of a narrow file are parsed by all cores, whatever its row groups are."""
+    from pyspark.sql import functions as F
+
+    from phraseloom import queries, queries_io
+
+    spark.range(1000).selectExpr("id AS p_partkey", "concat('blow ', id, ' off') AS p_name", "'t' AS p_type", "'b' AS p_brand", "1 AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(1000).selectExpr("id AS event_id", "'click' AS event_type").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (queries_io.made_pages(spark, str(tmp_path)), queries._results(spark, str(tmp_path))):
+        held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 1000 and len(held) == cores and max(held) < 2 * 1000 / cores
+    parts = readers.dealt(spark.range(1000).coalesce(1), 10)
+    held = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 1000 and len(held) == 100 and max(held) <= 20
