@@ -772,7 +772,7 @@ def _issues(spark, d):
 
 def _results(spark, d) -> DataFrame:
     """Result lines made of events: nested records as a model would answer, some broken, some without an answer."""
-    e = R.spread(table(spark, d, "events"))
+    e = R.dealt(table(spark, d, "events"), 100_000)
     record = F.struct((F.col("event_id") % 5 != 0).alias("is_idiom"), F.lit("valid_idiom").alias("idiom_validity_label"), F.concat(F.lit("idiom "), "event_type").alias("idiom_canonical"), F.array(F.lit("x"), F.lit("y")).alias("hard_negative_idioms"),
         F.transform(F.sequence(F.lit(1), (F.col("event_id") % 3 + 1).cast("int")), lambda i: F.struct(F.concat(F.lit("c"), i.cast("string")).alias("context_type"), F.concat("event_type", F.lit(" "), i.cast("string")).alias("idiom_in_example"), F.lit("literal").alias("example_usage_label"), F.lit(False).alias("is_example_idiom"))).alias("examples"),
         F.array(F.struct(F.lit("adv").alias("idiom_in_example"), F.lit("idiomatic").alias("expected_label"), F.lit("negation").alias("adversarial_type"))).alias("adversarial_examples"))
