@@ -165,23 +165,25 @@ def flatten_extended(parsed: DataFrame, example_field: str = "idiom_in_example")
     label, and the idiom as their surface.
     """
     r = F.col("record")
-    base = parsed.where("parsed").select("record", *_level(F.col("custom_id")))
-    level = [c for c in base.columns if c != "record"]
-    flag = F.coalesce(F.col("is_idiom"), F.lit(False))
     blank = {c: (F.lit(None).cast("boolean") if c == "is_example_idiom" else F.lit("")) for c in ROW}
-    only = base.where(~flag).select(*level, F.lit("idiom_only").alias("row_type"), F.lit(0).alias("at"), *[v.alias(c) for c, v in blank.items()])
+    kind = f"array<struct<row_type:string, at:int, {', '.join(c + (':boolean' if c == 'is_example_idiom' else ':string') for c in ROW)}>>"
+    here = lambda e, names: {c: F.coalesce(e[c], F.lit("")) for c in names}
+    shared = ("source_style", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "explanation_en", "explanation_ar")
 
-    def rows(frame: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
-        return frame.select(*level, F.lit(kind).alias("row_type"), "at", *[(values[c] if c in values else v).alias(c) for c, v in blank.items()])
+    def row(row_type: str, at: Column, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(row_type).alias("row_type"), at.cast("int").alias("at"), *[(values[c] if c in values else v).alias(c) for c, v in blank.items()])
 
-    e = F.col("e")
-    here = lambda names: {c: F.coalesce(e[c], F.lit("")) for c in names}
-    main = base.where(flag).select("*", F.posexplode(r["examples"]).alias("at", "e"))
-    shared = ("source_style", "idiom_in_example_arabic", "idiom_in_example_meaning_en", "idiom_in_example_meaning_arabic", "explanation_en", "explanation_ar")
-    main = rows(main, "main_example", here((*shared, "context_type", "idiom_surface", "example_usage_label")) | {"idiom_in_example": F.coalesce(e[example_field], F.lit("")), "is_example_idiom": e["is_example_idiom"]})
-    adv = base.where(flag).select("*", F.posexplode(r["adversarial_examples"]).alias("at", "e"))
-    adv = rows(adv, "adversarial_example", here((*shared, "expected_label", "adversarial_type")) | {"context_type": F.lit("adversarial"), "idiom_surface": F.coalesce("idiom_canonical", F.lit("")), "idiom_in_example": F.coalesce(e[example_field], F.lit(""))})
-    return only.unionByName(main).unionByName(adv)
+    def main(e, i):
+        return row("main_example", i, here(e, (*shared, "context_type", "idiom_surface", "example_usage_label")) | {"idiom_in_example": F.coalesce(e[example_field], F.lit("")), "is_example_idiom": e["is_example_idiom"]})
+
+    def adversarial(e, i):
+        return row("adversarial_example", i, here(e, (*shared, "expected_label", "adversarial_type")) | {"context_type": F.lit("adversarial"), "idiom_surface": F.coalesce(r["idiom_canonical"], F.lit("")), "idiom_in_example": F.coalesce(e[example_field], F.lit(""))})
+
+    # all kinds in one pass: a union of them would parse every record once for each
+    listed = F.concat(*[F.coalesce(f.cast(kind), F.array().cast(kind)) for f in (F.transform(r["examples"], main), F.transform(r["adversarial_examples"], adversarial))])
+    every = F.when(F.coalesce(r["is_idiom"], F.lit(False)), listed).otherwise(F.array(row("idiom_only", F.lit(0), {})).cast(kind))
+    out = parsed.where("parsed").select(*_level(F.col("custom_id")), F.explode(every).alias("__row"))
+    return out.select(*[c for c in out.columns if c != "__row"], "__row.*")
 
 
 def candidates_of(results: DataFrame, value: str = "value") -> DataFrame:
