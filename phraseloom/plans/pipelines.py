@@ -125,9 +125,9 @@ def generated_inventory(results: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def enriched(parsed: DataFrame, position: str = "_pos") -> DataFrame:
-    """Parsed result records -> merge-ready rows of the extended branches."""
+    """Parsed result records -> merge-ready rows of the extended branches. Rows are written once, as each step of ``finalize`` reads them."""
     rows = E.flatten_extended(parsed).where(P.valid_idiom())
-    rows = rows.withColumn(position, F.struct("idiom_id", "row_type", "at"))
+    rows = _written(rows.withColumn(position, F.struct("idiom_id", "row_type", "at")), "enriched-rows")
     return Pub.finalize(rows, position)
 
 

@@ -180,6 +180,21 @@ def test_parse_and_flatten(spark):
     assert core.where("row_type = 'main_example' and idiom_id = 'k1'").first()["minimal_pair_id"] == "pair_" + hashlib.md5(b"k1||formal").hexdigest()[:12]
 
 
+def test_extended_rows_parse_each_record_once(spark):
+    from phraseloom.plans import pipelines as Plan
+
+    record = '{"is_idiom": true, "idiom_canonical": "x", "idiom_validity_label": "valid_idiom", "examples": [{"context_type": "c", "idiom_in_example": "e", "example_usage_label": "literal"}], "adversarial_examples": null}'
+    import json
+
+    line = json.dumps({"custom_id": "k", "response": {"body": {"model": "m", "output": [{"type": "message", "content": [{"type": "output_text", "text": record}]}]}}})
+    parsed = E.parse_results(spark.createDataFrame([(line,)], "value string"))
+    rows = E.flatten_extended(parsed)
+    assert [(r["row_type"], r["at"], r["idiom_in_example"], r["is_example_idiom"]) for r in rows.collect()] == [("main_example", 0, "e", None)]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "union" not in plan(rows)
+    assert "pythonudf" not in plan(Plan.enriched(parsed)) and "from_json" not in plan(Plan.enriched(parsed))
+
+
 def test_verdicts(spark):
     cols = ", ".join(f"{c} string" for c in E.CORRECTED)
     base = {c: "old" for c in E.CORRECTED} | {"example_usage_label": "literal", "expected_label": "literal"}
