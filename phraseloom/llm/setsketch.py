@@ -126,16 +126,27 @@ def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def pruned(links: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
-    """The links that sizes and registers leave possible. ``own``: (key, n, registers), one row for each key."""
-    side = lambda end, n, r: own.select(F.col("key").alias(end), F.col("n").alias(n), F.col("registers").alias(r))
-    sized = links.join(side("a", "n", "x").drop("x"), "a").join(side("b", "m", "y"), "b").where(F.least("n", "m") >= similarity * F.greatest("n", "m") - 1e-6)
-    both = sized.join(side("a", "n", "x").drop("n"), "a")
+    """The links that sizes, parities and registers leave possible. ``own``: (key, n, print, registers), one row for each key.
+
+    Sizes and parities are exact bounds and come first: of near copies just below the similarity, registers let most through.
+    """
+    side = lambda end, *columns: own.select(F.col("key").alias(end), *[F.col(c).alias(name) for c, name in columns])
+    sized = links.join(side("a", ("n", "n"), ("print", "p")), "a").join(side("b", ("n", "m"), ("print", "q")), "b").where(F.least("n", "m") >= similarity * F.greatest("n", "m") - 1e-6)
+    sizes = lambda batch: (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
+
+    def bounded(batches):
+        for batch in batches:
+            prints = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, similar.BITS // 8)  # noqa: B023, E731
+            near = similar.may_be_similar(*sizes(batch), prints("p") ^ prints("q"), similarity)
+            yield batch.select(["a", "b", "n", "m"]).filter(pa.array(near, pa.bool_()))
+
+    near = C.map_arrow(sized.select("a", "b", "n", "m", "p", "q"), bounded, "a long, b long, n long, m long")
+    both = near.join(side("a", ("registers", "x")), "a").join(side("b", ("registers", "y")), "b")
 
     def run(batches):
         for batch in batches:
             matrix = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)  # noqa: B023, E731
-            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
-            good = may_reach(matrix("x"), matrix("y"), n, m, similarity) if batch.num_rows else np.zeros(0, bool)
+            good = may_reach(matrix("x"), matrix("y"), *sizes(batch), similarity) if batch.num_rows else np.zeros(0, bool)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return C.map_arrow(both.select("a", "b", "n", "m", "x", "y"), run, "a long, b long")
@@ -180,7 +191,7 @@ def sketch_components(docs: DataFrame, k: int = SHINGLE, similarity: float = SIM
     made = C.materialize(sketch_table(narrow, k), "sketch-sets")
     full = made.where("n > 0")
     own = C.materialize(full.select("key", "n", "print", "registers").dropDuplicates(["key"]), "sketch-own")
-    prune = lambda links: pruned(links, own.select("key", "n", "registers"), similarity)
+    prune = lambda links: pruned(links, own, similarity)
     roots = similar.components_in_rounds(full, bands_of, None, own.select("key", "n", "print"), prune, narrow.select("key", "text"), k, similarity)
     members = C.join_small(made.select("key", "id"), roots.withColumnRenamed("v", "key"), "key", "inner", similar.BROADCAST_ROWS)
     least = C.materialize(members.groupBy("root").agg(F.min("id").alias("component")), "sketch-least")
