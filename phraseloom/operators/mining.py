@@ -1,9 +1,9 @@
 """Phrase mining: frequent n-grams of dialogue lines with their best example.
 
-An n-gram of k lines consists of trigrams of k lines at least. A first pass counts all trigrams in SKETCH buckets by their hash, which
-partial sums bound whatever the corpus; a bit for each bucket of k trigrams or more goes to all tasks (SKETCH / 8 bytes at every
-size). The second pass unfolds only n-grams whose trigrams all have their bit. Buckets hold more than one trigram, so that the bits
-let too much through and never too little; what comes through is counted exactly.
+An n-gram of k lines consists of trigrams of k lines at least. Words and trigram hashes of good lines are written once. A first pass counts
+all trigrams by their 64-bit hash; those of k or more set a bit each in a sketch that goes to all tasks. It has EACH buckets for each of them
+within two bounds, so that few others share a set bit. The second pass unfolds only n-grams whose trigrams all have their bit. Hashes
+and buckets may collide, so that the bits let too much through and never too little; what comes through is counted exactly.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from phraseloom.functions import text as T
 from phraseloom.sources.scratch import scratch_folder
 
 EXAMPLES = 20
-#: Buckets of the trigram sketch, a power of two: 2 MB of bits.
-SKETCH = 1 << 24
+#: Buckets of the trigram sketch, powers of two: 2 MB of bits at least, 16 MB at most, and so many for each frequent trigram between these.
+SKETCH, LARGEST_SKETCH = 1 << 24, 1 << 27
+EACH = 8
 
 
 def ngrams(tokens: Column, least: int, most: int) -> Column:
@@ -50,13 +51,23 @@ def hashed_tokens(lines: DataFrame, line_id: str = "line_id", text: str = "text"
     return T.once(good.select("line_id", "tokens"), hashes=hashes)
 
 
-def frequent_bits(hashed: DataFrame, min_count: int, size: int = SKETCH) -> DataFrame:
-    """One row, one array of longs: bit b is set where at least ``min_count`` trigrams fall into bucket b of ``size``."""
+def frequent_hashes(hashed: DataFrame, min_count: int) -> DataFrame:
+    """(h): the hashes of at least ``min_count`` trigrams. Buckets would fill with rare ones as the input grows."""
+    return hashed.select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("h")
+
+
+def sketch_size(frequent: int) -> int:
+    """Buckets for so many frequent hashes."""
+    return min(max(SKETCH, 1 << (EACH * frequent - 1).bit_length()), LARGEST_SKETCH) if frequent else SKETCH
+
+
+def frequent_bits(frequent: DataFrame, size: int = SKETCH) -> DataFrame:
+    """One row, one array of longs: bit b is set where one of the hashes h falls into bucket b of ``size``."""
     words = size // 64
-    buckets = hashed.select(F.explode("hashes").alias("h")).groupBy(F.pmod("h", F.lit(size)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bucket", F.lit(64)).cast("int"))
-    rows = buckets.where(F.col("n") >= min_count).groupBy(F.floor(F.col("bucket") / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    dense = hashed.sparkSession.range(words).withColumnRenamed("id", "word").join(rows, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    buckets = frequent.select(F.pmod("h", F.lit(size)).alias("bucket"))
+    rows = buckets.groupBy(F.floor(F.col("bucket") / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    dense = frequent.sparkSession.range(words).withColumnRenamed("id", "word").join(rows, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda r: r["bits"]).alias("bits"))
 
 
@@ -113,17 +124,21 @@ def occurrences(lines: DataFrame, line_id: str = "line_id", text: str = "text",
     return unfolded(hashed_tokens(lines, line_id, text), least, most)
 
 
-def frequent_occurrences(lines: DataFrame, min_count: int, line_id: str = "line_id", text: str = "text", least: int = 3, most: int = 5, size: int = SKETCH) -> DataFrame:
+def frequent_occurrences(lines: DataFrame, min_count: int, line_id: str = "line_id", text: str = "text", least: int = 3, most: int = 5, size: int | None = None) -> DataFrame:
     """The occurrences that may be frequent, as a written table: n-grams are unfolded once, and no other one is ever shuffled."""
-    spark = lines.sparkSession
-    hashed = hashed_tokens(lines, line_id, text)
-    rows = unfolded(hashed, least, most, frequent_bits(hashed, min_count, size), size)
-    path = scratch_folder(spark, "mining-occurrences")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    hashed = _written(hashed_tokens(lines, line_id, text), "mining-hashed")
+    frequent = _written(frequent_hashes(hashed, min_count), "mining-frequent")
+    size = size or sketch_size(frequent.count())
+    return _written(unfolded(hashed, least, most, frequent_bits(frequent, size), size), "mining-occurrences")
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def mine_phrases(lines: DataFrame, min_count: int = 5, line_id: str = "line_id", text: str = "text", least: int = 3, most: int = 5, size: int = SKETCH) -> DataFrame:
+def mine_phrases(lines: DataFrame, min_count: int = 5, line_id: str = "line_id", text: str = "text", least: int = 3, most: int = 5, size: int | None = None) -> DataFrame:
     """Phrases in at least ``min_count`` lines: phrase, frequency_count, example, token_length, lexical_score (AG24, WN11, WN12).
 
     A line counts once for a phrase. The example is the best of the first 20 occurrences in (line, n, start) order, the first on

@@ -146,6 +146,16 @@ def test_mining_prunes_and_counts_exactly(spark):
     assert (stats["candidates"], stats["frequent_phrases"]) == (len(counts), len(want))
 
 
+def test_rare_trigrams_do_not_fill_the_sketch(spark):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(10_000 + i))
+    rare = [" ".join(word(i * 7 + k) for k in range(7)) for i in range(300)]
+    df = lines_of(spark, *rare, *["blow the candles off now"] * 3)
+    # 1,500 trigrams of one line each would fill a sketch of 64 buckets; those of three lines set three bits at most
+    kept = M.frequent_occurrences(df, 3, size=64)
+    assert kept.where("phrase = 'blow the candles off'").count() == 3 and 9 <= kept.count() < 300
+    assert M.sketch_size(0) == M.sketch_size(10) == M.SKETCH < M.sketch_size(M.SKETCH // 4) < M.sketch_size(10**12) == M.LARGEST_SKETCH
+
+
 def test_mining_looks_at_twenty_examples(spark):
     good = "I said that you must cut some slack"
     df = lines_of(spark, *["cut some slack"] * 20, good)
